@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -31,11 +31,20 @@ def count_rows() -> Column:
 
 
 def with_share(groups: DataFrame, count: str, share: str, digits: int = 2) -> DataFrame:
-    """Share of the grand total for every group of an aggregated frame.
+    """Share of the grand total for an aggregate over a fixed list of labels.
 
-    The total is a scalar subquery over the same aggregate: both read the same
-    exchange, and the groups are never drawn into one task as a window without
-    partitions would do.
+    The window has no partitions and so runs in one task: use it only where the
+    labels bound the number of groups (statuses, types, priorities).
+    """
+    total = F.sum(count).over(Window.partitionBy())
+    return groups.withColumn(share, percent(F.col(count), total, digits))
+
+
+def with_share_of_many(groups: DataFrame, count: str, share: str, digits: int = 2) -> DataFrame:
+    """The same for groups whose number grows with a dimension.
+
+    The total is a scalar subquery: it reads only what the count needs, and the
+    groups themselves stay distributed.
     """
     total = groups.agg(F.sum(count)).scalar()
     return groups.withColumn(share, percent(F.col(count), total, digits))

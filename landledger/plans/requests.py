@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landledger.functions.measures import avg_of, beside, mean, percent, with_share
+from landledger.functions.measures import avg_of, beside, mean, percent, with_share, with_share_of_many
 
 REQUEST = "request_id"
 
@@ -139,7 +139,7 @@ def zone_rollup(fact: DataFrame, zones: DataFrame) -> DataFrame:
         _sum("n_finalised", "_finalised"),
     )
     rated = groups.withColumn("acceptance_pct", percent(F.col("accepted"), F.col("_finalised"), 1))
-    return with_share(rated, "requests", "share_pct", digits=1).drop("_finalised")
+    return with_share_of_many(rated, "requests", "share_pct", digits=1).drop("_finalised")
 
 
 def kpi_by_zone(fact: DataFrame, zones: DataFrame) -> DataFrame:

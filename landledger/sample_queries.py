@@ -21,7 +21,7 @@ from landledger.plans import analysis, dashboards, finance, monitoring, registry
 from landledger.session import scratch_path
 from landledger.sources import extract
 from landledger.sources import sample as sm
-from landledger.warehouse import StoredWarehouse, Warehouse
+from landledger.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,16 +42,23 @@ def comparable(build: Query) -> Query:
 
 
 def _tables(build: Callable[[sm.SampleTables], DataFrame]) -> Query:
-    return lambda spark, folder: build(sm.SampleTables(spark, folder))
+    """A query over the raw or staged sample frames."""
+    return lambda spark, folder: build(sm.sample_warehouse(spark, folder).staging)
 
 
-def _full(build: Callable[[Warehouse], DataFrame]) -> Query:
+def _star(build: Callable[[Warehouse], DataFrame]) -> Query:
+    """A query over the dimensions and facts."""
     return lambda spark, folder: build(sm.sample_warehouse(spark, folder))
 
 
-def _headers(build: Callable[[Warehouse], DataFrame]) -> Query:
-    """For queries that use nothing the line items add to a request."""
-    return lambda spark, folder: build(sm.sample_warehouse(spark, folder, headers_only=True))
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    For tables that one query reads several times, as a warehouse table would be.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # --- sources and loads ---------------------------------------------------------------
@@ -59,7 +66,7 @@ def _headers(build: Callable[[Warehouse], DataFrame]) -> Query:
 def load_full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """Write the companies as a full load and read that load back."""
     path = scratch_path(spark, "companies")
-    upsert.refresh_if_any(sm.SampleTables(spark, folder).companies, path, sm.BATCH)
+    upsert.refresh_if_any(sm.sample_warehouse(spark, folder).staging.companies, path, sm.BATCH)
     return upsert.read_load(spark, path, sm.BATCH, schemas.COMPANIES)
 
 
@@ -69,9 +76,9 @@ def _receivable_fact(staged: DataFrame, batch: str) -> DataFrame:
 
 def upsert_receivable_fact(spark: SparkSession, folder: str) -> DataFrame:
     """The fact as of an earlier day, merged with the state of today."""
-    t = sm.SampleTables(spark, folder)
-    target = _receivable_fact(t.receivables_known_on(EARLIER), "LOAD_0")
-    batch = _receivable_fact(t.receivables, "LOAD_1")
+    t = sm.sample_warehouse(spark, folder).staging
+    target = _stored(_receivable_fact(t.receivables_known_on(EARLIER), "LOAD_0"), "target")
+    batch = _stored(_receivable_fact(t.receivables, "LOAD_1"), "batch")
     return upsert.upsert(target, batch, ["receivable_id"], upsert.RECEIVABLE_REFRESH, ["modified_at"])
 
 
@@ -82,9 +89,10 @@ def upsert_recovery_fact(spark: SparkSession, folder: str) -> DataFrame:
     and kept columns can be told apart.
     """
     w = sm.sample_warehouse(spark, folder)
+    recoveries = _stored(w.fact_recoveries, "recoveries")
     action_day = F.col("action_on")
-    target = w.fact_recoveries.filter(action_day < s.as_date(RECOVERY_CUTOFF))
-    window = w.fact_recoveries.filter(action_day >= F.date_sub(s.as_date(RECOVERY_CUTOFF), 7))
+    target = recoveries.filter(action_day < s.as_date(RECOVERY_CUTOFF))
+    window = recoveries.filter(action_day >= F.date_sub(s.as_date(RECOVERY_CUTOFF), 7))
     revised = window.withColumns({
         "payment": (F.col("payment") * F.lit("0.97").cast("decimal(3,2)")).cast(s.MONEY),
         "status": F.lit("REUSSI"),
@@ -96,7 +104,7 @@ def upsert_recovery_fact(spark: SparkSession, folder: str) -> DataFrame:
 
 def insert_new_agents(spark: SparkSession, folder: str) -> DataFrame:
     """Active agents loaded first, then everybody: only the unknown are added."""
-    cleaned = clean.clean_agents(sm.SampleTables(spark, folder).agents)
+    cleaned = clean.clean_agents(sm.sample_warehouse(spark, folder).staging.agents)
     known = ag.first_versions(cleaned.filter(F.col("status") == "ACTIF"), AGENT_LOADS[0])
     return ag.insert_new_agents(known, cleaned, AGENT_LOADS[1])
 
@@ -104,7 +112,7 @@ def insert_new_agents(spark: SparkSession, folder: str) -> DataFrame:
 def scd2_agents(spark: SparkSession, folder: str) -> DataFrame:
     """Active agents loaded first; then everybody arrives, those modified in
     the last week without a usable e-mail address."""
-    cleaned = clean.clean_agents(sm.SampleTables(spark, folder).agents)
+    cleaned = clean.clean_agents(sm.sample_warehouse(spark, folder).staging.agents)
     known = ag.first_versions(cleaned.filter(F.col("status") == "ACTIF"), AGENT_LOADS[0])
     week = F.col("modified_at") >= s.as_timestamp(sm.COLLECTIONS_AS_OF) - F.expr("INTERVAL 7 DAYS")
     second = cleaned.withColumn("email", F.when(~week, F.col("email")))
@@ -135,7 +143,7 @@ def seed_reference_dims(spark: SparkSession, folder: str) -> DataFrame:
 
 def date_spine(spark: SparkSession, folder: str) -> DataFrame:
     """Requests per day over every day between the first and the last one."""
-    created = sm.SampleTables(spark, folder).request_headers.select(F.col("created_at").cast("date").alias("date"))
+    created = sm.sample_warehouse(spark, folder).staging.requests.select(F.col("created_at").cast("date").alias("date"))
     per_day = created.groupBy("date").agg(count_rows().alias("requests"))
     return dimensions.spine_of(per_day, "date").join(per_day, "date", "left").select(
         "date", F.coalesce("requests", F.lit(0)).alias("requests"))
@@ -143,7 +151,7 @@ def date_spine(spark: SparkSession, folder: str) -> DataFrame:
 
 def dim_date(spark: SparkSession, folder: str) -> DataFrame:
     """Calendar over the creation days found in the requests."""
-    created = sm.SampleTables(spark, folder).table("orders").select("o_orderdate")
+    created = sm.sample_warehouse(spark, folder).staging.table("orders").select("o_orderdate")
     return dimensions.dim_date(dimensions.spine_of(created, "o_orderdate"))
 
 
@@ -160,8 +168,8 @@ def _rule_tables(w: Warehouse, t: sm.SampleTables) -> dict[str, DataFrame]:
 
 
 def dq_rules(spark: SparkSession, folder: str) -> DataFrame:
-    w = sm.sample_warehouse(spark, folder, headers_only=True)
-    return quality.dq_rules(spark, _rule_tables(w, sm.SampleTables(spark, folder)))
+    w = sm.sample_warehouse(spark, folder)
+    return quality.dq_rules(spark, _rule_tables(w, sm.sample_warehouse(spark, folder).staging))
 
 
 def dq_checks(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,17 +181,18 @@ def dq_checks(spark: SparkSession, folder: str) -> DataFrame:
 
 def dq_orphans(spark: SparkSession, folder: str) -> DataFrame:
     w = sm.sample_warehouse(spark, folder)
-    headers = sm.sample_warehouse(spark, folder, headers_only=True)
+    receivables = _stored(w.fact_receivables, "receivables")
+    recoveries = facts.fact_recoveries(clean.clean_recoveries(w.staging.recoveries), receivables, sm.BATCH)
     return quality.dq_orphans({
-        "fact_receivables": w.fact_receivables, "fact_recoveries": w.fact_recoveries,
-        "fact_requests": headers.fact_requests, "dim_request_status": headers.dim_request_status,
+        "fact_receivables": receivables, "fact_recoveries": recoveries,
+        "fact_requests": w.fact_requests, "dim_request_status": w.dim_request_status,
         "dim_agent": w.dim_agent, "dim_company": w.dim_company,
         "dim_receivable_type": w.dim_receivable_type, "dim_receivable_status": w.dim_receivable_status,
     })
 
 
 def recon_status(spark: SparkSession, folder: str) -> DataFrame:
-    w = sm.sample_warehouse(spark, folder, headers_only=True)
+    w = sm.sample_warehouse(spark, folder)
     status = {"O": "EN_COURS", "F": "ACCEPTEE", "P": "REJETEE"}
     pairs = [F.lit(x) for pair in status.items() for x in pair]
     source = w.staging.table("orders").select(
@@ -203,16 +212,13 @@ def kpi_health(spark: SparkSession, folder: str) -> DataFrame:
     instead of being derived fourteen times.
     """
     w = sm.sample_warehouse(spark, folder)
-    path = scratch_path(spark, "warehouse")
-    upsert.full_refresh(w.fact_requests, f"{path}/fact_requests", sm.BATCH)
-    stored = StoredWarehouse(spark, path, sm.BATCH)
 
-    class Mixed:
-        fact_requests = stored.fact_requests
+    class Star:
+        fact_requests = _stored(w.fact_requests, "fact_requests")
         dim_zone, dim_plot, dim_company, dim_date = w.dim_zone, w.dim_plot, w.dim_company, w.dim_date
 
     return dashboards.kpi_health({
-        name: (lambda build=build: build(Mixed)) for name, build in registry.REQUEST_KPIS.items()})
+        name: (lambda build=build: build(Star)) for name, build in registry.REQUEST_KPIS.items()})
 
 
 QUERIES: dict[str, Query] = {
@@ -237,86 +243,86 @@ QUERIES: dict[str, Query] = {
     "clean_recoveries": _tables(lambda t: clean.clean_recoveries(t.recoveries)),
     # dimensions and facts
     "dim_date": dim_date,
-    "dim_company": _full(lambda w: w.dim_company),
-    "dim_plot": _full(lambda w: w.dim_plot),
-    "dim_zone": _full(lambda w: w.dim_zone),
-    "dim_request_status": _headers(lambda w: w.dim_request_status),
+    "dim_company": _star(lambda w: w.dim_company),
+    "dim_plot": _star(lambda w: w.dim_plot),
+    "dim_zone": _star(lambda w: w.dim_zone),
+    "dim_request_status": _star(lambda w: w.dim_request_status),
     "scd2_agents": scd2_agents,
-    "fact_requests": _full(lambda w: w.fact_requests),
-    "fact_receivables": _full(lambda w: w.fact_receivables),
-    "fact_recoveries": _full(lambda w: w.fact_recoveries),
-    "payments_from_receivables": _full(lambda w: payments.payments_from_receivables(w.fact_receivables, sm.BATCH)),
-    "payments_from_recoveries": _full(lambda w: payments.payments_from_recoveries(w.fact_recoveries, sm.BATCH)),
-    "build_payments": _full(lambda w: w.fact_payments),
+    "fact_requests": _star(lambda w: w.fact_requests),
+    "fact_receivables": _star(lambda w: w.fact_receivables),
+    "fact_recoveries": _star(lambda w: w.fact_recoveries),
+    "payments_from_receivables": _star(lambda w: payments.payments_from_receivables(w.fact_receivables, sm.BATCH)),
+    "payments_from_recoveries": _star(lambda w: payments.payments_from_recoveries(w.fact_recoveries, sm.BATCH)),
+    "build_payments": _star(lambda w: w.fact_payments),
     # request KPIs
-    "kpi_by_status": _full(lambda w: requests.kpi_by_status(w.fact_requests)),
-    "kpi_by_zone_type": _full(lambda w: requests.kpi_by_zone_type(w.fact_requests)),
-    "kpi_by_entity": _full(
+    "kpi_by_status": _star(lambda w: requests.kpi_by_status(w.fact_requests)),
+    "kpi_by_zone_type": _star(lambda w: requests.kpi_by_zone_type(w.fact_requests)),
+    "kpi_by_entity": _star(
         lambda w: requests.kpi_by_entity(w.fact_requests, w.dim_zone, w.dim_plot, w.dim_company)),
-    "kpi_priority_split": _full(lambda w: requests.kpi_priority_split(w.fact_requests)),
-    "kpi_delay_stats": _full(lambda w: requests.kpi_delay_stats(w.fact_requests)),
-    "kpi_acceptance": _headers(lambda w: requests.kpi_acceptance(w.fact_requests)),
-    "kpi_priority_trend": _full(lambda w: requests.kpi_priority_trend(w.fact_requests, w.dim_date)),
-    "kpi_acceptance_finalised": _headers(lambda w: requests.kpi_acceptance_finalised(w.fact_requests)),
-    "kpi_delay_finalised": _full(lambda w: requests.kpi_delay_finalised(w.fact_requests)),
-    "kpi_volume": _headers(lambda w: requests.kpi_volume(w.fact_requests)),
-    "kpi_financial_performance": _full(lambda w: requests.kpi_financial_performance(w.fact_requests)),
-    "kpi_monthly": _full(lambda w: requests.kpi_monthly(w.fact_requests)),
-    "kpi_by_zone": _full(lambda w: requests.kpi_by_zone(w.fact_requests, w.dim_zone)),
-    "kpi_executive": _full(lambda w: requests.kpi_executive(w.fact_requests)),
-    "kpi_top_entities": _full(
+    "kpi_priority_split": _star(lambda w: requests.kpi_priority_split(w.fact_requests)),
+    "kpi_delay_stats": _star(lambda w: requests.kpi_delay_stats(w.fact_requests)),
+    "kpi_acceptance": _star(lambda w: requests.kpi_acceptance(w.fact_requests)),
+    "kpi_priority_trend": _star(lambda w: requests.kpi_priority_trend(w.fact_requests, w.dim_date)),
+    "kpi_acceptance_finalised": _star(lambda w: requests.kpi_acceptance_finalised(w.fact_requests)),
+    "kpi_delay_finalised": _star(lambda w: requests.kpi_delay_finalised(w.fact_requests)),
+    "kpi_volume": _star(lambda w: requests.kpi_volume(w.fact_requests)),
+    "kpi_financial_performance": _star(lambda w: requests.kpi_financial_performance(w.fact_requests)),
+    "kpi_monthly": _star(lambda w: requests.kpi_monthly(w.fact_requests)),
+    "kpi_by_zone": _star(lambda w: requests.kpi_by_zone(w.fact_requests, w.dim_zone)),
+    "kpi_executive": _star(lambda w: requests.kpi_executive(w.fact_requests)),
+    "kpi_top_entities": _star(
         lambda w: requests.kpi_top_entities(w.fact_requests, w.dim_zone, w.dim_plot, w.dim_company, k=5)),
-    "kpi_top_10_entities": _full(
+    "kpi_top_10_entities": _star(
         lambda w: requests.kpi_top_entities(w.fact_requests, w.dim_zone, w.dim_plot, w.dim_company, k=10)),
-    "kpi_last_12_months": _full(lambda w: requests.kpi_last_12_months(w.fact_requests)),
-    "kpi_monthly_summary": _headers(lambda w: requests.kpi_monthly_summary(w.fact_requests)),
-    "kpi_zone_summary": _full(lambda w: requests.kpi_zone_summary(w.fact_requests, w.dim_zone)),
-    "kpi_top_zones": _headers(lambda w: requests.kpi_top_zones(w.fact_requests, w.dim_zone)),
+    "kpi_last_12_months": _star(lambda w: requests.kpi_last_12_months(w.fact_requests)),
+    "kpi_monthly_summary": _star(lambda w: requests.kpi_monthly_summary(w.fact_requests)),
+    "kpi_zone_summary": _star(lambda w: requests.kpi_zone_summary(w.fact_requests, w.dim_zone)),
+    "kpi_top_zones": _star(lambda w: requests.kpi_top_zones(w.fact_requests, w.dim_zone)),
     # star analysis
-    "an_by_status": _headers(lambda w: analysis.an_by_status(w.fact_requests, w.dim_request_status)),
-    "an_by_type": _headers(lambda w: analysis.an_by_type(w.fact_requests, w.dim_request_status)),
-    "an_by_entity_left": _full(
+    "an_by_status": _star(lambda w: analysis.an_by_status(w.fact_requests, w.dim_request_status)),
+    "an_by_type": _star(lambda w: analysis.an_by_type(w.fact_requests, w.dim_request_status)),
+    "an_by_entity_left": _star(
         lambda w: analysis.an_by_entity_left(w.fact_requests, w.dim_zone, w.dim_plot, w.dim_company)),
-    "an_priority": _full(lambda w: analysis.an_priority(w.fact_requests)),
-    "an_delay_by_status_type": _full(
+    "an_priority": _star(lambda w: analysis.an_priority(w.fact_requests)),
+    "an_delay_by_status_type": _star(
         lambda w: analysis.an_delay_by_status_type(w.fact_requests, w.dim_request_status)),
-    "an_acceptance_by_type": _headers(
+    "an_acceptance_by_type": _star(
         lambda w: analysis.an_acceptance_by_type(w.fact_requests, w.dim_request_status)),
-    "an_priority_trend": _headers(lambda w: analysis.an_priority_trend(w.fact_requests, w.dim_date)),
-    "an_top_zones": _full(lambda w: analysis.an_top_zones(w.fact_requests, w.dim_zone)),
-    "an_monthly_full": _full(lambda w: analysis.an_monthly_full(w.fact_requests, w.dim_date)),
-    "an_total": _headers(lambda w: analysis.an_total(w.fact_requests)),
-    "an_type_financing": _full(lambda w: analysis.an_type_financing(w.fact_requests, w.dim_request_status)),
-    "an_delay_by_status": _full(lambda w: analysis.an_delay_by_status(w.fact_requests, w.dim_request_status)),
-    "an_priority_short": _full(lambda w: analysis.an_priority_short(w.fact_requests)),
+    "an_priority_trend": _star(lambda w: analysis.an_priority_trend(w.fact_requests, w.dim_date)),
+    "an_top_zones": _star(lambda w: analysis.an_top_zones(w.fact_requests, w.dim_zone)),
+    "an_monthly_full": _star(lambda w: analysis.an_monthly_full(w.fact_requests, w.dim_date)),
+    "an_total": _star(lambda w: analysis.an_total(w.fact_requests)),
+    "an_type_financing": _star(lambda w: analysis.an_type_financing(w.fact_requests, w.dim_request_status)),
+    "an_delay_by_status": _star(lambda w: analysis.an_delay_by_status(w.fact_requests, w.dim_request_status)),
+    "an_priority_short": _star(lambda w: analysis.an_priority_short(w.fact_requests)),
     # collections and payments
-    "fin_total_payments": _full(lambda w: finance.fin_total_payments(w.fact_payments)),
-    "fin_net_revenue": _full(lambda w: finance.fin_net_revenue(w.fact_payments)),
-    "fin_dashboard": _full(lambda w: finance.fin_dashboard(w.fact_payments)),
-    "fin_collections_monthly": _full(lambda w: finance.fin_collections_monthly(w.fact_payments)),
-    "fin_agent_performance": _full(lambda w: finance.fin_agent_performance(w.fact_payments)),
-    "fin_recovery_by_zone": _full(lambda w: finance.fin_recovery_by_zone(w.fact_payments)),
-    "fin_monthly_by_type": _full(lambda w: finance.fin_monthly_by_type(w.fact_payments)),
-    "fin_by_method": _full(lambda w: finance.fin_by_method(w.fact_payments)),
-    "fin_global_dashboard": _full(lambda w: finance.fin_global_dashboard(w.fact_payments)),
-    "fin_load_stats": _full(lambda w: finance.fin_load_stats(w.fact_payments)),
-    "kpi_receivables_summary": _full(lambda w: finance.kpi_receivables_summary(
+    "fin_total_payments": _star(lambda w: finance.fin_total_payments(w.fact_payments)),
+    "fin_net_revenue": _star(lambda w: finance.fin_net_revenue(w.fact_payments)),
+    "fin_dashboard": _star(lambda w: finance.fin_dashboard(w.fact_payments)),
+    "fin_collections_monthly": _star(lambda w: finance.fin_collections_monthly(w.fact_payments)),
+    "fin_agent_performance": _star(lambda w: finance.fin_agent_performance(w.fact_payments)),
+    "fin_recovery_by_zone": _star(lambda w: finance.fin_recovery_by_zone(w.fact_payments)),
+    "fin_monthly_by_type": _star(lambda w: finance.fin_monthly_by_type(w.fact_payments)),
+    "fin_by_method": _star(lambda w: finance.fin_by_method(w.fact_payments)),
+    "fin_global_dashboard": _star(lambda w: finance.fin_global_dashboard(w.fact_payments)),
+    "fin_load_stats": _star(lambda w: finance.fin_load_stats(w.fact_payments)),
+    "kpi_receivables_summary": _star(lambda w: finance.kpi_receivables_summary(
         w.fact_receivables, w.dim_date, w.dim_agent, w.dim_receivable_type, w.dim_receivable_status)),
     # combined KPIs, quality, monitoring
-    "dash_status_priority": _headers(lambda w: dashboards.dash_status_priority(w.fact_requests)),
-    "kpi_cross": _headers(lambda w: dashboards.kpi_cross(w.fact_requests)),
-    "kpi_summary_row": _full(lambda w: dashboards.kpi_summary_row(w.fact_requests)),
-    "requests_per_company": _headers(lambda w: analysis.requests_per_company(w.fact_requests, w.dim_company)),
-    "business_totals": _full(lambda w: requests.business_totals(w.fact_requests)),
-    "star_row_counts": _headers(star_row_counts),
+    "dash_status_priority": _star(lambda w: dashboards.dash_status_priority(w.fact_requests)),
+    "kpi_cross": _star(lambda w: dashboards.kpi_cross(w.fact_requests)),
+    "kpi_summary_row": _star(lambda w: dashboards.kpi_summary_row(w.fact_requests)),
+    "requests_per_company": _star(lambda w: analysis.requests_per_company(w.fact_requests, w.dim_company)),
+    "business_totals": _star(lambda w: requests.business_totals(w.fact_requests)),
+    "star_row_counts": _star(star_row_counts),
     "kpi_health": kpi_health,
-    "kpi_alerts": _full(lambda w: monitoring.kpi_alerts(w.fact_requests)),
-    "kpi_snapshot": _full(lambda w: monitoring.kpi_snapshot(w.fact_requests, sm.REQUESTS_AS_OF)),
+    "kpi_alerts": _star(lambda w: monitoring.kpi_alerts(w.fact_requests)),
+    "kpi_snapshot": _star(lambda w: monitoring.kpi_snapshot(w.fact_requests, sm.REQUESTS_AS_OF)),
     "dq_rules": dq_rules,
     "dq_checks": dq_checks,
     "dq_orphans": dq_orphans,
-    "dq_missing_keys": _headers(lambda w: quality.dq_missing_keys(w.fact_requests)),
-    "recon_counts": _headers(
+    "dq_missing_keys": _star(lambda w: quality.dq_missing_keys(w.fact_requests)),
+    "recon_counts": _star(
         lambda w: quality.recon_counts(w.staging.table("orders"), w.fact_requests)),
     "recon_status": recon_status,
 }

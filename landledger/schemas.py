@@ -7,7 +7,6 @@ Timestamps carry no zone, money is ``decimal(15,2)``, ids are 64 bit.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _TYPES = {
@@ -81,4 +80,4 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     A missing column fails at analysis time, before any row is read.
     """
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])

@@ -9,7 +9,7 @@ and events for recovery actions.
 from __future__ import annotations
 
 import datetime as dt
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,9 +49,12 @@ class SampleTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # --- line items per order ---------------------------------------------------
 
@@ -86,7 +89,18 @@ class SampleTables:
             .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         )
 
-    def _request_columns(self, orders: DataFrame, plot: Column, modified: Column) -> DataFrame:
+    @cached_property
+    def _request_rows(self) -> DataFrame:
+        """Orders with their place, joined last to the folded line items.
+
+        The join on the order id comes last, so the result stays partitioned by
+        request id and distinct request counts add no further exchange.  Queries
+        that use no line item column get a plan without the line items: the
+        optimizer drops an outer join to a side that is unique on the join key.
+        """
+        lines = self.order_lines.select("l_orderkey", "jobs", "last_ship", "first_part")
+        orders = self._orders_with_place().join(
+            lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         in_zone = F.col("n_regionkey") < 3
         priority = _case("o_orderpriority", {"1-URGENT": "urgente", "2-HIGH": "haute"}, "normale")
         return orders.select(
@@ -97,30 +111,18 @@ class SampleTables:
             F.when(in_zone, IN_ZONE).otherwise(OUT_OF_ZONE).alias("type_demande"),
             _none("bigint").alias("operateur_id"),
             F.col("o_custkey").alias("entreprise_id"),
-            plot.alias("lot_id"),
+            F.col("first_part").alias("lot_id"),
             F.when(in_zone, F.col("n_nationkey").cast("bigint")).alias("zone_id"),
             priority.alias("priorite"),
             _money("o_totalprice").alias("amount"),
-            (F.col("jobs") if "jobs" in orders.columns else _none("int")).alias("jobs"),
+            "jobs",
             F.col("o_orderdate").alias("created_at"),
-            modified.alias("updated_at"),
+            F.greatest("last_ship", "o_orderdate").alias("updated_at"),
         )
 
     @cached_property
-    def _request_rows(self) -> DataFrame:
-        """Orders with their place, joined last to the folded line items.
-
-        The join on the order id comes last, so the result stays partitioned by
-        request id and distinct request counts add no further exchange.
-        """
-        lines = self.order_lines.select("l_orderkey", "jobs", "last_ship", "first_part")
-        orders = self._orders_with_place().join(
-            lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        return self._request_columns(
-            orders, F.col("first_part"), F.greatest("last_ship", "o_orderdate"))
-
-    def _staged(self, rows: DataFrame) -> DataFrame:
-        named = rows.withColumnsRenamed({
+    def requests(self) -> DataFrame:
+        named = self._request_rows.withColumnsRenamed({
             "id": "request_id", "statut": "status", "etape_courante": "current_step",
             "type_demande": "request_type", "operateur_id": "operator_id",
             "entreprise_id": "company_id", "lot_id": "plot_id", "priorite": "priority",
@@ -129,20 +131,6 @@ class SampleTables:
         flagged = extract.with_request_flags(named, REQUESTS_AS_OF)
         return schemas.conform(flagged, schemas.REQUESTS)
 
-    @cached_property
-    def requests(self) -> DataFrame:
-        return self._staged(self._request_rows)
-
-    @cached_property
-    def request_headers(self) -> DataFrame:
-        """Requests without what the line items add (jobs, plot, duration).
-
-        For queries on counts, status, type, priority and creation date: they
-        need no line items, and an outer join is not dropped by the optimizer.
-        """
-        rows = self._request_columns(self._orders_with_place(), _none("bigint"), F.col("o_orderdate"))
-        return self._staged(rows)
-
     @cached_property
     def source_requests(self) -> DataFrame:
         """Requests as the source system delivers them, with JSON documents."""
@@ -337,21 +325,7 @@ class SampleTables:
         return extract.all_recoveries(self.source_recoveries)
 
 
-class HeaderStaging:
-    """The sample staging with requests reduced to their headers."""
-
-    def __init__(self, tables: SampleTables):
-        self._tables = tables
-
-    @property
-    def requests(self) -> DataFrame:
-        return self._tables.request_headers
-
-    def __getattr__(self, name: str):
-        return getattr(self._tables, name)
-
-
-def sample_warehouse(spark: SparkSession, folder: str, headers_only: bool = False) -> Warehouse:
-    tables = SampleTables(spark, folder)
-    staging = HeaderStaging(tables) if headers_only else tables
-    return Warehouse(spark, staging, REQUESTS_AS_OF, BATCH, CALENDAR)
+@lru_cache(maxsize=8)
+def sample_warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    """The warehouse over one folder; kept, so KPIs share its planned frames."""
+    return Warehouse(spark, SampleTables(spark, folder), REQUESTS_AS_OF, BATCH, CALENDAR)

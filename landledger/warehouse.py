@@ -73,9 +73,7 @@ class Warehouse:
 
     @cached_property
     def dim_request_status(self) -> DataFrame:
-        # staging may offer requests without the costlier columns
-        headers = getattr(self.staging, "request_headers", None)
-        return dimensions.dim_request_status(self.requests if headers is None else headers)
+        return dimensions.dim_request_status(self.requests)
 
     @cached_property
     def dim_date(self) -> DataFrame:
