@@ -78,7 +78,7 @@ def receivable_measures(receivables: DataFrame, as_of, batch_id: str) -> DataFra
         s.prefixed_key("entreprise_", F.col("company_id")).alias("company_key"),
         s.prefixed_key("lot_", F.col("plot_id")).alias("plot_key"),
         s.prefixed_key("zone_", F.col("zone_id")).alias("zone_key"),
-        "agent_id",
+        "agent_id", "company_id",
         due.alias("amount_due"),
         paid.alias("amount_collected"),
         (due - paid).cast(s.MONEY).alias("amount_remaining"),
@@ -117,16 +117,17 @@ def quarantined_receivables(receivables: DataFrame, as_of, batch_id: str) -> Dat
 def fact_recoveries(recoveries: DataFrame, receivable_facts: DataFrame, batch_id: str) -> DataFrame:
     """Recovery actions with the key and amount of their receivable.
 
-    One left join replaces a lookup per row.  The receivable side is unique, so
-    a receivable holding many actions only makes the left side skewed, which
-    adaptive execution splits.
+    One left join replaces a lookup per row.  The receivable side holds one row
+    per id, so a receivable with very many actions only makes the left side
+    skewed, which adaptive execution splits.  Stating the uniqueness also lets
+    the optimizer drop the join where no receivable column is used.
     """
     parents = receivable_facts.select(
         "receivable_id", "receivable_fact_key",
         F.col("amount_due").alias("parent_due"),
         F.col("created_on").alias("parent_created_on"),
-        "company_key",
-    )
+        "company_id",
+    ).dropDuplicates(["receivable_id"])
     share = (F.col("payment") / F.nullifzero(F.col("parent_due"))).cast("decimal(20,4)")
     return recoveries.join(parents, "receivable_id", "left").select(
         F.col("recovery_id").alias("recovery_fact_key"),
@@ -139,8 +140,8 @@ def fact_recoveries(recoveries: DataFrame, receivable_facts: DataFrame, batch_id
         s.hash_key("AGT", F.col("agent_id")).alias("agent_key"),
         s.prefixed_key("ACT_", F.col("action_type")).alias("action_type_key"),
         s.prefixed_key("STAT_", F.col("status")).alias("status_key"),
-        "company_key",
-        "agent_id",
+        s.prefixed_key("entreprise_", F.col("company_id")).alias("company_key"),
+        "agent_id", "company_id",
         F.col("payment"),
         F.lit(0).cast(s.MONEY).alias("fee"),
         F.col("payment").alias("amount_net"),

@@ -25,11 +25,12 @@ def kpi_cross(fact: DataFrame) -> DataFrame:
     """Every status group beside every zone type group.
 
     The pairing itself is the report.  Both sides are aggregates over a fixed
-    list of labels: at most four status rows and two zone type rows.
+    list of labels: at most four status rows and two zone type rows, whatever
+    the size of the fact.
     """
     status = r.kpi_by_status(fact).select("status", F.col("requests").alias("status_requests"))
     kind = r.kpi_by_zone_type(fact).select("zone_type", F.col("requests").alias("zone_type_requests"))
-    return status.crossJoin(kind)
+    return status.crossJoin(F.broadcast(kind))
 
 
 def kpi_summary_row(fact: DataFrame) -> DataFrame:

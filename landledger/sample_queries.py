@@ -238,7 +238,7 @@ QUERIES: dict[str, Query] = {
     "seed_reference_dims": seed_reference_dims,
     "date_spine": date_spine,
     # cleaning
-    "clean_receivables": _tables(lambda t: clean.clean_receivables(t.receivables)),
+    "clean_receivables": _tables(lambda t: clean.clean_receivables(t.delivered_receivables)),
     "clean_agents": _tables(lambda t: clean.clean_agents(t.agents)),
     "clean_recoveries": _tables(lambda t: clean.clean_recoveries(t.recoveries)),
     # dimensions and facts

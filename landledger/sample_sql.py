@@ -234,7 +234,7 @@ def _measured(name: str, source: str, batch: str) -> str:
          'TYP_' || receivable_type AS type_key,
          CASE status WHEN 'PARTIELLEMENT_RECOUVREE' THEN 'STAT_PART_RECOUVREE' ELSE 'STAT_' || status END AS status_key,
          'entreprise_' || company_id AS company_key, 'lot_' || plot_id AS plot_key, 'zone_' || zone_id AS zone_key,
-         agent_id, amount_due, amount_collected, amount_due - amount_collected AS amount_remaining,
+         agent_id, company_id, amount_due, amount_collected, amount_due - amount_collected AS amount_remaining,
          CAST(CASE WHEN amount_due > 0 THEN CAST(amount_collected AS DOUBLE) / CAST(amount_due AS DOUBLE)
               ELSE 0 END AS DECIMAL(20,4)) AS recovery_rate,
          CAST(date_diff('day', created_on, recovered_on) AS INTEGER) AS recovery_days,
@@ -293,7 +293,7 @@ fact_recoveries AS (
   SELECT r.recovery_id AS recovery_fact_key, r.recovery_id, p.receivable_fact_key, r.receivable_id,
          {_date_key('r.action_on')} AS action_date_key, {_date_key('r.created_on')} AS created_date_key,
          {_date_key('r.modified_at')} AS modified_date_key, {_hash_agent('r.agent_id')} AS agent_key,
-         'ACT_' || r.action_type AS action_type_key, 'STAT_' || r.status AS status_key, p.company_key, r.agent_id,
+         'ACT_' || r.action_type AS action_type_key, 'STAT_' || r.status AS status_key, p.company_key, r.agent_id, p.company_id,
          r.payment, CAST(0 AS DECIMAL(15,2)) AS fee, r.payment AS amount_net,
          CAST(CAST(r.payment AS DOUBLE) / NULLIF(CAST(p.amount_due AS DOUBLE), 0) AS DECIMAL(20,4)) AS effectiveness,
          CAST(date_diff('day', p.created_on, r.action_on) AS INTEGER) AS days_since_receivable,

@@ -34,7 +34,7 @@ def _none(kind: str) -> Column:
     return F.lit(None).cast(kind)
 
 
-def _case(column: str, codes: dict[str, str], otherwise: str) -> Column:
+def _case(column: str, codes: dict, otherwise: str) -> Column:
     """Chained CASE over a column with few values."""
     chain = None
     for value, code in codes.items():
@@ -66,15 +66,20 @@ class SampleTables:
         the line items is a handful of rows by then.  Columns a query does not
         use are pruned from the scan and the aggregate.
         """
+        return self._fold(self.table("lineitem"))
+
+    def _fold(self, lineitem: DataFrame) -> DataFrame:
         flagged = F.col("l_linestatus") == "F"
-        return self.table("lineitem").groupBy("l_orderkey").agg(
+        lines = lineitem.withColumn("amount", _money("l_extendedprice"))
+        return lines.groupBy("l_orderkey").agg(
             F.sum(F.col("l_quantity").cast("int")).cast("int").alias("jobs"),
             F.max("l_shipdate").alias("last_ship"),
             F.min("l_partkey").alias("first_part"),
             F.min("l_suppkey").alias("first_supplier"),
-            F.min("l_returnflag").alias("first_flag"),
-            F.sum(_money("l_extendedprice")).alias("due"),
-            F.sum(F.when(flagged, _money("l_extendedprice"))).alias("paid"),
+            # the one-letter flag as a number: a fixed-width buffer keeps this a hash aggregate
+            F.min(F.ascii("l_returnflag")).alias("first_flag"),
+            F.sum("amount").alias("due"),
+            F.sum(F.when(flagged, F.col("amount"))).alias("paid"),
             F.max(F.when(flagged, F.col("l_shipdate"))).alias("last_paid"),
         )
 
@@ -222,18 +227,18 @@ class SampleTables:
     # --- receivables, agents, recovery actions ----------------------------------------
 
     def _receivable_rows(self, lines: DataFrame) -> DataFrame:
-        """Staged receivables (amounts as text) over folded line items."""
+        """Staged receivables over folded line items."""
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         paid = F.coalesce(F.col("paid"), F.lit(0).cast("decimal(25,2)"))
         state = (F.when(paid == 0, "non_recouvree").when(paid >= F.col("due"), "Recouvree")
                   .otherwise("partiellement_recouvree"))
-        kind = _case("first_flag", {"A": "impot", "N": "redevance"}, "taxe")
+        kind = _case("first_flag", {ord("A"): "impot", ord("N"): "redevance"}, "taxe")
         return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
             F.col("l_orderkey").alias("receivable_id"),
             F.concat(F.lit("COL-"), F.col("l_orderkey").cast("string")).alias("reference"),
             kind.alias("receivable_type"),
-            F.col("due").cast("string").alias("amount_due"),
-            paid.cast("string").alias("amount_collected"),
+            F.col("due").cast(s.MONEY).alias("amount_due"),
+            paid.cast(s.MONEY).alias("amount_collected"),
             state.alias("status"),
             F.col("o_orderdate").alias("created_on"),
             (F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("due_on"),
@@ -254,20 +259,17 @@ class SampleTables:
     def receivables_known_on(self, day: str) -> DataFrame:
         """Receivables as staged on an earlier day: only lines shipped by then."""
         shipped = F.col("l_shipdate") <= s.as_timestamp(day)
-        flagged = F.col("l_linestatus") == "F"
-        lines = self.table("lineitem").filter(shipped).groupBy("l_orderkey").agg(
-            F.max("l_shipdate").alias("last_ship"),
-            F.min("l_suppkey").alias("first_supplier"),
-            F.min("l_returnflag").alias("first_flag"),
-            F.sum(_money("l_extendedprice")).alias("due"),
-            F.sum(F.when(flagged, _money("l_extendedprice"))).alias("paid"),
-            F.max(F.when(flagged, F.col("l_shipdate"))).alias("last_paid"),
-        )
-        return self._receivable_rows(lines)
+        return self._receivable_rows(self._fold(self.table("lineitem").filter(shipped)))
+
+    @cached_property
+    def delivered_receivables(self) -> DataFrame:
+        """Receivables with their amounts as text, as an untyped feed has them."""
+        return self.receivables.withColumns({
+            c: F.col(c).cast("string") for c in ("amount_due", "amount_collected")})
 
     @cached_property
     def source_receivables(self) -> DataFrame:
-        return self.receivables.select(
+        return self.delivered_receivables.select(
             F.col("receivable_id").alias("id"), "reference",
             F.col("amount_due").alias("montant_a_recouvrer"),
             F.col("amount_collected").alias("montant_recouvre"),

@@ -1,0 +1 @@
+"""Incremental loads as micro-batches."""
