@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landledger.operators.clean import with_keys
+
 # Fixed lists: the columns a later batch may change on an existing fact row.
 RECEIVABLE_REFRESH = ("amount_collected", "amount_remaining", "recovery_rate",
                       "status_key", "modified_date_key", "etl_batch_id")
@@ -25,8 +27,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str])
     """
     rest = [c for c in df.columns if c not in keys and c not in newest_by]
     packed = F.max(F.struct(*newest_by, *rest)).alias("_row")
-    return (df.dropna(subset=list(keys)).groupBy(*keys).agg(packed)
-              .select(*keys, "_row.*").select(*df.columns))
+    return (with_keys(df, *keys).groupBy(*keys).agg(packed)
+            .select(*keys, "_row.*").select(*df.columns))
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],

@@ -70,7 +70,9 @@ class SampleTables:
 
     def _fold(self, lineitem: DataFrame) -> DataFrame:
         flagged = F.col("l_linestatus") == "F"
-        lines = lineitem.withColumn("amount", _money("l_extendedprice"))
+        # prices have two decimals: summed in cents they stay exact, and the sum of
+        # one order fits a 64-bit buffer, which a decimal sum would not
+        lines = lineitem.withColumn("cents", F.rint(F.col("l_extendedprice") * 100).cast("bigint"))
         return lines.groupBy("l_orderkey").agg(
             F.sum(F.col("l_quantity").cast("int")).cast("int").alias("jobs"),
             F.max("l_shipdate").alias("last_ship"),
@@ -78,8 +80,8 @@ class SampleTables:
             F.min("l_suppkey").alias("first_supplier"),
             # the one-letter flag as a number: a fixed-width buffer keeps this a hash aggregate
             F.min(F.ascii("l_returnflag")).alias("first_flag"),
-            F.sum("amount").alias("due"),
-            F.sum(F.when(flagged, F.col("amount"))).alias("paid"),
+            (F.sum("cents").cast("decimal(19,0)") / 100).cast(s.MONEY).alias("due"),
+            (F.sum(F.when(flagged, F.col("cents"))).cast("decimal(19,0)") / 100).cast(s.MONEY).alias("paid"),
             F.max(F.when(flagged, F.col("l_shipdate"))).alias("last_paid"),
         )
 
@@ -229,7 +231,7 @@ class SampleTables:
     def _receivable_rows(self, lines: DataFrame) -> DataFrame:
         """Staged receivables over folded line items."""
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        paid = F.coalesce(F.col("paid"), F.lit(0).cast("decimal(25,2)"))
+        paid = F.coalesce(F.col("paid"), F.lit(0).cast(s.MONEY))
         state = (F.when(paid == 0, "non_recouvree").when(paid >= F.col("due"), "Recouvree")
                   .otherwise("partiellement_recouvree"))
         kind = _case("first_flag", {ord("A"): "impot", ord("N"): "redevance"}, "taxe")
@@ -237,8 +239,8 @@ class SampleTables:
             F.col("l_orderkey").alias("receivable_id"),
             F.concat(F.lit("COL-"), F.col("l_orderkey").cast("string")).alias("reference"),
             kind.alias("receivable_type"),
-            F.col("due").cast(s.MONEY).alias("amount_due"),
-            paid.cast(s.MONEY).alias("amount_collected"),
+            F.col("due").alias("amount_due"),
+            paid.alias("amount_collected"),
             state.alias("status"),
             F.col("o_orderdate").alias("created_on"),
             (F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("due_on"),
