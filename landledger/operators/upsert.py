@@ -98,16 +98,33 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     """Upsert a Parquet table, rewriting only the partitions the batch touches.
 
     Touched are the partitions that already hold a batch key and those new rows
-    go to.  The list of partitions is as short as the calendar (one per month),
-    and joining on the partition column prunes the scan.  Dynamic overwrite
-    writes beside the table and moves the partitions in at job commit, which is
-    what allows reading and replacing them in one job.
+    go to.  Their list is fetched: it is as short as the calendar (one entry per
+    month), and as a literal list it prunes the scan of the table for certain.
+    Finding them reads the key columns only.  Dynamic overwrite writes beside
+    the table and moves the partitions in at job commit, which is what allows
+    reading and replacing them in one job.
     """
+    keys = list(keys)
     target = spark.read.parquet(path)
-    newest = latest_per_key(batch, list(keys), newest_by)
-    holding = target.join(newest.select(*keys), list(keys), "left_semi").select(partition)
-    touched = holding.union(newest.select(partition)).distinct()
-    affected = target.join(touched, partition, "left_semi")
+    newest = latest_per_key(batch, keys, newest_by)
+    holding = target.select(partition, *keys).join(newest.select(*keys), keys, "left_semi")
+    touched = holding.select(partition).union(newest.select(partition)).distinct()
+    values = [row[0] for row in touched.collect()]
+    if not values:
+        return
+    affected = target.filter(F.col(partition).isin(values))
     (upsert(affected, newest, keys, refresh, newest_by)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition).parquet(path))
+
+
+def save_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Materialise a fact as a catalog table bucketed by its natural key.
+
+    Aggregates and joins on that key (distinct request counts, the recovery
+    lookup, upserts) then read co-located buckets and add no exchange.  Choose
+    ``buckets`` so that one bucket fits a task; a natural key spreads evenly.
+    """
+    (df.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
+       .saveAsTable(table))
+    return df.sparkSession.table(table)

@@ -267,41 +267,77 @@ def kpi_volume(fact: DataFrame) -> DataFrame:
     )
 
 
-def kpi_financial_performance(fact: DataFrame) -> DataFrame:
-    """Financing and jobs of the accepted requests."""
-    card = request_scorecard(fact)
+def financial_columns() -> dict[str, Column]:
+    """Financing and jobs of the accepted requests, over the scorecard."""
     rows, money, jobs = F.col("accepted_rows"), F.col("accepted_financing"), F.col("accepted_jobs")
     seen = lambda column: F.when(rows > 0, F.col(column))
-    return card.select(
-        F.col("accepted_requests").alias("requests"),
-        money.alias("financing"),
-        mean(money, rows, 0).alias("avg_financing"),
-        jobs.alias("jobs"),
-        mean(jobs, rows, 1).alias("avg_jobs"),
-        F.round(money / F.nullifzero(jobs), 0).alias("cost_per_job"),
-        seen("accepted_financed").alias("requests_with_financing"),
-        seen("accepted_with_jobs").alias("requests_with_jobs"),
-        percent(seen("accepted_financed"), F.col("accepted_requests"), 1).alias("with_financing_pct"),
-    )
+    return {
+        "requests": F.col("accepted_requests"),
+        "financing": money,
+        "avg_financing": mean(money, rows, 0),
+        "jobs": jobs,
+        "avg_jobs": mean(jobs, rows, 1),
+        "cost_per_job": F.round(money / F.nullifzero(jobs), 0),
+        "requests_with_financing": seen("accepted_financed"),
+        "requests_with_jobs": seen("accepted_with_jobs"),
+        "with_financing_pct": percent(seen("accepted_financed"), F.col("accepted_requests"), 1),
+    }
+
+
+def executive_columns() -> dict[str, Column]:
+    """The executive figures and their alert state, over the scorecard."""
+    acceptance = percent(F.col("accepted"), F.col("finalised"), 2)
+    avg_days = mean(F.col("finalised_days"), F.col("finalised_rows"), 1)
+    return {
+        "requests": F.col("requests"),
+        "pending": F.col("pending"),
+        "finalised": F.col("finalised"),
+        "acceptance_pct": acceptance,
+        "avg_days": avg_days,
+        "priority_requests": F.col("priority"),
+        "priority_pct": percent(F.col("priority"), F.col("requests"), 1),
+        "financing": F.col("financing"),
+        "avg_financing": mean(F.col("financing"), F.col("financing_rows"), 0),
+        "jobs": F.col("jobs"),
+        "in_zone": F.col("in_zone"),
+        "out_of_zone": F.col("out_of_zone"),
+        "alert_status": F.when(acceptance < 30, "ALERTE: Taux acceptation faible")
+                         .when(avg_days > 15, "ALERTE: Délai traitement élevé")
+                         .otherwise("NORMAL"),
+    }
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [c.alias(name) for name, c in columns.items()]
+
+
+def kpi_financial_performance(fact: DataFrame) -> DataFrame:
+    return request_scorecard(fact).select(*_named(financial_columns()))
 
 
 def kpi_executive(fact: DataFrame) -> DataFrame:
-    """The executive row with its alert state."""
-    row = request_scorecard(fact).select(
-        "requests", "pending", "finalised",
-        percent(F.col("accepted"), F.col("finalised"), 2).alias("acceptance_pct"),
-        mean(F.col("finalised_days"), F.col("finalised_rows"), 1).alias("avg_days"),
-        F.col("priority").alias("priority_requests"),
-        percent(F.col("priority"), F.col("requests"), 1).alias("priority_pct"),
-        "financing",
-        mean(F.col("financing"), F.col("financing_rows"), 0).alias("avg_financing"),
-        "jobs", "in_zone", "out_of_zone",
-    )
-    return row.withColumn(
-        "alert_status",
-        F.when(F.col("acceptance_pct") < 30, "ALERTE: Taux acceptation faible")
-         .when(F.col("avg_days") > 15, "ALERTE: Délai traitement élevé")
-         .otherwise("NORMAL"))
+    return request_scorecard(fact).select(*_named(executive_columns()))
+
+
+def kpi_summary_row(fact: DataFrame) -> DataFrame:
+    """Executive, financial and duration figures in one row.
+
+    The first two come from one scorecard, the durations need their own pass
+    for the median.
+    """
+    executive, financial = executive_columns(), financial_columns()
+    shown = ("requests", "pending", "finalised", "acceptance_pct", "avg_days", "financing", "jobs", "alert_status")
+    card = request_scorecard(fact).select(*_named({
+        **{name: executive[name] for name in shown},
+        "accepted_requests": financial["requests"],
+        "accepted_financing": financial["financing"],
+        "avg_financing": financial["avg_financing"],
+        "accepted_jobs": financial["jobs"],
+        "cost_per_job": financial["cost_per_job"],
+        "with_financing_pct": financial["with_financing_pct"],
+    }))
+    durations = kpi_delay_finalised(fact).withColumnRenamed("avg_days", "finalised_avg_days")
+    return beside(card, durations.drop("finalised_requests"))
 
 
 def business_totals(fact: DataFrame) -> DataFrame:

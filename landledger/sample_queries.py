@@ -311,7 +311,7 @@ QUERIES: dict[str, Query] = {
     # combined KPIs, quality, monitoring
     "dash_status_priority": _star(lambda w: dashboards.dash_status_priority(w.fact_requests)),
     "kpi_cross": _star(lambda w: dashboards.kpi_cross(w.fact_requests)),
-    "kpi_summary_row": _star(lambda w: dashboards.kpi_summary_row(w.fact_requests)),
+    "kpi_summary_row": _star(lambda w: requests.kpi_summary_row(w.fact_requests)),
     "requests_per_company": _star(lambda w: analysis.requests_per_company(w.fact_requests, w.dim_company)),
     "business_totals": _star(lambda w: requests.business_totals(w.fact_requests)),
     "star_row_counts": _star(star_row_counts),

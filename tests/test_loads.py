@@ -176,3 +176,26 @@ def test_collection_job_and_stream(spark, tmp_path):
         query.awaitTermination(120)
         fact = spark.read.parquet(f"{path}/fact_recoveries")
         assert fact.count() == 1000 and fact.select("recovery_id").distinct().count() == 1000
+
+
+def test_bucketed_fact_needs_no_exchange_for_distinct_requests(spark, tmp_path):
+    from landledger.plans import requests
+
+    fact = Warehouse(spark, SampleTables(spark, FOLDER), "2001-12-31", "L1").fact_requests
+    table = up.save_bucketed(fact, "bucketed_requests", str(tmp_path / "b"), "request_id", 4)
+    try:
+        card = requests.request_scorecard(table)
+        plan = card._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "SinglePartition" in plan
+        assert card.first().requests == 1500
+    finally:
+        spark.sql("DROP TABLE bucketed_requests")
+
+
+def test_upsert_of_empty_batch_leaves_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(1, 10, "a", 1, 1)], SCHEMA)
+    old.write.partitionBy("part").parquet(path)
+    before = sorted(os.listdir(f"{path}/part=1"))
+    up.upsert_table(spark, path, old.limit(0), ["id"], ["amount"], ["seen"], "part")
+    assert sorted(os.listdir(f"{path}/part=1")) == before
