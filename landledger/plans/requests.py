@@ -231,11 +231,13 @@ def request_scorecard(fact: DataFrame) -> DataFrame:
     )
     known = F.col(REQUEST).isNotNull()
     summed = [c for c in per_request.columns if c not in (REQUEST, "any_finalised", "any_accepted")]
+    # back to the width of a single sum: quotients then keep their decimals
+    total = lambda c: F.sum(c).cast("decimal(25,2)") if c.endswith("financing") else F.sum(c)
     return per_request.agg(
         F.count(REQUEST).alias("requests"),
         F.count_if(known & F.col("any_finalised")).alias("finalised_requests"),
         F.count_if(known & F.col("any_accepted")).alias("accepted_requests"),
-        *[F.sum(c).alias(c) for c in summed],
+        *[total(c).alias(c) for c in summed],
     )
 
 

@@ -61,6 +61,11 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _end_as_text(versions: DataFrame) -> DataFrame:
+    """The open end lies beyond what nanosecond timestamps of a client can hold."""
+    return versions.withColumn("valid_to", F.date_format("valid_to", "yyyy-MM-dd HH:mm:ss"))
+
+
 # --- sources and loads ---------------------------------------------------------------
 
 def load_full_refresh(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,7 +111,7 @@ def insert_new_agents(spark: SparkSession, folder: str) -> DataFrame:
     """Active agents loaded first, then everybody: only the unknown are added."""
     cleaned = clean.clean_agents(sm.sample_warehouse(spark, folder).staging.agents)
     known = ag.first_versions(cleaned.filter(F.col("status") == "ACTIF"), AGENT_LOADS[0])
-    return ag.insert_new_agents(known, cleaned, AGENT_LOADS[1])
+    return _end_as_text(ag.insert_new_agents(known, cleaned, AGENT_LOADS[1]))
 
 
 def scd2_agents(spark: SparkSession, folder: str) -> DataFrame:
@@ -116,7 +121,7 @@ def scd2_agents(spark: SparkSession, folder: str) -> DataFrame:
     known = ag.first_versions(cleaned.filter(F.col("status") == "ACTIF"), AGENT_LOADS[0])
     week = F.col("modified_at") >= s.as_timestamp(sm.COLLECTIONS_AS_OF) - F.expr("INTERVAL 7 DAYS")
     second = cleaned.withColumn("email", F.when(~week, F.col("email")))
-    return ag.scd2_agents(known, second, AGENT_LOADS[1])
+    return _end_as_text(ag.scd2_agents(known, second, AGENT_LOADS[1]))
 
 
 def seed_reference_dims(spark: SparkSession, folder: str) -> DataFrame:

@@ -434,10 +434,11 @@ SELECT {_RECOVERY_DOUBLES} FROM (
   UNION ALL
   SELECT * FROM revised WHERE recovery_id NOT IN (SELECT recovery_id FROM target))"""
 
+_END_AS_TEXT = "SELECT * REPLACE (strftime(valid_to, '%Y-%m-%d %H:%M:%S') AS valid_to) FROM"
 SQL["insert_new_agents"] = _with(AGENTS) + f"""
-{_versions('agents', '2024-01-01', "WHERE status = 'ACTIF'")}
+{_END_AS_TEXT} ({_versions('agents', '2024-01-01', "WHERE status = 'ACTIF'")}
 UNION ALL
-{_versions('agents', '2024-02-01', "WHERE status <> 'ACTIF'")}"""
+{_versions('agents', '2024-02-01', "WHERE status <> 'ACTIF'")})"""
 
 _RECENT = "modified_at >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY"
 SQL["scd2_agents"] = _with(AGENTS, f"""
@@ -445,6 +446,7 @@ second AS (SELECT * REPLACE (CASE WHEN {_RECENT} THEN NULL ELSE email END AS ema
 known AS ({_versions('agents', '2024-01-01', "WHERE status = 'ACTIF'")}),
 changed AS (SELECT k.agent_id FROM known k JOIN second s ON k.agent_id = s.agent_id
             WHERE k.email IS DISTINCT FROM s.email)""") + f"""
+{_END_AS_TEXT} (
 SELECT * FROM known WHERE agent_id NOT IN (SELECT agent_id FROM changed)
 UNION ALL
 SELECT * REPLACE (TIMESTAMP '2024-02-01' AS valid_to, FALSE AS is_current) FROM known
@@ -453,7 +455,7 @@ UNION ALL
 SELECT * REPLACE ({_hash_agent('agent_id', '2')} AS agent_key, 2 AS version)
 FROM ({_versions('second', '2024-02-01', 'WHERE agent_id IN (SELECT agent_id FROM changed)')})
 UNION ALL
-{_versions('second', '2024-02-01', 'WHERE agent_id NOT IN (SELECT agent_id FROM known)')}"""
+{_versions('second', '2024-02-01', 'WHERE agent_id NOT IN (SELECT agent_id FROM known)')})"""
 
 SQL["seed_reference_dims"] = _with(FACT_RECOVERIES, """
 members(dimension, member_key, label) AS (VALUES

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -36,18 +37,18 @@ def get_spark(app: str = "landledger", master: str | None = None,
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="run-landledger-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (unit tests on one machine) a temporary
-    folder is created and remembered in the session.
+    Only when the session names none (trials on one machine) a temporary folder
+    takes its place.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    fallback = tempfile.mkdtemp(prefix="run-landledger-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -199,3 +199,14 @@ def test_upsert_of_empty_batch_leaves_table(spark, tmp_path):
     before = sorted(os.listdir(f"{path}/part=1"))
     up.upsert_table(spark, path, old.limit(0), ["id"], ["amount"], ["seen"], "part")
     assert sorted(os.listdir(f"{path}/part=1")) == before
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    from types import SimpleNamespace
+
+    from landledger.session import scratch_path, shared_dir
+
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
+    assert os.path.isdir(shared_dir(unset)) and shared_dir(unset) == shared_dir(unset)
