@@ -37,13 +37,18 @@ def prefixed_key(prefix: str, natural: Column) -> Column:
     return F.concat(F.lit(prefix), natural.cast("string"))
 
 
+def strip(text: Column) -> Column:
+    """Drop white space of any kind at both ends (``trim`` only drops blanks)."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def title_case(text: Column) -> Column:
-    """Trim and capitalise every letter run, also after ``-`` and ``'``.
+    """Strip and capitalise every run of cased letters, also after ``-`` and ``'``.
 
-    ``initcap`` only starts a new word after white space, so a marker plus a
-    space is placed behind each non-letter first and taken out again after.
+    ``initcap`` only starts a new word after a blank, so a marker plus a blank is
+    placed behind every other separator first and taken out again after.
     """
-    opened = F.regexp_replace(F.trim(text), r"([^\p{L}\s])", "$1\u0001 ")
+    opened = F.regexp_replace(strip(text), r"([^\p{Lu}\p{Ll}\p{Lt} ])", "$1\u0001 ")
     return F.replace(F.initcap(opened), F.lit("\u0001 "), F.lit(""))
 
 

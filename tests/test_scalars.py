@@ -20,6 +20,29 @@ def test_title_case_matches_python(one):
         assert one(s.title_case(text(name))) == (name.strip(" ").title(),)
 
 
+def test_title_case_on_random_names(spark):
+    import random
+
+    random.seed(7)
+    names = ["".join(random.choices("abzéÉÎçAZ '-.\t\n12_日", k=random.randint(0, 12))) for _ in range(400)]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, name string")
+    for row in df.select("i", s.title_case(F.col("name")).alias("t")).collect():
+        assert row.t == names[row.i].strip().title(), names[row.i]
+
+
+def test_full_days_on_random_times(spark):
+    import random
+
+    random.seed(11)
+    start = dt.datetime(2024, 1, 1)
+    at = lambda: start + dt.timedelta(seconds=random.randint(-10**7, 10**7))
+    pairs = [(i, at(), at()) for i in range(300)]
+    df = spark.createDataFrame(pairs, "i int, a timestamp_ntz, b timestamp_ntz")
+    for row in df.select("i", s.full_days(F.col("a"), F.col("b")).alias("d")).collect():
+        _, a, b = pairs[row.i]
+        assert row.d == int((b - a) / dt.timedelta(days=1))
+
+
 def test_code_lookup_falls_back_to_upper(one):
     codes = {"impot": "IMPOT"}
     assert one(s.code_lookup(text("Impot"), codes), s.code_lookup(text("autre"), codes),
