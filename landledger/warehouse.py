@@ -119,21 +119,34 @@ class Warehouse:
 
 
 class StoredWarehouse:
-    """The same tables, read from a load written by ``jobs``."""
+    """The same tables, read from what the jobs have written.
 
-    _contracts = {"requests": schemas.REQUESTS, "companies": schemas.COMPANIES,
-                  "plots": schemas.PLOTS, "zones": schemas.ZONES}
+    Request tables are read from ``load_id``, collection tables from
+    ``batch_id`` (the same id unless given); the two merged facts have one
+    current state.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, load_id: str):
-        self.spark, self.path, self.load_id = spark, path, load_id
+    _contracts = {"requests": schemas.REQUESTS, "companies": schemas.COMPANIES, "plots": schemas.PLOTS,
+                  "zones": schemas.ZONES, "fact_payments": schemas.PAYMENTS}
+    _collection = {"dim_agent", "dim_receivable_type", "dim_receivable_status", "dim_payment_mode",
+                   "fact_payments"}
+    _merged = {"fact_receivables", "fact_recoveries"}
+
+    def __init__(self, spark: SparkSession, path: str, load_id: str, batch_id: str | None = None):
+        self.spark, self.path = spark, path
+        self.load_id, self.batch_id = load_id, batch_id or load_id
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
+        place = os.path.join(self.path, name)
+        if name not in self._merged:
+            load = self.batch_id if name in self._collection else self.load_id
+            place = os.path.join(place, f"load_id={load}")
         reader = self.spark.read
         if name in self._contracts:
             reader = reader.schema(self._contracts[name])
-        return reader.parquet(os.path.join(self.path, name, f"load_id={self.load_id}"))
+        return reader.parquet(place)
 
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)

@@ -12,7 +12,7 @@ from landledger.plans import registry
 from landledger.sources import readers
 from landledger.sources.sample import SampleTables
 from landledger.streaming.incremental import apply_landed_recoveries
-from landledger.warehouse import Warehouse
+from landledger.warehouse import StoredWarehouse, Warehouse
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "id long, amount long, first string, seen int, part int"
@@ -167,6 +167,16 @@ def test_collection_job_and_stream(spark, tmp_path):
     assert second["dim_agent"].count() == first["dim_agent"].count()
     assert [r[0] for r in second["fact_receivables"].select("etl_batch_id").distinct().collect()] == ["B2"]
 
+    requests_source = {"demandes_attribution": t.source_requests, "entreprises": t.source_companies,
+                       "lots": t.source_plots, "zones_industrielles": t.source_zones}
+    jobs.load_requests(spark, requests_source, path, "L1", "2001-12-31", (dt.date(1990, 1, 1), dt.date(2030, 12, 31)))
+    registry.register_views(StoredWarehouse(spark, path, "L1", "B2"))
+    summary = spark.table("mv_kpi_collectes_summary")
+    assert summary.agg(F.sum("nombre_collectes")).first()[0] == n
+    assert summary.filter("agent_collecteur IS NULL OR date_collecte IS NULL").count() < summary.count()
+    assert spark.table("vw_kpi_dashboard_global").first().total_transactions == n + early.count()
+    assert spark.table("v_kpi_taux_acceptation").first().total_demandes == 1500
+
     landing = str(tmp_path / "landing")
     late = t.source_recoveries.filter(F.col("date_modification") >= F.lit(cutoff))
     late.write.parquet(landing)
