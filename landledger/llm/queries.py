@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from landledger.llm import decontamination, secrets, sentencepieces, simhash, sql, toxicity
+from landledger.llm import (decontamination, extraction, secrets, sentencepieces, simhash,
+                            sql, toxicity)
 from landledger.llm.common import table
 
 #: The model file of the token queries, a vocabulary found on the machine.
@@ -13,6 +14,10 @@ def op2_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark, sf_dir):
+    return extraction.report(table(spark, sf_dir, "pages"))
+
+
 def op5_benchmark_decontamination(spark, sf_dir):
     return decontamination.report(decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]))
@@ -33,6 +38,7 @@ def op10_sentencepiece(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op2_simhash_near_dedup,
+    op4_html_extraction,
     op5_benchmark_decontamination,
     op6_toxicity,
     op9_secret_scans,
