@@ -137,8 +137,8 @@ def parse(html: str) -> list[Node]:
         else:
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}[\s/>]|\Z", re.I).search(html, at)
-                close = html.find(">", end.start())
-                at = len(html) if close < 0 else close + 1
+                shut = html.find(">", end.start())
+                at = len(html) if shut < 0 else shut + 1
                 continue
             if name in BLOCK:
                 while (i := _ended(stack, name, opened)) is not None:
