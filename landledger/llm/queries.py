@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from landledger.llm import (decontamination, extraction, secrets, sentencepieces, simhash,
-                            sql, toxicity)
+from landledger.llm import (decontamination, extraction, pseudonyms, secrets, sentencepieces,
+                            simhash, sql, toxicity)
 from landledger.llm.common import table
 
 #: The model file of the token queries, a vocabulary found on the machine.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+#: The key of the sample query; a real one comes from a key store.
+SAMPLE_KEY = b"a key for samples only"
+
+
+def op1_pii_pseudonyms(spark, sf_dir):
+    return pseudonyms.report(table(spark, sf_dir, "documents"), SAMPLE_KEY)
 
 
 def op2_simhash_near_dedup(spark, sf_dir):
@@ -37,6 +43,7 @@ def op10_sentencepiece(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_pii_pseudonyms,
     op2_simhash_near_dedup,
     op4_html_extraction,
     op5_benchmark_decontamination,
