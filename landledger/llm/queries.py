@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from landledger.llm import (decontamination, extraction, pseudonyms, secrets, sentencepieces,
-                            simhash, sql, toxicity)
+from landledger.llm import (decontamination, extraction, neighbours, pseudonyms, secrets,
+                            sentencepieces, simhash, sql, toxicity)
 from landledger.llm.common import table
 
 #: The model file of the token queries, a vocabulary found on the machine.
@@ -20,6 +20,10 @@ def op2_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_nearest_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op4_html_extraction(spark, sf_dir):
     return extraction.report(table(spark, sf_dir, "pages"))
 
@@ -45,6 +49,7 @@ def op10_sentencepiece(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_pii_pseudonyms,
     op2_simhash_near_dedup,
+    op3_nearest_neighbours,
     op4_html_extraction,
     op5_benchmark_decontamination,
     op6_toxicity,
