@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from landledger.llm import (decontamination, extraction, neighbours, pseudonyms, secrets,
-                            sentencepieces, simhash, sql, toxicity)
+from landledger.llm import (decontamination, extraction, neighbours, pseudonyms, quality,
+                            secrets, sentencepieces, simhash, sql, toxicity)
 from landledger.llm.common import table
 
 #: The model file of the token queries, a vocabulary found on the machine.
@@ -37,6 +37,10 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_quality_classifier(spark, sf_dir):
+    return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_secret_scans(spark, sf_dir):
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents"), keep=["doc_id"]))
 
@@ -53,6 +57,7 @@ QUERIES = {f.__name__: f for f in (
     op4_html_extraction,
     op5_benchmark_decontamination,
     op6_toxicity,
+    op8_quality_classifier,
     op9_secret_scans,
     op10_sentencepiece,
 )}
