@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from landledger.llm import (decontamination, extraction, neighbours, pseudonyms, quality,
-                            secrets, sentencepieces, simhash, sql, toxicity)
+                            repeats, secrets, sentencepieces, simhash, sql, toxicity)
 from landledger.llm.common import table
 
 #: The model file of the token queries, a vocabulary found on the machine.
@@ -37,6 +37,10 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_suffix_array_dedup(spark, sf_dir):
+    return repeats.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark, sf_dir):
     return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +61,7 @@ QUERIES = {f.__name__: f for f in (
     op4_html_extraction,
     op5_benchmark_decontamination,
     op6_toxicity,
+    op7_suffix_array_dedup,
     op8_quality_classifier,
     op9_secret_scans,
     op10_sentencepiece,
