@@ -41,8 +41,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, number of tokens, token ids, and whether they decode to the text."""
-    return sentencepieces.report(docs, sentencepieces.codec(
-        spark, sentencepieces.read_model(PIECES)))
+    return sentencepieces.report(docs, sentencepieces.read_model(PIECES))
 
 
 STAGES = [

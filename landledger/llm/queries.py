@@ -50,8 +50,8 @@ def op9_secret_scans(spark, sf_dir):
 
 
 def op10_sentencepiece(spark, sf_dir):
-    model = sentencepieces.codec(spark, sentencepieces.read_model(PIECES))
-    return sentencepieces.report(table(spark, sf_dir, "documents"), model)
+    return sentencepieces.report(table(spark, sf_dir, "documents"),
+                                 sentencepieces.read_model(PIECES))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -7,9 +7,10 @@ the segmentation with the highest sum of scores.  Of equal sums the one whose
 last piece is longer wins.  A character that is no piece costs ten more than the
 worst piece and, where the model has byte pieces, is written as its bytes.
 
-Where no piece has a word mark after another character, or holds a line end, no
-piece can cross those places: the best segmentation of a text is that of its
-chunks side by side.  Chunks repeat, so each worker remembers a bounded number.
+Where no piece has a word mark after another character, holds a line end, or has a
+certain sign after a letter, no piece can cross those places: the best segmentation
+of a text is that of its chunks side by side.  Chunks repeat, so each worker
+remembers a bounded number.
 
 A model trained by byte-pair merging has minus the rank as score, and the highest
 sum alone is not what its merges give.  For such a model the search gets a
@@ -24,12 +25,13 @@ from __future__ import annotations
 
 import functools
 import re
+from array import array
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landledger.llm.common import Once, utf8, with_result
@@ -37,8 +39,9 @@ from landledger.llm.common import Once, utf8, with_result
 #: The mark that stands for a blank.
 MARK = "▁"
 #: Chunks, and neighbouring pieces, that a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 _UNKNOWN_PENALTY = 10.0
+_LETTER = r"[^\W\d_]"
 
 
 def read_model(path: str) -> dict:
@@ -65,14 +68,23 @@ def describe(model) -> dict:
                             or model.is_unused(i)) for i in ids]}
 
 
+def spelling(model: dict) -> list[bytes]:
+    """The bytes that each id stands for."""
+    out = [b"" if silent else bytes([int(p[3:5], 16)]) if byte else p.replace(MARK, " ").encode()
+           for p, silent, byte in zip(model["pieces"], model["silent"], model["byte"])]
+    out[model["unknown"]] = " ⁇ ".encode()
+    return out
+
+
 class Codec:
-    """Encoder and decoder of one worker."""
+    """Encoder of one worker."""
 
     def __init__(self, model: dict):
         self.prefix, self.unknown = model["prefix"], model["unknown"]
         self.automaton, self.single = ahocorasick.Automaton(), set()
         scores = []
         crossing = line_end = False
+        after_letter = set()
         for i, (piece, score) in enumerate(zip(model["pieces"], model["scores"])):
             if not model["usable"][i]:
                 continue
@@ -82,22 +94,31 @@ class Codec:
                 self.single.add(piece)
             crossing |= re.search(f"[^{MARK}]{MARK}", piece) is not None
             line_end |= "\n" in piece
+            after_letter.update(re.findall(f"(?<={_LETTER}).", piece))
         if scores:
             self.automaton.make_automaton()
         self.unknown_score = min(scores, default=0.0) - _UNKNOWN_PENALTY
         by_byte = {int(p[3:5], 16): i for i, p in enumerate(model["pieces"]) if model["byte"][i]}
         self.bytes = [by_byte[b] for b in range(256)] if len(by_byte) == 256 else None
-        ends = "" if line_end else r"\n"
-        self.chunks = None if crossing else re.compile(
-            (r"\n|" if ends else "") + f"{MARK}+[^{MARK}{ends}]*|[^{MARK}{ends}]+").findall
+        self.chunks = None if crossing else self._cutter(line_end, after_letter)
+        self.spelled = spelling(model)
         self.remembered: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # those remembered before
         self.pieces = model["pieces"]
         self.ranks = ({p: s for p, s, use in zip(self.pieces, model["scores"], model["usable"])
                        if use} if model["merged"] else None)
         self.neighbours: dict[tuple[int, int], bool] = {}
-        self.spelled = [b"" if model["silent"][i] else bytes([int(p[3:5], 16)]) if model["byte"][i]
-                        else p.replace(MARK, " ").encode() for i, p in enumerate(model["pieces"])]
-        self.spelled[self.unknown] = " ⁇ ".encode()
+
+    @staticmethod
+    def _cutter(line_end: bool, after_letter: set[str]):
+        """Finds the chunks of a text: up to a mark or line end, or up to a sign that
+        follows a letter in no piece."""
+        stop = MARK if line_end else MARK + r"\n"
+        signs = "".join(re.escape(c) for c in "!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~"
+                        if c not in after_letter)
+        word = f"{MARK}*(?:(?!{_LETTER})[^{stop}])*{_LETTER}+(?![^{stop}{signs}])"
+        return re.compile(("" if line_end else r"\n|") + f"{word}|{MARK}+[^{stop}]*|[^{stop}]+"
+                          ).findall
 
     def _stays(self, left: str, right: str) -> bool:
         """Whether the merges turn the text of two pieces into just these two: the
@@ -116,43 +137,48 @@ class Codec:
         return border == 1 and left + right not in self.ranks
 
     def _may_follow(self, left: int, right: int) -> bool:
-        if self.ranks is None or left == self.unknown:
-            return True
-        found = self.neighbours.get((left, right))
-        if found is None:
-            if len(self.neighbours) >= REMEMBERED:
-                self.neighbours.clear()
-            found = self._stays(self.pieces[left], self.pieces[right])
-            self.neighbours[left, right] = found
+        found = left == self.unknown or self._stays(self.pieces[left], self.pieces[right])
+        if len(self.neighbours) >= REMEMBERED:
+            self.neighbours.clear()
+        self.neighbours[left, right] = found
         return found
 
     def best(self, chunk: str) -> list[int]:
         """Piece ids of the segmentation with the highest sum of scores."""
-        n = len(chunk)
-        score = [0.0] + [float("-inf")] * n
-        back: list[tuple[int, int]] = [(0, 0)] * (n + 1)
+        n, lowest, ruled = len(chunk), float("-inf"), self.ranks is not None
+        single, known = self.single, self.neighbours.get
+        score, back, last = [0.0] + [lowest] * n, [0] * (n + 1), [self.unknown] * (n + 1)
         at = 0  # ends below are final
 
         def settle(upto):
             for end in range(at, upto):
-                if chunk[end] not in self.single:
+                if chunk[end] not in single:
                     other = score[end] + self.unknown_score
                     if other > score[end + 1]:
-                        score[end + 1], back[end + 1] = other, (end, self.unknown)
-        if self.single:
+                        score[end + 1], back[end + 1], last[end + 1] = other, end, self.unknown
+        if single:
             for end, (length, value, piece) in self.automaton.iter(chunk):
                 if end > at:
                     settle(end)
                     at = end
-                start = end + 1 - length
+                end += 1
+                # under the rule only one piece can end here
+                if ruled and score[end] > lowest:
+                    continue
+                start = end - length
                 other = score[start] + value
-                if other > score[end + 1] and (
-                        not start or self._may_follow(back[start][1], piece)):
-                    score[end + 1], back[end + 1] = other, (start, piece)
+                if other > score[end]:
+                    if ruled and start:
+                        follows = known((last[start], piece))
+                        if follows is None:
+                            follows = self._may_follow(last[start], piece)
+                        if not follows:
+                            continue
+                    score[end], back[end], last[end] = other, start, piece
         settle(n)
         ids, end = [], n
         while end:
-            start, piece = back[end]
+            start, piece = back[end], last[end]
             if piece == self.unknown and self.bytes:
                 ids.extend(self.bytes[b] for b in reversed(chunk[start:end].encode()))
             else:
@@ -163,10 +189,12 @@ class Codec:
     def _ids(self, chunk: str) -> bytes:
         found = self.remembered.get(chunk)
         if found is None:
-            found = np.array(self.best(chunk), np.int32).tobytes()
+            found = self.older.get(chunk)
+            if found is None:
+                found = array("i", self.best(chunk)).tobytes()
             if len(chunk) <= 64:
                 if len(self.remembered) >= REMEMBERED:
-                    self.remembered.clear()
+                    self.older, self.remembered = self.remembered, {}
                 self.remembered[chunk] = found
         return found
 
@@ -177,16 +205,23 @@ class Codec:
         text = MARK * self.prefix + text.replace(" ", MARK)
         return b"".join(map(self._ids, self.chunks(text) if self.chunks else [text]))
 
+
+class Speller:
+    """Decoder of one worker."""
+
+    def __init__(self, model: dict):
+        self.prefix, self.spelled = model["prefix"], spelling(model)
+        self.marked = [p.startswith(MARK) for p in model["pieces"]]
+
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
         first = next((i for i in ids if self.spelled[i]), None)
-        added = self.prefix and first is not None and self.pieces[first].startswith(MARK)
-        return text[1:] if added else text
+        return text[1:] if self.prefix and first is not None and self.marked[first] else text
 
 
-def _encode(texts, codec):
-    codec = codec.get()
-    parts = [codec.encode((t or b"").decode("utf-8", "replace")) for t in utf8(texts)]
+def _encode(texts, coder):
+    coder = coder.get()
+    parts = [coder.encode((t or b"").decode("utf-8", "replace")) for t in utf8(texts)]
     lengths = [len(p) // 4 for p in parts]
     values = pa.array(np.frombuffer(b"".join(parts), np.int32))
     offsets = pa.array(np.cumsum([0, *lengths]).astype(np.int32))
@@ -194,33 +229,31 @@ def _encode(texts, codec):
         "element", pa.int32()))), lengths]
 
 
-def _decode(ids, codec):
-    codec = codec.get()
-    return [[codec.decode(x or []) for x in ids.to_pylist()]]
-
-
-def codec(spark: SparkSession, model: dict) -> Once:
-    return Once(spark, model, Codec)
+def _decode(ids, speller):
+    speller = speller.get()
+    return [[speller.decode(ids[i].values.to_numpy().tolist()) if ids[i].is_valid else ""
+             for i in range(len(ids))]]
 
 
-def encode(docs: DataFrame, model: Once, keep: list[str] | None = None,
+def encode(docs: DataFrame, model: dict, keep: list[str] | None = None,
            out: str = "tokens") -> DataFrame:
     """``keep`` columns (all by default) and the struct ``out``: piece ids and
     their number.  One row per row; a null or empty text has no ids."""
     return with_result(docs, ["text"], docs.columns if keep is None else keep, out,
-                       "ids array<int>, n bigint", functools.partial(_encode, codec=model))
+                       "ids array<int>, n bigint", functools.partial(
+                           _encode, coder=Once(docs.sparkSession, model, Codec)))
 
 
-def decode(rows: DataFrame, model: Once, ids: str, keep: list[str] | None = None,
+def decode(rows: DataFrame, model: dict, ids: str, keep: list[str] | None = None,
            out: str = "decoded") -> DataFrame:
     """``keep`` columns and the struct ``out`` with the text of the ``ids`` column.
     Bytes that are no UTF-8 become U+FFFD; null ids give an empty text.  A word
     mark that was in the original text comes back as a blank."""
     return with_result(rows, [ids], rows.columns if keep is None else keep, out, "text string",
-                       functools.partial(_decode, codec=model))
+                       functools.partial(_decode, speller=Once(rows.sparkSession, model, Speller)))
 
 
-def report(docs: DataFrame, model: Once) -> DataFrame:
+def report(docs: DataFrame, model: dict) -> DataFrame:
     """Ids of every document and whether decoding gives its text back."""
     encoded = (encode(docs, model, ["doc_id", "text"])
                .select("doc_id", "text", F.col("tokens.ids").alias("ids"),
