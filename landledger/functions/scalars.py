@@ -7,7 +7,6 @@ where the Spark built-in of the same name behaves differently.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,12 +51,6 @@ def title_case(text: Column) -> Column:
     return F.replace(F.initcap(opened), F.lit("\u0001 "), F.lit(""))
 
 
-def code_lookup(text: Column, codes: Mapping[str, str]) -> Column:
-    """Map a code by its lower-case form; unknown codes are upper-cased."""
-    pairs = [F.lit(x) for pair in codes.items() for x in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.lower(text)), F.upper(text))
-
-
 def email_or_null(text: Column) -> Column:
     return F.when(text.contains("@"), text)
 
@@ -84,9 +77,21 @@ def lenient_date(text: Column) -> Column:
 
 
 def price_amount(text: Column) -> Column:
-    """Read a price such as ``12 €``; currency signs and blanks are dropped."""
+    """Read a price such as ``12 €``; currency signs and blanks are dropped.
+
+    Points and commas are told apart by their place.  With both kinds the last one
+    marks the decimals, and must occur once.  A single kind marks thousands if it
+    repeats or if exactly three digits follow after one to three others; otherwise
+    it marks the decimals.  Anything else is unreadable and gives NULL.
+    """
     digits = F.regexp_replace(text.cast("string"), r"[^0-9.,\-]", "")
-    return F.replace(digits, F.lit(","), F.lit(".")).try_cast(MONEY)
+    thousands = F.regexp_replace(digits, "[.,]", "")
+    decimal = F.concat(F.regexp_replace(F.regexp_replace(digits, r"[.,][0-9]*$", ""), "[.,]", ""),
+                       F.lit("."), F.regexp_extract(digits, r"[.,]([0-9]*)$", 1))
+    return (F.when(~digits.rlike("[.,]"), digits)
+             .when(digits.rlike(r"^-?[0-9]{1,3}(\.[0-9]{3})+$|^-?[0-9]{1,3}(,[0-9]{3})+$"), thousands)
+             .when(digits.rlike(r"^-?[0-9]*[.,][0-9]*$|^-?[0-9,]+\.[0-9]*$|^-?[0-9.]+,[0-9]*$"), decimal)
+            ).try_cast(MONEY)
 
 
 def json_amount(document: Column, field: str) -> Column:
@@ -155,17 +160,10 @@ def hectares(area: Column, unit: Column) -> Column:
 
 # --- hashes -------------------------------------------------------------------
 
-def hash_key(prefix: str, natural: Column, version: Column | int = 1,
-             short: bool = False) -> Column:
-    """Stable surrogate key from prefix, natural key and version.
-
-    The full digest is the default; ``short`` keeps 8 hex digits (32 bits),
-    which starts to collide at some ten thousand members.
-    """
+def hash_key(prefix: str, natural: Column, version: Column | int = 1) -> Column:
+    """Stable surrogate key from prefix, natural key and version: a whole digest."""
     version = version if isinstance(version, Column) else F.lit(version)
     digest = F.md5(F.concat_ws("_", F.lit(prefix), natural.cast("string"), version.cast("string")))
-    if short:
-        digest = F.substring(digest, 1, 8)
     text = F.concat(F.lit(f"{prefix}_"), F.upper(digest))
     return F.when(natural.isNotNull(), text)
 

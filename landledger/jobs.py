@@ -2,12 +2,14 @@
 
 Each stage writes its tables to shared storage and the next stage reads them
 back, so lineage stays short and a lost executor only repeats tasks of the
-current stage.  A job may be repeated with the same load or batch id: it then
-replaces its own output and nothing else.
+current stage.  Tables of one load or batch lie in a folder of their own, which
+a repeated run replaces.  The merged facts are upserted: a repeated batch finds
+its own rows, and an older one does not undo a newer one.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from collections.abc import Mapping
 
@@ -15,24 +17,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landledger import schemas
+from landledger.functions import scalars as s
 from landledger.operators import agents as agent_dim
-from landledger.operators import clean, dimensions, facts, payments, upsert
-from landledger.plans import monitoring
+from landledger.operators import clean, dimensions, facts, payments, quality, upsert
+from landledger.plans import finance, monitoring
+from landledger.session import exists, remove
 from landledger.sources import extract, seeds
-from landledger.warehouse import CALENDAR, StoredWarehouse
+from landledger.warehouse import StoredWarehouse, request_table
 
 MONTH = "created_month"
 
 
 def load_requests(spark: SparkSession, source: Mapping[str, DataFrame], path: str, load_id: str,
-                  as_of, calendar=CALENDAR) -> StoredWarehouse:
-    """Source tables to staging, dimensions and request fact.
+                  as_of, calendar=None, buckets: int = 200) -> StoredWarehouse:
+    """Source tables to staging, dimensions and request fact, then the quality report.
 
     An empty extract leaves its staging table as it was and stops the job, as
-    there would be nothing to build this load from.
+    there would be nothing to build this load from.  Of a request extracted twice the
+    newest row counts.  The calendar covers the requests unless bounds are given.
+    The request fact is a catalog table in ``buckets`` by request, so the KPIs that
+    count requests do not move it; choose as many as give one task's share each.
     """
     staging = {
-        "requests": extract.extract_requests(source["demandes_attribution"], as_of),
+        "requests": upsert.latest_per_key(
+            extract.extract_requests(source["demandes_attribution"], as_of), ["request_id"], ["modified_at"]),
         "companies": extract.extract_companies(source["entreprises"]),
         "plots": extract.extract_plots(source["lots"]),
         "zones": extract.extract_zones(source["zones_industrielles"]),
@@ -40,50 +48,87 @@ def load_requests(spark: SparkSession, source: Mapping[str, DataFrame], path: st
     for name, df in staging.items():
         if not upsert.refresh_if_any(df, os.path.join(path, name), load_id):
             raise ValueError(f"no rows extracted for {name}; earlier loads are kept")
-    stored = StoredWarehouse(spark, path, load_id)
+    stored = StoredWarehouse(spark, path, load_id, as_of=as_of)
+    days = (dimensions.date_spine(spark, *calendar) if calendar
+            else dimensions.request_days(stored.requests))
     marts = {
         "dim_company": dimensions.dim_company(stored.companies),
         "dim_plot": dimensions.dim_plot(stored.plots),
         "dim_zone": dimensions.dim_zone(stored.zones),
         "dim_request_status": dimensions.dim_request_status(stored.requests),
-        "dim_date": dimensions.dim_date(dimensions.date_spine(spark, *calendar)),
-        "fact_requests": facts.fact_requests(stored.requests),
+        "dim_date": dimensions.dim_date(days),
     }
     for name, df in marts.items():
         upsert.full_refresh(df, os.path.join(path, name), load_id)
+    upsert.save_bucketed(facts.fact_requests(stored.requests), request_table(load_id),
+                         os.path.join(path, "fact_requests", f"load_id={load_id}"), "request_id", buckets)
+
+    tables = {name: stored[name] for name in (*staging, *marts, "fact_requests")}
+    unreadable = source["lots"].filter(F.col("prix").isNotNull()).select(
+        s.price_amount(F.col("prix")).alias("price"))
+    _report(path, load_id, {
+        "requests_rules": quality.dq_rules(spark, tables),
+        "requests_orphans": quality.dq_orphans(tables),
+        "requests_counts": quality.table_counts(tables),
+        "requests_unreadable": unreadable.agg(
+            F.count_if(F.col("price").isNull()).alias("unreadable_prices")),
+    })
     return stored
 
 
+def _report(path: str, load: str, tables: Mapping[str, DataFrame]) -> None:
+    """The quality tables of a load."""
+    for name, df in tables.items():
+        upsert.full_refresh(df, os.path.join(path, "quality", name), load)
+
+
 def with_month(fact: DataFrame, date_key: str) -> DataFrame:
     """The partition column: year and month of a date key (0 when unknown)."""
     month = F.coalesce((F.col(date_key) / 100).cast("int"), F.lit(0))
     return fact.withColumn(MONTH, month)
 
 
-def _merge(spark: SparkSession, batch: DataFrame, path: str, key: str, refresh, first: bool) -> None:
-    if first:
-        newest = upsert.latest_per_key(batch, [key], ["modified_at"])
-        newest.write.mode("overwrite").partitionBy(MONTH).parquet(path)
-    else:
-        upsert.upsert_table(spark, path, batch, [key], refresh, ["modified_at"], MONTH)
+def _merge(spark: SparkSession, batch: DataFrame, path: str, name: str, batch_id: str, key: str,
+           refresh) -> tuple[DataFrame, DataFrame]:
+    """Store the batch, merge it into the fact; the stored batch and the fact."""
+    staged = os.path.join(path, f"{name}_batch")
+    upsert.full_refresh(upsert.latest_per_key(batch, [key], ["modified_at"]), staged, batch_id)
+    batch = upsert.read_load(spark, staged, batch_id, batch.schema)
+    fact = os.path.join(path, name)
+    upsert.upsert_table(spark, fact, batch, [key], refresh, ["modified_at"], MONTH)
+    return batch, spark.read.schema(batch.schema).parquet(fact)
+
+
+def _staged(spark: SparkSession, df: DataFrame, path: str, name: str, batch_id: str, schema) -> DataFrame:
+    """The cleaned extract of a batch; nothing extracted is an empty frame and leaves
+    the folder of the batch as it was."""
+    place = os.path.join(path, name)
+    if upsert.refresh_if_any(df, place, batch_id):
+        return upsert.read_load(spark, place, batch_id, schema)
+    return spark.createDataFrame([], schema)
 
 
 def load_collections(spark: SparkSession, source: Mapping[str, DataFrame], path: str, batch_id: str,
-                     as_of, previous: str | None = None) -> dict[str, DataFrame]:
+                     as_of, previous: str | None = None, since=None) -> dict[str, DataFrame]:
     """Agents, receivables, recovery actions and payments of one batch.
 
     ``previous`` names the load the agent dimension is carried on from; without
-    it this is the first load.  Receivables out of range go to a quarantine
-    table and the rest is loaded.
+    it this is the first load.  Receivables out of range go to the quarantine folder
+    of the batch and the rest is loaded.  An empty extract changes no fact.
+
+    Recovery actions are read from the day ``since`` on; without it from a day before
+    the newest one stored, or all if none is.  Reading some again does no harm.
+
+    Payments are appended under the batch's own tags, for the rows of this batch.
     """
-    first = previous is None
     place = lambda name: os.path.join(path, name)
 
     cleaned = clean.clean_agents(extract.incremental_agents(source["agents_collecteurs"], as_of))
-    if first:
+    if previous is None:
         agents = agent_dim.first_versions(cleaned, as_of)
     else:
-        known = spark.read.parquet(os.path.join(place("dim_agent"), f"load_id={previous}"))
+        known = upsert.read_load(spark, place("dim_agent"), previous,
+                                 agent_dim.first_versions(cleaned, as_of).schema)
         agents = agent_dim.scd2_agents(known, cleaned, as_of)
     upsert.full_refresh(agents, place("dim_agent"), batch_id)
     for name, seed in (("dim_receivable_type", seeds.receivable_types),
@@ -91,31 +136,53 @@ def load_collections(spark: SparkSession, source: Mapping[str, DataFrame], path:
                        ("dim_payment_mode", seeds.payment_modes)):
         upsert.full_refresh(seed(spark), place(name), batch_id)
 
-    staged = place("receivables")
-    upsert.full_refresh(clean.clean_receivables(extract.extract_receivables(source["collectes"])), staged, batch_id)
-    receivables = upsert.read_load(spark, staged, batch_id, schemas.RECEIVABLES)
-    upsert.append_batch(facts.quarantined_receivables(receivables, as_of, batch_id), place("quarantine"))
-    valid = with_month(facts.fact_receivables(receivables, as_of, batch_id), "created_date_key")
-    _merge(spark, valid, place("fact_receivables"), "receivable_id", upsert.RECEIVABLE_REFRESH, first)
-    receivable_facts = spark.read.parquet(place("fact_receivables"))
-
-    actions = (extract.all_recoveries(source["recouvrements"]) if first
-               else extract.incremental_recoveries(source["recouvrements"], as_of))
-    staged = place("recoveries")
-    upsert.full_refresh(clean.clean_recoveries(actions), staged, batch_id)
-    recoveries = upsert.read_load(spark, staged, batch_id, schemas.RECOVERIES)
-    recovery_batch = with_month(facts.fact_recoveries(recoveries, receivable_facts, batch_id), "action_date_key")
-    _merge(spark, recovery_batch, place("fact_recoveries"), "recovery_id", upsert.RECOVERY_REFRESH, first)
-    recovery_facts = spark.read.parquet(place("fact_recoveries"))
-
-    paid = payments.build_payments(receivable_facts, recovery_facts,
-                                   f"{batch_id}_COLLECTES", f"{batch_id}_RECOUVREMENTS")
-    upsert.full_refresh(paid, place("fact_payments"), batch_id)
+    receivables = _staged(spark, clean.clean_receivables(extract.extract_receivables(source["collectes"])),
+                          path, "receivables", batch_id, schemas.RECEIVABLES)
+    upsert.full_refresh(facts.quarantined_receivables(receivables, batch_id), place("quarantine"), batch_id)
+    valid = with_month(facts.fact_receivables(receivables, batch_id), "created_date_key")
+    new_receivables, receivable_facts = _merge(
+        spark, valid, path, "fact_receivables", batch_id, "receivable_id", upsert.RECEIVABLE_REFRESH)
+
+    actions = source["recouvrements"]
+    recovery_schema = with_month(facts.fact_recoveries(
+        spark.createDataFrame([], schemas.RECOVERIES), receivable_facts, batch_id), "action_date_key").schema
+    if since is None and exists(spark, place("fact_recoveries")):
+        newest = spark.read.schema(recovery_schema).parquet(place("fact_recoveries")).agg(
+            F.max("modified_at")).first()[0]
+        since = newest - dt.timedelta(days=1) if newest else None
+    if since is not None:
+        actions = actions.filter(F.col("date_modification") >= s.as_timestamp(since))
+    recoveries = _staged(spark, clean.clean_recoveries(extract.all_recoveries(actions)),
+                         path, "recoveries", batch_id, schemas.RECOVERIES)
+    # only the receivables that the batch names take part in the lookup
+    parents = receivable_facts.join(recoveries.select("receivable_id").distinct(), "receivable_id", "left_semi")
+    new_recoveries, recovery_facts = _merge(
+        spark, with_month(facts.fact_recoveries(recoveries, parents, batch_id), "action_date_key"),
+        path, "fact_recoveries", batch_id, "recovery_id", upsert.RECOVERY_REFRESH)
+
+    tags = (f"{batch_id}_COLLECTES", f"{batch_id}_RECOUVREMENTS")
+    for tag in tags:  # a repeated batch replaces its own payments
+        remove(spark, os.path.join(place("fact_payments"), f"etl_batch_id={tag}"))
+    upsert.append_batch(payments.build_payments(new_receivables, new_recoveries, *tags), place("fact_payments"))
+
+    stored = StoredWarehouse(spark, path, batch_id, as_of=as_of)
+    tables = {name: stored[name] for name in ("dim_agent", "dim_receivable_type", "dim_receivable_status")}
+    tables |= {"fact_receivables": receivable_facts, "fact_recoveries": recovery_facts}
+    days = dimensions.dim_date(dimensions.spine_of(receivable_facts, "created_on"))
+    _report(path, batch_id, {
+        "collections_orphans": quality.dq_orphans(tables),
+        "collections_counts": quality.table_counts(tables),
+    })
+    upsert.full_refresh(finance.kpi_receivables_summary(
+        receivable_facts, days, stored.dim_agent, stored.dim_receivable_type,
+        stored.dim_receivable_status, as_of), place("kpi_receivables_summary"), batch_id)
     return {
-        "dim_agent": spark.read.parquet(os.path.join(place("dim_agent"), f"load_id={batch_id}")),
+        "dim_agent": stored.dim_agent,
         "fact_receivables": receivable_facts,
         "fact_recoveries": recovery_facts,
-        "fact_payments": upsert.read_load(spark, place("fact_payments"), batch_id, schemas.PAYMENTS),
+        "fact_payments": stored.fact_payments,
+        "quarantine": upsert.read_load(spark, place("quarantine"), batch_id,
+                                       facts.quarantined_receivables(receivables, batch_id).schema),
     }
 
 

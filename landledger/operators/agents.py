@@ -14,13 +14,14 @@ TRACKED = ("agent_name", "badge_number", "job_title", "phone", "email", "status"
 
 
 def first_versions(agents: DataFrame, loaded_at) -> DataFrame:
-    """Version 1 of every agent of a batch, valid from ``loaded_at``.
+    """Version 1 of every agent of a batch, valid from ``loaded_at``; of an agent
+    delivered more than once the newest row.
 
     ``agent_key`` names one version; ``durable_key`` is the same for all
     versions of an agent and is what the facts carry.
     """
     key = s.hash_key("AGT", F.col("agent_id"))
-    return agents.select(
+    return latest_per_key(agents, ["agent_id"], ["modified_at"]).select(
         key.alias("agent_key"),
         key.alias("durable_key"),
         "agent_id",
@@ -38,7 +39,7 @@ def first_versions(agents: DataFrame, loaded_at) -> DataFrame:
 
 def insert_new_agents(dimension: DataFrame, agents: DataFrame, loaded_at) -> DataFrame:
     """Add unknown agents; known agents stay untouched."""
-    return insert_absent(dimension, first_versions(agents, loaded_at), ["agent_id"], ["modified_at"])
+    return insert_absent(dimension, first_versions(agents, loaded_at), ["agent_id"])
 
 
 def _row(columns: list[str], **replaced: Column) -> Column:
@@ -49,12 +50,12 @@ def scd2_agents(dimension: DataFrame, agents: DataFrame, loaded_at) -> DataFrame
     """Merge a batch: a changed agent's version is closed and a new one opened.
 
     One full outer join of current versions with the batch; every joined row
-    yields the one or two versions it stands for.  Repeating a batch changes
-    nothing.
+    yields the one or two versions it stands for.  A row older than the current
+    version is ignored, so a late or repeated batch changes nothing.
     """
     columns = dimension.columns
     when = s.as_timestamp(loaded_at)
-    batch = first_versions(latest_per_key(agents, ["agent_id"], ["modified_at"]), loaded_at)
+    batch = first_versions(agents, loaded_at)
     new = {c: F.col(f"_new_{c}") for c in columns}
     incoming = batch.select("agent_id", *[F.col(c).alias(f"_new_{c}") for c in columns])
     current = dimension.filter("is_current").withColumn("_known", F.lit(True))
@@ -73,9 +74,10 @@ def scd2_agents(dimension: DataFrame, agents: DataFrame, loaded_at) -> DataFrame
     same = F.lit(True)
     for column in TRACKED:
         same = same & F.col(column).eqNullSafe(new[column])
+    older = F.coalesce(new["modified_at"] < F.col("modified_at"), F.lit(False))
     versions = (
         F.when(F.col("_known").isNull(), F.array(added))
-         .when(F.col("_new_agent_id").isNull() | same, F.array(kept))
+         .when(F.col("_new_agent_id").isNull() | same | older, F.array(kept))
          .otherwise(F.array(closed, opened))
     )
     merged = (current.join(incoming, "agent_id", "full_outer")

@@ -35,6 +35,15 @@ def spine_of(df: DataFrame, column: str) -> DataFrame:
     return bounds.select(F.explode(F.sequence("first", "last")).alias("date"))
 
 
+def request_days(requests: DataFrame) -> DataFrame:
+    """Every day from the first to the last day on which a request was created or
+    modified, so that no request falls outside the calendar."""
+    bounds = requests.agg(
+        F.least(F.min("created_at"), F.min("modified_at")).cast("date").alias("first"),
+        F.greatest(F.max("created_at"), F.max("modified_at")).cast("date").alias("last"))
+    return bounds.select(F.explode(F.sequence("first", "last")).alias("date"))
+
+
 def dim_date(spine: DataFrame) -> DataFrame:
     day = F.col("date")
     weekday = s.weekday_number(day)

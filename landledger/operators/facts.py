@@ -56,14 +56,25 @@ def receivable_status_key(status: Column) -> Column:
                       s.prefixed_key("STAT_", status))
 
 
-def receivable_measures(receivables: DataFrame, as_of, batch_id: str) -> DataFrame:
-    """All receivables with derived measures, before the range checks.
+def with_lateness(facts: DataFrame, as_of) -> DataFrame:
+    """Late flag and days late of receivable facts on the day ``as_of``.
 
-    Late means: paid after the due date, or unpaid at ``as_of`` and past due.
+    A receivable that is fully paid is as late as its recovery date is after the due
+    date, and not late if that date is unknown.  Any other ages until ``as_of``.
+    Both columns depend on the day of reading, so they are never stored.
     """
-    due, paid = F.col("amount_due"), F.col("amount_collected")
-    settled = F.coalesce(F.col("recovered_on"), s.as_date(as_of))
+    settled = F.when(F.col("amount_collected") >= F.col("amount_due"), F.col("recovered_on")
+                     ).otherwise(s.as_date(as_of))
     days_over = s.calendar_days(F.col("due_on"), settled)
+    return facts.withColumns({
+        "is_late": F.coalesce(days_over > 0, F.lit(False)),
+        "days_late": F.greatest(days_over, F.lit(0)),
+    })
+
+
+def receivable_measures(receivables: DataFrame, batch_id: str) -> DataFrame:
+    """All receivables with derived measures, before the range checks."""
+    due, paid = F.col("amount_due"), F.col("amount_collected")
     rate = F.when(due > 0, (paid / due).cast("decimal(20,4)")).otherwise(F.lit(0).cast("decimal(20,4)"))
     return receivables.select(
         F.col("receivable_id").alias("receivable_fact_key"),
@@ -84,8 +95,7 @@ def receivable_measures(receivables: DataFrame, as_of, batch_id: str) -> DataFra
         (due - paid).cast(s.MONEY).alias("amount_remaining"),
         rate.alias("recovery_rate"),
         s.calendar_days(F.col("created_on"), F.col("recovered_on")).alias("recovery_days"),
-        F.coalesce(days_over > 0, F.lit(False)).alias("is_late"),
-        F.greatest(days_over, F.lit(0)).alias("days_late"),
+        "due_on", "recovered_on",
         "reference", "notes", "request_id", "created_on", "modified_at",
         F.lit(batch_id).alias("etl_batch_id"),
     )
@@ -107,31 +117,37 @@ def receivable_in_range() -> Column:
     )
 
 
-def fact_receivables(receivables: DataFrame, as_of, batch_id: str) -> DataFrame:
+def fact_receivables(receivables: DataFrame, batch_id: str) -> DataFrame:
     """Receivables that pass the range checks (the fact table)."""
-    measured = receivable_measures(receivables, as_of, batch_id).filter(receivable_in_range())
+    measured = receivable_measures(receivables, batch_id).filter(receivable_in_range())
     return measured.withColumn("recovery_rate", F.col("recovery_rate").cast(s.RATE))
 
 
-def quarantined_receivables(receivables: DataFrame, as_of, batch_id: str) -> DataFrame:
+def quarantined_receivables(receivables: DataFrame, batch_id: str) -> DataFrame:
     """Receivables that fail a range check; the rest of the load goes on."""
-    return receivable_measures(receivables, as_of, batch_id).filter(~receivable_in_range())
+    return receivable_measures(receivables, batch_id).filter(~receivable_in_range())
 
 
-def fact_recoveries(recoveries: DataFrame, receivable_facts: DataFrame, batch_id: str) -> DataFrame:
+def fact_recoveries(recoveries: DataFrame, receivable_facts: DataFrame, batch_id: str,
+                    state_unique: bool = False) -> DataFrame:
     """Recovery actions with the key and amount of their receivable.
 
-    One left join replaces a lookup per row.  The receivable side holds one row
-    per id, so a receivable with very many actions only makes the left side
-    skewed, which adaptive execution splits.  Stating the uniqueness also lets
-    the optimizer drop the join where no receivable column is used.
+    One left join replaces a lookup per row.  The receivable fact holds one row per
+    id, which its load ensures, so a receivable with very many actions only makes
+    the left side skewed, and adaptive execution splits that.
+
+    ``state_unique`` repeats the uniqueness as an aggregate.  The optimizer can then
+    drop the whole join where no receivable column is used, but no longer split a
+    hot receivable; it is meant for plans that may not need the join at all.
     """
     parents = receivable_facts.select(
         "receivable_id", "receivable_fact_key",
         F.col("amount_due").alias("parent_due"),
         F.col("created_on").alias("parent_created_on"),
         "company_id",
-    ).dropDuplicates(["receivable_id"])
+    )
+    if state_unique:
+        parents = parents.dropDuplicates(["receivable_id"])
     share = (F.col("payment") / F.nullifzero(F.col("parent_due"))).cast("decimal(20,4)")
     return recoveries.join(parents, "receivable_id", "left").select(
         F.col("recovery_id").alias("recovery_fact_key"),

@@ -39,7 +39,11 @@ def _factor(text: str):
 
 
 def _keys(transaction: str, source_id: str, date_key: str) -> dict:
-    """Payment key and reference; the key pairs the source with its own id."""
+    """Payment key and reference; the key pairs the source with its own id.
+
+    The reference is a printed number drawn from 9 000 per day: it repeats and is
+    no key.
+    """
     key = s.prefixed_key(f"{transaction}_", F.col(source_id))
     number = s.hash_range(F.concat(F.lit("ref_"), key), 1000, 9999)
     return {
@@ -81,8 +85,7 @@ def payments_from_recoveries(recovery_facts: DataFrame, batch_id: str) -> DataFr
     """Payments behind recovery actions: 3 % fee, billed at 1.2, always late.
 
     ``effectiveness`` may exceed 1 when an action brings in more than was due;
-    the stored rate is cut at the column's range while the status uses the
-    full value.
+    the rate is stored as it is.
     """
     paid = F.col("payment")
     rate = F.coalesce(F.col("effectiveness"), F.lit(0))
@@ -98,7 +101,7 @@ def payments_from_recoveries(recovery_facts: DataFrame, batch_id: str) -> DataFr
         "fee": paid * _factor(RECOVERY_FEE),
         "amount_net": paid - paid * _factor(RECOVERY_FEE),
         "payment_days": s.hash_range(F.concat(F.lit("days_"), "payment_key"), *RECOVERY_DAYS),
-        "payment_rate": F.least(rate, F.lit("9.9999").cast(s.RATE)),
+        "payment_rate": rate,
         "is_complete": rate >= _factor(FULL_RATE),
         "is_late": F.lit(True),
         "notes": F.concat(F.lit("recovery "), F.col("recovery_fact_key").cast("string")),

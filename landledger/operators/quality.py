@@ -130,13 +130,14 @@ def orphan_rows(fact: DataFrame, key: str, dimension: DataFrame, dimension_key:
 
 
 def dq_orphans(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Orphans of every reference between facts and dimensions."""
+    """Orphans of every reference between those of the facts and dimensions that are given."""
     references = (
         ("fact_receivables", "agent_key", "dim_agent", "durable_key", False),
         ("fact_receivables", "type_key", "dim_receivable_type", "type_key", False),
         ("fact_receivables", "status_key", "dim_receivable_status", "status_key", False),
         ("fact_recoveries", "receivable_id", "fact_receivables", "receivable_id", False),
         ("fact_recoveries", "agent_key", "dim_agent", "durable_key", False),
+        ("fact_requests", "creation_date_key", "dim_date", "date_key", True),
         ("fact_requests", "company_id", "dim_company", "company_id", True),
         ("fact_requests", "status_key", "dim_request_status", "status_key", True),
     )
@@ -145,6 +146,7 @@ def dq_orphans(tables: Mapping[str, DataFrame]) -> DataFrame:
             F.lit(fact).alias("fact"), F.lit(key).alias("key"),
             F.lit(dimension).alias("dimension"), "orphans")
         for fact, key, dimension, dimension_key, missing in references
+        if fact in tables and dimension in tables
     ])
 
 

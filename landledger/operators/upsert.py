@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landledger.operators.clean import with_keys
+from landledger.session import exists
 
 # Fixed lists: the columns a later batch may change on an existing fact row.
+# The modification time goes with them, so that an older batch can be told.
 RECEIVABLE_REFRESH = ("amount_collected", "amount_remaining", "recovery_rate",
-                      "status_key", "modified_date_key", "etl_batch_id")
-RECOVERY_REFRESH = ("payment", "amount_net", "status", "etl_batch_id")
+                      "status_key", "modified_date_key", "etl_batch_id", "modified_at")
+RECOVERY_REFRESH = ("payment", "amount_net", "status", "etl_batch_id", "modified_at")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
@@ -31,12 +33,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str])
             .select(*keys, "_row.*").select(*df.columns))
 
 
+def _newest(batch: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
+    """Like ``latest_per_key`` for a stored batch, where repeats are rare: a count per
+    key finds them, and only their rows are sorted by the aggregate."""
+    batch = with_keys(batch, *keys)
+    repeated = batch.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys)
+    if repeated.isEmpty():
+        return batch
+    return batch.join(repeated, list(keys), "left_anti").unionByName(
+        latest_per_key(batch.join(repeated, list(keys), "left_semi"), keys, newest_by))
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
            refresh: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
     """``target`` with ``batch`` merged in.
 
     A key present in both keeps its first values except for the ``refresh``
-    columns, which take the batch value even when that is NULL.  New keys are
+    columns, which take the batch value even when that is NULL - unless the stored
+    row is newer, by the ``newest_by`` columns that are among them.  New keys are
     added whole.
 
     The target is the large side.  It is only ever the left side of a left join
@@ -45,10 +59,13 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     Both sides are unique per key, so no join key is hot.
     """
     keys = list(keys)
-    newest = latest_per_key(batch, keys, newest_by).select(*target.columns)
+    newest = _newest(batch, keys, newest_by).select(*target.columns)
     incoming = newest.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in refresh],
                              F.lit(True).alias("_hit"))
     hit = F.col("_hit").isNotNull()
+    for c in newest_by:
+        if c in refresh:
+            hit = hit & F.coalesce(F.col(f"_new_{c}") >= F.col(c), F.lit(True))
     merged = target.join(incoming, keys, "left").select(*[
         F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in refresh else F.col(c)
         for c in target.columns
@@ -57,11 +74,10 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     return merged.unionByName(newest.join(known, keys, "left_anti"))
 
 
-def insert_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                  newest_by: Sequence[str]) -> DataFrame:
-    """Add the batch rows whose key the target does not hold yet."""
-    newest = latest_per_key(batch, keys, newest_by).select(*target.columns)
-    return target.unionByName(newest.join(target.select(*keys), list(keys), "left_anti"))
+def insert_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the batch rows, one per key, whose key the target does not hold yet."""
+    return target.unionByName(
+        batch.select(*target.columns).join(target.select(*keys), list(keys), "left_anti"))
 
 
 # --- writes -------------------------------------------------------------------
@@ -95,7 +111,8 @@ def append_batch(df: DataFrame, path: str, batch: str = "etl_batch_id") -> None:
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                  refresh: Sequence[str], newest_by: Sequence[str], partition: str) -> None:
-    """Upsert a Parquet table, rewriting only the partitions the batch touches.
+    """Upsert a Parquet table, rewriting only the partitions the batch touches; a table
+    that is not there yet is created.  ``batch`` is read more than once: store it first.
 
     Touched are the partitions that already hold a batch key and those new rows
     go to.  Their list is fetched: it is as short as the calendar (one entry per
@@ -105,8 +122,11 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     reading and replacing them in one job.
     """
     keys = list(keys)
-    target = spark.read.parquet(path)
-    newest = latest_per_key(batch, keys, newest_by)
+    newest = _newest(batch, keys, newest_by)
+    if not exists(spark, path):
+        newest.write.partitionBy(partition).parquet(path)
+        return
+    target = spark.read.schema(batch.schema).parquet(path)
     holding = target.select(partition, *keys).join(newest.select(*keys), keys, "left_semi")
     touched = holding.select(partition).union(newest.select(partition)).distinct()
     values = [row[0] for row in touched.collect()]

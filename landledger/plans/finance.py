@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from landledger.functions import scalars as s
 from landledger.functions.measures import count_rows, mean, percent
+from landledger.operators.facts import with_lateness
 from landledger.operators.payments import COLLECTION, RECOVERY, SUCCESSFUL
 
 
@@ -125,14 +126,14 @@ def fin_load_stats(payments: DataFrame) -> DataFrame:
 
 
 def kpi_receivables_summary(facts: DataFrame, dates: DataFrame, agents: DataFrame,
-                            types: DataFrame, statuses: DataFrame) -> DataFrame:
-    """Receivables per day, agent, type category and status label.
+                            types: DataFrame, statuses: DataFrame, as_of) -> DataFrame:
+    """Receivables per day, agent, type category and status label; late on ``as_of``.
 
     The fact is reduced per member key before it meets the four dimensions, so
     the joins see one row per key combination and no key is hot.  Averages are
     carried as sum and row count.
     """
-    per_key = facts.groupBy("created_date_key", "agent_key", "type_key", "status_key").agg(
+    per_key = with_lateness(facts, as_of).groupBy("created_date_key", "agent_key", "type_key", "status_key").agg(
         count_rows().alias("receivables"),
         F.sum("amount_due").alias("amount_due"),
         F.sum("amount_collected").alias("amount_collected"),

@@ -110,7 +110,8 @@ VIEWS: dict[str, View] = {
          "alert_status": "statut_alerte"}),
     "mv_kpi_collectes_summary": View(
         lambda w: f.kpi_receivables_summary(
-            w.fact_receivables, w.dim_date, w.dim_agent, w.dim_receivable_type, w.dim_receivable_status),
+            w.fact_receivables, w.dim_date, w.dim_agent, w.dim_receivable_type,
+            w.dim_receivable_status, w.as_of),
         {"date": "date_collecte", "agent_name": "agent_collecteur", "category": "categorie_collecte",
          "status_label": "statut", "receivables": "nombre_collectes", "amount_due": "montant_total_du",
          "amount_collected": "montant_total_collecte", "amount_remaining": "montant_restant_du",

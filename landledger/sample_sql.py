@@ -238,8 +238,7 @@ def _measured(name: str, source: str, batch: str) -> str:
          CAST(CASE WHEN amount_due > 0 THEN CAST(amount_collected AS DOUBLE) / CAST(amount_due AS DOUBLE)
               ELSE 0 END AS DECIMAL(20,4)) AS recovery_rate,
          CAST(date_diff('day', created_on, recovered_on) AS INTEGER) AS recovery_days,
-         COALESCE(COALESCE(recovered_on, DATE '2001-12-31') > due_on, FALSE) AS is_late,
-         CAST(GREATEST(date_diff('day', due_on, COALESCE(recovered_on, DATE '2001-12-31')), 0) AS INTEGER) AS days_late,
+         due_on, recovered_on,
          reference, notes, request_id, created_on, modified_at, '{batch}' AS etl_batch_id
   FROM {source}),
 {name} AS (
@@ -330,7 +329,7 @@ collection_payments AS (
          amount_due AS amount_billed, amount_collected AS amount_paid,
          CAST(amount_due * CAST(0.02 AS DECIMAL(4,2)) AS DECIMAL(15,2)) AS fee,
          CAST(amount_collected - amount_due * CAST(0.02 AS DECIMAL(4,2)) AS DECIMAL(15,2)) AS amount_net,
-         {days('COLLECTE', c, 15, 45)} AS payment_days, CAST(recovery_rate AS DECIMAL(5,4)) AS payment_rate,
+         {days('COLLECTE', c, 15, 45)} AS payment_days, CAST(recovery_rate AS DECIMAL(20,4)) AS payment_rate,
          recovery_rate >= 0.95 AS is_complete, {days('COLLECTE', c, 15, 45)} > 30 AS is_late,
          {tail('COLLECTE', c, d)}, 'receivable ' || {c} AS notes, '{collection_batch}' AS etl_batch_id
   FROM fact_receivables),
@@ -342,7 +341,7 @@ recovery_payments AS (
          CAST(payment * CAST(0.03 AS DECIMAL(4,2)) AS DECIMAL(15,2)) AS fee,
          CAST(payment - payment * CAST(0.03 AS DECIMAL(4,2)) AS DECIMAL(15,2)) AS amount_net,
          {days('RECOUVREMENT', r, 45, 90)} AS payment_days,
-         CAST(LEAST(COALESCE(effectiveness, 0), 9.9999) AS DECIMAL(5,4)) AS payment_rate,
+         CAST(COALESCE(effectiveness, 0) AS DECIMAL(20,4)) AS payment_rate,
          COALESCE(effectiveness, 0) >= 0.95 AS is_complete, TRUE AS is_late,
          {tail('RECOUVREMENT', r, e)}, 'recovery ' || {r} AS notes, '{recovery_batch}' AS etl_batch_id
   FROM fact_recoveries)"""
@@ -397,25 +396,43 @@ SQL["clean_recoveries"] = _with(RECOVERIES) + "SELECT * REPLACE (CAST(payment AS
 
 _FACT_DOUBLES = """* REPLACE (CAST(amount_due AS DOUBLE) AS amount_due, CAST(amount_collected AS DOUBLE) AS amount_collected,
   CAST(amount_remaining AS DOUBLE) AS amount_remaining, CAST(recovery_rate AS DOUBLE) AS recovery_rate)"""
+# past due and not fully paid by then: a paid receivable is judged by its recovery date (not late without
+# one), an open one by the day of the report
+_LATENESS = """*,
+  CASE WHEN amount_due - amount_collected <= 0 THEN COALESCE(date_diff('day', due_on, recovered_on) > 0, FALSE)
+       ELSE COALESCE(date_diff('day', due_on, DATE '2001-12-31') > 0, FALSE) END AS is_late,
+  CAST(GREATEST(CASE WHEN amount_due - amount_collected <= 0 THEN date_diff('day', due_on, recovered_on)
+       ELSE date_diff('day', due_on, DATE '2001-12-31') END, 0) AS INTEGER) AS days_late"""
 _RECOVERY_DOUBLES = """* REPLACE (CAST(payment AS DOUBLE) AS payment, CAST(fee AS DOUBLE) AS fee,
   CAST(amount_net AS DOUBLE) AS amount_net, CAST(effectiveness AS DOUBLE) AS effectiveness)"""
 _PAYMENT_DOUBLES = """* REPLACE (CAST(amount_billed AS DOUBLE) AS amount_billed, CAST(amount_paid AS DOUBLE) AS amount_paid,
   CAST(fee AS DOUBLE) AS fee, CAST(amount_net AS DOUBLE) AS amount_net, CAST(payment_rate AS DOUBLE) AS payment_rate)"""
 
+SQL["late_receivables"] = _with(RECEIVABLES) + """
+SELECT paid, is_late, COUNT(*) AS receivables, CAST(SUM(days) AS BIGINT) AS days_late FROM (
+  SELECT CASE WHEN amount_collected >= amount_due THEN 'full' WHEN amount_collected > 0 THEN 'part'
+              ELSE 'none' END AS paid,
+         amount_collected < amount_due AND due_on < DATE '2001-12-31' AS is_late,
+         CASE WHEN amount_collected < amount_due
+              THEN GREATEST(date_diff('day', due_on, DATE '2001-12-31'), 0) ELSE 0 END AS days
+  FROM receivables WHERE amount_due >= 0 AND amount_collected >= 0
+    AND (amount_due = 0 OR CAST(amount_collected AS DOUBLE) / CAST(amount_due AS DOUBLE) < 1.00005))
+GROUP BY 1, 2"""
 SQL["upsert_receivable_fact"] = _with(
     _receivables("earlier", "WHERE l_shipdate <= TIMESTAMP '1999-12-31'"),
     _measured("target", "earlier", "LOAD_0"), RECEIVABLES, _measured("batch", "receivables", "LOAD_1")) + f"""
-SELECT {_FACT_DOUBLES} FROM (
+SELECT {_FACT_DOUBLES} FROM (SELECT {_LATENESS} FROM (
   SELECT o.* REPLACE (
       CASE WHEN n.receivable_id IS NULL THEN o.amount_collected ELSE n.amount_collected END AS amount_collected,
       CASE WHEN n.receivable_id IS NULL THEN o.amount_remaining ELSE n.amount_remaining END AS amount_remaining,
       CASE WHEN n.receivable_id IS NULL THEN o.recovery_rate ELSE n.recovery_rate END AS recovery_rate,
       CASE WHEN n.receivable_id IS NULL THEN o.status_key ELSE n.status_key END AS status_key,
       CASE WHEN n.receivable_id IS NULL THEN o.modified_date_key ELSE n.modified_date_key END AS modified_date_key,
+      CASE WHEN n.receivable_id IS NULL THEN o.modified_at ELSE n.modified_at END AS modified_at,
       CASE WHEN n.receivable_id IS NULL THEN o.etl_batch_id ELSE n.etl_batch_id END AS etl_batch_id)
   FROM target o LEFT JOIN batch n ON o.receivable_id = n.receivable_id
   UNION ALL
-  SELECT * FROM batch WHERE receivable_id NOT IN (SELECT receivable_id FROM target))"""
+  SELECT * FROM batch WHERE receivable_id NOT IN (SELECT receivable_id FROM target)))"""
 
 SQL["upsert_recovery_fact"] = _with(FACT_RECOVERIES, """
 target AS (SELECT * FROM fact_recoveries WHERE action_on < DATE '2024-01-24'),
@@ -429,6 +446,7 @@ SELECT {_RECOVERY_DOUBLES} FROM (
       CASE WHEN n.recovery_id IS NULL THEN o.payment ELSE n.payment END AS payment,
       CASE WHEN n.recovery_id IS NULL THEN o.amount_net ELSE n.amount_net END AS amount_net,
       CASE WHEN n.recovery_id IS NULL THEN o.status ELSE n.status END AS status,
+      CASE WHEN n.recovery_id IS NULL THEN o.modified_at ELSE n.modified_at END AS modified_at,
       CASE WHEN n.recovery_id IS NULL THEN o.etl_batch_id ELSE n.etl_batch_id END AS etl_batch_id)
   FROM target o LEFT JOIN revised n ON o.recovery_id = n.recovery_id
   UNION ALL
@@ -442,10 +460,13 @@ UNION ALL
 
 _RECENT = "modified_at >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY"
 SQL["scd2_agents"] = _with(AGENTS, f"""
-second AS (SELECT * REPLACE (CASE WHEN {_RECENT} THEN NULL ELSE email END AS email) FROM agents),
+second AS (SELECT * REPLACE (CASE WHEN {_RECENT} THEN NULL ELSE email END AS email,
+             CASE WHEN agent_id % 7 = 3 THEN 'Older' ELSE agent_name END AS agent_name,
+             CASE WHEN agent_id % 7 = 3 THEN modified_at - INTERVAL 10 DAY ELSE modified_at END AS modified_at)
+           FROM agents),
 known AS ({_versions('agents', '2024-01-01', "WHERE status = 'ACTIF'")}),
 changed AS (SELECT k.agent_id FROM known k JOIN second s ON k.agent_id = s.agent_id
-            WHERE k.email IS DISTINCT FROM s.email)""") + f"""
+            WHERE k.email IS DISTINCT FROM s.email AND k.agent_id % 7 <> 3)""") + f"""
 {_END_AS_TEXT} (
 SELECT * FROM known WHERE agent_id NOT IN (SELECT agent_id FROM changed)
 UNION ALL
@@ -488,7 +509,8 @@ SQL["dim_zone"] = _with(DIM_ZONE) + """
 SELECT * REPLACE (CAST(area AS DOUBLE) AS area, CAST(area_hectares AS DOUBLE) AS area_hectares) FROM dim_zone"""
 SQL["dim_request_status"] = _with(REQUESTS, DIM_STATUS) + "SELECT * FROM dim_status"
 SQL["fact_requests"] = _with(FACT) + "SELECT * REPLACE (CAST(financing AS DOUBLE) AS financing) FROM fact"
-SQL["fact_receivables"] = _with(FACT_RECEIVABLES) + f"SELECT {_FACT_DOUBLES} FROM fact_receivables"
+SQL["fact_receivables"] = _with(FACT_RECEIVABLES) + f"""
+SELECT {_FACT_DOUBLES} FROM (SELECT {_LATENESS} FROM fact_receivables)"""
 SQL["fact_recoveries"] = _with(FACT_RECOVERIES) + f"SELECT {_RECOVERY_DOUBLES} FROM fact_recoveries"
 SQL["payments_from_receivables"] = _with(
     FACT_RECOVERIES, _payment_sources("LOAD_1", "LOAD_1")) + f"SELECT {_PAYMENT_DOUBLES} FROM collection_payments"
@@ -720,7 +742,7 @@ SELECT d.date, a.agent_name, substr(r.type_key, 5) AS category,
        CAST(SUM(amount_remaining) AS DOUBLE) AS amount_remaining, {_mean('recovery_rate', 8)} AS avg_recovery_rate,
        {_mean('recovery_days')} AS avg_recovery_days, {_LATE} AS late,
        COUNT(*) FILTER (WHERE r.status_key = 'STAT_RECOUVREE') AS closed
-FROM fact_receivables r LEFT JOIN dim_date d ON r.created_date_key = d.date_key
+FROM (SELECT {_LATENESS} FROM fact_receivables) r LEFT JOIN dim_date d ON r.created_date_key = d.date_key
 LEFT JOIN agents a ON r.agent_id = a.agent_id GROUP BY 1, 2, 3, 4"""
 
 # --- combined KPIs, quality, monitoring ------------------------------------------------------------------
@@ -836,6 +858,8 @@ SQL["dq_orphans"] = _with(FACT, DIM_COMPANY, DIM_STATUS, FACT_RECOVERIES, AGENTS
     _orphans("fact_recoveries", "fact_recoveries", "receivable_id", "fact_receivables",
              "SELECT receivable_id AS k FROM fact_receivables"),
     _orphans("fact_recoveries", "fact_recoveries", "agent_key", "dim_agent", _AGENT_KEYS),
+    _orphans("fact_requests", "fact", "creation_date_key", "dim_date",
+             "SELECT creation_date_key AS k FROM fact WHERE creation_date_key IS NOT NULL", True),
     _orphans("fact_requests", "fact", "company_id", "dim_company", "SELECT company_id AS k FROM dim_company", True),
     _orphans("fact_requests", "fact", "status_key", "dim_request_status", "SELECT status_key AS k FROM dim_status", True),
 ])

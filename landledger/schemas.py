@@ -1,6 +1,7 @@
-"""Column contracts of the staging tables and facts.
+"""Column contracts of the staging tables and the payment fact.
 
-Staging and warehouse tables are read with these types; nothing is inferred.
+These tables are read with these types; the other facts and the dimensions with
+the types of the frames that were written.
 Timestamps carry no zone, money is ``decimal(15,2)``, ids are 64 bit.
 """
 
@@ -14,7 +15,7 @@ _TYPES = {
     "int": T.IntegerType(),
     "text": T.StringType(),
     "money": T.DecimalType(15, 2),
-    "rate": T.DecimalType(5, 4),
+    "rate": T.DecimalType(20, 4),
     "flag": T.BooleanType(),
     "date": T.DateType(),
     "ts": T.TimestampNTZType(),

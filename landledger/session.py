@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -38,19 +39,35 @@ def get_spark(app: str = "landledger", master: str | None = None,
 
 
 @lru_cache(maxsize=1)
-def _local_dir() -> str:
+def _own_dir() -> str:
     return tempfile.mkdtemp(prefix="run-landledger-")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (trials on one machine) a temporary folder
-    takes its place.
+    Only a session that runs in one process (master ``local``), as in trials, may
+    leave it unset and gets a folder of its own; on a cluster that is an error.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        return _own_dir()
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is ever reused or removed."""
+    """A fresh path below the shared folder."""
     return os.path.join(shared_dir(spark), "landledger", uuid.uuid4().hex, name)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store its path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)

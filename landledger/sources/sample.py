@@ -43,6 +43,14 @@ def _case(column: str, codes: dict, otherwise: str) -> Column:
     return chain.otherwise(otherwise)
 
 
+def _notation(column: str, number: Column) -> Column:
+    """A price as 1234.50, 1,234.50, 1.234,50 or 1 234,50."""
+    plain, grouped = _money(column).cast("string"), F.format_number(_money(column), 2)
+    return (F.when(number == 0, plain).when(number == 1, grouped)
+             .when(number == 2, F.translate(grouped, ",.", ".,"))
+             .otherwise(F.translate(grouped, ",.", " ,")))
+
+
 class SampleTables:
     """Raw and staged frames over one folder of sample tables."""
 
@@ -183,7 +191,7 @@ class SampleTables:
             F.col("p_brand").alias("ilot"),
             F.col("p_size").alias("superficie"),
             F.when(even, "ha").otherwise("m2").alias("unite_mesure"),
-            F.concat(_money("p_retailprice").cast("string"), F.lit(" €")).alias("prix"),
+            F.concat(_notation("p_retailprice", F.col("p_partkey") % 4), F.lit(" €")).alias("prix"),
             _case("p_type", state, "reserve").alias("statut"),
             F.when(F.col("p_type") == "LARGE", "haute").otherwise("normale").alias("priorite"),
             (F.col("p_size") >= 25).alias("viabilite"),

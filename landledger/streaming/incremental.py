@@ -17,25 +17,32 @@ from pyspark.sql.streaming import StreamingQuery
 
 from landledger import jobs
 from landledger.operators import clean, facts
-from landledger.operators.upsert import RECOVERY_REFRESH, upsert_table
-from landledger.session import shared_dir
+from landledger.operators.upsert import RECOVERY_REFRESH, full_refresh, read_load, upsert_table
 from landledger.sources import extract
 
 
 def apply_landed_recoveries(spark: SparkSession, landing: str, schema: T.StructType,
-                            receivable_path: str, fact_path: str, name: str) -> StreamingQuery:
-    """Merge every landed file not applied yet into the recovery fact, then stop."""
+                            receivable_path: str, fact_path: str, name: str,
+                            checkpoint: str) -> StreamingQuery:
+    """Merge every landed file not applied yet into the recovery fact, then stop.
+
+    ``checkpoint`` is the folder in shared storage that remembers what was applied;
+    a restart, also on another machine, names the same one.
+    """
     def merge(batch: DataFrame, batch_number: int) -> None:
         session = batch.sparkSession
         cleaned = clean.clean_recoveries(extract.all_recoveries(batch))
-        rows = facts.fact_recoveries(
-            cleaned, session.read.parquet(receivable_path), f"{name}_{batch_number}")
-        upsert_table(session, fact_path, jobs.with_month(rows, "action_date_key"),
-                     ["recovery_id"], RECOVERY_REFRESH, ["modified_at"], jobs.MONTH)
+        rows = jobs.with_month(facts.fact_recoveries(
+            cleaned, session.read.parquet(receivable_path), f"{name}_{batch_number}"), "action_date_key")
+        # stored once, as the upsert reads it more than once
+        staged = os.path.join(checkpoint, "batches")
+        full_refresh(rows, staged, str(batch_number))
+        rows = read_load(session, staged, str(batch_number), rows.schema)
+        upsert_table(session, fact_path, rows, ["recovery_id"], RECOVERY_REFRESH, ["modified_at"], jobs.MONTH)
 
     return (
         spark.readStream.schema(schema).parquet(landing)
         .writeStream.foreachBatch(merge)
-        .option("checkpointLocation", os.path.join(shared_dir(spark), "landledger", "streams", name))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )

@@ -18,12 +18,11 @@ from landledger.operators import agents as agent_dim
 from landledger.operators import clean, dimensions, facts, payments
 from landledger.sources import seeds
 
-CALENDAR = (dt.date(2020, 1, 1), dt.date(2030, 12, 31))
 TABLES = (
     "requests", "companies", "plots", "zones",
     "dim_company", "dim_plot", "dim_zone", "dim_request_status", "dim_date", "dim_agent",
     "dim_receivable_type", "dim_receivable_status", "dim_payment_mode",
-    "fact_requests", "fact_receivables", "fact_recoveries", "fact_payments",
+    "fact_requests", "fact_receivables", "fact_recoveries", "fact_payments", "quarantine",
 )
 
 
@@ -31,7 +30,7 @@ class Warehouse:
     """Warehouse planned directly on top of staging frames."""
 
     def __init__(self, spark: SparkSession, staging, as_of, batch_id: str,
-                 calendar: tuple[dt.date, dt.date] = CALENDAR):
+                 calendar: tuple[dt.date, dt.date] | None = None):
         self.spark = spark
         self.staging = staging
         self.as_of = as_of
@@ -77,7 +76,10 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dimensions.dim_date(dimensions.date_spine(self.spark, *self.calendar))
+        """The calendar; without given bounds, over all days found in the requests."""
+        spine = (dimensions.date_spine(self.spark, *self.calendar) if self.calendar
+                 else dimensions.request_days(self.requests))
+        return dimensions.dim_date(spine)
 
     @cached_property
     def dim_agent(self) -> DataFrame:
@@ -104,7 +106,12 @@ class Warehouse:
     @cached_property
     def fact_receivables(self) -> DataFrame:
         cleaned = clean.clean_receivables(self.staging.receivables)
-        return facts.fact_receivables(cleaned, self.as_of, self.batch_id)
+        return facts.fact_receivables(cleaned, self.batch_id)
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        cleaned = clean.clean_receivables(self.staging.receivables)
+        return facts.quarantined_receivables(cleaned, self.batch_id)
 
     @cached_property
     def fact_recoveries(self) -> DataFrame:
@@ -113,32 +120,43 @@ class Warehouse:
 
     @cached_property
     def fact_payments(self) -> DataFrame:
+        # not every payment KPI needs the receivable behind an action
+        cleaned = clean.clean_recoveries(self.staging.recoveries)
+        actions = facts.fact_recoveries(cleaned, self.fact_receivables, self.batch_id, state_unique=True)
         return payments.build_payments(
-            self.fact_receivables, self.fact_recoveries,
+            self.fact_receivables, actions,
             f"{self.batch_id}_COLLECTES", f"{self.batch_id}_RECOUVREMENTS")
 
 
+def request_table(load_id: str) -> str:
+    """Catalog name of a load's request fact, which is bucketed by request."""
+    return "fact_requests_" + "".join(c if c.isalnum() else "_" for c in load_id).lower()
+
+
 class StoredWarehouse:
     """The same tables, read from what the jobs have written.
 
     Request tables are read from ``load_id``, collection tables from
-    ``batch_id`` (the same id unless given); the two merged facts have one
-    current state.
+    ``batch_id`` (the same id unless given); the merged facts and the payments
+    have one current state.  ``as_of`` is the day for which lateness is reported.
     """
 
     _contracts = {"requests": schemas.REQUESTS, "companies": schemas.COMPANIES, "plots": schemas.PLOTS,
                   "zones": schemas.ZONES, "fact_payments": schemas.PAYMENTS}
     _collection = {"dim_agent", "dim_receivable_type", "dim_receivable_status", "dim_payment_mode",
-                   "fact_payments"}
-    _merged = {"fact_receivables", "fact_recoveries"}
+                   "quarantine"}
+    _merged = {"fact_receivables", "fact_recoveries", "fact_payments"}
 
-    def __init__(self, spark: SparkSession, path: str, load_id: str, batch_id: str | None = None):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, load_id: str, batch_id: str | None = None,
+                 as_of=None):
+        self.spark, self.path, self.as_of = spark, path, as_of
         self.load_id, self.batch_id = load_id, batch_id or load_id
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
+        if name == "fact_requests" and self.spark.catalog.tableExists(request_table(self.load_id)):
+            return self.spark.table(request_table(self.load_id))
         place = os.path.join(self.path, name)
         if name not in self._merged:
             load = self.batch_id if name in self._collection else self.load_id

@@ -50,17 +50,32 @@ def test_receivable_measures_and_quarantine(spark):
         receivable(3, "100", "100", "recouvree", recovered="2024-01-10"),
         receivable(4, "100", "150", recovered="2024-01-10"),
         receivable(5, "100", "0", "echec"))
-    good = {r.receivable_id: r for r in facts.fact_receivables(rows, "2024-02-15", "B").collect()}
-    bad = facts.quarantined_receivables(rows, "2024-02-15", "B").collect()
+    good = {r.receivable_id: r for r in facts.with_lateness(
+        facts.fact_receivables(rows, "B"), "2024-02-15").collect()}
+    bad = facts.quarantined_receivables(rows, "B").collect()
     assert [(r.receivable_id, r.recovery_rate) for r in bad] == [(4, Decimal("1.5000"))]
     assert sorted(good) == [1, 2, 3, 5]
     assert good[1].recovery_rate == 0 and good[2].recovery_rate == Decimal("0.5000")
-    assert [(good[i].is_late, good[i].days_late) for i in (2, 3, 5)] == [(True, 30), (False, 0), (True, 15)]
+    assert [(good[i].is_late, good[i].days_late) for i in (2, 3, 5)] == [(True, 15), (False, 0), (True, 15)]
     assert (good[2].recovery_days, good[5].recovery_days) == (60, None)
     assert [good[i].status_key for i in (2, 3, 5)] == ["STAT_PART_RECOUVREE", "STAT_RECOUVREE", "STAT_ECHEC"]
     assert good[1].agent_key is not None   # id 0 is a valid agent
 
 
+def test_lateness(spark):
+    rows = cleaned(
+        spark,
+        receivable(1, "100", "100"), receivable(2, "100", "100", recovered="2024-02-05"),
+        receivable(3, "100", "50", recovered="2024-01-10"), receivable(4, "100", "50", due_on="2024-06-30"),
+        receivable(5, "0", "0"), receivable(6, "100", "0", due_on=None))
+    fact = facts.fact_receivables(rows, "B")
+    assert not {"is_late", "days_late"} & set(fact.columns)
+    early, later = ({r.receivable_id: (r.is_late, r.days_late)
+                     for r in facts.with_lateness(fact, day).collect()} for day in ("2024-01-15", "2024-02-15"))
+    assert early == {1: (False, 0), 2: (True, 5), 3: (False, 0), 4: (False, 0), 5: (False, 0), 6: (False, 0)}
+    assert later == early | {3: (True, 15)}
+
+
 def recoveries(spark, *rows):
     schema = ("recovery_id long, receivable_id long, action_type string, action_on string, payment string, "
               "payment_mode string, agent_id long, status string, notes string, document string, "
@@ -74,7 +89,7 @@ def action(id, receivable_id, payment="40"):
 
 
 def test_recovery_lookup_and_payments(spark):
-    parents = facts.fact_receivables(cleaned(spark, receivable(2, "100", "50"), receivable(6, "0", "0")), "2024-02-15", "B")
+    parents = facts.fact_receivables(cleaned(spark, receivable(2, "100", "50"), receivable(6, "0", "0")), "B")
     fact = facts.fact_recoveries(
         recoveries(spark, action(1, 2), action(2, 77), action(3, 6), action(4, None), action(5, 2, "2000")), parents, "B")
     rows = {r.recovery_id: r for r in fact.collect()}
@@ -84,7 +99,7 @@ def test_recovery_lookup_and_payments(spark):
     paid = {r.source_id: r for r in payments.payments_from_recoveries(fact, "B").collect()}
     assert [(paid[i].payment_status, paid[i].is_complete, paid[i].is_late, paid[i].payment_rate) for i in (1, 2, 5)] == [
         ("RECOUVRE", False, True, Decimal("0.4000")), ("IMPAYE", False, True, Decimal("0.0000")),
-        ("RECOUVRE", True, True, Decimal("9.9999"))]
+        ("RECOUVRE", True, True, Decimal("20.0000"))]
     assert (paid[1].amount_billed, paid[1].fee, paid[1].amount_net) == (Decimal("48.00"), Decimal("1.20"), Decimal("38.80"))
     assert paid[1].payment_key == "RECOUVREMENT_1" and 45 <= paid[1].payment_days <= 90
 
@@ -92,7 +107,7 @@ def test_recovery_lookup_and_payments(spark):
 def test_collection_payment_classes(spark):
     f = facts.fact_receivables(
         cleaned(spark, receivable(1, "100", "95"), receivable(2, "100", "50"), receivable(3, "100", "49.99")),
-        "2024-02-15", "B")
+        "B")
     paid = {r.source_id: r for r in payments.payments_from_receivables(f, "B").collect()}
     assert [paid[i].payment_status for i in (1, 2, 3)] == ["PAYE_COMPLET", "PAYE_PARTIEL", "IMPAYE"]
     assert (paid[1].fee, paid[1].amount_net) == (Decimal("2.00"), Decimal("93.00"))
@@ -109,7 +124,7 @@ def test_quality_rules_find_violations(spark):
 
 
 def test_range_checks_and_orphans(spark):
-    measured = facts.receivable_measures(cleaned(spark, receivable(1, "100", "150"), receivable(2, "1", "-1")), "2024-02-15", "B")
+    measured = facts.receivable_measures(cleaned(spark, receivable(1, "100", "150"), receivable(2, "1", "-1")), "B")
     fees = spark.createDataFrame([(1.0, None)], "payment double, fee double")
     found = {(r.table, r.column): r.violations
              for r in quality.dq_checks({"fact_receivables": measured, "fact_recoveries": fees}).collect()}

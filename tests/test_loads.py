@@ -2,13 +2,17 @@
 
 import datetime as dt
 import os
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from landledger import jobs
+from landledger import jobs, schemas
 from landledger.operators import agents as ag
+from landledger.operators import facts
 from landledger.operators import upsert as up
 from landledger.plans import registry
+from landledger.plans import requests as request_kpis
 from landledger.sources import readers
 from landledger.sources.sample import SampleTables
 from landledger.streaming.incremental import apply_landed_recoveries
@@ -35,7 +39,7 @@ def test_upsert_refreshes_only_listed_columns(spark):
 def test_insert_absent_keeps_known_rows(spark):
     old = spark.createDataFrame([(1, 10, "a", 1, 1)], SCHEMA)
     new = spark.createDataFrame([(1, 99, "z", 2, 1), (2, 20, "b", 1, 1), (2, 21, "c", 2, 1)], SCHEMA)
-    assert rows(up.insert_absent(old, new, ["id"], ["seen"])) == [(1, 10, "a", 1, 1), (2, 21, "c", 2, 1)]
+    assert rows(up.insert_absent(old, up.latest_per_key(new, ["id"], ["seen"]), ["id"])) == [(1, 10, "a", 1, 1), (2, 21, "c", 2, 1)]
 
 
 def test_latest_per_key_has_no_window(spark):
@@ -97,8 +101,8 @@ def test_scd2_versions(spark):
     assert rows(ag.scd2_agents(merged, second, "2024-03-01")) == rows(merged)
 
 
-def test_hot_receivable_is_split_by_the_lookup_join(spark):
-    """A third of all actions on one receivable: the join splits that partition."""
+def test_hot_receivable_is_split_by_the_lookup_join(spark, tmp_path):
+    """A third of all actions on one receivable: the real builder's join splits it."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -106,18 +110,24 @@ def test_hot_receivable_is_split_by_the_lookup_join(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     }
+    spark.range(0, 60000, 1, 8).select(
+        F.col("id").alias("recovery_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).cast("bigint").alias("receivable_id"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.RECOVERIES.fields
+          if f.name not in ("recovery_id", "receivable_id", "notes", "payment")],
+        F.md5(F.col("id").cast("string")).alias("notes"), F.lit(1).cast("decimal(15,2)").alias("payment"),
+    ).write.parquet(str(tmp_path / "actions"))
+    spark.range(5000).select(
+        F.col("id").alias("receivable_id"), F.col("id").alias("receivable_fact_key"), F.col("id").alias("company_id"),
+        F.lit(2).cast("decimal(15,2)").alias("amount_due"), F.lit(None).cast("date").alias("created_on"),
+    ).write.parquet(str(tmp_path / "parents"))
     kept = {k: spark.conf.get(k, None) for k in settings}
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        left = spark.range(0, 60000, 1, 8).select(
-            F.col("id").alias("recovery_id"),
-            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("receivable_id"),
-            F.md5(F.col("id").cast("string")).alias("notes"))
-        right = spark.range(5000).select(F.col("id").alias("receivable_id"), F.lit(1).alias("parent"))
-        joined = left.join(right, "receivable_id", "left")
-        assert joined.agg(F.count("*"), F.sum("parent")).first() == (60000, 60000)
-        joined.collect()
+        joined = facts.fact_recoveries(spark.read.parquet(str(tmp_path / "actions")),
+                                       spark.read.parquet(str(tmp_path / "parents")), "B")
+        assert len(joined.collect()) == 60000
         assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in kept.items():
@@ -136,9 +146,16 @@ def test_request_job_and_views(spark, tmp_path):
     t = SampleTables(spark, FOLDER)
     source = {"demandes_attribution": t.source_requests, "entreprises": t.source_companies,
               "lots": t.source_plots, "zones_industrielles": t.source_zones}
-    stored = jobs.load_requests(spark, source, str(tmp_path / "wh"), "L1", "2001-12-31",
-                                (dt.date(1990, 1, 1), dt.date(2030, 12, 31)))
+    stored = jobs.load_requests(spark, source, str(tmp_path / "wh"), "L1", "2001-12-31", buckets=4)
     assert stored.fact_requests.count() == 1500
+    for build in (request_kpis.kpi_by_status, request_kpis.kpi_delay_stats, request_kpis.kpi_acceptance,
+                  request_kpis.kpi_executive):
+        plan = build(stored.fact_requests)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Exchange hashpartitioning\([^)]*request_id", plan)
+    report = lambda name: spark.read.parquet(str(tmp_path / "wh" / "quality" / name / "load_id=L1"))
+    assert report("requests_rules").agg(F.sum("violations")).first()[0] == 0
+    assert {r.key: r.orphans for r in report("requests_orphans").collect()}["creation_date_key"] == 0
+    assert report("requests_unreadable").first()[0] == 0 and report("requests_counts").count() == 10
     alerts = jobs.monitor(stored, str(tmp_path / "kpis"), "2001-12-31")
     assert {r.kpi for r in alerts.collect()} >= {"total_demands", "pending_demands"}
     jobs.monitor(stored, str(tmp_path / "kpis"), "2001-12-31")
@@ -166,15 +183,21 @@ def test_collection_job_and_stream(spark, tmp_path):
     assert second["fact_receivables"].count() == n
     assert second["dim_agent"].count() == first["dim_agent"].count()
     assert [r[0] for r in second["fact_receivables"].select("etl_batch_id").distinct().collect()] == ["B2"]
+    tags = {r.etl_batch_id: r["count"] for r in second["fact_payments"].groupBy("etl_batch_id").count().collect()}
+    again = second["fact_recoveries"].where("etl_batch_id = 'B2'").count()
+    assert tags == {"B1_COLLECTES": n, "B1_RECOUVREMENTS": early.count(), "B2_COLLECTES": n, "B2_RECOUVREMENTS": again}
+    assert 0 < again < early.count()
 
     requests_source = {"demandes_attribution": t.source_requests, "entreprises": t.source_companies,
                        "lots": t.source_plots, "zones_industrielles": t.source_zones}
-    jobs.load_requests(spark, requests_source, path, "L1", "2001-12-31", (dt.date(1990, 1, 1), dt.date(2030, 12, 31)))
-    registry.register_views(StoredWarehouse(spark, path, "L1", "B2"))
+    jobs.load_requests(spark, requests_source, path, "L2", "2001-12-31", buckets=4)
+    registry.register_views(StoredWarehouse(spark, path, "L2", "B2", as_of="2024-01-31"))
     summary = spark.table("mv_kpi_collectes_summary")
     assert summary.agg(F.sum("nombre_collectes")).first()[0] == n
     assert summary.filter("agent_collecteur IS NULL OR date_collecte IS NULL").count() < summary.count()
-    assert spark.table("vw_kpi_dashboard_global").first().total_transactions == n + early.count()
+    assert spark.table("vw_kpi_dashboard_global").first().total_transactions == 2 * n + early.count() + again
+    stored_summary = spark.read.parquet(f"{path}/kpi_receivables_summary/load_id=B2")
+    assert stored_summary.agg(F.sum("receivables")).first()[0] == n
     assert spark.table("v_kpi_taux_acceptation").first().total_demandes == 1500
 
     landing = str(tmp_path / "landing")
@@ -182,12 +205,65 @@ def test_collection_job_and_stream(spark, tmp_path):
     late.write.parquet(landing)
     for _ in range(2):   # the second run finds no new file
         query = apply_landed_recoveries(spark, landing, late.schema, f"{path}/fact_receivables",
-                                        f"{path}/fact_recoveries", "recoveries")
+                                        f"{path}/fact_recoveries", "recoveries", str(tmp_path / "progress"))
         query.awaitTermination(120)
         fact = spark.read.parquet(f"{path}/fact_recoveries")
         assert fact.count() == 1000 and fact.select("recovery_id").distinct().count() == 1000
 
 
+COLLECTION = ("id long, reference string, montant_a_recouvrer string, montant_recouvre string, statut string, "
+              "date_debut string, date_fin_prevue string, cree_par long, commentaire string, updated_at timestamp_ntz")
+ACTION = ("recouvrement_id long, collecte_id long, type_action string, date_action date, montant_paiement string, "
+          "mode_paiement string, agent_recouvrement_id long, statut_recouvrement string, observations string, "
+          "piece_justificative string, date_creation date, date_modification timestamp_ntz")
+SOURCE_AGENT = ("agent_id long, nom string, prenom string, matricule string, zone_assignee_id long, telephone string, "
+                "email string, statut string, date_embauche date, date_creation date, date_modification timestamp_ntz")
+
+
+def test_repeated_and_older_batches(spark, tmp_path):
+    """A duplicate agent, no actions at first, a bad row that is corrected, and B1 once more."""
+    day = lambda d: dt.datetime(2024, 1, d)
+    due = lambda id, paid, d, amount="100": (id, f"C{id}", amount, paid, "en_cours", "2023-01-01", "2023-02-01", 1, None, day(d))
+    act = lambda id, receivable, d: (id, receivable, "relance", day(d).date(), "10", "virement", 1, "reussi", None, None,
+                                     day(d).date(), day(d))
+    who = lambda name, d: (1, name, None, None, None, None, None, "ACTIF", None, None, day(d))
+
+    def source(agents, collections, actions):
+        return {"agents_collecteurs": spark.createDataFrame(agents, SOURCE_AGENT),
+                "collectes": spark.createDataFrame(collections, COLLECTION),
+                "recouvrements": spark.createDataFrame(actions, ACTION)}
+    b1 = source([who("Ann", 1), who("Anna", 2)], [due(1, "0", 1), due(2, "150", 1)], [])
+    b2 = source([who("Older", 1)], [due(1, "40", 5), due(2, "50", 5), due(3, "0", 5)], [act(1, 1, 5), act(2, 99, 5)])
+    path = str(tmp_path / "wh")
+    first = jobs.load_collections(spark, b1, path, "B1", "2024-01-31")
+    assert first["fact_receivables"].count() == 1 and first["fact_recoveries"].count() == 0
+    assert first["quarantine"].count() == 1 and first["fact_payments"].count() == 1
+    assert [(r.full_name, r.is_current) for r in first["dim_agent"].collect()] == [("Anna", True)]
+    summary = spark.read.parquet(f"{path}/kpi_receivables_summary/load_id=B1").collect()
+    assert [(r.receivables, r.late) for r in summary] == [(1, 1)]
+
+    def state(result):
+        return (rows(result["fact_receivables"].select("receivable_id", F.col("amount_collected").cast("int"), "etl_batch_id")),
+                rows(result["fact_recoveries"].select("recovery_id", "receivable_fact_key")),
+                rows(result["fact_payments"].groupBy("etl_batch_id").count()))
+    second = jobs.load_collections(spark, b2, path, "B2", "2024-01-31", previous="B1")
+    after = ([(1, 40, "B2"), (2, 50, "B2"), (3, 0, "B2")], [(1, 1), (2, None)],
+             [("B1_COLLECTES", 1), ("B2_COLLECTES", 3), ("B2_RECOUVREMENTS", 2)])
+    assert sorted(state(second)[1], key=str) == sorted(after[1], key=str)
+    assert (state(second)[0], state(second)[2]) == (after[0], after[2])
+    assert [(r.full_name, r.version) for r in second["dim_agent"].collect()] == [("Anna", 1)]
+    assert second["quarantine"].count() == 0
+
+    again = jobs.load_collections(spark, b1, path, "B1", "2024-01-31")
+    assert (state(again)[0], state(again)[2]) == (after[0], after[2])
+    assert again["fact_recoveries"].count() == 2
+    corrected = source([who("Anna", 2)], [due(1, "0", 1), due(2, "50", 1)], [])
+    assert jobs.load_collections(spark, corrected, path, "B1", "2024-01-31")["quarantine"].count() == 0
+    empty = source([who("Anna", 2)], [], [])
+    last = jobs.load_collections(spark, empty, path, "B3", "2024-01-31", previous="B2")
+    assert state(last)[0] == after[0] and last["fact_recoveries"].count() == 2
+
+
 def test_bucketed_fact_needs_no_exchange_for_distinct_requests(spark, tmp_path):
     from landledger.plans import requests
 
@@ -218,5 +294,10 @@ def test_shared_folder_comes_from_the_session(spark):
 
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
-    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
-    assert os.path.isdir(shared_dir(unset)) and shared_dir(unset) == shared_dir(unset)
+    def unset(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default),
+                               sparkContext=SimpleNamespace(master=master))
+    assert os.path.isdir(shared_dir(unset("local[4]")))
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(unset(master))
