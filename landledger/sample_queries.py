@@ -6,13 +6,14 @@ the engines compared against each other carry different decimal widths.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landledger import schemas
+from landledger import jobs, schemas
 from landledger.functions import scalars as s
 from landledger.functions.measures import count_rows
 from landledger.operators import agents as ag
@@ -119,6 +120,49 @@ def upsert_recovery_fact(spark: SparkSession, folder: str) -> DataFrame:
     return upsert.upsert(target, revised, ["recovery_id"], upsert.RECOVERY_REFRESH, ["modified_at"])
 
 
+def collections_two_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The collection job: a first batch, a second one, and the first once more.
+
+    The first holds every other receivable, nothing collected yet and a day older,
+    one in five hundred with twice the amount due collected (corrected when the batch
+    comes again), every agent twice and no recovery action; the second holds
+    everything.  Per table and batch tag: rows and collected or paid amounts.
+    """
+    t = sm.sample_warehouse(spark, folder).staging
+    path = scratch_path(spark, "collections")
+    half = t.source_receivables.where("id % 2 = 0").withColumn(
+        "updated_at", F.col("updated_at") - F.expr("INTERVAL 1 DAY"))
+    corrected = half.withColumn("montant_recouvre", F.lit(0).cast(half.schema["montant_recouvre"].dataType))
+    faulty = corrected.withColumn("montant_recouvre", F.when(
+        F.col("id") % 500 == 4, F.col("montant_a_recouvrer").cast("double") * 2).otherwise(0.0)
+        .cast(half.schema["montant_recouvre"].dataType))
+    older = t.source_agents.withColumn("nom", F.lit("Older")).withColumn(
+        "date_modification", F.col("date_modification") - F.expr("INTERVAL 1 DAY"))
+
+    def batch(receivables, actions, agents):
+        return {"agents_collecteurs": agents, "collectes": receivables, "recouvrements": actions}
+    nothing = t.source_recoveries.limit(0)
+    twice = t.source_agents.unionByName(older)
+    day = sm.COLLECTIONS_AS_OF
+    jobs.load_collections(spark, batch(faulty, nothing, twice), path, "B1", day)
+    second = jobs.load_collections(spark, batch(t.source_receivables, t.source_recoveries, twice), path, "B2", day,
+                                   previous="B1")
+    last = jobs.load_collections(spark, batch(corrected, nothing, twice), path, "B1", day)
+
+    def summed(df, name, tag, amount):
+        return df.groupBy(F.lit(name).alias("table"), F.col(tag).alias("tag") if tag in df.columns
+                          else F.lit(tag).alias("tag")).agg(
+            count_rows().alias("rows"), F.coalesce(F.sum(amount), F.lit(0)).cast("decimal(30,2)").alias("amount"))
+    return functools.reduce(DataFrame.unionByName, (
+        summed(last["fact_receivables"], "fact_receivables", "etl_batch_id", "amount_collected"),
+        summed(last["fact_recoveries"], "fact_recoveries", "etl_batch_id", "payment"),
+        summed(last["fact_payments"], "fact_payments", "etl_batch_id", "amount_paid"),
+        summed(last["quarantine"], "quarantine", "etl_batch_id", "amount_collected"),
+        summed(second["dim_agent"].where("is_current"), "dim_agent", "full_name", F.lit(0)).groupBy("table").agg(
+            F.lit("current").alias("tag"), F.sum("rows").alias("rows"), F.sum("amount").alias("amount")),
+    ))
+
+
 def insert_new_agents(spark: SparkSession, folder: str) -> DataFrame:
     """Active agents loaded first, then everybody: only the unknown are added."""
     cleaned = clean.clean_agents(sm.sample_warehouse(spark, folder).staging.agents)
@@ -255,6 +299,7 @@ QUERIES: dict[str, Query] = {
     "incremental_recoveries": _tables(
         lambda t: extract.incremental_recoveries(t.source_recoveries, "2024-01-30")),
     "load_full_refresh": load_full_refresh,
+    "collections_two_batches": collections_two_batches,
     "upsert_receivable_fact": upsert_receivable_fact,
     "upsert_recovery_fact": upsert_recovery_fact,
     "insert_new_agents": insert_new_agents,

@@ -408,6 +408,15 @@ _RECOVERY_DOUBLES = """* REPLACE (CAST(payment AS DOUBLE) AS payment, CAST(fee A
 _PAYMENT_DOUBLES = """* REPLACE (CAST(amount_billed AS DOUBLE) AS amount_billed, CAST(amount_paid AS DOUBLE) AS amount_paid,
   CAST(fee AS DOUBLE) AS fee, CAST(amount_net AS DOUBLE) AS amount_net, CAST(payment_rate AS DOUBLE) AS payment_rate)"""
 
+SQL["collections_two_batches"] = _with(RECEIVABLES, RECOVERIES, AGENTS) + """
+SELECT 'fact_receivables' AS "table", 'B2' AS tag, COUNT(*) AS rows, CAST(SUM(amount_collected) AS DOUBLE) AS amount
+FROM receivables
+UNION ALL SELECT 'fact_recoveries', 'B2', COUNT(*), CAST(SUM(payment) AS DOUBLE) FROM recoveries
+UNION ALL SELECT 'fact_payments', 'B1_COLLECTES', COUNT(*), 0 FROM receivables WHERE receivable_id % 2 = 0
+UNION ALL SELECT 'fact_payments', 'B2_COLLECTES', COUNT(*), CAST(SUM(amount_collected) AS DOUBLE) FROM receivables
+UNION ALL SELECT 'fact_payments', 'B2_RECOUVREMENTS', COUNT(*), CAST(SUM(payment) AS DOUBLE) FROM recoveries
+UNION ALL SELECT 'dim_agent', 'current', COUNT(*), 0 FROM agents
+          WHERE status = 'ACTIF' OR modified_at >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY"""
 SQL["late_receivables"] = _with(RECEIVABLES) + """
 SELECT paid, is_late, COUNT(*) AS receivables, CAST(SUM(days) AS BIGINT) AS days_late FROM (
   SELECT CASE WHEN amount_collected >= amount_due THEN 'full' WHEN amount_collected > 0 THEN 'part'
