@@ -152,6 +152,7 @@ def dq_orphans(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def dq_missing_keys(fact: DataFrame) -> DataFrame:
     """Requests without a zone and without a company key."""
+    # The published labels.
     counted = fact.agg(
         F.count_if(F.col("zone_key").isNull()).alias("Demandes sans zone"),
         F.count_if(F.col("company_key").isNull()).alias("Demandes sans entreprise"))

@@ -63,6 +63,7 @@ def fin_dashboard(payments: DataFrame) -> DataFrame:
             F.coalesce(s.number_with_unit(F.col(amount), "M FCFA"), F.lit("M FCFA")).alias("value_text"),
             F.concat(F.col(number).cast("string"), F.lit(unit)).alias("detail"))
 
+    # The published titles and units.
     lines = F.array(
         line(1, "1. Montant Total Paiements", "received", "n_received", " transactions"),
         line(2, "2. Revenus Nets Réussis", "net", "n_successful", " paiements"),

@@ -52,11 +52,10 @@ def kpi_alerts(fact: DataFrame) -> DataFrame:
     number = lambda c: F.concat(c.cast("string"), F.lit(" "), F.col("unit"))
     message = F.when(
         F.col("state") == "NULL",
-        F.concat(F.col("kpi"), F.lit(" returned NULL value - data quality issue")),
+        F.concat(F.col("kpi"), F.lit(": no value could be computed, check the input")),
     ).otherwise(F.concat(
-        F.col("kpi"),
-        F.when(low, " is below minimum threshold: ").otherwise(" is above maximum threshold: "),
-        number(F.col("value")), F.when(low, " < ").otherwise(" > "), number(threshold)))
+        F.col("kpi"), F.lit(": "), number(F.col("value")),
+        F.when(low, ", expected at least ").otherwise(", expected at most "), number(threshold)))
     return _rated(fact).filter(F.col("state") != "NORMAL").select(
         "kpi", "value", threshold.alias("threshold"), F.col("state").alias("alert_type"), "unit",
         message.alias("message"))

@@ -303,6 +303,7 @@ def executive_columns() -> dict[str, Column]:
         "jobs": F.col("jobs"),
         "in_zone": F.col("in_zone"),
         "out_of_zone": F.col("out_of_zone"),
+        # The published thresholds and alert texts.
         "alert_status": F.when(acceptance < 30, "ALERTE: Taux acceptation faible")
                          .when(avg_days > 15, "ALERTE: Délai traitement élevé")
                          .otherwise("NORMAL"),

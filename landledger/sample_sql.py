@@ -796,9 +796,9 @@ SQL["kpi_alerts"] = _with(FACT) + f"""
 SELECT kpi, CAST(value AS DOUBLE) AS value, CAST(CASE state WHEN 'LOW' THEN lo WHEN 'HIGH' THEN hi END AS DOUBLE) AS threshold,
        state AS alert_type, unit,
        CASE state
-         WHEN 'NULL' THEN kpi || ' returned NULL value - data quality issue'
-         WHEN 'LOW' THEN kpi || ' is below minimum threshold: ' || value || ' ' || unit || ' < ' || CAST(lo AS DECIMAL(20,2)) || ' ' || unit
-         ELSE kpi || ' is above maximum threshold: ' || value || ' ' || unit || ' > ' || CAST(hi AS DECIMAL(20,2)) || ' ' || unit
+         WHEN 'NULL' THEN kpi || ': no value could be computed, check the input'
+         WHEN 'LOW' THEN kpi || ': ' || value || ' ' || unit || ', expected at least ' || CAST(lo AS DECIMAL(20,2)) || ' ' || unit
+         ELSE kpi || ': ' || value || ' ' || unit || ', expected at most ' || CAST(hi AS DECIMAL(20,2)) || ' ' || unit
        END AS message
 FROM ({_RATED}) WHERE state <> 'NORMAL'"""
 SQL["kpi_snapshot"] = _with(FACT) + f"""
