@@ -7,13 +7,13 @@ folder and read again as the next stage's documents.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from landledger.llm import decontamination, secrets, sentencepieces, simhash, toxicity
 from landledger.llm.common import table
 from landledger.llm.queries import PIECES
+from landledger.session import scratch_path
 
 #: The classifier behind the first stage and the tokenizer cannot be written in SQL.
 ORACLE_SQL = None
@@ -53,16 +53,9 @@ STAGES = [
 ]
 
 
-def _folder(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return os.path.join(shared, f"corpus-{uuid.uuid4().hex}")
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; the rows of the last one."""
-    docs, folder = table(spark, sf_dir, "documents"), _folder(spark)
+    docs, folder = table(spark, sf_dir, "documents"), scratch_path(spark, "corpus")
     for name, stage in STAGES:
         path = os.path.join(folder, name)
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable
 
 import pyarrow as pa
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from landledger.session import remove, scratch_path, shared_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -22,13 +25,39 @@ def checkpointed(df: DataFrame) -> DataFrame:
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables between the steps of a job, written to a folder of its own below the
+    shared one and dropped when they have served.  Unlike checkpointed frames they
+    have their true size, so plans of later rounds do not pile up estimates."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.count = spark, 0
+        self.folder = scratch_path(spark, "steps")
+
+    def keep(self, df: DataFrame, name: str = "") -> DataFrame:
+        self.count += 1
+        path = f"{self.folder}/{name or self.count}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            remove(self.spark, f"{self.folder}/{name}")
+
+    def close(self) -> None:
+        remove(self.spark, self.folder)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files and checkpoints that no frame refers to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = 16 << 20) -> DataFrame:
     """``df`` marked for broadcast when its counted rows fit in ``limit`` bytes;
     otherwise unchanged, and the join shuffles."""
@@ -49,18 +78,26 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
+#: Rows of an Arrow batch that are worked on at a time.
+SLICE = 1024
+
+
 def with_result(df: DataFrame, needs: list[str], keep: list[str], out: str, ddl: str,
                 compute: Callable[..., Iterable]) -> DataFrame:
     """``keep`` columns of ``df`` and one struct column ``out`` with the fields
     of ``ddl``.  ``compute`` gets the ``needs`` columns of a batch as Arrow
-    arrays and returns one column per field.  Rows stay where they are."""
+    arrays and returns one column per field.  Rows stay where they are; a ``keep``
+    column called ``out`` is an error, any other name is carried along."""
+    if out.lower() in {c.lower() for c in keep}:
+        raise ValueError(f"{out} is a column already; choose another name for the result")
     fields = T.StructType.fromDDL(ddl)
     frame = df.select(*dict.fromkeys([*keep, *needs]))
     schema = T.StructType([*(frame.schema[c] for c in keep), T.StructField(out, fields)])
 
     def run(batches):
         inner = list(to_arrow_schema(fields))
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE) for whole in batches
+                      for at in range(0, len(whole), SLICE)):
             columns = [c if isinstance(c, pa.Array) else pa.array(c, type=f.type)
                        for c, f in zip(compute(*(batch.column(n) for n in needs)), inner)]
             yield pa.RecordBatch.from_arrays(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landledger.llm.common import checkpointed
+from landledger.llm.common import Scratch, checkpointed
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,27 +13,30 @@ def components(edges: DataFrame) -> DataFrame:
     smallest node that can be reached.
 
     Labels are hooked to the smallest label next to them and chains of hooks are
-    followed, until no edge joins two labels.  Every round ends in a checkpoint,
-    so the joins read plain tables that adaptive execution can split where one
-    label is held by very many nodes.  The driver sees one count per round.
+    followed, until no edge joins two labels.  Every round writes its tables to the
+    shared folder, so the joins read plain tables that adaptive execution can split
+    where one label is held by very many nodes.  The driver sees one flag per round.
     """
-    edges = checkpointed(edges.where("a != b").select(
+    scratch = Scratch(edges.sparkSession)
+    edges = scratch.keep(edges.where("a != b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     both = edges.union(edges.select("b", "a"))
-    labels = checkpointed(both.groupBy(F.col("a").alias("node"))
+    labels = scratch.keep(both.groupBy(F.col("a").alias("node"))
                           .agg(F.min("b").alias("root"))
                           .select("node", F.least("node", "root").alias("root")))
     while True:
         low = labels.select(F.col("node").alias("a"), F.col("root").alias("la"))
         high = labels.select(F.col("node").alias("b"), F.col("root").alias("lb"))
-        hooks = checkpointed(
+        hooks = scratch.keep(
             edges.join(low, "a").join(high, "b").where("la != lb")
             .groupBy(F.greatest("la", "lb").alias("root"))
             .agg(F.min(F.least("la", "lb")).alias("next")))
         if hooks.isEmpty():
+            labels = checkpointed(labels)
+            scratch.close()
             return labels
         further = hooks.select(F.col("root").alias("next"), F.col("next").alias("last"))
-        hooks = checkpointed(hooks.join(further, "next", "left").select(
+        hooks = scratch.keep(hooks.join(further, "next", "left").select(
             "root", F.coalesce("last", "next").alias("next")))
-        labels = checkpointed(labels.join(hooks, "root", "left").select(
+        labels = scratch.keep(labels.join(hooks, "root", "left").select(
             "node", F.coalesce("next", "root").alias("root")))

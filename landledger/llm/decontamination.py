@@ -147,7 +147,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     text has no words and no hits.  Items without id or words match nothing; an
     item repeated under one id counts once, equal items under two ids twice.
     Columns of ``docs`` with any other name are carried along; one called ``out``
-    must not be among ``keep``.
+    among ``keep`` is an error.
     """
     keep = docs.columns if keep is None else keep
     blocks = _blocks(benchmark, window, block_bytes)

@@ -125,7 +125,7 @@ def learn(x: np.ndarray, rows: int, k: int, wanted: float = WANTED) -> dict:
     """Router and number of parts to search for an index of ``rows`` vectors, from
     the sample ``x`` of distinct vectors."""
     random = np.random.default_rng(7)
-    scale = float(np.sqrt((x * x).sum(axis=1).mean())) or 1.0
+    scale = float(np.sqrt((x * x).sum(axis=1).mean())) if len(x) else 1.0
     unit = x / scale
     parts = 2 ** max(0, min(int(math.log2(MOST_PARTS)), round(math.log2(max(1, rows / PART_ROWS)))))
     parts = min(parts, 2 ** max(0, int(math.log2(max(1, len(x) // 32)))))

@@ -142,11 +142,15 @@ def phone(text: str, move) -> str | None:
 
 
 def address(text: str, move) -> str | None:
-    """A network address of four numbers up to 255 without leading zeros."""
+    """A network address of four numbers up to 255 without leading zeros; each
+    number keeps its count of digits."""
     parts = text.split(".")
     if any(len(p) > 1 and p[0] == "0" or int(p) > 255 for p in parts):
         return None
-    return ".".join(map(str, _move(map(int, parts), [256] * 4, move)))
+    first = [(0, 10, 100)[len(p) - 1] for p in parts]
+    moved = _move([int(p) - f for p, f in zip(parts, first)],
+                  [(10, 90, 156)[len(p) - 1] for p in parts], move)
+    return ".".join(str(f + m) for f, m in zip(first, moved))
 
 
 def social(text: str, move) -> str | None:
