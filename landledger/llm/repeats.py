@@ -89,24 +89,70 @@ def _anchors(x: np.ndarray, width: int) -> np.ndarray:
     return (best & place).astype(np.int64)
 
 
-def _runs(batches):
-    """Rows of step 1; start and length of a run are packed into one number."""
-    powers = _powers()
-    for batch in batches:
-        for key, part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                   utf8(batch.column(2))):
-            for at in range(0, max(0, len(text or b"") - THRESHOLD + 1), CHUNK):
+class Block:
+    """Pieces of many documents side by side, so that arrays stay long.  A start is
+    good if its whole string lies in its piece."""
+
+    def __init__(self, pieces, powers):
+        keys, parts, offsets, texts = zip(*pieces)
+        size = np.array([len(t) for t in texts])
+        end = np.cumsum(size)
+        starts = size - THRESHOLD + 1  # good ones, the first of each piece
+        self.piece = np.repeat(np.arange(len(size)), starts)
+        within = np.arange(len(self.piece)) - np.repeat(np.cumsum(starts) - starts, starts)
+        self.good = (end - size)[self.piece] + within
+        self.place = np.array(offsets)[self.piece] + within
+        self.keys, self.parts = np.array(keys)[self.piece], np.array(parts)[self.piece]
+        self.hashes = Hashes(b"".join(texts), powers)
+
+    def rows(self, group: int | None):
+        """Rank, cover, key, part and place of every run or group of starts; start
+        and length are packed into the place."""
+        good, of = self.good, self.hashes.of
+        if group == 1:
+            whole = of(good, good + THRESHOLD)
+            ranks = covers = whole
+            first, n = np.arange(len(good)), 1
+        else:
+            grams = self.hashes.all(FIRST)
+            anchor = _anchors(grams, THRESHOLD - FIRST + 1)[good]
+            number = (anchor - good) // (group or THRESHOLD)
+            first = np.concatenate([[0], np.flatnonzero(
+                np.diff(anchor) | np.diff(number) | np.diff(self.piece)) + 1])
+            last = np.concatenate([first[1:], [len(good)]]) - 1
+            covers, n = of(good[first], good[last] + THRESHOLD), last - first + 1
+            if group is None:
+                ranks = grams[anchor[first]]
+            else:  # what all strings of a full group share, wherever this one is cut off
+                latest = anchor[first] - number[first] * group
+                ranks = of(latest, latest - group + 1 + THRESHOLD)
+        return [ranks.view(np.int64), covers.view(np.int64), self.keys[first], self.parts[first],
+                self.place[first] << 8 | n]
+
+
+def _blocked(pieces, group):
+    """Rows of all pieces (key, part, offset, bytes), a chunk at a time."""
+    powers, held, size = _powers(), [], 0
+    with np.errstate(over="ignore"):
+        for key, part, offset, text in pieces:
+            for at in range(0, len(text) - THRESHOLD + 1, CHUNK):
                 piece = text[at:at + CHUNK + THRESHOLD - 1]
-                with np.errstate(over="ignore"):
-                    hashes = Hashes(piece, powers)
-                    first = hashes.all(FIRST)
-                    anchor = _anchors(first, THRESHOLD - FIRST + 1)
-                    start = np.concatenate([[0], np.flatnonzero(np.diff(anchor)) + 1])
-                    end = np.concatenate([start[1:], [len(anchor)]])
-                    covered = hashes.of(start, end - 1 + THRESHOLD)
-                yield [first[anchor[start]].view(np.int64), covered.view(np.int64),
-                       np.full(len(start), key), np.full(len(start), part),
-                       (start + at) << 8 | (end - start)]
+                if held and size + len(piece) > CHUNK + THRESHOLD - 1:
+                    yield Block(held, powers).rows(group)
+                    held, size = [], 0
+                held.append((key, part, offset + at, piece))
+                size += len(piece)
+        if held:
+            yield Block(held, powers).rows(group)
+
+
+def _runs(batches):
+    def pieces():
+        for batch in batches:
+            for key, part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                       utf8(batch.column(2))):
+                yield key, part, 0, text or b""
+    return _blocked(pieces(), None)
 
 
 def _packed(texts):
@@ -127,33 +173,14 @@ def _merged(spans: np.ndarray) -> np.ndarray:
 
 def _finer(batches, group):
     """Rows of the next round for the open runs of each document."""
-    powers = _powers()
-    for batch in batches:
-        for key, part, blob, runs in zip(*(c.to_pylist() for c in batch.columns)):
-            text, runs = zstandard.decompress(blob), np.array(runs, np.int64)
-            for a, b in _merged(np.column_stack([runs >> 8, (runs >> 8) + (runs & 255)])).tolist():
-                for at in range(a, b, CHUNK):
-                    piece = text[at:min(b, at + CHUNK) + THRESHOLD - 1]
-                    with np.errstate(over="ignore"):
-                        hashes = Hashes(piece, powers)
-                        rows = _groups(hashes, group)
-                    yield [*(h.view(np.int64) for h in rows[:2]), np.full(len(rows[2]), key),
-                           np.full(len(rows[2]), part), rows[2] + (at << 8)]
-
-
-def _groups(hashes: Hashes, group: int):
-    """Rank, cover and place of the groups of starts in a piece."""
-    if group == 1:
-        whole = hashes.all(THRESHOLD)
-        return whole, whole, np.arange(len(whole)) << 8 | 1
-    anchor = _anchors(hashes.all(FIRST), THRESHOLD - FIRST + 1)
-    number = (anchor - np.arange(len(anchor))) // group
-    start = np.concatenate([[0], np.flatnonzero(np.diff(anchor) | np.diff(number)) + 1])
-    end = np.concatenate([start[1:], [len(anchor)]])
-    # the bytes that all strings of a full group share, wherever this one is cut off
-    latest = anchor[start] - number[start] * group
-    return (hashes.of(latest, latest - group + 1 + THRESHOLD),
-            hashes.of(start, end - 1 + THRESHOLD), start << 8 | (end - start))
+    def pieces():
+        for batch in batches:
+            for key, part, blob, runs in zip(*(c.to_pylist() for c in batch.columns)):
+                text, runs = zstandard.decompress(blob), np.array(runs, np.int64)
+                for a, b in _merged(np.column_stack(
+                        [runs >> 8, (runs >> 8) + (runs & 255)])).tolist():
+                    yield key, part, a, text[a:b + THRESHOLD - 1]
+    return _blocked(pieces(), group)
 
 
 def _cut(blobs, digests, runs):
@@ -249,8 +276,10 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     for group in (GROUP, 1):
         asked = texts.join(_by_document(open_, "open"), document).select(
             "key", "part", "blob", "open")
-        later, open_ = _round(map_rows(asked, _ROW, functools.partial(_finer, group=group)),
-                              last=group == 1)
+        # written first: the texts move once a round
+        rows = checkpointed(map_rows(asked, _ROW, functools.partial(_finer, group=group)))
+        later, open_ = _round(rows, last=group == 1)
+        del rows
         covered = covered.union(later)
         _release(docs.sparkSession)
     found = table.join(_by_document(covered, "covered"), document, "left")
