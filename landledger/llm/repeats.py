@@ -26,7 +26,6 @@ in checkpoints, and the shuffle files behind them are given back.
 from __future__ import annotations
 
 import functools
-import gc
 import hashlib
 
 import numpy as np
@@ -34,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landledger.llm.common import checkpointed, map_rows, utf8, with_result
+from landledger.llm.common import Scratch, checkpointed, map_rows, release, utf8, with_result
 
 THRESHOLD = 100
 FIRST, GROUP = 40, 8
@@ -216,30 +215,30 @@ _PLACE = ["key", "part", "place"]
 _ROW = "rank bigint, cover bigint, key bigint, part bigint, place bigint"
 
 
-def _release(spark) -> None:
-    """Let Spark remove the shuffle files and checkpoints that no frame refers to."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def _round(rows: DataFrame, last: bool = False) -> tuple[DataFrame, DataFrame | None]:
+def _round(scratch: Scratch, rows: DataFrame, name: str, last: bool = False):
     """The places whose strings all start earlier, and those that go on."""
-    place = F.struct(*_PLACE)
-    again = checkpointed(rows.groupBy("rank").agg(F.count("*").alias("n"))
-                         .where("n > 1").select("rank"))
-    _release(rows.sparkSession)
-    rows = checkpointed(rows.join(again, "rank", "left_semi"))
-    _release(rows.sparkSession)
-    kinds = checkpointed(rows.groupBy("rank", "cover").agg(
-        F.min(place).alias("first"), F.count("*").alias("n")))
-    later = checkpointed(
+    spark, place = rows.sparkSession, F.struct(*_PLACE)
+    again = scratch.keep(rows.groupBy("rank").agg(F.count("*").alias("n"))
+                         .where("n > 1").select("rank"), "again")
+    release(spark)
+    rows = scratch.keep(rows.join(again, "rank", "left_semi"), "rows")
+    release(spark)
+    kinds = scratch.keep(rows.groupBy("rank", "cover").agg(
+        F.min(place).alias("first"), F.count("*").alias("n")), "kinds")
+    release(spark)
+    later = scratch.keep(
         rows.join(kinds.where("n > 1").select("rank", "cover", "first"), ["rank", "cover"])
-        .where(place != F.col("first")).select(*_PLACE))
-    if last:
-        return later, None
-    several = checkpointed(kinds.groupBy("rank").agg(F.count("*").alias("kinds"))
-                           .where("kinds > 1").select("rank"))
-    return later, checkpointed(kinds.join(several, "rank", "left_semi").select("first.*"))
+        .where(place != F.col("first")).select(*_PLACE), f"later_{name}")
+    release(spark)
+    open_ = None
+    if not last:
+        several = scratch.keep(kinds.groupBy("rank").agg(F.count("*").alias("kinds"))
+                               .where("kinds > 1").select("rank"), "several")
+        open_ = scratch.keep(kinds.join(several, "rank", "left_semi").select("first.*"),
+                             f"open_{name}")
+    scratch.drop("again", "rows", "kinds", "several")
+    release(spark)
+    return later, open_
 
 
 def _by_document(places: DataFrame, name: str) -> DataFrame:
@@ -260,7 +259,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     judged = keyed.select("key", "part", "text")
     if not unique:
         judged = judged.dropDuplicates(document)
-    later, open_ = _round(map_rows(judged, _ROW, _runs))
+    scratch = Scratch(docs.sparkSession)
+    later, open_ = _round(scratch, map_rows(judged, _ROW, _runs), "runs")
     touched = later.select(document).union(open_.select(document)).distinct()
     packed = with_result(keyed, ["text"], ["doc_id", "key", "part"], "packed",
                          "n_bytes bigint, digest string, blob binary", _packed)
@@ -268,7 +268,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         packed.join(touched.withColumn("touched", F.lit(True)), document, "left").select(
             "doc_id", "key", "part", "packed.n_bytes", "packed.digest",
             F.when(F.col("touched"), F.col("packed.blob")).alias("blob")))
-    _release(docs.sparkSession)
+    release(docs.sparkSession)
     texts = table.where("blob is not null").select("key", "part", "blob")
     if not unique:
         texts = texts.dropDuplicates(document)
@@ -277,12 +277,14 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         asked = texts.join(_by_document(open_, "open"), document).select(
             "key", "part", "blob", "open")
         # written first: the texts move once a round
-        rows = checkpointed(map_rows(asked, _ROW, functools.partial(_finer, group=group)))
-        later, open_ = _round(rows, last=group == 1)
-        del rows
+        rows = scratch.keep(map_rows(asked, _ROW, functools.partial(_finer, group=group)), "finer")
+        release(docs.sparkSession)
+        later, open_ = _round(scratch, rows, f"groups_{group}", last=group == 1)
         covered = covered.union(later)
-        _release(docs.sparkSession)
-    found = table.join(_by_document(covered, "covered"), document, "left")
+    covered = checkpointed(_by_document(covered, "covered"))
+    scratch.close()
+    release(docs.sparkSession)
+    found = table.join(covered, document, "left")
     result = with_result(found, ["blob", "digest", "covered"], ["doc_id", "n_bytes"], "cut",
                          "n_removed bigint, n_spans bigint, kept_sha256 string", _cut)
     return result.select("doc_id", "n_bytes", "cut.*")
