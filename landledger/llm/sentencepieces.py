@@ -39,7 +39,7 @@ from landledger.llm.common import Once, utf8, with_result
 #: The mark that stands for a blank.
 MARK = "▁"
 #: Chunks, and neighbouring pieces, that a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 _UNKNOWN_PENALTY = 10.0
 _LETTER = r"[^\W\d_]"
 
@@ -219,20 +219,33 @@ class Speller:
         return text[1:] if self.prefix and first is not None and self.marked[first] else text
 
 
+def _lists(parts: list[bytes]) -> pa.Array:
+    """Consecutive 32-bit integers as an Arrow list column."""
+    offsets = np.cumsum([0, *(len(p) // 4 for p in parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(
+        pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)),
+        type=pa.list_(pa.field("element", pa.int32())))
+
+
 def _encode(texts, coder):
     coder = coder.get()
     parts = [coder.encode((t or b"").decode("utf-8", "replace")) for t in utf8(texts)]
-    lengths = [len(p) // 4 for p in parts]
-    values = pa.array(np.frombuffer(b"".join(parts), np.int32))
-    offsets = pa.array(np.cumsum([0, *lengths]).astype(np.int32))
-    return [pa.ListArray.from_arrays(offsets, values, type=pa.list_(pa.field(
-        "element", pa.int32()))), lengths]
+    return [_lists(parts), [len(p) // 4 for p in parts]]
+
+
+def _there_and_back(texts, coder, speller):
+    coder, speller = coder.get(), speller.get()
+    parts, same = [], []
+    for raw in utf8(texts):
+        text = (raw or b"").decode("utf-8", "replace")
+        parts.append(coder.encode(text))
+        same.append(speller.decode(np.frombuffer(parts[-1], np.int32).tolist()) == text)
+    return [_lists(parts), [len(p) // 4 for p in parts], same]
 
 
 def _decode(ids, speller):
     speller = speller.get()
-    return [[speller.decode(ids[i].values.to_numpy().tolist()) if ids[i].is_valid else ""
-             for i in range(len(ids))]]
+    return [[speller.decode(x or []) for x in ids.to_pylist()]]
 
 
 def encode(docs: DataFrame, model: dict, keep: list[str] | None = None,
@@ -255,9 +268,10 @@ def decode(rows: DataFrame, model: dict, ids: str, keep: list[str] | None = None
 
 def report(docs: DataFrame, model: dict) -> DataFrame:
     """Ids of every document and whether decoding gives its text back."""
-    encoded = (encode(docs, model, ["doc_id", "text"])
-               .select("doc_id", "text", F.col("tokens.ids").alias("ids"),
-                       F.col("tokens.n").alias("n_tokens")))
-    back = decode(encoded, model, "ids")
-    return back.select("doc_id", "n_tokens", "ids", (
-        F.col("decoded.text") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    spark = docs.sparkSession
+    return with_result(
+        docs, ["text"], ["doc_id"], "tokens", "ids array<int>, n bigint, same boolean",
+        functools.partial(_there_and_back, coder=Once(spark, model, Codec),
+                          speller=Once(spark, model, Speller))).select(
+        "doc_id", F.col("tokens.n").alias("n_tokens"), F.col("tokens.ids").alias("ids"),
+        F.col("tokens.same").alias("round_trip"))
