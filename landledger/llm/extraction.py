@@ -62,6 +62,8 @@ JUNK = frozenset("""
     toolbar topbar widget widgets
 """.split())
 MAIN_WORDS = frozenset("article content entry main post story text".split())
+NEGATIONS = frozenset("free has no with without".split())
+BESIDE = frozenset("ad ads footer header menu nav sidebar widget widgets".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
@@ -100,7 +102,12 @@ def _is_junk(tag: str, attributes: str, inside: Node) -> bool:
             or _HIDDEN.search(values.get("style", ""))):
         return True
     words = {w.lower() for w in _WORDS.findall(f"{values.get('class', '')} {values.get('id', '')}")}
-    return bool(words & JUNK) and not (words & MAIN_WORDS and not words & {"comment", "comments"})
+    junk = words & JUNK
+    if words & NEGATIONS:  # a frame that names what stands beside it
+        junk -= BESIDE
+    if words & MAIN_WORDS:
+        junk -= {"header", "teaser"}
+    return bool(junk)
 
 
 def _surrounding(node: Node | None) -> Node | None:

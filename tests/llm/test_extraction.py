@@ -45,6 +45,9 @@ def test_sections_of_an_article_are_kept_whole():
     ("<p>a&amp;b &lt;c&gt; &#233;&nbsp;d</p>", "a&b <c> é d"), ("<p>a<b>b</b>c<br>d</p>", "abc d"),
     ("<p>one</p><!-- <p>two</p> --><p>three", "one three"), ("<p>cut <a href='x", "cut"),
     ("<nav><p>only a menu, with, commas, in it, and more</p></nav>", ""),
+    ("<div class='main-nav'><p>no</p></div><div class='content has-sidebar'><p>yes</p></div>", "yes"),
+    ("<article><div class='entry-header'><h1>t</h1></div><p>x</p><div class='post-footer'>no</div>"
+     "<p class='notice'>no</p></article>", "t x"),
     ("<p hidden>no</p><p style='display: none'>no</p><p>yes</p>", "yes")])
 def test_small_pages(html, text):
     assert main_text(html) == text
