@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -40,14 +42,17 @@ def get_spark(app: str = "landledger", master: str | None = None,
 
 @lru_cache(maxsize=1)
 def _own_dir() -> str:
-    return tempfile.mkdtemp(prefix="run-landledger-")
+    folder = tempfile.mkdtemp(prefix="run-landledger-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
     Only a session that runs in one process (master ``local``), as in trials, may
-    leave it unset and gets a folder of its own; on a cluster that is an error.
+    leave it unset and gets a folder of its own until it ends; on a cluster that is
+    an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
