@@ -39,7 +39,7 @@ from landledger.llm.common import Once, utf8, with_result
 #: The mark that stands for a blank.
 MARK = "▁"
 #: Chunks, and neighbouring pieces, that a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED, NEIGHBOURS = 200_000, 400_000
 _UNKNOWN_PENALTY = 10.0
 _LETTER = r"[^\W\d_]"
 
@@ -107,7 +107,7 @@ class Codec:
         self.pieces = model["pieces"]
         self.ranks = ({p: s for p, s, use in zip(self.pieces, model["scores"], model["usable"])
                        if use} if model["merged"] else None)
-        self.neighbours: dict[tuple[int, int], bool] = {}
+        self.neighbours: dict[int, bool] = {}
 
     @staticmethod
     def _cutter(line_end: bool, after_letter: set[str]):
@@ -138,15 +138,16 @@ class Codec:
 
     def _may_follow(self, left: int, right: int) -> bool:
         found = left == self.unknown or self._stays(self.pieces[left], self.pieces[right])
-        if len(self.neighbours) >= REMEMBERED:
+        if len(self.neighbours) >= NEIGHBOURS:
             self.neighbours.clear()
-        self.neighbours[left, right] = found
+        self.neighbours[left << 32 | right] = found
         return found
 
     def best(self, chunk: str) -> list[int]:
         """Piece ids of the segmentation with the highest sum of scores."""
         n, lowest, ruled = len(chunk), float("-inf"), self.ranks is not None
         single, known = self.single, self.neighbours.get
+        strange = not single.issuperset(chunk)  # some character is no piece
         score, back, last = [0.0] + [lowest] * n, [0] * (n + 1), [self.unknown] * (n + 1)
         at = 0  # ends below are final
 
@@ -158,24 +159,26 @@ class Codec:
                         score[end + 1], back[end + 1], last[end + 1] = other, end, self.unknown
         if single:
             for end, (length, value, piece) in self.automaton.iter(chunk):
-                if end > at:
+                if strange and end > at:
                     settle(end)
                     at = end
                 end += 1
-                # under the rule only one piece can end here
-                if ruled and score[end] > lowest:
-                    continue
+                if ruled and back[end]:
+                    continue  # under the rule only one piece can end here
                 start = end - length
                 other = score[start] + value
                 if other > score[end]:
                     if ruled and start:
-                        follows = known((last[start], piece))
+                        follows = known(last[start] << 32 | piece)
                         if follows is None:
                             follows = self._may_follow(last[start], piece)
                         if not follows:
                             continue
-                    score[end], back[end], last[end] = other, start, piece
-        settle(n)
+                    score[end] = other
+                    back[end] = start
+                    last[end] = piece
+        if strange:
+            settle(n)
         ids, end = [], n
         while end:
             start, piece = back[end], last[end]
