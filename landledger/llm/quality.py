@@ -73,11 +73,12 @@ def _packs(batches):
         yield held
 
 
-def _name(rows) -> str:
-    digest = xxhash.xxh3_128()
+def _name(rows) -> int:
+    """A number from a pack's content.  Packs that share one share their answers."""
+    digest = xxhash.xxh3_64()
     for doc_id, _, _, text in rows:
         digest.update(repr((doc_id, len(text or b""))).encode() + (text or b""))
-    return digest.hexdigest()
+    return digest.intdigest() - (1 << 63)
 
 
 def _asked(batches, order):
@@ -103,7 +104,7 @@ def _rows_of(batches):
             grams = np.frombuffer(grams, np.int64)
             for i in range(0, len(grams), 65536):
                 part = grams[i:i + 65536]
-                yield [[pack] * len(part), part, np.frombuffer(counts, np.int64)[i:i + 65536]]
+                yield [np.full(len(part), pack), part, np.frombuffer(counts, np.int64)[i:i + 65536]]
 
 
 def _compressed(batches):
@@ -227,13 +228,13 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER) -> Data
     has no perplexity.  One row per row of ``docs``, repeated rows included.
     """
     rows = _with_trust(docs, labels)
-    asked = checkpointed(map_rows(rows, "pack string, grams binary, counts binary",
+    asked = checkpointed(map_rows(rows, "pack bigint, grams binary, counts binary",
                                   functools.partial(_asked, order=order)))
-    each = map_rows(asked, "pack string, gram bigint, n bigint", _rows_of)
+    each = map_rows(asked, "pack bigint, gram bigint, n bigint", _rows_of)
     grams = checkpointed(each.groupBy("gram").agg(F.sum("n").alias("n")))
     model = checkpointed(probabilities(grams.select("gram"), grams, order))
-    answers = each.select("pack", "gram").distinct().join(model, "gram")
-    packs = map_rows(rows, "pack string, blob binary", _compressed)
+    answers = each.select("pack", "gram").join(model, "gram")
+    packs = map_rows(rows, "pack bigint, blob binary", _compressed)
     scored = answers.groupBy("pack").cogroup(packs.groupBy("pack")).applyInPandas(
         lambda a, p: _scored(a, p, order),
         "doc_id bigint, lang string, trusted boolean, n_symbols bigint, mean double")
