@@ -69,14 +69,23 @@ _MIXED = re.compile(r"[^\W\d_]+[0-9@$!|€](?:[^\W_]|[@$!|€])*[^\W\d_]|"
                     r"[0-9@$|€]+[^\W\d_](?:[^\W_]|[@$!|€])*")
 _WORD = re.compile(r"[^\W_]+")
 _INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
+# quick looks that spare most texts the slower steps
+_HAS_INVISIBLE = re.compile(f"[{''.join(map(chr, _INVISIBLE))}]").search
+_HAS_LOOKALIKE = re.compile(f"[{''.join(LOOKALIKES)}]").search
+_HAS_SUBSTITUTE = re.compile(r"[0-9@$!|€][^\W_]|[^\W_][0-9@$!|€]").search
 
 
 def folded(text: str) -> list[str]:
     """The words of a text as the lexicon sees them."""
     if not text.isascii():
-        text = unicodedata.normalize("NFKC", text.translate(_INVISIBLE)).translate(_FOLD)
+        if _HAS_INVISIBLE(text):
+            text = text.translate(_INVISIBLE)
+        if not unicodedata.is_normalized("NFKC", text):
+            text = unicodedata.normalize("NFKC", text)
+        if _HAS_LOOKALIKE(text):
+            text = text.translate(_FOLD)
     text = text.lower()
-    if not text.isalpha():
+    if _HAS_SUBSTITUTE(text):
         text = _MIXED.sub(lambda m: m.group().translate(_LEET), text)
     return _WORD.findall(text)
 
