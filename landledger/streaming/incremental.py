@@ -32,8 +32,10 @@ def apply_landed_recoveries(spark: SparkSession, landing: str, schema: T.StructT
     def merge(batch: DataFrame, batch_number: int) -> None:
         session = batch.sparkSession
         cleaned = clean.clean_recoveries(extract.all_recoveries(batch))
-        rows = jobs.with_month(facts.fact_recoveries(
-            cleaned, session.read.parquet(receivable_path), f"{name}_{batch_number}"), "action_date_key")
+        # only the receivables that the batch names take part in the lookup
+        parents = session.read.parquet(receivable_path).join(
+            cleaned.select("receivable_id").distinct(), "receivable_id", "left_semi")
+        rows = jobs.with_month(facts.fact_recoveries(cleaned, parents, f"{name}_{batch_number}"), "action_date_key")
         # stored once, as the upsert reads it more than once
         staged = os.path.join(checkpoint, "batches")
         full_refresh(rows, staged, str(batch_number))
