@@ -143,10 +143,13 @@ def scan(docs: DataFrame, keep: list[str] | None = None, out: str = "secrets") -
     ordered by start and kind; kinds are places in ``KINDS``, stops exclusive, in
     code points.
 
-    One row per row of ``docs``.  A null or empty text has no spans.  A quick look
-    for each pattern goes first, so only texts with a match are cut up.
+    One row per row of ``docs``.  A null or empty text has no spans.  A kept column
+    called ``out`` is an error, any other name is carried along.  A quick look for
+    each pattern goes first, so only texts with a match are cut up.
     """
     keep = docs.columns if keep is None else keep
+    if out.lower() in {c.lower() for c in keep}:
+        raise ValueError(f"{out} is a column already; choose another name for the result")
     words = [F.col(c) for c in keep]
     text = F.coalesce(F.col("text"), F.lit(""))
     guards = (text.rlike(f"(?:{_ANY_CASE})[\"']?\\x20*[:=]"), text.contains("AKIA"),

@@ -39,7 +39,7 @@ from landledger.llm.common import Once, utf8, with_result
 #: The mark that stands for a blank.
 MARK = "▁"
 #: Chunks, and neighbouring pieces, that a worker remembers.
-REMEMBERED, NEIGHBOURS = 400_000, 400_000
+REMEMBERED, NEIGHBOURS = 300_000, 400_000
 _UNKNOWN_PENALTY = 10.0
 _LETTER = r"[^\W\d_]"
 

@@ -92,9 +92,12 @@ def test_masked_and_awkward_rows(spark):
     assert [r.n_chars for r in rows] == [len(r.text) for r in rows]
     same = cases.awkward(spark)
     assert cases.pairs(secrets.masked(same), *same.columns) == cases.pairs(same, *same.columns)
-    assert secrets.report(secrets.scan(cases.none(spark))).count() == 0
+    assert secrets.report(secrets.scan(cases.none(spark), ["doc_id"])).count() == 0
+    assert secrets.report(secrets.scan(same, ["doc_id"])).count() == 10
+    with pytest.raises(ValueError):
+        secrets.scan(same)
 
 
 def test_no_python_on_the_main_path(spark):
-    plan = secrets.report(secrets.scan(cases.awkward(spark)))._jdf.queryExecution().toString()
+    plan = secrets.report(secrets.scan(cases.awkward(spark), ["doc_id"]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
