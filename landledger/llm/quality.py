@@ -11,8 +11,10 @@ different sequences, the join answers, and the pack is scored with its own answe
 so what moves is one row per pack and sequence, and each text once, compressed.
 A pack is named by its content, so both readings agree on it.
 
-A document is kept if its perplexity is at most the quantile that trusted documents
-of its language reach.
+A document is kept if its perplexity is at most the cut of its language.  The cut is
+where labelled rows the model has not seen part best: the share of good ones below
+it less the share of bad ones below it is greatest.  A fifth of the trusted documents
+is kept out of the model for that.
 """
 
 from __future__ import annotations
@@ -30,15 +32,22 @@ from pyspark.sql import functions as F
 from landledger.llm.common import broadcast_if_small, checkpointed, map_rows, utf8
 
 ORDER = 4
-#: Share of a language's trusted documents that its threshold keeps.
+#: Share of a language's trusted documents that its threshold keeps, where labels do
+#: not suffice for a cut.
 QUANTILE = 0.995
+#: One trusted document of so many is kept out of the model.
+FOLDS = 5
+#: Least rows of either label for a cut.
+LEAST = 20
+#: Bins of a unit of log-perplexity in which labelled rows are counted.
+BINS = 200
 #: Bytes of text in a pack.
 PACK_BYTES = 16 << 20
 #: Bits of a symbol.
 BITS = 15
 
 _PACKED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("trusted", pa.bool_()),
-                     ("text", pa.binary())])
+                     ("quality", pa.int32()), ("text", pa.binary())])
 
 
 def symbols(text: bytes) -> np.ndarray:
@@ -63,12 +72,13 @@ def _packs(batches):
     held, size = [], 0
     for batch in batches:
         doc_ids, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for row in zip(doc_ids, langs, batch.column(2).to_pylist(), utf8(batch.column(3))):
-            if held and size + len(row[3] or b"") > PACK_BYTES:
+        for row in zip(doc_ids, langs, batch.column(2).to_pylist(), batch.column(3).to_pylist(),
+                       utf8(batch.column(4))):
+            if held and size + len(row[-1] or b"") > PACK_BYTES:
                 yield held
                 held, size = [], 0
             held.append(row)
-            size += len(row[3] or b"")
+            size += len(row[-1] or b"")
     if held:
         yield held
 
@@ -76,7 +86,7 @@ def _packs(batches):
 def _name(rows) -> int:
     """A number from a pack's content.  Packs that share one share their answers."""
     digest = xxhash.xxh3_64()
-    for doc_id, _, _, text in rows:
+    for doc_id, *_, text in rows:
         digest.update(repr((doc_id, len(text or b""))).encode() + (text or b""))
     return digest.intdigest() - (1 << 63)
 
@@ -88,7 +98,7 @@ def _asked(batches, order):
         for i in range(0, len(rows), 256):
             parts, weight = [found], [counts]
             for trusted in (False, True):
-                texts = [sequences(r[3], order) for r in rows[i:i + 256] if r[3] and r[2] == trusted]
+                texts = [sequences(r[-1], order) for r in rows[i:i + 256] if r[-1] and r[2] == trusted]
                 if texts:
                     values, n = np.unique(np.concatenate(texts), return_counts=True)
                     parts.append(values)
@@ -125,7 +135,7 @@ def _scored(answers, packs, order):
     out = []
     for blob in packs["blob"]:
         table = pa.ipc.open_stream(zstandard.decompress(blob)).read_all()
-        for doc_id, lang, trusted, text in zip(*(c.to_pylist() for c in table.columns)):
+        for doc_id, lang, trusted, quality, text in zip(*(c.to_pylist() for c in table.columns)):
             mean, n = None, 0
             if text:
                 x = sequences(text, order)
@@ -133,9 +143,10 @@ def _scored(answers, packs, order):
                 if not len(grams) or (grams[at] != x).any():
                     raise RuntimeError("a pack was read differently the second time")
                 mean, n = float(logs[at].mean()), len(x)
-            out.append((doc_id, lang, trusted, n, mean))
-    return pd.DataFrame(out, columns=["doc_id", "lang", "trusted", "n_symbols", "mean"]).astype(
-        {"doc_id": "Int64", "n_symbols": "int64", "mean": "float64"})
+            out.append((doc_id, lang, trusted, quality, n, mean))
+    return pd.DataFrame(out, columns=["doc_id", "lang", "trusted", "quality", "n_symbols",
+                                      "mean"]).astype(
+        {"doc_id": "Int64", "quality": "Int32", "n_symbols": "int64", "mean": "float64"})
 
 
 def _low(gram, order):
@@ -208,26 +219,31 @@ def probabilities(grams: DataFrame, rows: DataFrame, order: int = ORDER) -> Data
     return known.select("gram", F.log("p").alias("log"))
 
 
-def _with_trust(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, lang, trusted, text.  Few labels are broadcast; for many the joined
-    rows are written, so that both readings see the same order."""
-    good = labels.where("quality = 1 and doc_id is not null").select(
-        F.col("doc_id").alias("good")).distinct()
-    small = broadcast_if_small(good, 16)
+def _with_trust(docs: DataFrame, labels: DataFrame, hold_out: bool) -> DataFrame:
+    """doc_id, lang, trusted, quality (the label), text.  Few labels are broadcast; for
+    many the joined rows are written, so that both readings see the same order."""
+    marks = labels.where("quality in (0, 1) and doc_id is not null").groupBy(
+        F.col("doc_id").alias("of")).agg(F.max("quality").cast("int").alias("quality"))
+    small = broadcast_if_small(marks, 24)
+    good = F.coalesce(F.col("quality") == 1, F.lit(False))
+    if hold_out and marks.where("quality = 1").count() >= FOLDS * LEAST:
+        good &= F.crc32(F.col("of").cast("string")) % FOLDS != 0
     joined = docs.select("doc_id", "lang", "text").join(
-        small, F.col("doc_id") == F.col("good"), "left").select(
+        small, F.col("doc_id") == F.col("of"), "left").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-        F.col("good").isNotNull().alias("trusted"), "text")
-    return joined if small is not good else checkpointed(joined)
+        F.coalesce(good, F.lit(False)).alias("trusted"), "quality", "text")
+    return joined if small is not marks else checkpointed(joined)
 
 
-def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER) -> DataFrame:
-    """doc_id, lang, trusted, n_symbols and perplexity of every document.
+def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER,
+                 hold_out: bool = False) -> DataFrame:
+    """doc_id, lang, trusted, quality, n_symbols and perplexity of every document.
 
-    Trusted are the documents that ``labels`` give quality 1.  A null or empty text
-    has no perplexity.  One row per row of ``docs``, repeated rows included.
+    Trusted are the documents that ``labels`` give quality 1; with ``hold_out`` one
+    of FOLDS of them, chosen by a hash of the id, is not, if there are enough.  A null
+    or empty text has no perplexity.  One row per row of ``docs``, repeated rows included.
     """
-    rows = _with_trust(docs, labels)
+    rows = _with_trust(docs, labels, hold_out)
     asked = checkpointed(map_rows(rows, "pack bigint, grams binary, counts binary",
                                   functools.partial(_asked, order=order)))
     each = map_rows(asked, "pack bigint, gram bigint, n bigint", _rows_of)
@@ -237,25 +253,62 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER) -> Data
     packs = map_rows(rows, "pack bigint, blob binary", _compressed)
     scored = answers.groupBy("pack").cogroup(packs.groupBy("pack")).applyInPandas(
         lambda a, p: _scored(a, p, order),
-        "doc_id bigint, lang string, trusted boolean, n_symbols bigint, mean double")
-    return scored.select("doc_id", "lang", "trusted", "n_symbols",
+        "doc_id bigint, lang string, trusted boolean, quality int, n_symbols bigint, mean double")
+    return scored.select("doc_id", "lang", "trusted", "quality", "n_symbols",
                          F.exp(-F.col("mean")).alias("perplexity"))
 
 
+def best_cut(bins, good, bad) -> float | None:
+    """The perplexity that parts counted rows best, halfway to the next counted bin;
+    None with fewer than LEAST rows of either label."""
+    place = np.argsort(bins)
+    bins, good, bad = (np.asarray(x)[place] for x in (bins, good, bad))
+    if good.sum() < LEAST or bad.sum() < LEAST:
+        return None
+    at = int(np.argmax(np.cumsum(good) / good.sum() - np.cumsum(bad) / bad.sum()))
+    above = bins[at + 1] if at + 1 < len(bins) else bins[at] + 1
+    return float(np.exp((bins[at] + 1 + above) / 2 / BINS))
+
+
+def _cuts(scored: DataFrame) -> DataFrame:
+    """of (a language, or null for all) and cut, from the labelled rows the model has
+    not seen.  Rows are counted in bins first, so a language is one small group."""
+    unseen = scored.where("not trusted and quality is not null and perplexity is not null")
+    counted = unseen.groupBy("lang", F.floor(F.log("perplexity") * BINS).alias("bin")).agg(
+        F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad"))
+    counted = counted.select(F.explode(F.array(
+        F.struct(F.lit(True).alias("any"), F.lit(None).cast("string").alias("of")),
+        F.struct(F.lit(False).alias("any"), F.col("lang").alias("of")))).alias("k"),
+        "bin", "good", "bad").where("k.any or k.of is not null")
+
+    def cut(rows):
+        value = best_cut(rows["bin"], rows["good"], rows["bad"])
+        return pd.DataFrame({"of": [rows["of"].iloc[0]], "cut": [value]}).astype(
+            {"cut": "float64"})
+    return counted.select("k.of", "bin", "good", "bad").groupBy("of").applyInPandas(
+        cut, "of string, cut double").where("cut is not null")
+
+
 def classified(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
                order: int = ORDER) -> DataFrame:
     """The perplexities with the threshold of the document's language and ``keep``.
 
-    A language without trusted documents (or a null one) gets the threshold of all
-    trusted documents; without any, everything with a text is kept.  Documents
-    without text are not kept.
+    The threshold is the cut of the language's labelled rows.  A language with too few
+    of them gets the ``quantile`` of its good documents; without good documents (or a
+    null language) the cut of all labelled rows, then the quantile of all good
+    documents; without any, everything with a text is kept.  Documents without text
+    are not kept.
     """
-    scored = checkpointed(perplexities(docs, labels, order))
-    trusted = scored.where("trusted and perplexity is not null")
-    cut = F.percentile_approx("perplexity", quantile, 10_000)
-    overall = trusted.agg(cut).first()[0]
-    by_lang = checkpointed(trusted.where("lang is not null").groupBy(F.col("lang").alias("of"))
-                           .agg(cut.alias("threshold")))
+    scored = checkpointed(perplexities(docs, labels, order, hold_out=True))
+    cuts = checkpointed(_cuts(scored))
+    good = scored.where("quality = 1 and perplexity is not null")
+    quantile_of = F.percentile_approx("perplexity", quantile, 10_000)
+    overall = cuts.where("of is null").first()
+    overall = overall.cut if overall else good.agg(quantile_of).first()[0]
+    by_lang = checkpointed(good.where("lang is not null").groupBy(F.col("lang").alias("of"))
+                           .agg(quantile_of.alias("loose"))
+                           .join(cuts.where("of is not null"), "of", "full")
+                           .select("of", F.coalesce("cut", "loose").alias("threshold")))
     return scored.join(broadcast_if_small(by_lang, 64), F.col("lang") == F.col("of"), "left").select(
         "doc_id", "lang", "n_symbols", "perplexity",
         F.coalesce("threshold", F.lit(overall).cast("double")).alias("threshold")).withColumn(

@@ -107,3 +107,26 @@ def test_many_labels_take_the_shuffled_way(spark, monkeypatch):
     labels = cases.labels(spark, [(3, 1, 0), (3, 1, 0), (8, 1, 0)])
     rows = quality.perplexities(cases.documents(spark), labels).collect()
     assert len(rows) == 10 and {r.doc_id for r in rows if r.trusted} == {3, 8}
+
+
+def test_the_cut_comes_from_labels_of_unseen_rows(spark):
+    rng = random.Random(7)
+    words = "the cat dog sat lay on a mat rug and house garden tree".split()
+    def prose():
+        return " ".join(rng.choice(words) for _ in range(40))
+    def junk():
+        return "".join(rng.choice("QXZJK#%&$@!") for _ in range(150))
+    texts = [prose() for _ in range(190)] + [junk() for _ in range(10)] + [
+        junk() for _ in range(40)] + [junk(), prose()]
+    labels = cases.labels(spark, [(i, int(i < 200), 0) for i in range(240)])  # 10 wrong ones
+    docs = cases.documents(spark, texts).drop("lang").selectExpr("*", "'en' as lang")
+    keep = {r.doc_id: r.keep for r in quality.classified(docs, labels).collect()}
+    assert all(keep[i] for i in range(190)) and keep[241]
+    assert not any(keep[i] for i in range(190, 241))
+
+
+def test_best_cut():
+    bins, good, bad = [300, 100, 200, 500], [1, 60, 30, 9], [30, 0, 1, 69]
+    cut = quality.best_cut(bins, good, bad)
+    assert 200 < math.log(cut) * quality.BINS < 300
+    assert quality.best_cut(bins, good, [0, 0, 0, quality.LEAST - 1]) is None
