@@ -43,27 +43,39 @@ LEAST = 20
 BINS = 200
 #: Bytes of text in a pack.
 PACK_BYTES = 16 << 20
-#: Bits of a symbol.
-BITS = 15
+#: Bits of a symbol, enough for every code point.
+BITS = 21
+#: A sequence of up to four symbols: its last two, and the ones before these.
+KEY = ["front", "gram"]
 
 _PACKED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("trusted", pa.bool_()),
                      ("quality", pa.int32()), ("text", pa.binary())])
 
 
 def symbols(text: bytes) -> np.ndarray:
-    """A number from 1 to 2**BITS - 1 for every character; rare planes share some."""
+    """The code point of every character plus one."""
     code = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    code = code.astype(np.int64) + 1
-    return np.where(code < 32_000, code, 32_000 + code % 767)
+    return code.astype(np.int64) + 1
 
 
 def sequences(text: bytes, order: int = ORDER) -> np.ndarray:
-    """For every character, it and the ones before it as one number, the character
-    in the lowest bits; before the text stand zeros."""
+    """For every character, it and the ones before it, the character in the lowest
+    bits; before the text stand zeros.  The front is the real part and the last two
+    symbols the imaginary one: 42 bits each, which floats hold exactly, and numpy sorts
+    such pairs."""
+    if not 1 <= order <= 4:
+        raise ValueError("the order must be from 1 to 4")
     x = symbols(text)
-    out = x.copy()
-    for back in range(1, order):
-        out[back:] |= x[:-back] << (BITS * back)
+    out = np.zeros(len(x), np.complex128)
+    for part, backs in ((out.imag, range(min(order, 2))), (out.real, range(2, order))):
+        for place, back in enumerate(backs):
+            part[back:] += x[:len(x) - back] << (BITS * place)
+    return out
+
+
+def _as_sequences(front, gram) -> np.ndarray:
+    out = np.empty(len(gram), np.complex128)
+    out.real, out.imag = front, gram
     return out
 
 
@@ -94,7 +106,7 @@ def _name(rows) -> int:
 def _asked(batches, order):
     """One row per pack: its different sequences and how often trusted texts hold them."""
     for rows in _packs(batches):
-        found, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        found, counts = np.empty(0, np.complex128), np.empty(0, np.int64)
         for i in range(0, len(rows), 256):
             parts, weight = [found], [counts]
             for trusted in (False, True):
@@ -105,16 +117,17 @@ def _asked(batches, order):
                     weight.append(n if trusted else np.zeros(len(n), np.int64))
             found, place = np.unique(np.concatenate(parts), return_inverse=True)
             counts = np.bincount(place, np.concatenate(weight), len(found)).astype(np.int64)
-        yield [[_name(rows)], [found.tobytes()], [counts.astype(np.int64).tobytes()]]
+        yield [[_name(rows)], *([zstandard.compress(x.tobytes(), 1)] for x in (
+            found.real.astype(np.int64), found.imag.astype(np.int64), counts))]
 
 
 def _rows_of(batches):
     for batch in batches:
-        for pack, grams, counts in zip(*(c.to_pylist() for c in batch.columns)):
-            grams = np.frombuffer(grams, np.int64)
-            for i in range(0, len(grams), 65536):
-                part = grams[i:i + 65536]
-                yield [np.full(len(part), pack), part, np.frombuffer(counts, np.int64)[i:i + 65536]]
+        for pack, *arrays in zip(*(c.to_pylist() for c in batch.columns)):
+            arrays = [np.frombuffer(zstandard.decompress(a), np.int64) for a in arrays]
+            for i in range(0, len(arrays[0]), 65536):
+                parts = [a[i:i + 65536] for a in arrays]
+                yield [np.full(len(parts[0]), pack), *parts]
 
 
 def _compressed(batches):
@@ -129,7 +142,7 @@ def _compressed(batches):
 
 def _scored(answers, packs, order):
     """Mean log-probability of the documents of a pack from its answers."""
-    grams = answers["gram"].to_numpy(np.int64)
+    grams = _as_sequences(answers["front"], answers["gram"])
     place = np.argsort(grams, kind="stable")
     grams, logs = grams[place], answers["log"].to_numpy(float)[place]
     out = []
@@ -149,18 +162,30 @@ def _scored(answers, packs, order):
         {"doc_id": "Int64", "quality": "Int32", "n_symbols": "int64", "mean": "float64"})
 
 
-def _low(gram, order):
-    """The last ``order`` symbols of a sequence."""
-    return F.col(gram).bitwiseAND((1 << (BITS * order)) - 1)
+def _last(column, n):
+    return F.col(column).bitwiseAND(F.lit((1 << (BITS * n)) - 1).cast("long"))
+
+
+def _low(order, names=KEY):
+    """The last ``order`` symbols of a sequence, as columns with these names."""
+    return [_last("front", max(order - 2, 0)).alias(names[0]),
+            _last("gram", min(order, 2)).alias(names[1])]
+
+
+def _before(names):
+    """A sequence without its last symbol, as columns with these names."""
+    return [F.shiftright("front", BITS).alias(names[0]),
+            F.shiftright("gram", BITS).bitwiseOR(F.shiftleft(_last("front", 1), BITS))
+            .alias(names[1])]
 
 
 def _counts(rows: DataFrame, order: int) -> list[DataFrame]:
     """Per order from 1: gram and a, the count of the highest order or the number
     of different symbols before a shorter sequence."""
-    highest = checkpointed(rows.where("n > 0").groupBy("gram").agg(F.sum("n").alias("a")))
+    highest = checkpointed(rows.where("n > 0").groupBy(*KEY).agg(F.sum("n").alias("a")))
     levels = [highest]
     for n in range(order - 1, 0, -1):
-        levels.append(checkpointed(levels[-1].groupBy(_low("gram", n).alias("gram"))
+        levels.append(checkpointed(levels[-1].groupBy(*_low(n))
                                    .agg(F.count("*").alias("a"))))
     return levels[::-1]
 
@@ -190,33 +215,32 @@ def _discounted(d):
 
 
 def probabilities(grams: DataFrame, rows: DataFrame, order: int = ORDER) -> DataFrame:
-    """gram and log (the natural logarithm of its last symbol's probability after
-    the others) for the distinct ``grams``, under the model of the counts in
-    ``rows`` (gram, n)."""
+    """front, gram and log (the natural logarithm of the last symbol's probability
+    after the others) for the distinct ``grams``, under the model of the counts in
+    ``rows`` (front, gram, n)."""
     levels = _counts(rows, order)
     d = _discounts(levels[0])
     total, held, kinds = levels[0].agg(
         F.sum("a"), _held_back(d), F.count("*")).first()
     # unseen symbols share what the discounts leave, as one more symbol
     rest = F.lit(held / total / (kinds + 1) if total else 1.0)
-    asked = checkpointed(grams.select(_low("gram", 1).alias("gram")).distinct())
-    known = asked.join(levels[0], "gram", "left").select("gram", (
+    asked = checkpointed(grams.select(*_low(1)).distinct())
+    known = asked.join(levels[0], KEY, "left").select(*KEY, (
         F.coalesce(_discounted(d) / F.lit(float(total or 1)), F.lit(0.0)) + rest).alias("p"))
+    context, shorter = ["c_front", "c_gram"], ["s_front", "s_gram"]
     for n in range(2, order + 1):
         d = _discounts(levels[n - 1])
-        contexts = checkpointed(levels[n - 1].groupBy(
-            F.shiftright("gram", BITS).alias("context")).agg(
+        contexts = checkpointed(levels[n - 1].groupBy(*_before(context)).agg(
             F.sum("a").alias("total"), _held_back(d).alias("held")))
-        asked = (grams if n == order else grams.select(_low("gram", n).alias("gram")).distinct())
-        lower = checkpointed(known).select(F.col("gram").alias("shorter"), F.col("p").alias("q"))
-        known = (asked.withColumn("context", F.shiftright("gram", BITS))
-                 .withColumn("shorter", _low("gram", n - 1))
-                 .join(lower, "shorter").join(contexts, "context", "left")
-                 .join(levels[n - 1], "gram", "left")
-                 .select("gram", F.when(F.col("total").isNull(), F.col("q")).otherwise(
+        asked = grams if n == order else grams.select(*_low(n)).distinct()
+        lower = checkpointed(known).toDF(*shorter, "q")
+        known = (asked.select(*KEY, *_before(context), *_low(n - 1, shorter))
+                 .join(lower, shorter).join(contexts, context, "left")
+                 .join(levels[n - 1], KEY, "left")
+                 .select(*KEY, F.when(F.col("total").isNull(), F.col("q")).otherwise(
                      F.coalesce(_discounted(d), F.lit(0.0)) / F.col("total")
                      + F.col("held") / F.col("total") * F.col("q")).alias("p")))
-    return known.select("gram", F.log("p").alias("log"))
+    return known.select(*KEY, F.log("p").alias("log"))
 
 
 def _with_trust(docs: DataFrame, labels: DataFrame, hold_out: bool) -> DataFrame:
@@ -244,12 +268,12 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER,
     or empty text has no perplexity.  One row per row of ``docs``, repeated rows included.
     """
     rows = _with_trust(docs, labels, hold_out)
-    asked = checkpointed(map_rows(rows, "pack bigint, grams binary, counts binary",
+    asked = checkpointed(map_rows(rows, "pack bigint, fronts binary, grams binary, counts binary",
                                   functools.partial(_asked, order=order)))
-    each = map_rows(asked, "pack bigint, gram bigint, n bigint", _rows_of)
-    grams = checkpointed(each.groupBy("gram").agg(F.sum("n").alias("n")))
-    model = checkpointed(probabilities(grams.select("gram"), grams, order))
-    answers = each.select("pack", "gram").join(model, "gram")
+    each = map_rows(asked, "pack bigint, front bigint, gram bigint, n bigint", _rows_of)
+    grams = checkpointed(each.groupBy(*KEY).agg(F.sum("n").alias("n")))
+    model = checkpointed(probabilities(grams.select(*KEY), grams, order))
+    answers = each.select("pack", *KEY).join(model, KEY)
     packs = map_rows(rows, "pack bigint, blob binary", _compressed)
     scored = answers.groupBy("pack").cogroup(packs.groupBy("pack")).applyInPandas(
         lambda a, p: _scored(a, p, order),

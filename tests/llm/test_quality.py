@@ -130,3 +130,19 @@ def test_best_cut():
     cut = quality.best_cut(bins, good, bad)
     assert 200 < math.log(cut) * quality.BINS < 300
     assert quality.best_cut(bins, good, [0, 0, 0, quality.LEAST - 1]) is None
+
+
+class ByCodePoint(Plain):
+    def grams(self, text):
+        x = [0] * (self.order - 1) + [ord(c) + 1 for c in text]
+        return [tuple(x[i:i + self.order]) for i in range(len(x) - self.order + 1)]
+
+
+def test_all_code_points_are_different_symbols(spark):
+    rng = random.Random(3)
+    alphabet = [chr(c) for c in (97, 40_000, 40_767, 44_032, 44_799, 0xFFFD, 0x1F600, 0x1F8FF, 0x10FFFF)]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 60))) for _ in range(30)]
+    labels = cases.labels(spark, [(i, 1, 0) for i in range(20)])
+    model = ByCodePoint(texts[:20], quality.ORDER)
+    for row in quality.perplexities(cases.documents(spark, texts), labels).collect():
+        assert row.perplexity == pytest.approx(model.perplexity(texts[row.doc_id]), rel=1e-9)
