@@ -11,6 +11,9 @@ in every document, different ones to different ones, and can be undone with the
 key.  The layout is no part of the value, so a date or a phone number written in
 two ways keeps one pseudonym.
 
+Where numbers or words that follow a value fit its form too, the longest valid value
+that ends at a separator counts.
+
 Texts are independent rows: nothing is shuffled, nothing is remembered.
 """
 
@@ -181,19 +184,24 @@ _FIRST, _LAST = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal
 
 def date(text: str, move) -> str | None:
     """A day of 1900-2099 as year-month-day, or with the year last: day first, unless
-    only month first is a date.  (The pseudonym of a month-first date may read as a
+    only month first is a date.  Days and months below ten stay below ten, so that a day
+    written without zeros keeps its length and its pseudonym.  (The pseudonym of a month-first date may read as a
     day-first one, so undoing is not certain for these.)"""
     mark = next(c for c in text if not c.isdigit())
     parts = text.split(mark)
     for order in ("ymd",) if len(parts[0]) == 4 else ("dmy", "mdy"):
         old = {k: int(p) for k, p in zip(order, parts)}
         try:
-            day = dt.date(old["y"], old["m"], old["d"]).toordinal()
+            day = dt.date(old["y"], old["m"], old["d"])
         except ValueError:
             continue
-        if _FIRST <= day <= _LAST:
-            new = dt.date.fromordinal(_FIRST + move(day - _FIRST, _LAST - _FIRST + 1))
-            return new.strftime(mark.join("%" + k.replace("y", "Y") for k in order))
+        if _FIRST <= day.toordinal() <= _LAST:
+            new = None
+            while new is None or (new.day < 10, new.month < 10) != (day.day < 10, day.month < 10):
+                at = (new or day).toordinal() - _FIRST
+                new = dt.date.fromordinal(_FIRST + move(at, _LAST - _FIRST + 1))
+            new = {"y": new.year, "m": new.month, "d": new.day}
+            return mark.join(str(new[k]).zfill(len(p)) for k, p in zip(order, parts))
     return None
 
 
@@ -218,16 +226,32 @@ KINDS = (
     ("account", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
                 r"(?![A-Za-z0-9])", account),
     ("address", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", address),
-    ("date", r"(?<![\d./-])(?:\d{4}(?P<a>[-/.])\d{2}(?P=a)\d{2}|\d{2}(?P<b>[-/.])\d{2}(?P=b)\d{4})"
+    ("date", r"(?<![\d./-])(?:\d{4}(?P<a>[-/.])\d\d?(?P=a)\d\d?|\d\d?(?P<b>[-/.])\d\d?(?P=b)\d{4})"
              r"(?![-/]?\d)", date),
     ("social", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", social),
     ("phone", r"(?<![\w+])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d-])|"
-              r"(?<![\w+])\+\d{1,3}(?:[ .-]\(?\d{1,8}\)?){1,4}(?!\d)|(?<![\w+])\+\d{9,15}(?!\d)",
+              r"(?<![\w+])\+\d(?:\)?[ .-]?\(?\d){7,14}(?!\d)",
      phone),
-    ("card", r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])", card),
+    ("card", r"(?<![\w-])\d(?:[ -]?\d){12,18}(?!\w)", card),
 )
 
 
+# Kinds whose form takes in what follows them, and where they may end.
+_RUNS = frozenset(("account", "phone", "card"))
+_BORDERS = frozenset(" .-")
+
+
+def _longest(text: str, start: int, stop: int, form, value):
+    """The longest valid value from ``start`` that ends at ``stop`` or at a border
+    before: its end and pseudonym."""
+    for end in range(stop, start, -1):
+        if (end == stop or text[end] in _BORDERS) and form.fullmatch(text, start, end):
+            new = value(text[start:end])
+            if new is not None:
+                return end, new
+    return start, None
+
+
 class Pseudonyms:
     """The forms of all kinds with one key."""
 
@@ -247,6 +271,14 @@ class Pseudonyms:
             new = value(found.group()) if found else None
             if new is not None:
                 return name, found.end(), new
+            if found and name in _RUNS:
+                end, new = _longest(text, start, found.end(), form, value)
+                if new is not None and not any(
+                        (later := _longest(text, at, found.end(), form, value))[1] is not None
+                        and later[0] - at > end - start
+                        for at in range(start + 1, found.end() - (end - start))
+                        if text[at - 1] in _BORDERS):
+                    return name, end, new
         return None
 
     def replace(self, text: str) -> tuple[str, list[tuple[int, int, str]]]:

@@ -76,3 +76,38 @@ def test_operator_on_awkward_rows(spark):
     assert p.report(cases.none(spark), KEY).count() == 0
     with pytest.raises(ValueError):
         p.Pseudonyms(b"short")
+
+
+@pytest.mark.parametrize("value,rest", [
+    ("+33 6 12 34 56 78", ""), ("+33 6 12 34 56 78", " 2024 5"), ("+33 6 12 34 56 78", " AM 10"),
+    ("+49 301234567", ""), ("+4420 7123 4567", ""), ("+1 521 555 2373", "-42"),
+    ("4111 1111 1111 1111", " 12/27"), ("4111-1111-1111-1111", "-12"),
+    ("4111 1111 1111 1111", " 5/7 2024 11"), ("4111-1111-1111-1111", "-2024-2025"),
+    ("BE68 5390 0754 7034", " EUR"), ("ES91 2100 0418 4502 0005 1332", " 2024"),
+    ("DE89 3704 0044 0532 0130 00", " EUR"), ("GB82WEST12345698765432", " IBAN 1234"),
+    ("3/7/1984", ""), ("5.12.1999", ". 12"), ("1984-3-7", " 10:30"), ("25/3/1984", "")])
+def test_values_before_numbers_and_capital_words(value, rest):
+    text = f"x {value}{rest} y"
+    new, spans = GIVE.replace(text)
+    assert [s[:2] for s in spans] == [(2, 2 + len(value))]
+    assert shape(new) == shape(text) and new[2:2 + len(value)] != value
+    assert new == f"x {GIVE.replace(value)[0]}{rest} y" and UNDO.replace(new)[0] == text
+
+
+def test_a_longer_value_that_begins_later_wins():
+    rng, card = random.Random(5), "4111 1111 1111 1111"
+    for _ in range(300):
+        text = f"{rng.randrange(10, 100)} {card}"
+        new, spans = GIVE.replace(text)
+        if len(spans) == 1 and spans[0][0] == 0:
+            assert spans[0][1] == len(text)  # the whole run happens to be valid
+        else:
+            assert new == f"{text[:3]}{GIVE.replace(card)[0]}"
+
+
+def test_a_date_without_zeros_keeps_its_pseudonym():
+    short, long = GIVE.replace("3/7/1984")[0], GIVE.replace("03/07/1984")[0]
+    assert [int(p) for p in short.split("/")] == [int(p) for p in long.split("/")]
+    assert short != GIVE.replace("3/7/1985")[0]
+    old = ["+33 6 12 34 56 78", "+33 6 12 34 56 79"]
+    assert len({GIVE.replace(t)[0] for t in old}) == 2
