@@ -4,7 +4,8 @@ A page is cut into tags and text and built into a tree that mends the usual
 faults (missing end tags, stray end tags, a cut-off page).  Parts that are never
 main text - menus, headers, footers, sidebars, notices, adverts, forms, reader
 comments - are recognised by element, role or the words of class and id and left
-out.  Every paragraph passes points for its length and its commas to the elements
+out; inside an article or main element only by words that name such a part and
+nothing else, and never a heading.  Every paragraph passes points for its length and its commas to the elements
 around it, less to farther ones; an element's points are discounted by the share
 of its text that lies in links.  The element with most points is the container; if
 an article or main element surrounds it, that is.  Siblings with a fair share of
@@ -61,6 +62,16 @@ JUNK = frozenset("""
     sidebar signup skip skyscraper social sponsor sponsored sponsors subscribe subscription teaser
     toolbar topbar widget widgets
 """.split())
+# Words of class that inside an article may be about its text.
+PROSE = frozenset("""
+    copyright dialog disclaimer discussion foot header recommended related response responses
+    teaser
+""".split())
+# Whole ids that mark no main text inside an article; others may repeat a heading.
+MARKS = frozenset("""
+    ad ads advert advertisement adverts breadcrumb breadcrumbs commentlist comments disqus footer
+    masthead menu menus nav navbar newsletter pager pagination sidebar toolbar topbar
+""".split())
 MAIN_WORDS = frozenset("article content entry main post story text".split())
 NEGATIONS = frozenset("free has no with without".split())
 BESIDE = frozenset("ad ads footer header menu nav sidebar widget widgets".split())
@@ -68,7 +79,8 @@ BESIDE = frozenset("ad ads footer header menu nav sidebar widget widgets".split(
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+))")
+_ATTRIBUTE = re.compile(
+    r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+)))?")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -98,11 +110,20 @@ def _is_junk(tag: str, attributes: str, inside: Node) -> bool:
         return False
     values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     if (values.get("role", "").lower() in ROLES or values.get("aria-hidden", "").lower() == "true"
-            or re.search(r"(?:^|\s)hidden(?:\s|$)", lowered)
-            or _HIDDEN.search(values.get("style", ""))):
+            or "hidden" in values or _HIDDEN.search(values.get("style", ""))):
         return True
-    words = {w.lower() for w in _WORDS.findall(f"{values.get('class', '')} {values.get('id', '')}")}
+    if tag in HEADINGS:
+        return False
+    named, mark = values.get("class", ""), values.get("id", "")
+    whole = _surrounding(inside) is not None
+    words = {w.lower() for w in _WORDS.findall(named if whole else f"{named} {mark}")}
     junk = words & JUNK
+    if whole:
+        junk -= PROSE
+        if tag not in BLOCK:  # a comment in printed code
+            junk -= {"comment"}
+        if mark.strip().lower() in MARKS:
+            return True
     if words & NEGATIONS:  # a frame that names what stands beside it
         junk -= BESIDE
     if words & MAIN_WORDS:
@@ -247,8 +268,10 @@ def _chosen(nodes: list[Node]) -> list[Node]:
 
 
 def _blocks(node: Node):
-    """Texts of the blocks below a node, in page order, their references decoded."""
+    """Texts of the blocks below a node, in page order, their references decoded.
+    Lists of links are left out where no article or main element holds them."""
     held: list[str] = []
+    whole = _surrounding(node) is not None
 
     def flush():
         text = " ".join(unescape("".join(held)).split())
@@ -266,7 +289,7 @@ def _blocks(node: Node):
             held.append(part)
         elif part.tag == "br":
             held.append(" ")
-        elif not (part.tag in ("ul", "ol") and part.length and _density(part) > 0.8):
+        elif whole or not (part.tag in ("ul", "ol") and part.length and _density(part) > 0.8):
             if part.tag in BLOCK:
                 yield flush()
             waiting.append((part, iter(part.parts)))

@@ -77,3 +77,30 @@ def test_awkward_rows(spark):
     assert rows == [(1, "u", "", 0), (1, None, "", 0), (None, "u", "x", 1)]
     assert extraction.report(pages.where("false")).count() == 0
     assert extraction.extract(pages, out="text").columns == [*pages.columns, "text"]
+
+
+@pytest.mark.parametrize("part,text", [
+    ("<h2>Sources</h2><ul><li><a href=a>One book</a><li><a href=b>Two books</a></ul>",
+     "Sources One book Two books"),
+    ("<h2 id='related-work'>Related work</h2>", "Related work"),
+    ("<h1 class='page-header'>Title</h1>", "Title"),
+    ("<section id='discussion'><h2>Discussion</h2><p>Text.</p></section>", "Discussion Text."),
+    ("<p id='social-impact'>Text.</p>", "Text."),
+    ("<div class='related discussion'><p>Text.</p></div>", "Text."),
+    ("<pre>x = 1 <span class='hljs-comment'># one</span></pre>", "x = 1 # one"),
+    ("<p title='the hidden valley'>Text.</p>", "Text."),
+    ("<p class='md:flex hidden lg:block'>Text.</p>", "Text."),
+    ("<p hidden=''>No.</p><p class=a hidden>No.</p><p style='display:none'>No.</p>", ""),
+    ("<nav><ul><li><a href=a>No</a></ul></nav><ul class='menu'><li><a href=a>No</a></ul>", ""),
+    ("<div id='comments'><p>No.</p></div><div class='ad-box'>No.</div><div class='comment'>No</div>",
+     "")])
+@pytest.mark.parametrize("around", ["article", "main"])
+def test_nothing_else_of_an_article_is_dropped(around, part, text):
+    html = f"<body><{around}><p>{BODY[0]}</p>{part}<p>{BODY[1]}</p></{around}></body>"
+    assert main_text(html) == " ".join(x for x in (BODY[0], text, BODY[1]) if x)
+
+
+def test_attributes_and_headings_outside_an_article():
+    page = (f"<div><h2 id='related-work'>Related work</h2><p title='a hidden valley'>{BODY[0]}</p>"
+            f"<p hidden>No, not this, it is hidden, as one sees.</p><p>{BODY[1]}</p></div>")
+    assert main_text(page) == f"Related work {BODY[0]} {BODY[1]}"
