@@ -1,8 +1,10 @@
-"""Removal of repeated byte strings by distributed prefix doubling.
+"""Removal of repeated byte strings by counted hashes of growing lengths.
 
-A byte goes if a string of ``THRESHOLD`` bytes covering it also starts earlier.
-Ranking every position would move many times the text, so neighbouring starts are
-ranked together, by what all their strings have in common, at growing lengths:
+A byte goes if a string of ``THRESHOLD`` bytes covering it also starts earlier.  This
+takes the place of prefix doubling: no ranks are made from pairs of earlier ranks, as
+ranking every position moves hundreds of times the text (README).  Neighbouring starts
+are ranked together instead, by the hash of what all their strings have in common.
+Equality is by hashes of 128 bits in all, not compared byte by byte.
 
 * Every string of THRESHOLD bytes holds THRESHOLD - FIRST + 1 strings of FIRST
   bytes; the one with the smallest hash (the leftmost of equals) is its anchor.
@@ -15,7 +17,8 @@ ranked together, by what all their strings have in common, at growing lengths:
   its rank has several covers.
 * The next round cuts these runs into groups of ``GROUP`` starts, counted from the
   anchor, and ranks them by the THRESHOLD - GROUP + 1 bytes that the strings of a
-  group share; the last ranks single starts by their THRESHOLD bytes.  What is then
+  group share; the last ranks single starts by their THRESHOLD bytes, with a second
+  hash of these as cover.  What is then
   met again has reached the threshold: the smallest place keeps its string.
 
 Spans of a document are merged and cut out of its bytes.  Texts are shuffled once,
@@ -40,17 +43,17 @@ FIRST, GROUP = 40, 8
 #: Starts that are worked on at a time, so that a long text needs no more memory.
 CHUNK, _PLACE_BITS = 1 << 20, 21
 
-# An odd multiplier for the running sums and one for mixing.
-_BASE, _MIX = 6364136223846793005, 0x9E3779B97F4A7C15
+# Odd multipliers for the running sums of both hashes and one for mixing.
+_BASE, _SECOND, _MIX = 6364136223846793005, 0xDA942042E4DD58B5, 0x9E3779B97F4A7C15
 
 
-def _powers() -> tuple[np.ndarray, np.ndarray]:
+def _powers(base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse, for a whole chunk."""
     def table(base):
         out = np.full(CHUNK + THRESHOLD, base, np.uint64)
         out[0] = 1
         return np.cumprod(out, dtype=np.uint64)
-    return table(_BASE), table(pow(_BASE, -1, 1 << 64))
+    return table(base), table(pow(base, -1, 1 << 64))
 
 
 class Hashes:
@@ -92,7 +95,7 @@ class Block:
     """Pieces of many documents side by side, so that arrays stay long.  A start is
     good if its whole string lies in its piece."""
 
-    def __init__(self, pieces, powers):
+    def __init__(self, pieces, powers, second=None):
         keys, parts, offsets, texts = zip(*pieces)
         size = np.array([len(t) for t in texts])
         end = np.cumsum(size)
@@ -103,14 +106,15 @@ class Block:
         self.place = np.array(offsets)[self.piece] + within
         self.keys, self.parts = np.array(keys)[self.piece], np.array(parts)[self.piece]
         self.hashes = Hashes(b"".join(texts), powers)
+        self.second = Hashes(b"".join(texts), second) if second else None
 
     def rows(self, group: int | None):
         """Rank, cover, key, part and place of every run or group of starts; start
         and length are packed into the place."""
         good, of = self.good, self.hashes.of
         if group == 1:
-            whole = of(good, good + THRESHOLD)
-            ranks = covers = whole
+            ranks = of(good, good + THRESHOLD)
+            covers = self.second.of(good, good + THRESHOLD)
             first, n = np.arange(len(good)), 1
         else:
             grams = self.hashes.all(FIRST)
@@ -131,18 +135,18 @@ class Block:
 
 def _blocked(pieces, group):
     """Rows of all pieces (key, part, offset, bytes), a chunk at a time."""
-    powers, held, size = _powers(), [], 0
+    powers, held, size = (_powers(), _powers(_SECOND) if group == 1 else None), [], 0
     with np.errstate(over="ignore"):
         for key, part, offset, text in pieces:
             for at in range(0, len(text) - THRESHOLD + 1, CHUNK):
                 piece = text[at:at + CHUNK + THRESHOLD - 1]
                 if held and size + len(piece) > CHUNK + THRESHOLD - 1:
-                    yield Block(held, powers).rows(group)
+                    yield Block(held, *powers).rows(group)
                     held, size = [], 0
                 held.append((key, part, offset + at, piece))
                 size += len(piece)
         if held:
-            yield Block(held, powers).rows(group)
+            yield Block(held, *powers).rows(group)
 
 
 def _runs(batches):

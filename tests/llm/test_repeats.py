@@ -75,3 +75,13 @@ def test_awkward_rows(spark):
     # rows equal in id and text are one document; of the two texts the later one loses
     assert one in ([(1, 250, 0), (1, 500, 250), (1, 500, 250)],
                    [(1, 250, 250), (1, 500, 0), (1, 500, 0)])
+
+
+def test_the_last_round_has_a_second_hash():
+    weak = repeats._powers(1)  # sums only: the order of bytes does not count
+    a, b = bytes(range(100)), bytes(reversed(range(100)))
+    pieces = [(0, 0, 0, a), (1, 0, 0, b), (2, 0, 0, a)]
+    with np.errstate(over="ignore"):
+        ranks, covers, *_ = repeats.Block(pieces, weak, repeats._powers(repeats._SECOND)).rows(1)
+    assert len(set(ranks.tolist())) == 1
+    assert covers[0] == covers[2] != covers[1]
