@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from landledger.llm import (decontamination, extraction, neighbours, pseudonyms, quality,
-                            repeats, secrets, sentencepieces, simhash, sql, toxicity)
+                            repeats, secrets, sentencepieces, simhash, sql, token_counts,
+                            toxicity)
 from landledger.llm.common import table
 
 #: The model file of the token queries, a vocabulary found on the machine.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+#: The tokenizer file of the token counts.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 #: The key of the sample query; a real one comes from a key store.
 SAMPLE_KEY = b"a key for samples only"
 
@@ -54,6 +57,11 @@ def op10_sentencepiece(spark, sf_dir):
                                  sentencepieces.read_model(PIECES))
 
 
+def op13_token_counts(spark, sf_dir, tokenizer=TOKENIZER):
+    return token_counts.report(table(spark, sf_dir, "documents"),
+                               token_counts.read_tokenizer(tokenizer))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii_pseudonyms,
     op2_simhash_near_dedup,
@@ -65,6 +73,7 @@ QUERIES = {f.__name__: f for f in (
     op8_quality_classifier,
     op9_secret_scans,
     op10_sentencepiece,
+    op13_token_counts,
 )}
 
 SQL = {
