@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from landledger.llm import (decontamination, extraction, neighbours, pseudonyms, quality,
-                            repeats, secrets, sentencepieces, simhash, sql, token_counts,
-                            toxicity)
+from landledger.llm import (decontamination, extraction, lexical_search, neighbours, pseudonyms,
+                            quality, repeats, secrets, sentencepieces, simhash, sql,
+                            token_counts, toxicity)
 from landledger.llm.common import table
 
 #: The model file of the token queries, a vocabulary found on the machine.
@@ -57,6 +57,11 @@ def op10_sentencepiece(spark, sf_dir):
                                  sentencepieces.read_model(PIECES))
 
 
+def op11_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+
+
 def op13_token_counts(spark, sf_dir, tokenizer=TOKENIZER):
     return token_counts.report(table(spark, sf_dir, "documents"),
                                token_counts.read_tokenizer(tokenizer))
@@ -73,10 +78,12 @@ QUERIES = {f.__name__: f for f in (
     op8_quality_classifier,
     op9_secret_scans,
     op10_sentencepiece,
+    op11_lexical_search,
     op13_token_counts,
 )}
 
 SQL = {
     "op5_benchmark_decontamination": sql.DECONTAMINATION,
     "op9_secret_scans": sql.secret_scans(),
+    "op11_lexical_search": sql.LEXICAL_SEARCH,
 }

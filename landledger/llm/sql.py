@@ -33,6 +33,45 @@ SELECT docs.doc_id, CAST(len(w) AS BIGINT) AS n_words,
 FROM docs LEFT JOIN hit ON docs.doc_id = hit.doc_id LEFT JOIN items ON docs.doc_id = items.doc_id
 """
 
+LEXICAL_SEARCH = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS w, n
+    FROM (SELECT doc_id, len(found) AS n, array_to_string(found, ' ') AS w FROM (
+        SELECT doc_id, regexp_extract_all(
+            coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS found
+        FROM documents))),
+items AS (
+    SELECT row_number() OVER () AS query, item_id, string_split(translate(array_to_string(
+        regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), ' '),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ') AS w
+    FROM benchmark),
+asked AS (
+    SELECT query, item_id, term, count(*) AS times
+    FROM (SELECT query, item_id, unnest(w) AS term FROM items) WHERE term <> '' GROUP BY ALL),
+total AS (
+    SELECT CAST(count(*) FILTER (n > 0) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS length
+    FROM docs),
+held AS (
+    SELECT row, term, count(*) AS tf FROM (
+        SELECT row, unnest(string_split(w, ' ')) AS term FROM docs WHERE n > 0)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))
+        AS BIGINT) AS weight
+    FROM held, total GROUP BY term, docs),
+scores AS (
+    SELECT query, item_id, doc_id, CAST(sum(times * weight
+        * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // length)))) AS BIGINT)
+        AS score
+    FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN docs USING (row), total
+    GROUP BY query, item_id, row, doc_id)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) AS rank
+    FROM scores WHERE score > 0)
+WHERE rank <= 20
+"""
+
 
 def _pattern_sql(kind: int, name: str, pattern: str, group: int, least: int) -> str:
     pattern = pattern.replace("'", "''")
