@@ -82,6 +82,14 @@ def utf8(column: pa.Array) -> list[bytes | None]:
 SLICE = 1024
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE) -> Iterable[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows, so that few rows at a time are
+    Python objects."""
+    for whole in batches:
+        for at in range(0, len(whole), rows):
+            yield whole.slice(at, rows)
+
+
 def with_result(df: DataFrame, needs: list[str], keep: list[str], out: str, ddl: str,
                 compute: Callable[..., Iterable]) -> DataFrame:
     """``keep`` columns of ``df`` and one struct column ``out`` with the fields

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from landledger.llm.common import Once, Scratch, map_rows, utf8
+from landledger.llm.common import Once, Scratch, map_rows, slices, utf8
 from landledger.llm.decontamination import words
 
 TOP = 20
@@ -60,7 +60,7 @@ def _bags(batches, *, block):
     """Per document its number of terms and the counts of the queries' terms, as
     pairs of 32-bit numbers in the order of the terms."""
     number = block.get().terms.get
-    for batch in batches:
+    for batch in slices(batches):
         lengths, bags = [], []
         for text in utf8(batch.column(1)):
             found = words(text)
@@ -82,7 +82,7 @@ def _pairs(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _statistics(batches, *, size):
     """Documents that hold each term; documents with terms, and their lengths."""
     holding, documents, length = np.zeros(size, np.int64), 0, 0
-    for batch in batches:
+    for batch in slices(batches):
         holding += np.bincount(_pairs(batch.column(1))[1], minlength=size)
         lengths = batch.column(0).to_numpy()
         documents, length = documents + int((lengths > 0).sum()), length + int(lengths.sum())
@@ -154,26 +154,24 @@ def _search(batches, *, block, weights, top):
     # a term adds less than a million times its weight
     exact = int(weights.max(initial=0)) * 10 ** 6 * block.longest < _EXACT
     best = _Best(block.size, top)
-    n = max(1, CELLS // max(1, block.size))
-    for whole in batches:
-        for batch in (whole.slice(at, n) for at in range(0, len(whole), n)):
-            digest, m, bag, first = (batch.column(i) for i in range(4))
-            rows, terms, counts = _pairs(bag)
-            factor = m.to_numpy()
-            values = weights[terms] * ((10 ** 9 * counts) // (1000 * counts + 12 * factor[rows]))
-            smallest = first.to_numpy()
-            cost = np.bincount(rows, weights=block.start[terms + 1] - block.start[terms],
-                               minlength=len(batch))
-            group = (np.cumsum(cost) // ADDITIONS).astype(int)
-            for g in np.unique(group):
-                low, high = np.searchsorted(group, [g, g + 1])
-                a, b = np.searchsorted(rows, [low, high])
-                found = _scores(rows[a:b] - low, terms[a:b], values[a:b], high - low, block, exact)
-
-                def classes(chosen, low=low):
-                    return [(digest[i].as_py(), m[i].as_py(), bag[i].as_py())
-                            for i in (chosen + low).tolist()]
-                best.add(found, smallest[low:high], classes)
+    for batch in slices(batches, max(1, CELLS // max(1, block.size))):
+        digest, m, bag, first = (batch.column(i) for i in range(4))
+        rows, terms, counts = _pairs(bag)
+        factor = m.to_numpy()
+        values = weights[terms] * ((10 ** 9 * counts) // (1000 * counts + 12 * factor[rows]))
+        smallest = first.to_numpy()
+        cost = np.bincount(rows, weights=block.start[terms + 1] - block.start[terms],
+                           minlength=len(batch))
+        group = (np.cumsum(cost) // ADDITIONS).astype(int)
+        for g in np.unique(group):
+            low, high = np.searchsorted(group, [g, g + 1])
+            a, b = np.searchsorted(rows, [low, high])
+            found = _scores(rows[a:b] - low, terms[a:b], values[a:b], high - low, block, exact)
+
+            def classes(chosen, low=low):
+                return [(digest[i].as_py(), m[i].as_py(), bag[i].as_py())
+                        for i in (chosen + low).tolist()]
+            best.add(found, smallest[low:high], classes)
     names = [best.kept[i] for i in best.slot.tolist()]
     yield [best.query, best.score, best.first, *(list(c) for c in zip(*names))] if names else [
         [], [], [], [], [], []]
