@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from landledger.llm import (decontamination, extraction, lexical_search, neighbours, pseudonyms,
-                            quality, repeats, secrets, sentencepieces, simhash, sql,
-                            token_counts, toxicity)
+from landledger.llm import (collocations, decontamination, extraction, lexical_search,
+                            neighbours, pseudonyms, quality, repeats, secrets, sentencepieces,
+                            simhash, sql, token_counts, toxicity)
 from landledger.llm.common import table
 
 #: The model file of the token queries, a vocabulary found on the machine.
@@ -62,6 +62,10 @@ def op11_lexical_search(spark, sf_dir):
                                  table(spark, sf_dir, "benchmark"))
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_token_counts(spark, sf_dir, tokenizer=TOKENIZER):
     return token_counts.report(table(spark, sf_dir, "documents"),
                                token_counts.read_tokenizer(tokenizer))
@@ -79,6 +83,7 @@ QUERIES = {f.__name__: f for f in (
     op9_secret_scans,
     op10_sentencepiece,
     op11_lexical_search,
+    op12_collocations,
     op13_token_counts,
 )}
 
@@ -86,4 +91,5 @@ SQL = {
     "op5_benchmark_decontamination": sql.DECONTAMINATION,
     "op9_secret_scans": sql.secret_scans(),
     "op11_lexical_search": sql.LEXICAL_SEARCH,
+    "op12_collocations": sql.COLLOCATIONS,
 }

@@ -72,6 +72,44 @@ SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
 WHERE rank <= 20
 """
 
+COLLOCATIONS = r"""
+WITH texts AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM texts),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+counts AS (
+    SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase,
+        CAST(count(*) AS HUGEINT) AS f
+    FROM pieces, (VALUES (1), (2), (3)) AS s(size), unnest(range(1, len(w) - size + 2)) AS r(i)
+    GROUP BY ALL HAVING count(*) >= 10),
+split AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts),
+longer AS (
+    SELECT lang, a, array_to_string(w[i:i + 1], ' ') AS phrase
+    FROM split, (VALUES (1), (2)) AS r(i) WHERE size = 3),
+kept AS (
+    SELECT * FROM split WHERE size > 1 AND NOT EXISTS (
+        SELECT 1 FROM longer WHERE longer.lang = split.lang AND longer.phrase = split.phrase
+            AND 100 * longer.a >= 50 * split.a)),
+cuts AS (
+    SELECT kept.lang, kept.phrase, a, k, x.f AS l, y.f AS r,
+        (1000000::HUGEINT * a * a) // (x.f * y.f) AS score
+    FROM kept JOIN (VALUES (1), (2)) AS c(k) ON k < kept.size
+    JOIN counts x ON x.lang = kept.lang AND x.phrase = array_to_string(w[1:k], ' ')
+    JOIN counts y ON y.lang = kept.lang AND y.phrase = array_to_string(w[k + 1:kept.size], ' ')),
+lowest AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM cuts),
+ranked AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+    FROM lowest WHERE place = 1)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+    n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 
 def _pattern_sql(kind: int, name: str, pattern: str, group: int, least: int) -> str:
     pattern = pattern.replace("'", "''")
