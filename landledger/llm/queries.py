@@ -89,7 +89,7 @@ QUERIES = {f.__name__: f for f in (
 
 SQL = {
     "op5_benchmark_decontamination": sql.DECONTAMINATION,
-    "op9_secret_scans": sql.secret_scans(),
+    "op9_secret_scans": sql.SECRET_SCANS,
     "op11_lexical_search": sql.LEXICAL_SEARCH,
     "op12_collocations": sql.COLLOCATIONS,
 }

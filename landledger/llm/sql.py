@@ -1,7 +1,5 @@
 """DuckDB SQL for the text queries that SQL can express."""
 
-from landledger.llm import secrets
-
 DECONTAMINATION = r"""
 WITH lowered AS (
     SELECT doc_id, NULL AS item_id, text FROM documents
@@ -111,67 +109,77 @@ FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
 
-def _pattern_sql(kind: int, name: str, pattern: str, group: int, least: int) -> str:
-    pattern = pattern.replace("'", "''")
+def _located(pattern: str, group: int, least: int, source: str = "texts") -> str:
+    """Matches of a pattern in DuckDB: number, start, stop and whole match."""
     return f"""
-    SELECT doc_id, {kind} AS kind, start, start + length(whole) AS stop FROM (
+    SELECT doc_id, start, start + length(whole) AS stop, whole FROM (
         SELECT doc_id, whole[i] AS whole, grp[i] AS val,
             list_sum(list_transform(cut[1:i], lambda x: length(x)))
             + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS start
         FROM (SELECT doc_id, string_split_regex(text, '{pattern}') AS cut,
                   regexp_extract_all(text, '{pattern}', 0) AS whole,
-                  regexp_extract_all(text, '{pattern}', {group}) AS grp FROM texts),
+                  regexp_extract_all(text, '{pattern}', {group}) AS grp FROM {source}),
             unnest(range(1, len(whole) + 1)) AS r(i))
     WHERE length(val) >= {least}"""
 
 
-def secret_scans() -> str:
-    base = " UNION ALL ".join(_pattern_sql(k, *p) for k, p in enumerate(secrets.PATTERNS))
-    names = "[" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "]"
-    counts = ", ".join(f"CAST(count(*) FILTER (kind = {k}) AS BIGINT) AS n_{p[0]}"
-                       for k, p in enumerate(secrets.PATTERNS))
-    size, entropy = secrets.WINDOW, secrets.KINDS.index("entropy")
-    return f"""
+# Written out here on their own, so that a slip in the operator's patterns shows.
+_ASSIGN = (r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|"
+           r"[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\x20*[:=]\x20*[\"'']?"
+           r"([A-Za-z0-9+/_.=-]+)")
+_SAMPLES = "example|sample|placeholder|changeme|your|dummy|xxxx|0123456789"
+
+SECRET_SCANS = f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-base AS ({base}),
-candidates AS (
-    SELECT doc_id, start, substr(text, CAST(start AS INT) + 1, CAST(stop - start AS INT)) AS word
-    FROM ({_pattern_sql(0, "", secrets.CANDIDATE, 0, secrets.WINDOW)}) JOIN texts USING (doc_id)),
+base AS (
+    SELECT 0 AS kind, * FROM ({_located(_ASSIGN, 2, 8)})
+    UNION ALL SELECT 1, * FROM ({_located("AKIA[A-Z0-9]+", 0, 16)})
+    UNION ALL SELECT 2, * FROM ({_located("[0-9a-f]+", 0, 32)})),
+runs AS ({_located("[A-Za-z0-9+/_=-]{20,}", 0, 20)}),
+segments AS (
+    SELECT doc_id, piece[i] AS word, start
+        + coalesce(list_sum(list_transform(piece[1:i - 1], lambda x: length(x))), 0)
+        + coalesce(list_sum(list_transform(held[1:i - 1], lambda x: length(x))), 0) AS start
+    FROM (SELECT doc_id, start,
+              string_split_regex(whole, '[^/=_-]*(?i:{_SAMPLES})[^/=_-]*') AS piece,
+              regexp_extract_all(whole, '[^/=_-]*(?i:{_SAMPLES})[^/=_-]*', 0) AS held FROM runs),
+        unnest(range(1, len(piece) + 1)) AS r(i)),
 classed AS (
     SELECT doc_id, start, regexp_full_match(word, '[0-9a-fA-F]+') AS hexa,
         CASE WHEN regexp_full_match(word, '[0-9a-fA-F]+') THEN lower(word) ELSE word END AS word
-    FROM candidates
-    WHERE regexp_matches(word, '[0-9]') AND regexp_matches(word, '[A-Za-z]')
-        AND NOT regexp_matches(word, '{secrets.UUID}')
-        AND NOT regexp_matches(lower(word), '{"|".join(secrets.ALLOWED)}')),
+    FROM segments
+    WHERE length(word) >= 20 AND regexp_matches(word, '[0-9]')
+        AND regexp_matches(word, '[A-Za-z]') AND NOT regexp_full_match(
+            word, '[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}')),
 symbols AS (
     SELECT doc_id, start, hexa, i, symbol, count(*) AS c FROM (
         SELECT doc_id, start, hexa, i,
-            unnest(string_split(substr(word, CAST(i AS INT), {size}), '')) AS symbol
-        FROM classed, unnest(range(1, length(word) - {size} + 2)) AS r(i))
+            unnest(string_split(substr(word, CAST(i AS INT), 20), '')) AS symbol
+        FROM classed, unnest(range(1, length(word) - 18)) AS r(i))
     GROUP BY ALL),
 high AS (
-    SELECT doc_id, start + i - 1 AS start FROM symbols GROUP BY doc_id, start, hexa, i
-    HAVING sum({secrets.WEIGHTS}[c + 1])
-        <= CASE WHEN hexa THEN {secrets.ceiling(secrets.HEX_BITS)}
-                ELSE {secrets.ceiling(secrets.GENERAL_BITS)} END),
+    SELECT doc_id, start, i, hexa FROM symbols GROUP BY ALL
+    HAVING sum(CAST(round(1000000 * c * log2(c)) AS BIGINT))
+        <= floor(1000000 * 20 * (log2(20) - CASE WHEN hexa THEN 3.0 ELSE 3.8 END))),
 islands AS (
-    SELECT doc_id, start, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start) AS island FROM (
-        SELECT doc_id, start, CASE WHEN start - lag(start) OVER (
-            PARTITION BY doc_id ORDER BY start) <= {size} THEN 0 ELSE 1 END AS fresh FROM high)),
+    SELECT *, sum(fresh) OVER (PARTITION BY doc_id, start ORDER BY i) AS island FROM (
+        SELECT doc_id, start, i, CASE WHEN i - lag(i) OVER (
+            PARTITION BY doc_id, start ORDER BY i) <= 20 THEN 0 ELSE 1 END AS fresh FROM high)),
 added AS (
-    SELECT doc_id, {entropy} AS kind, min(start) AS start, max(start) + {size} AS stop
-    FROM islands GROUP BY doc_id, island),
+    SELECT doc_id, 3 AS kind, start + min(i) - 1 AS start, start + max(i) + 19 AS stop
+    FROM islands GROUP BY doc_id, start, island),
 spans AS (
-    SELECT * FROM base
+    SELECT doc_id, kind, start, stop FROM base
     UNION ALL SELECT * FROM added a WHERE NOT EXISTS (
         SELECT 1 FROM base b WHERE b.doc_id = a.doc_id AND b.start <= a.start AND b.stop >= a.stop)),
 named AS (
-    SELECT doc_id, kind, start, {names}[kind + 1] || ':' || CAST(start AS BIGINT) || ':'
-        || CAST(stop AS BIGINT) AS span FROM spans),
+    SELECT doc_id, kind, start, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':'
+        || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM spans),
 written AS (
-    SELECT doc_id, {counts},
-        string_agg(span, ',' ORDER BY start, kind) FILTER (kind < {entropy}) AS base,
+    SELECT doc_id, CAST(count(*) FILTER (kind = 0) AS BIGINT) AS n_assign,
+        CAST(count(*) FILTER (kind = 1) AS BIGINT) AS n_access,
+        CAST(count(*) FILTER (kind = 2) AS BIGINT) AS n_hex,
+        string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
         string_agg(span, ',' ORDER BY start, kind) AS spans
     FROM named GROUP BY doc_id)
 SELECT texts.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
