@@ -149,12 +149,23 @@ def _density(words: list[str], automaton) -> tuple[float, int]:
             best[start] = max(weight, best.get(start, weight))
         else:
             excused.append((start, end))
-    for a, b in excused:
-        for start in [s for s in best if a <= s < b]:
-            del best[start]
+    if excused:
+        best = _outside(best, excused)
     return sum(best.values()) / math.log(math.e + len(words)), len(best)
 
 
+def _outside(best: dict[int, float], excused: list[tuple[int, int]]) -> dict[int, float]:
+    """The matches that start in no exception; both lists are walked once, in order."""
+    kept, reach, phrases = {}, -1, iter(sorted(excused))
+    phrase = next(phrases, None)
+    for start in sorted(best):
+        while phrase and phrase[0] <= start:
+            reach, phrase = max(reach, phrase[1]), next(phrases, None)
+        if start >= reach:
+            kept[start] = best[start]
+    return kept
+
+
 def _score(texts, model):
     automaton, (base, slope) = model.get()
     scores, matches = [], []

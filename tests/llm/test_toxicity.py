@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 
 import pytest
 
@@ -35,6 +36,22 @@ def test_exceptions_beginnings_and_length():
         score(model, "trash " + "word " * 10, "trash " + "word " * 5000), reverse=True)
 
 
+def test_matches_outside_exceptions():
+    rng = random.Random(6)
+    for _ in range(300):
+        best = {rng.randint(0, 40): 1.0 for _ in range(rng.randint(0, 12))}
+        excused = [(a := rng.randint(0, 40), a + rng.randint(0, 9)) for _ in range(rng.randint(1, 6))]
+        assert t._outside(best, excused) == {
+            s: 1.0 for s in best if not any(a <= s < b for a, b in excused)}
+
+
+def test_many_exceptions_take_linear_time():
+    model = {"entries": {"trash ": 4.0}, "exceptions": ("trash can",), "curve": (-4.0, 4.0)}
+    start = time.perf_counter()
+    assert score(model, "trash can " * 200_000, "trash " * 200_000 + "trash can")[0] == 0
+    assert time.perf_counter() - start < 15
+
+
 def invented(spark, n=600):
     """Word salad; toxic rows hold made-up words with a common beginning."""
     rng = random.Random(3)
