@@ -1,7 +1,9 @@
 """Main text of pages."""
 
 import os
+import random
 import re
+import time
 from html import unescape
 
 import pandas as pd
@@ -104,3 +106,102 @@ def test_attributes_and_headings_outside_an_article():
     page = (f"<div><h2 id='related-work'>Related work</h2><p title='a hidden valley'>{BODY[0]}</p>"
             f"<p hidden>No, not this, it is hidden, as one sees.</p><p>{BODY[1]}</p></div>")
     assert main_text(page) == f"Related work {BODY[0]} {BODY[1]}"
+
+
+LONG = "".join(f"<p>{BODY[i % 2]}</p>" for i in range(6))
+LONG_TEXT = " ".join(BODY[i % 2] for i in range(6))
+BESIDE = ("<nav><a href=x>Home</a></nav><div class='sidebar'><p>Read this too, and that, and more, "
+          "now.</p></div><footer><p>All rights, and so on, reserved, by us, here.</p></footer>")
+
+
+@pytest.mark.parametrize("open_,close", [
+    ("<form id=aspnetForm>", "</form>"), ("<div class='layout sidebar-right'>", "</div>"),
+    ("<div class='social-science'>", "</div>"), ("<div id='post-widget-theory'>", "</div>"),
+    ("<form><div class='page with-menu-left'><div id='related-stories-x'>", "</div></div></form>"),
+    ("<fieldset>", "</fieldset>")])
+@pytest.mark.parametrize("inner", ["{}", "<div>{}</div>", "<article>{}</article>"])
+def test_frames_with_names_of_other_parts(open_, close, inner):
+    page = f"<body>{open_}{inner.format(LONG)}{BESIDE}{close}</body>"
+    assert main_text(page) == LONG_TEXT
+
+
+@pytest.mark.parametrize("mark", ["class='comments'", "id=comments", "class='widget social'",
+                                  "role=search", "hidden", "class='post-comments'"])
+def test_marked_parts_stay_out_beside_an_article(mark):
+    text = "<p>Nice, really, I liked it, a lot, thanks for sharing this.</p>" * 3
+    assert main_text(f"<body><div>{LONG}</div><div {mark}>{text}</div></body>") == LONG_TEXT
+
+
+@pytest.mark.parametrize("part,text", [
+    ("<p>We know <math><mi>x</mi><mo>=</mo><mn>2</mn></math> here.</p>", "We know x=2 here."),
+    ("<p class='social'>Text.</p>", "Text."), ("<div class='promotion'><p>Text.</p></div>", "Text.")])
+def test_parts_of_an_article_that_were_lost(part, text):
+    assert main_text(f"<article>{LONG}{part}</article>") == f"{LONG_TEXT} {text}"
+
+
+def test_short_blocks_and_lists_of_links_outside_an_article():
+    assert main_text(f"<body><div><div>{LONG}</div><div><p>The end.</p></div></div></body>"
+                     ) == f"{LONG_TEXT} The end."
+    links = "<ul><li><a href=a>One book</a><li><a href=b>Two books</a></ul>"
+    assert main_text(f"<body><div>{LONG}<h2>Sources</h2>{links}</div></body>"
+                     ) == f"{LONG_TEXT} Sources One book Two books"
+    assert main_text(f"<body><div>{links}{LONG}</div></body>") == LONG_TEXT
+
+
+@pytest.mark.parametrize("part", ["<div class=a>", "<div id=b><p>x, y</p>", "<b class=note>",
+                                  "<div class='x sidebar-y'>", "<article class=z>"])
+def test_deep_pages_with_classes_take_linear_time(part):
+    start = time.perf_counter()
+    main_text(part * 100_000)
+    assert time.perf_counter() - start < 20
+
+
+def plain_tree(rng, depth=0):
+    """A small tree as nested lists: tag and children."""
+    if depth == 4 or rng.random() < 0.3:
+        return ["p", "word, " * rng.randint(1, 30) + "end"]
+    return ["div", *(plain_tree(rng, depth + 1) for _ in range(rng.randint(1, 4)))]
+
+
+def written(tree):
+    inner = "".join(x if isinstance(x, str) else written(x) for x in tree[1:])
+    return f"<{tree[0]}>{inner}</{tree[0]}>"
+
+
+def brute(tree):
+    """Main text of such a tree by the definition: every pair of a paragraph and an
+    element around it, looked at anew."""
+    elements = []  # (path, tree)
+
+    def walk(node, path):
+        elements.append((path, node))
+        for i, child in enumerate(node[1:]):
+            if not isinstance(child, str):
+                walk(child, (*path, i))
+    walk(["html", tree], ())
+    def text(node):
+        return " ".join(c if isinstance(c, str) else text(c) for c in node[1:])
+
+    def value(path):
+        total = 0.0
+        for other, node in elements:
+            if node[0] == "p" and len(node[1]) >= 25 and other[:len(path)] == path != other:
+                level = len(other) - len(path)
+                points = 1 + node[1].count(",") + min(len(node[1]) // 100, 3)
+                if level <= 5:
+                    total += points / (1 if level == 1 else 2 if level == 2 else 3 * level)
+        return total
+    best = max(elements, key=lambda e: value(e[0]))[0]  # the first of equal ones
+    if value(best) <= 0 or not best:
+        return text(tree)
+    least = max(3.0, 0.2 * value(best))
+    return " ".join(text(node) for path, node in elements if len(path) == len(best)
+                    and path[:-1] == best[:-1] and (path == best or value(path) >= least
+                                                    or node[0] == "p" or "p" in str(node)))
+
+
+def test_equals_a_plain_scorer_on_small_trees():
+    rng = random.Random(11)
+    for _ in range(300):
+        tree = ["div", *(plain_tree(rng) for _ in range(rng.randint(1, 4)))]
+        assert main_text(written(tree)) == brute(tree), written(tree)
