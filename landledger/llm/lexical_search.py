@@ -204,7 +204,9 @@ def _block_results(docs: DataFrame, texts: list[bytes], top: int, scratch: Scrat
     best = scratch.keep(parts.withColumn("place", F.row_number().over(ranked))
                         .where(F.col("place") <= top).select("query", "score", *name))
     inside = W.partitionBy(*name).orderBy(order_id)
-    chosen = (members.join(best.select(*name).distinct(), name, "left_semi")
+    # digests of bounded number: at most ``top`` a query, queries by their bytes
+    wanted = F.broadcast(best.select("digest", "m").distinct())
+    chosen = (members.join(wanted, ["digest", "m"], "left_semi")
               .withColumn("place", F.row_number().over(inside)).where(F.col("place") <= top))
     final = W.partitionBy("query").orderBy(F.desc("score"), order_id)
     return (best.join(chosen, name)
