@@ -3,132 +3,266 @@
 Every prefix (of none, one, ... words) keys an associative counter of the words
 that come next, its stripe.  A task fills stripes while it reads whole texts and
 hands on what it has when they grow large.  Spark deals the stripes out by prefix
-and adds up equal elements; so that no prefix, however frequent, lies in one task,
-a stripe is dealt out in parts by its next words.
+and adds up equal elements.  A stripe may hold a large share of all elements, so that
+of a prefix with more than one in ``SPREAD`` of all words is dealt out in parts by its
+next words, as many as keep each part below that share; such prefixes are known from
+the counts of the shorter phrases and number fewer than ``SPREAD``.
 
 The merged stripes are all there is to know.  An element is the count f of a phrase,
-prefix and next word; the stripe of the empty prefix holds the words and its total
-is n.  The counts of a candidate's parts are elements of shorter prefixes' stripes,
-and the largest count of a longer phrase around a candidate is a maximum over the
-elements of its own stripe (words added behind) and of those whose prefix and word
-end with it (words added before).
-
-A phrase is at most as frequent as its parts, so only elements of at least ``least``
-are looked at after the merge: the joins are between those.
+prefix and next word; the stripe of the empty prefix holds the words, and its total is
+n.  The counts of a candidate's parts are elements of shorter prefixes' stripes, and
+the largest count of a longer phrase around a candidate is a maximum over the elements
+of its own stripe (words added behind) and of those whose prefix and word end with it
+(words added before).
+
+A phrase is at most as frequent as its parts.  So stripes are read off the texts by
+length of their prefix, the shorter first, and a phrase is left out where its first
+or its last words are surely too rare.  What is frequent goes to the tasks as bits of
+hashes, a field of fixed size: a rare phrase that it lets pass only costs time, its
+exact count is dropped after the merge.
+
+Inside a task words are numbers and phrases rows of an array; sorting them gives the
+stripes, one after the other.
 """
 
 from __future__ import annotations
 
 import functools
-import re
-from zlib import crc32
+import itertools
+from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from landledger.llm.common import Scratch, map_rows, slices, utf8
 
 LONGEST, LEAST, SHARE, TOP = 3, 10, 50, 2000
 #: Stands for a null language.
 NO_LANGUAGE = "und"
-#: Elements that a task holds before it hands its stripes on.
-HELD = 300_000
-#: Parts that a stripe is dealt out in, by the hash of the next word.
-PARTS = 64
-_PIECES = re.compile(rb"[.,;:!?\n-\r]+").split
+#: Phrases and different words that a task holds before it hands its stripes on.
+HELD, VOCABULARY = 1_500_000, 300_000
+#: Bytes of text that are cut into words at a time.
+CHUNK = 1 << 20
+#: A part of a stripe holds at most about one in so many of all words.
+SPREAD = 4096
+#: Parts of the stripe of the empty prefix, which holds a vocabulary.
+WORD_PARTS = 256
+#: Bits of the field of frequent phrases, and those of one aggregated bitmap.
+BITS, _BITMAP = 1 << 26, 1 << 15
 _UNIT = 1_000_000
-_ELEMENT = "struct<next: binary, n: bigint>"
-
-
-def pieces(text: bytes | None) -> list[list[bytes]]:
-    """The words of every piece of a text; A-Z are lowered, other letters stay."""
-    found = (p.replace(b"\t", b" ").split(b" ") for p in _PIECES((text or b"").lower()))
-    return [[w for w in words if w] for words in found]
-
-
-def _read(stripes: dict, text: bytes | None, longest: int) -> int:
-    """Add the phrases of a text to the stripes; the number of new elements."""
-    added = 0
-    for words in pieces(text):
-        prefixes = [b""] * len(words)
-        for size in range(longest):
-            for prefix, following in zip(prefixes, words[size:]):
-                stripe = stripes.get(prefix)
-                if stripe is None:
-                    stripes[prefix] = {following: 1}
-                    added += 1
-                elif following in stripe:
-                    stripe[following] += 1
-                else:
-                    stripe[following] = 1
-                    added += 1
-            prefixes = [p + b" " + w for p, w in zip(prefixes, words[size:])] if size else words
-    return added
-
-
-def _dealt(stripe: dict[bytes, int]):
-    """A stripe in parts, by the hash of the next word."""
-    if len(stripe) == 1:
-        return [(crc32(next(iter(stripe))) % PARTS, stripe)]
-    parts: dict[int, dict] = {}
-    for word, n in stripe.items():
-        parts.setdefault(crc32(word) % PARTS, {})[word] = n
-    return parts.items()
-
-
-def _rows(stripes: dict[str, dict]):
-    """Stripes as rows, a large one as several, some rows at a time."""
-    keys, offsets, words, counts = ([], [], []), [0], [], []
-
-    def columns():
-        elements = pa.StructArray.from_arrays(
-            [pa.array(words, pa.binary()), pa.array(counts, pa.int64())], names=["next", "n"])
-        return [*keys, pa.ListArray.from_arrays(
-            pa.array(offsets, pa.int32()), elements,
-            type=pa.list_(pa.field("element", elements.type)))]
-    for lang, by_prefix in stripes.items():
-        for prefix, stripe in by_prefix.items():
-            for part, elements in _dealt(stripe):
-                for column, value in zip(keys, (lang, prefix, part)):
-                    column.append(value)
-                words.extend(elements)
-                counts.extend(elements.values())
-                offsets.append(len(words))
-            if len(words) >= 20_000:
-                yield columns()
-                keys, offsets, words, counts = ([], [], []), [0], [], []
-    yield columns()
-
-
-def _stripes(batches, *, longest, held):
-    """The stripes of a task: lang, prefix, part and elements."""
-    stripes, size = {}, 0
+_TURN = 21
+
+# A-Z become a-z, marks and line ends the mark of a piece's end, tabs blanks
+_TABLE = bytes(b + 32 if 65 <= b <= 90 else 46 if b in b".,;:!?\n\v\f\r" else 32 if b == 9 else b
+               for b in range(256))
+_END = b"."
+
+
+def _turned(h):
+    """A 64-bit hash turned by some bits, so that the order of words matters."""
+    return (h << np.uint64(_TURN)) | (h >> np.uint64(64 - _TURN))
+
+
+def phrase_hash(lang: str, phrase: str) -> int:
+    """The hash of a phrase: those of its words one after the other."""
+    h = np.uint64(xxh64_intdigest(lang.encode(), 42))
+    for word in phrase.split(" "):
+        h = _turned(h) ^ np.uint64(xxh64_intdigest(word.encode(), 42))
+    return int(h)
+
+
+def _chunks(texts):
+    """Texts as bytes that end at a blank, about ``CHUNK`` at a time."""
+    waiting, size = [], 0
+    for text in texts:
+        waiting.append((text or b"").translate(_TABLE))
+        size += len(waiting[-1])
+        if size >= CHUNK:
+            whole = b". ".join(waiting) + b". "
+            at = 0
+            while at < len(whole):
+                end = whole.find(b" ", min(at + CHUNK, len(whole) - 1)) + 1
+                yield whole[at:end]
+                at = end
+            waiting, size = [], 0
+    yield b". ".join(waiting) + b". "
+
+
+class _Holder:
+    """The phrases of one language that a task has read since it last handed on."""
+
+    def __init__(self, lang: str, size: int, bits: np.ndarray, spread: tuple):
+        self.lang, self.size, self.bits, self.spread = lang, size, bits, spread
+        self.seed = np.uint64(xxh64_intdigest(lang.encode(), 42))
+        self.tail = np.zeros(0, np.int64)
+        self.clear()
+
+    def clear(self) -> None:
+        carried = [self.names[i] for i in self.tail.tolist()] if len(self.tail) else []
+        self.ids = defaultdict()
+        self.ids.default_factory = self.ids.__len__
+        self.ids[_END]
+        self.names, self.hashes, self.held, self.n = [], np.zeros(0, np.uint64), [], 0
+        self.tail = np.array([self.ids[w] for w in carried], np.int64)
+
+    def _know(self) -> None:
+        """Names and hashes of the words met so far, in the order of their numbers."""
+        new = list(itertools.islice(self.ids, len(self.names), None))
+        self.names += new
+        self.hashes = np.concatenate([self.hashes, np.array(
+            [xxh64_intdigest(w, 42) for w in new], np.uint64)])
+
+    def _phrase_hashes(self, words: np.ndarray) -> np.ndarray:
+        h = np.full(len(words), self.seed)
+        for column in words.T:
+            h = _turned(h) ^ self.hashes[column]
+        return h
+
+    def add(self, chunk: bytes) -> None:
+        ids = self.ids
+        found = np.array([ids[w] for w in chunk.replace(_END, b" . ").split()], np.int64)
+        self._know()
+        if self.size == 1:
+            rows = found[found != 0][:, None]
+        else:
+            # phrases that began in the chunk before
+            found = np.concatenate([self.tail, found])
+            self.tail = found[-(self.size - 1):]
+            if len(found) < self.size:
+                return
+            parts = np.lib.stride_tricks.sliding_window_view(found, self.size - 1)
+            open_ = (parts != 0).all(axis=1)
+            place = self._phrase_hashes(parts) % np.uint64(BITS)
+            open_ &= (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)
+                      & 1).astype(bool)
+            rows = np.lib.stride_tricks.sliding_window_view(found, self.size)[open_[:-1] & open_[1:]]
+        self.held.append(rows.astype(np.int32))
+        self.n += len(rows)
+
+    def full(self, held: int) -> bool:
+        return self.n >= held or len(self.ids) >= VOCABULARY
+
+    def stripes(self):
+        """lang, prefix, part, words and counts of every stripe, some rows at a time."""
+        rows = np.concatenate(self.held) if self.held else np.zeros((0, self.size), np.int32)
+        if not len(rows):
+            return
+        code, many = rows[:, 0].astype(np.int64), len(self.names)
+        for column in rows.T[1:]:
+            if code.max() >= (1 << 62) // many:
+                code = np.unique(code, return_inverse=True)[1]
+            code = code * many + column
+        _, first, counts = np.unique(code, return_index=True, return_counts=True)
+        rows = rows[first]
+        part = self._parts(rows)
+        prefix = rows[:, :-1]
+        if part.any():
+            group = np.cumsum(np.r_[0, (prefix[1:] != prefix[:-1]).any(axis=1)])
+            order = np.lexsort((part, group))
+            rows, counts, part = rows[order], counts[order], part[order]
+            prefix = rows[:, :-1]
+        starts = np.flatnonzero(np.r_[True, (prefix[1:] != prefix[:-1]).any(axis=1)
+                                      | (part[1:] != part[:-1])])
+        names = pa.array(self.names, pa.binary()).view(pa.string())
+        for at in range(0, len(starts), 20_000):
+            chosen = starts[at:at + 20_000]
+            end = starts[at + 20_000] if at + 20_000 < len(starts) else len(rows)
+            offsets = pa.array(np.r_[chosen, end] - chosen[0], pa.int32())
+            yield [pa.array([self.lang] * len(chosen), pa.string()), self._prefixes(names, prefix[chosen]),
+                   pa.array(part[chosen], pa.int32()),
+                   pc.binary_join(pa.ListArray.from_arrays(
+                       offsets, names.take(pa.array(rows[chosen[0]:end, -1]))), " "),
+                   pa.ListArray.from_arrays(
+                       offsets, pa.array(counts[chosen[0]:end], pa.int32()),
+                       type=pa.list_(pa.field("element", pa.int32())))]
+
+    @staticmethod
+    def _prefixes(names: pa.Array, prefix: np.ndarray) -> pa.Array:
+        n, size = prefix.shape
+        if not size:
+            return pa.array([""] * n, pa.string())
+        return pc.binary_join(pa.ListArray.from_arrays(
+            pa.array(np.arange(n + 1) * size, pa.int32()),
+            names.take(pa.array(np.ascontiguousarray(prefix).ravel()))), " ")
+
+    def _parts(self, rows: np.ndarray) -> np.ndarray:
+        """The part of its stripe that every element belongs to, by its next word."""
+        word = self.hashes[rows[:, -1]]
+        if self.size == 1:
+            return (word % np.uint64(WORD_PARTS)).astype(np.int64)
+        hot, many = self.spread
+        if not len(hot):
+            return np.zeros(len(rows), np.int64)
+        h = self._phrase_hashes(rows[:, :-1])
+        at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
+        return np.where(hot[at] == h, word % many[at], np.uint64(0)).astype(np.int64)
+
+
+def _stripes(batches, *, size, held, known):
+    """The stripes of a task: lang, prefix, part, words and counts."""
+    bits, spread = known.value
+    bits, spread = np.frombuffer(bits, np.uint8), tuple(np.array(x, np.uint64) for x in spread)
+    holders = {}
     for batch in slices(batches):
+        by_lang = {}
         for lang, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-            size += _read(stripes.setdefault(lang, {}), text, longest)
-            if size >= held:
-                yield from _rows(stripes)
-                stripes, size = {}, 0
-    yield from _rows(stripes)
-
-
-def merged(docs: DataFrame, longest: int = LONGEST, held: int = HELD) -> DataFrame:
-    """lang, prefix, next and f: the elements of all stripes.  Adding up takes place
-    where a prefix and part lie, so stripes are shuffled once and as stripes."""
+            by_lang.setdefault(lang, []).append(text)
+        for lang, texts in by_lang.items():
+            if lang not in holders:
+                holders[lang] = _Holder(lang, size, bits, spread)
+            for chunk in _chunks(texts):
+                holders[lang].add(chunk)
+                if holders[lang].full(held // len(holders)):
+                    yield from holders[lang].stripes()
+                    holders[lang].clear()
+    for holder in holders.values():
+        yield from holder.stripes()
+
+
+def merged(docs: DataFrame, size: int, bits: bytes = b"", spread: tuple = ((), ()),
+           held: int = HELD) -> DataFrame:
+    """lang, prefix, next and f: the stripes of the phrases of ``size`` words.  Adding
+    up takes place where a prefix and part lie, so stripes are shuffled once and as
+    stripes."""
     rows = docs.select(F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), "text")
-    dealt = map_rows(rows, f"lang string, prefix binary, part int, elements array<{_ELEMENT}>",
-                     functools.partial(_stripes, longest=longest, held=held)
+    known = docs.sparkSession.sparkContext.broadcast((bits, spread))
+    dealt = map_rows(rows, "lang string, prefix string, part int, words string, counts array<int>",
+                     functools.partial(_stripes, size=size, held=held, known=known)
                      ).repartition("lang", "prefix", "part")
-    return (dealt.select("lang", "prefix", "part", F.explode("elements").alias("e"))
-            .groupBy("lang", "prefix", "part", F.col("e.next").alias("next"))
-            .agg(F.sum("e.n").alias("f")).drop("part"))
+    elements = F.arrays_zip(F.split("words", " ").alias("next"), F.col("counts").alias("n"))
+    return (dealt.select("lang", "prefix", "part", F.inline(elements))
+            .groupBy("lang", "prefix", "part", "next")
+            .agg(F.sum("n").alias("f")).drop("part"))
+
+
+def _frequent(phrases: DataFrame) -> bytes:
+    """``phrases`` as a field of bits, ``BITS`` at any size."""
+    h = F.aggregate(F.split("phrase", " "), F.xxhash64("lang"), lambda h, word: F.shiftleft(
+        h, _TURN).bitwiseOR(F.shiftrightunsigned(h, 64 - _TURN)).bitwiseXOR(F.xxhash64(word)))
+    place = F.pmod(h, F.lit(BITS))
+    rows = (phrases.select(place.alias("place")).groupBy(F.expr(f"place div {_BITMAP}").alias("i"))
+            .agg(F.bitmap_construct_agg(F.col("place") % _BITMAP).alias("bits")).collect())
+    field = bytearray(BITS // 8)
+    for i, bits in rows:
+        field[i * _BITMAP // 8:(i + 1) * _BITMAP // 8] = bits
+    return bytes(field)
+
+
+def _spread(phrases: DataFrame, total: int) -> tuple[list[int], list[int]]:
+    """Hashes and parts of the stripes that hold more than one in ``SPREAD`` of ``total``
+    words: fewer than ``SPREAD`` entries, as a phrase occurs at most once per word."""
+    many = sorted((phrase_hash(r["lang"], r["phrase"]), 1 + r["f"] * SPREAD // total)
+                  for r in phrases.where(F.col("f") * SPREAD > total).collect())
+    return [h for h, _ in many], [n for _, n in many]
 
 
 def _phrase(prefix, following):
-    return F.when(F.octet_length(prefix) == 0, following.cast("string")).otherwise(
-        F.concat_ws(" ", prefix.cast("string"), following.cast("string")))
+    return F.when(prefix == "", following).otherwise(F.concat_ws(" ", prefix, following))
 
 
 def _joined(words, start, size):
@@ -168,6 +302,26 @@ def _scored(candidates: DataFrame, counts: DataFrame) -> DataFrame:
         "lang", "phrase", "a", *(F.col(f"best.{c}").alias(c) for c in ("l", "r", "score")))
 
 
+def _first_rows(batches, *, top):
+    """The first rows of every language; a partition comes in order."""
+    lang, taken = None, 0
+    for batch in batches:
+        langs = batch.column(0).to_pylist()
+        keep = []
+        for value in langs:
+            lang, taken = (lang, taken + 1) if value == lang else (value, 1)
+            keep.append(taken <= top)
+        yield batch.filter(pa.array(keep, pa.bool_())).columns
+
+
+def _best_of_tasks(scored: DataFrame, top: int) -> DataFrame:
+    """Every partition's ``top`` rows of a language, so the last ranking sees few."""
+    ordered = scored.sortWithinPartitions("lang", F.desc("score"), F.desc("a"), "phrase")
+    return map_rows(ordered, ", ".join(f"{f.name} {f.dataType.simpleString()}"
+                                       for f in scored.schema),
+                    functools.partial(_first_rows, top=top))
+
+
 def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST,
                  share: int = SHARE, top: int = TOP, held: int = HELD) -> DataFrame:
     """Per language the ``top`` phrases of 2 to ``longest`` words that occur at least
@@ -183,21 +337,28 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST,
     """
     if longest < 2:
         raise ValueError("a phrase has at least two words")
-    scratch = Scratch(docs.sparkSession)
-    elements = scratch.keep(merged(docs, longest, held).where(
-        (F.col("f") >= least) | (F.octet_length("prefix") == 0)))
-    totals = (elements.where(F.octet_length("prefix") == 0)
-              .groupBy("lang").agg(F.sum("f").alias("n")))
-    counts = elements.where(F.col("f") >= least).select(
-        "lang", _phrase(F.col("prefix"), F.col("next")).alias("phrase"), "f",
-        (F.octet_length("prefix") == 0).alias("single"))
+    scratch, levels, bits, spread = Scratch(docs.sparkSession), [], b"", ((), ())
+    for size in range(1, longest + 1):
+        found = merged(docs, size, bits, spread, held).select(
+            "lang", _phrase(F.col("prefix"), F.col("next")).alias("phrase"), "f",
+            F.lit(size == 1).alias("single"))
+        if size == 1:
+            words = scratch.keep(found)
+            totals = scratch.keep(words.groupBy("lang").agg(F.sum("f").alias("n")))
+            total = totals.agg(F.sum("n")).first()[0] or 0
+            levels.append(words.where(F.col("f") >= least))
+        else:
+            levels.append(scratch.keep(found.where(F.col("f") >= least)))
+        if size < longest:
+            bits, spread = _frequent(levels[-1]), _spread(levels[-1], total)
+    counts = functools.reduce(DataFrame.union, levels)
     candidates = counts.where(~F.col("single")).select(
         "lang", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("words"))
     around = _subsumption(candidates, longest)
     kept = candidates.join(around, ["lang", "phrase"], "left").where(
         F.col("around").isNull() | (100 * F.col("around") < share * F.col("a"))).drop("around")
+    best = _best_of_tasks(_scored(kept, counts), top)
     order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = _scored(kept, counts).withColumn("rank", F.row_number().over(order)).where(
-        F.col("rank") <= top)
+    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -91,16 +92,52 @@ def test_exact_beyond_64_bits(spark):
     assert [x.score for x in c._scored(candidates, counts).collect()] == [10 ** 6 * a * a // (l * r)]
 
 
-def test_stripes_are_dealt_out_once_and_in_parts(spark):
-    many = " ".join(f"the w{i}" for i in range(500))
-    docs = frame(spark, [("en", many)] * 3)
-    plan = c.merged(docs)._jdf.queryExecution().toString()
+def test_a_full_field_of_bits_changes_nothing(spark, monkeypatch):
+    rows = corpus(8)
+    monkeypatch.setattr(c, "_frequent", lambda _: b"\xff" * (c.BITS // 8))
+    assert cases.pairs(c.collocations(frame(spark, rows)), *COLUMNS) == brute(rows)
+
+
+def test_rare_phrases_are_not_counted_further(spark):
+    rows = [("en", "a b c " * 20 + "x y z q")]  # one task, so its stripes are whole
+    words = spark.createDataFrame([("en", w, 60) for w in "abc"], "lang string, phrase string, f long")
+    found = c.merged(frame(spark, rows), 2, c._frequent(words)).collect()
+    assert {(r.prefix, r.next) for r in found} == {("a", "b"), ("b", "c"), ("c", "a")}
+
+
+def test_stripes_are_dealt_out_once(spark):
+    plan = c.merged(frame(spark, [("en", "a b c")]), 2)._jdf.queryExecution().toString()
     physical = plan[plan.index("== Physical Plan =="):]
     assert physical.count("Exchange hashpartitioning(lang") == 1
-    rows = [r for columns in c._rows({"en": {b"the": {b"w%d" % i: 1 for i in range(500)}}})
-            for r in zip(*columns)]
-    assert len(rows) == c.PARTS and max(len(r[3]) for r in rows) < 30
-    assert sum(len(r[3]) for r in rows) == 500
+
+
+@pytest.mark.parametrize("spread", [4, 4096])
+def test_frequent_prefixes_are_dealt_out_in_parts(spark, monkeypatch, spread):
+    monkeypatch.setattr(c, "SPREAD", spread)
+    rows = [("en", " ".join(f"the w{i % 40}" for i in range(600)))] * 3
+    words = spark.createDataFrame([("en", "the", 1800), ("en", "w1", 45)],
+                                  "lang string, phrase string, f long")
+    hashes, parts = c._spread(words, 3600)
+    assert dict(zip(hashes, parts)) == ({c.phrase_hash("en", "the"): 3} if spread == 4 else {
+        c.phrase_hash("en", "the"): 2049, c.phrase_hash("en", "w1"): 52})
+    holder = c._Holder("en", 2, np.full(c.BITS // 8, 255, np.uint8),
+                       (np.array(hashes, np.uint64), np.array(parts, np.uint64)))
+    holder.add(" ".join(f"the v{i % 500} . x y ." for i in range(1000)).encode())
+    made = [r for columns in holder.stripes() for r in zip(*(x.to_pylist() for x in columns))]
+    the = [r for r in made if r[1] == "the"]
+    assert len(the) == len({r[2] for r in the}) > 2
+    found = {(r[1], w): n for r in made for w, n in zip(r[3].split(" "), r[4])}
+    assert found == {("the", f"v{i}"): 2 for i in range(500)} | {("x", "y"): 1000}
+    assert cases.pairs(c.collocations(frame(spark, rows)), *COLUMNS) == brute(rows)
+
+
+def test_phrases_across_chunks_and_handed_on_stripes(spark, monkeypatch):
+    monkeypatch.setattr(c, "CHUNK", 50)
+    monkeypatch.setattr(c, "VOCABULARY", 6)
+    rows = [*corpus(12, 60), ("en", "one long piece without any mark in it " * 30)]
+    for longest in (2, 3, 5):
+        found = c.collocations(frame(spark, rows), longest=longest)
+        assert cases.pairs(found, *COLUMNS) == brute(rows, longest)
 
 
 def test_awkward_and_empty_tables(spark):
