@@ -9,7 +9,6 @@ its own rows, and an older one does not undo a newer one.
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 from collections.abc import Mapping
 
@@ -19,8 +18,10 @@ from pyspark.sql import functions as F
 from landledger import schemas
 from landledger.functions import scalars as s
 from landledger.operators import agents as agent_dim
-from landledger.operators import clean, dimensions, facts, payments, quality, upsert
-from landledger.plans import finance, monitoring
+from landledger.operators import (clean, dimensions, facts, payments, progress, quality, summary,
+                                  upsert)
+from landledger.operators import parents as parents_of
+from landledger.plans import monitoring
 from landledger.session import exists, remove
 from landledger.sources import extract, seeds
 from landledger.warehouse import StoredWarehouse, request_table
@@ -88,15 +89,53 @@ def with_month(fact: DataFrame, date_key: str) -> DataFrame:
     return fact.withColumn(MONTH, month)
 
 
-def _merge(spark: SparkSession, batch: DataFrame, path: str, name: str, batch_id: str, key: str,
-           refresh) -> tuple[DataFrame, DataFrame]:
-    """Store the batch, merge it into the fact; the stored batch and the fact."""
+def _store_batch(spark: SparkSession, batch: DataFrame, path: str, name: str, batch_id: str,
+                 key: str) -> DataFrame:
+    """The newest row per key of a batch, stored and read back."""
     staged = os.path.join(path, f"{name}_batch")
     upsert.full_refresh(upsert.latest_per_key(batch, [key], ["modified_at"]), staged, batch_id)
-    batch = upsert.read_load(spark, staged, batch_id, batch.schema)
+    return upsert.read_load(spark, staged, batch_id, batch.schema)
+
+
+def _merge(spark: SparkSession, batch: DataFrame, path: str, name: str, key: str, refresh,
+           held: DataFrame) -> DataFrame:
+    """Merge a stored batch into the fact; the fact.  ``held`` are its keys that are
+    stored already."""
     fact = os.path.join(path, name)
-    upsert.upsert_table(spark, fact, batch, [key], refresh, ["modified_at"], MONTH)
-    return batch, spark.read.schema(batch.schema).parquet(fact)
+    upsert.upsert_table(spark, fact, batch, [key], refresh, ["modified_at"], MONTH, held=held)
+    return spark.read.schema(batch.schema).parquet(fact)
+
+
+def _rows_of(fact: DataFrame, ids: DataFrame, months: list) -> DataFrame:
+    """The rows of a fact with the given ids; only the given months are read."""
+    return fact.filter(F.col(MONTH).isin(months)).join(ids.distinct(), ids.columns, "left_semi")
+
+
+def _record_payments(spark: SparkSession, path: str, batch_id: str, receivables: DataFrame,
+                     recoveries: DataFrame) -> None:
+    """Append what the batch changes to the payment movements.  ``receivables`` and
+    ``recoveries`` are the merged rows that it touches; of the earlier movements only
+    the months of these are read (a list as short as the calendar)."""
+    place = os.path.join(path, "payment_movements")
+    tags = (f"{batch_id}_COLLECTES", f"{batch_id}_RECOUVREMENTS")
+    touched = payments.current_payments(receivables, recoveries)
+    schema = payments.payment_movements(touched, _no_movements(spark), tags).schema
+    recorded = spark.createDataFrame([], schema)
+    if exists(spark, place):
+        months = [r[0] for r in touched.select(payments.payment_month()).distinct().collect()]
+        recorded = spark.read.schema(schema).parquet(place).filter(
+            F.col(payments.MOVEMENT_MONTH).isin(months))
+    new = os.path.join(path, "movements_batch")
+    upsert.full_refresh(payments.payment_movements(touched, recorded, tags), new, batch_id)
+    for tag in tags:  # a repeated batch replaces its own movements
+        remove(spark, os.path.join(place, f"etl_batch_id={tag}"))
+    (upsert.read_load(spark, new, batch_id, schema).write.mode("append")
+     .partitionBy("etl_batch_id", payments.MOVEMENT_MONTH).parquet(place))
+
+
+def _no_movements(spark: SparkSession) -> DataFrame:
+    amounts = ", ".join(f"{c} decimal(15,2)" for c in payments.MOVED)
+    return spark.createDataFrame([], f"payment_key string, {amounts}, etl_batch_id string")
 
 
 def _staged(spark: SparkSession, df: DataFrame, path: str, name: str, batch_id: str, schema) -> DataFrame:
@@ -109,63 +148,101 @@ def _staged(spark: SparkSession, df: DataFrame, path: str, name: str, batch_id:
 
 
 def load_collections(spark: SparkSession, source: Mapping[str, DataFrame], path: str, batch_id: str,
-                     as_of, previous: str | None = None, since=None) -> dict[str, DataFrame]:
+                     as_of, previous: str | None = None, since=None, overlap_days: int = 1,
+                     ) -> dict[str, DataFrame]:
     """Agents, receivables, recovery actions and payments of one batch.
 
     ``previous`` names the load the agent dimension is carried on from; without
     it this is the first load.  Receivables out of range go to the quarantine folder
-    of the batch and the rest is loaded.  An empty extract changes no fact.
+    of the batch and the rest is loaded.  An empty extract changes no fact.  An extract
+    with rows without an id, or a batch that breaks a column rule or range check, is
+    refused before anything is merged; the report of the checks stays.
 
-    Recovery actions are read from the day ``since`` on; without it from a day before
-    the newest one stored, or all if none is.  Reading some again does no harm.
+    Recovery actions are read from the day ``since`` on; without it from
+    ``overlap_days`` before the day up to which another load has read, or all if there
+    is none.  Choose as many days as rows may land late; reading some again does no
+    harm.  Actions whose receivable comes with a later batch are repaired by that batch.
 
-    Payments are appended under the batch's own tags, for the rows of this batch.
+    A payment has one current row.  What the batch changed is appended to the payment
+    movements under the batch's own tags.
     """
     place = lambda name: os.path.join(path, name)
 
-    cleaned = clean.clean_agents(extract.incremental_agents(source["agents_collecteurs"], as_of))
+    extracts = {
+        "agents": extract.incremental_agents(source["agents_collecteurs"], as_of),
+        "receivables": extract.extract_receivables(source["collectes"]),
+        "recoveries": extract.all_recoveries(source["recouvrements"]),
+    }
+    keys = quality.source_keys(extracts)
+    _report(path, batch_id, {"collections_source_keys": keys})
+    quality.refuse_broken(upsert.read_load(spark, place("quality/collections_source_keys"), batch_id,
+                                           keys.schema), batch_id)
+
+    cleaned = clean.clean_agents(extracts["agents"])
     if previous is None:
         agents = agent_dim.first_versions(cleaned, as_of)
     else:
         known = upsert.read_load(spark, place("dim_agent"), previous,
                                  agent_dim.first_versions(cleaned, as_of).schema)
-        agents = agent_dim.scd2_agents(known, cleaned, as_of)
+        agents = agent_dim.with_late_versions(agent_dim.scd2_agents(known, cleaned, as_of), cleaned)
     upsert.full_refresh(agents, place("dim_agent"), batch_id)
     for name, seed in (("dim_receivable_type", seeds.receivable_types),
                        ("dim_receivable_status", seeds.receivable_statuses),
                        ("dim_payment_mode", seeds.payment_modes)):
         upsert.full_refresh(seed(spark), place(name), batch_id)
 
-    receivables = _staged(spark, clean.clean_receivables(extract.extract_receivables(source["collectes"])),
+    receivables = _staged(spark, clean.clean_receivables(extracts["receivables"]),
                           path, "receivables", batch_id, schemas.RECEIVABLES)
     upsert.full_refresh(facts.quarantined_receivables(receivables, batch_id), place("quarantine"), batch_id)
-    valid = with_month(facts.fact_receivables(receivables, batch_id), "created_date_key")
-    new_receivables, receivable_facts = _merge(
-        spark, valid, path, "fact_receivables", batch_id, "receivable_id", upsert.RECEIVABLE_REFRESH)
+    new_receivables = _store_batch(
+        spark, with_month(facts.fact_receivables(receivables, batch_id), "created_date_key"),
+        path, "fact_receivables", batch_id, "receivable_id")
 
+    if since is None:
+        since = progress.read_from(spark, place("recovery_reads"), batch_id, as_of, overlap_days)
     actions = source["recouvrements"]
-    recovery_schema = with_month(facts.fact_recoveries(
-        spark.createDataFrame([], schemas.RECOVERIES), receivable_facts, batch_id), "action_date_key").schema
-    if since is None and exists(spark, place("fact_recoveries")):
-        newest = spark.read.schema(recovery_schema).parquet(place("fact_recoveries")).agg(
-            F.max("modified_at")).first()[0]
-        since = newest - dt.timedelta(days=1) if newest else None
     if since is not None:
         actions = actions.filter(F.col("date_modification") >= s.as_timestamp(since))
     recoveries = _staged(spark, clean.clean_recoveries(extract.all_recoveries(actions)),
                          path, "recoveries", batch_id, schemas.RECOVERIES)
+
+    stored = StoredWarehouse(spark, path, batch_id, as_of=as_of)
+    _refuse_broken_batch(spark, path, batch_id, {
+        "dim_agent": stored.dim_agent, "fact_receivables": new_receivables,
+        "fact_recoveries": upsert.latest_per_key(recoveries, ["recovery_id"], ["modified_at"]).select(
+            "recovery_id", F.col("recovery_id").alias("recovery_fact_key"), "payment",
+            F.lit(0).cast(s.MONEY).alias("fee"))})
+
+    ids = new_receivables.select("receivable_id")
+    held = upsert.held_keys(spark, place("fact_receivables"), new_receivables.schema, ids, ids.columns, MONTH)
+    old_months = upsert.partition_values(held, MONTH)
+    summary_place = place("receivables_sums")
+    stored_rows = (spark.read.schema(new_receivables.schema).parquet(place("fact_receivables"))
+                   if old_months else new_receivables.limit(0))
+    summary.note_before(spark, summary_place, batch_id, _rows_of(stored_rows, ids, old_months), MONTH)
+    receivable_facts = _merge(spark, new_receivables, path, "fact_receivables", "receivable_id",
+                              upsert.RECEIVABLE_REFRESH, held)
+    months = list({*old_months, *upsert.partition_values(new_receivables, MONTH)})
+    changed_receivables = _rows_of(receivable_facts, ids, months)
+    sums = summary.keep_current(spark, summary_place, batch_id, receivable_facts, changed_receivables, MONTH)
+
     # only the receivables that the batch names take part in the lookup
     parents = receivable_facts.join(recoveries.select("receivable_id").distinct(), "receivable_id", "left_semi")
-    new_recoveries, recovery_facts = _merge(
+    new_recoveries = _store_batch(
         spark, with_month(facts.fact_recoveries(recoveries, parents, batch_id), "action_date_key"),
-        path, "fact_recoveries", batch_id, "recovery_id", upsert.RECOVERY_REFRESH)
-
-    tags = (f"{batch_id}_COLLECTES", f"{batch_id}_RECOUVREMENTS")
-    for tag in tags:  # a repeated batch replaces its own payments
-        remove(spark, os.path.join(place("fact_payments"), f"etl_batch_id={tag}"))
-    upsert.append_batch(payments.build_payments(new_receivables, new_recoveries, *tags), place("fact_payments"))
+        path, "fact_recoveries", batch_id, "recovery_id")
+    ids = new_recoveries.select("recovery_id")
+    held = upsert.held_keys(spark, place("fact_recoveries"), new_recoveries.schema, ids, ids.columns, MONTH)
+    recovery_facts = _merge(spark, new_recoveries, path, "fact_recoveries", "recovery_id",
+                            upsert.RECOVERY_REFRESH, held)
+    repaired = _repair_early_actions(spark, path, batch_id, new_receivables, new_recoveries, recovery_facts)
+    recovery_facts = spark.read.schema(new_recoveries.schema).parquet(place("fact_recoveries"))
+    progress.note_read(spark, place("recovery_reads"), batch_id, since, as_of)
+    months = upsert.partition_values(
+        held.select(MONTH).union(new_recoveries.select(MONTH)).union(repaired.select(MONTH)), MONTH)
+    _record_payments(spark, path, batch_id, changed_receivables, _rows_of(
+        recovery_facts, ids.union(repaired.select("recovery_id")), months))
 
-    stored = StoredWarehouse(spark, path, batch_id, as_of=as_of)
     tables = {name: stored[name] for name in ("dim_agent", "dim_receivable_type", "dim_receivable_status")}
     tables |= {"fact_receivables": receivable_facts, "fact_recoveries": recovery_facts}
     days = dimensions.dim_date(dimensions.spine_of(receivable_facts, "created_on"))
@@ -173,19 +250,50 @@ def load_collections(spark: SparkSession, source: Mapping[str, DataFrame], path:
         "collections_orphans": quality.dq_orphans(tables),
         "collections_counts": quality.table_counts(tables),
     })
-    upsert.full_refresh(finance.kpi_receivables_summary(
-        receivable_facts, days, stored.dim_agent, stored.dim_receivable_type,
-        stored.dim_receivable_status, as_of), place("kpi_receivables_summary"), batch_id)
+    upsert.full_refresh(summary.summary(
+        sums, days, stored.dim_agent, stored.dim_receivable_type, stored.dim_receivable_status, as_of),
+        place("kpi_receivables_summary"), batch_id)
     return {
         "dim_agent": stored.dim_agent,
         "fact_receivables": receivable_facts,
         "fact_recoveries": recovery_facts,
-        "fact_payments": stored.fact_payments,
+        "fact_payments": payments.current_payments(receivable_facts, recovery_facts),
+        "payment_movements": spark.read.parquet(place("payment_movements")),
         "quarantine": upsert.read_load(spark, place("quarantine"), batch_id,
                                        facts.quarantined_receivables(receivables, batch_id).schema),
     }
 
 
+def _refuse_broken_batch(spark: SparkSession, path: str, batch_id: str, tables: Mapping[str, DataFrame]) -> None:
+    """Column rules and range checks of a batch's tables, reported and enforced."""
+    report = quality.dq_rules(spark, tables, quality.COLLECTION_RULES).unionByName(quality.dq_checks(tables))
+    _report(path, batch_id, {"collections_rules": report})
+    quality.refuse_broken(upsert.read_load(
+        spark, os.path.join(path, "quality", "collections_rules"), batch_id, report.schema), batch_id)
+
+
+def _repair_early_actions(spark: SparkSession, path: str, batch_id: str, new_receivables: DataFrame,
+                          new_recoveries: DataFrame, recovery_facts: DataFrame) -> DataFrame:
+    """Fill in the receivables that came after their actions; the repaired actions."""
+    waiting = os.path.join(path, "waiting_actions")
+    added = parents_of.waiting_actions(new_recoveries, MONTH)
+    solved = parents_of.solved_actions(spark, waiting, new_receivables, added.schema)
+    staged = os.path.join(path, "repaired_batch")
+    nothing = new_recoveries.limit(0)
+    upsert.full_refresh(nothing if solved is None else parents_of.repaired_actions(
+        recovery_facts, solved, MONTH), staged, batch_id)
+    repaired = upsert.read_load(spark, staged, batch_id, recovery_facts.schema)
+    if not repaired.isEmpty():
+        upsert.upsert_table(spark, os.path.join(path, "fact_recoveries"), repaired, ["recovery_id"],
+                            parents_of.FROM_RECEIVABLE, [], MONTH)
+    if solved is not None:  # stored, as the list it is read from is rewritten
+        upsert.full_refresh(solved.select("recovery_id"), os.path.join(path, "solved_batch"), batch_id)
+        solved = upsert.read_load(spark, os.path.join(path, "solved_batch"), batch_id,
+                                  solved.select("recovery_id").schema)
+    parents_of.drain(spark, waiting, added, solved, MONTH)
+    return repaired
+
+
 def monitor(warehouse, path: str, as_of) -> DataFrame:
     """Add the KPI values of the day to the history; return the alerts."""
     snapshot = monitoring.kpi_snapshot(warehouse.fact_requests, as_of)

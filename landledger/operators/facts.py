@@ -128,6 +128,25 @@ def quarantined_receivables(receivables: DataFrame, batch_id: str) -> DataFrame:
     return receivable_measures(receivables, batch_id).filter(~receivable_in_range())
 
 
+def parent_columns(receivable_facts: DataFrame) -> DataFrame:
+    """What a recovery action takes from its receivable."""
+    return receivable_facts.select(
+        "receivable_id", "receivable_fact_key",
+        F.col("amount_due").alias("parent_due"),
+        F.col("created_on").alias("parent_created_on"),
+        "company_id",
+    )
+
+
+def from_parent() -> dict[str, Column]:
+    """The columns of an action that are computed from its receivable's."""
+    return {
+        "company_key": s.prefixed_key("entreprise_", F.col("company_id")),
+        "effectiveness": (F.col("payment") / F.nullifzero(F.col("parent_due"))).cast("decimal(20,4)"),
+        "days_since_receivable": s.calendar_days(F.col("parent_created_on"), F.col("action_on")),
+    }
+
+
 def fact_recoveries(recoveries: DataFrame, receivable_facts: DataFrame, batch_id: str,
                     state_unique: bool = False) -> DataFrame:
     """Recovery actions with the key and amount of their receivable.
@@ -140,15 +159,10 @@ def fact_recoveries(recoveries: DataFrame, receivable_facts: DataFrame, batch_id
     drop the whole join where no receivable column is used, but no longer split a
     hot receivable; it is meant for plans that may not need the join at all.
     """
-    parents = receivable_facts.select(
-        "receivable_id", "receivable_fact_key",
-        F.col("amount_due").alias("parent_due"),
-        F.col("created_on").alias("parent_created_on"),
-        "company_id",
-    )
+    parents = parent_columns(receivable_facts)
     if state_unique:
         parents = parents.dropDuplicates(["receivable_id"])
-    share = (F.col("payment") / F.nullifzero(F.col("parent_due"))).cast("decimal(20,4)")
+    found = from_parent()
     return recoveries.join(parents, "receivable_id", "left").select(
         F.col("recovery_id").alias("recovery_fact_key"),
         "recovery_id",
@@ -160,13 +174,13 @@ def fact_recoveries(recoveries: DataFrame, receivable_facts: DataFrame, batch_id
         s.hash_key("AGT", F.col("agent_id")).alias("agent_key"),
         s.prefixed_key("ACT_", F.col("action_type")).alias("action_type_key"),
         s.prefixed_key("STAT_", F.col("status")).alias("status_key"),
-        s.prefixed_key("entreprise_", F.col("company_id")).alias("company_key"),
+        found["company_key"].alias("company_key"),
         "agent_id", "company_id",
         F.col("payment"),
         F.lit(0).cast(s.MONEY).alias("fee"),
         F.col("payment").alias("amount_net"),
-        share.alias("effectiveness"),
-        s.calendar_days(F.col("parent_created_on"), F.col("action_on")).alias("days_since_receivable"),
+        found["effectiveness"].alias("effectiveness"),
+        found["days_since_receivable"].alias("days_since_receivable"),
         "action_type", "payment_mode", "status", "notes", "document",
         "action_on", "modified_at",
         F.lit(batch_id).alias("etl_batch_id"),

@@ -46,6 +46,23 @@ COLUMN_RULES = (
     Rule("fact_requests", "request_count", False, True),
 )
 
+# Fixed list: column rules of the collection tables of one batch.
+COLLECTION_RULES = (
+    Rule("dim_agent", "agent_key", True, True),
+    Rule("dim_agent", "durable_key", False, True),
+    Rule("fact_receivables", "receivable_id", True, True),
+    Rule("fact_receivables", "receivable_fact_key", True, True),
+    Rule("fact_receivables", "status_key", False, True),
+    Rule("fact_recoveries", "recovery_id", True, True),
+    Rule("fact_recoveries", "recovery_fact_key", True, True),
+)
+# Fixed list: the ids that every extracted row must have.
+SOURCE_KEYS = {"agents": "agent_id", "receivables": "receivable_id", "recoveries": "recovery_id"}
+
+
+class BrokenLoad(ValueError):
+    """A load that would store broken keys."""
+
 
 def _stack(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -90,6 +107,22 @@ def dq_rules(spark: SparkSession, tables: Mapping[str, DataFrame],
                   .withColumn("violations", F.coalesce("violations", F.lit(0))))
 
 
+def source_keys(extracts: Mapping[str, DataFrame]) -> DataFrame:
+    """Extracted rows without an id, per source; one pass each, of the id column only."""
+    return _stack([missing_values(df, [SOURCE_KEYS[name]]).select(
+        F.lit("source_key").alias("check"), F.lit(name).alias("table"), "column", "violations")
+        for name, df in extracts.items()])
+
+
+def refuse_broken(report: DataFrame, load: str) -> None:
+    """Stop a load whose report holds a broken key.  The report has one row per rule;
+    range checks are reported only, as rows out of range go to quarantine."""
+    broken = report.filter((F.col("check") != "range") & (F.col("violations") > 0)).collect()
+    if broken:
+        found = ", ".join(sorted(f"{r.check} {r.table}.{r.column}: {r.violations}" for r in broken))
+        raise BrokenLoad(f"load {load} is refused, nothing was merged: {found}")
+
+
 # Fixed list: range checks of the fact tables.
 RANGE_CHECKS = {
     "fact_receivables": {

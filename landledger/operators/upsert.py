@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landledger.operators.clean import with_keys
-from landledger.session import exists
+from landledger.session import exists, remove, scratch_path
 
 # Fixed lists: the columns a later batch may change on an existing fact row.
 # The modification time goes with them, so that an older batch can be told.
@@ -44,8 +44,8 @@ def _newest(batch: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) ->
         latest_per_key(batch.join(repeated, list(keys), "left_semi"), keys, newest_by))
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-           refresh: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], refresh: Sequence[str],
+           newest_by: Sequence[str], known: DataFrame | None = None) -> DataFrame:
     """``target`` with ``batch`` merged in.
 
     A key present in both keeps its first values except for the ``refresh``
@@ -56,7 +56,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     The target is the large side.  It is only ever the left side of a left join
     and of a semi join on its keys, so a batch below the broadcast threshold is
     merged without moving the target; a larger one falls back to sorted joins.
-    Both sides are unique per key, so no join key is hot.
+    Both sides are unique per key, so no join key is hot.  ``known`` names the batch's
+    keys that the target holds, where they are found already; it saves the semi join.
     """
     keys = list(keys)
     newest = _newest(batch, keys, newest_by).select(*target.columns)
@@ -70,7 +71,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
         F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in refresh else F.col(c)
         for c in target.columns
     ])
-    known = target.select(*keys).join(newest.select(*keys), keys, "left_semi")
+    if known is None:
+        known = target.select(*keys).join(newest.select(*keys), keys, "left_semi")
     return merged.unionByName(newest.join(known, keys, "left_anti"))
 
 
@@ -110,16 +112,18 @@ def append_batch(df: DataFrame, path: str, batch: str = "etl_batch_id") -> None:
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                 refresh: Sequence[str], newest_by: Sequence[str], partition: str) -> None:
+                 refresh: Sequence[str], newest_by: Sequence[str], partition: str,
+                 deleted: DataFrame | None = None, held: DataFrame | None = None) -> None:
     """Upsert a Parquet table, rewriting only the partitions the batch touches; a table
     that is not there yet is created.  ``batch`` is read more than once: store it first.
-
-    Touched are the partitions that already hold a batch key and those new rows
-    go to.  Their list is fetched: it is as short as the calendar (one entry per
-    month), and as a literal list it prunes the scan of the table for certain.
-    Finding them reads the key columns only.  Dynamic overwrite writes beside
-    the table and moves the partitions in at job commit, which is what allows
-    reading and replacing them in one job.
+    Rows with a key of ``deleted`` that the batch does not bring are taken out.
+
+    The table is read twice: its key columns, to find which batch keys it holds and in
+    which partitions (``held``, if it was found before), and the partitions that are
+    rewritten.  Their list is fetched: it is as short as the calendar (one entry per
+    month), and as a literal list it prunes the second scan for certain.  Dynamic
+    overwrite writes beside the table and moves the partitions in at job commit, which
+    is what allows reading and replacing them in one job.
     """
     keys = list(keys)
     newest = _newest(batch, keys, newest_by)
@@ -127,15 +131,52 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
         newest.write.partitionBy(partition).parquet(path)
         return
     target = spark.read.schema(batch.schema).parquet(path)
-    holding = target.select(partition, *keys).join(newest.select(*keys), keys, "left_semi")
-    touched = holding.select(partition).union(newest.select(partition)).distinct()
-    values = [row[0] for row in touched.collect()]
-    if not values:
-        return
-    affected = target.filter(F.col(partition).isin(values))
-    (upsert(affected, newest, keys, refresh, newest_by)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition).parquet(path))
+    if deleted is not None:
+        deleted = deleted.select(*keys).distinct().join(newest.select(*keys), keys, "left_anti")
+        held = None
+    if held is None:
+        wanted = newest.select(*keys)
+        held = held_keys(spark, path, target.schema, wanted if deleted is None else wanted.union(deleted),
+                         keys, partition)
+    values = partition_values(held.select(partition).union(newest.select(partition)), partition)
+    if values:
+        affected = target.filter(F.col(partition).isin(values))
+        emptied = []
+        if deleted is not None:
+            emptied = _emptied(affected, held.join(deleted, keys, "left_semi"), newest, partition)
+            affected = affected.join(deleted, keys, "left_anti")
+        (upsert(affected, newest, keys, refresh, newest_by, held.select(*keys))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition).parquet(path))
+        for value in emptied:  # dynamic overwrite leaves a partition without new rows as it was
+            remove(spark, os.path.join(path, f"{partition}={value}"))
+
+
+def held_keys(spark: SparkSession, path: str, schema: T.StructType, wanted: DataFrame, keys: Sequence[str],
+              partition: str) -> DataFrame:
+    """Which of the ``wanted`` keys a table holds, and in which partitions: one scan of
+    its key columns, written down, as small as the list of wanted keys.  A table that is
+    not there yet holds none."""
+    columns = wanted.sparkSession.createDataFrame([], schema).select(partition, *keys)
+    if not exists(spark, path):
+        return columns
+    found = scratch_path(spark, "held")
+    (spark.read.schema(schema).parquet(path).select(partition, *keys)
+     .join(wanted.select(*keys), list(keys), "left_semi").select(partition, *keys).write.parquet(found))
+    return spark.read.schema(columns.schema).parquet(found)
+
+
+def partition_values(df: DataFrame, partition: str) -> list:
+    """The partitions of some rows: a list as short as the calendar."""
+    return [row[0] for row in df.select(partition).distinct().collect()]
+
+
+def _emptied(affected: DataFrame, dropped: DataFrame, newest: DataFrame, partition: str) -> list:
+    """Partitions that lose all their rows and get none."""
+    count = lambda df, sign: df.groupBy(partition).agg((sign * F.count("*")).alias("n"))
+    left = (count(affected, 1).union(count(dropped, -1)).union(count(newest, 1))
+            .groupBy(partition).agg(F.sum("n").alias("n")))
+    return [row[0] for row in left.where("n = 0").collect()]
 
 
 def save_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:

@@ -134,7 +134,7 @@ def kpi_receivables_summary(facts: DataFrame, dates: DataFrame, agents: DataFram
     the joins see one row per key combination and no key is hot.  Averages are
     carried as sum and row count.
     """
-    per_key = with_lateness(facts, as_of).groupBy("created_date_key", "agent_key", "type_key", "status_key").agg(
+    per_key = with_lateness(facts, as_of).groupBy(*SUMMARY_KEYS).agg(
         count_rows().alias("receivables"),
         F.sum("amount_due").alias("amount_due"),
         F.sum("amount_collected").alias("amount_collected"),
@@ -145,6 +145,16 @@ def kpi_receivables_summary(facts: DataFrame, dates: DataFrame, agents: DataFram
         F.count("recovery_days").alias("day_rows"),
         F.count_if("is_late").alias("late"),
     )
+    return labelled_summary(per_key, dates, agents, types, statuses)
+
+
+#: The member keys of the summary.
+SUMMARY_KEYS = ("created_date_key", "agent_key", "type_key", "status_key")
+
+
+def labelled_summary(per_key: DataFrame, dates: DataFrame, agents: DataFrame,
+                     types: DataFrame, statuses: DataFrame) -> DataFrame:
+    """Sums per member key with the members' labels."""
     calendar = dates.select(F.col("date_key").alias("created_date_key"), "date")
     members = agents.filter("is_current").select(
         F.col("durable_key").alias("agent_key"), F.col("full_name").alias("agent_name"))

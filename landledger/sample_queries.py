@@ -17,12 +17,13 @@ from landledger import jobs, schemas
 from landledger.functions import scalars as s
 from landledger.functions.measures import count_rows
 from landledger.operators import agents as ag
-from landledger.operators import clean, dimensions, facts, payments, quality, upsert
+from landledger.operators import (clean, compare, dimensions, facts, payments, progress, quality,
+                                  upsert)
 from landledger.plans import analysis, dashboards, finance, monitoring, registry, requests
 from landledger.session import scratch_path
 from landledger.sources import extract
 from landledger.sources import sample as sm
-from landledger.warehouse import Warehouse
+from landledger.warehouse import StoredWarehouse, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,10 +144,10 @@ def collections_two_batches(spark: SparkSession, folder: str) -> DataFrame:
         return {"agents_collecteurs": agents, "collectes": receivables, "recouvrements": actions}
     nothing = t.source_recoveries.limit(0)
     twice = t.source_agents.unionByName(older)
-    day = sm.COLLECTIONS_AS_OF
+    day, month = sm.COLLECTIONS_AS_OF, 31  # the actions land up to a month late
     jobs.load_collections(spark, batch(faulty, nothing, twice), path, "B1", day)
     second = jobs.load_collections(spark, batch(t.source_receivables, t.source_recoveries, twice), path, "B2", day,
-                                   previous="B1")
+                                   previous="B1", overlap_days=month)
     last = jobs.load_collections(spark, batch(corrected, nothing, twice), path, "B1", day)
 
     def summed(df, name, tag, amount):
@@ -157,12 +158,169 @@ def collections_two_batches(spark: SparkSession, folder: str) -> DataFrame:
         summed(last["fact_receivables"], "fact_receivables", "etl_batch_id", "amount_collected"),
         summed(last["fact_recoveries"], "fact_recoveries", "etl_batch_id", "payment"),
         summed(last["fact_payments"], "fact_payments", "etl_batch_id", "amount_paid"),
+        summed(last["payment_movements"], "payment_movements", "etl_batch_id", "amount_paid"),
         summed(last["quarantine"], "quarantine", "etl_batch_id", "amount_collected"),
         summed(second["dim_agent"].where("is_current"), "dim_agent", "full_name", F.lit(0)).groupBy("table").agg(
             F.lit("current").alias("tag"), F.sum("rows").alias("rows"), F.sum("amount").alias("amount")),
     ))
 
 
+@functools.lru_cache(maxsize=4)
+def _three_loads(spark: SparkSession, folder: str) -> str:
+    """The collection job over three days; the folder with its tables.
+
+    The first two loads deliver a third of the receivables late (ids 0 modulo 3 come
+    with the second) and half of what is collected in the end; the last one everything.
+    Actions arrive by their day, some of the first days three days late; one in a
+    thousand is dated far ahead.  Agents change their name from load to load, and
+    some changes of the second arrive with the third.
+    """
+    t = sm.sample_warehouse(spark, folder).staging
+    path = scratch_path(spark, "three_loads")
+    amount = t.source_receivables.schema["montant_recouvre"].dataType
+    half = F.floor(F.col("montant_recouvre").cast("decimal(15,2)") / 2).cast("decimal(15,2)").cast(amount)
+    earlier = lambda days: F.col("updated_at") - F.expr(f"INTERVAL {days} DAYS")
+    part = t.source_receivables.withColumn("montant_recouvre", half)
+    moment, id_ = F.col("date_modification"), F.col("recouvrement_id")
+    late = moment.between("2024-01-08", "2024-01-09") & (id_ % 5 == 0)
+    before = lambda day: t.source_recoveries.filter(moment < F.lit(day).cast("timestamp_ntz"))
+    ahead = lambda df: df.withColumn("date_modification", F.when(
+        id_ % 1000 == 1, F.lit("2098-12-31").cast("timestamp_ntz")).otherwise(moment))
+    on = lambda day: F.lit(day).cast("timestamp_ntz")
+
+    def agents(name: str, day: str) -> DataFrame:
+        return t.source_agents.withColumns({"nom": F.concat("nom", F.lit(name)), "statut": F.lit("ACTIF"),
+                                            "date_modification": on(day)})
+    # every third agent's second name comes with the third load, after the third name
+    second_names = agents(" B", "2024-01-15")
+    delayed = F.col("agent_id") % 3 == 0
+    loads = (
+        ("B1", LOAD_DAYS[0], part.filter("id % 3 <> 0").withColumn("updated_at", earlier(2)),
+         ahead(before(LOAD_DAYS[0]).filter(~late)), agents(" A", "2024-01-01")),
+        ("B2", LOAD_DAYS[1], part.withColumn("updated_at", earlier(1)), ahead(before(LOAD_DAYS[1])),
+         second_names.filter(~delayed)),
+        ("B3", LOAD_DAYS[2], t.source_receivables, ahead(before(LOAD_DAYS[2])),
+         agents(" C", "2024-01-25").unionByName(second_names.filter(delayed))),
+    )
+    previous = None
+    for name, day, receivables, actions, people in loads:
+        jobs.load_collections(
+            spark, {"agents_collecteurs": people, "collectes": receivables, "recouvrements": actions},
+            path, name, day, previous=previous, overlap_days=3)
+        previous = name
+    return path
+
+
+LOAD_DAYS = ("2024-01-10", "2024-01-20", "2024-01-31")
+
+
+def _three_stored(spark: SparkSession, folder: str) -> StoredWarehouse:
+    return StoredWarehouse(spark, _three_loads(spark, folder), "B3", as_of=LOAD_DAYS[2])
+
+
+def payments_over_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Payment KPIs after three loads, the first two with part payments, and the sums
+    of the movements that the loads recorded."""
+    w = _three_stored(spark, folder)
+    movements = spark.read.parquet(f"{w.path}/payment_movements")
+    number, money = (lambda c: F.col(c).cast("bigint")), (lambda c: F.col(c).cast("decimal(30,2)"))
+
+    def line(df: DataFrame, kpi: str, count: str, amount: str, label=F.lit(None).cast("string")) -> DataFrame:
+        return df.select(F.lit(kpi).alias("kpi"), label.alias("label"), number(count).alias("payments"),
+                         money(amount).alias("amount"))
+    pay = w.fact_payments
+    return functools.reduce(DataFrame.unionByName, (
+        line(finance.fin_total_payments(pay), "total", "payments", "amount"),
+        line(finance.fin_net_revenue(pay), "net", "payments", "net_amount"),
+        line(finance.fin_collections_monthly(pay), "monthly", "payments", "amount",
+             F.date_format("period", "yyyy-MM-dd")),
+        line(finance.fin_by_method(pay), "method", "payments", "amount", F.col("payment_method")),
+        line(finance.fin_global_dashboard(pay), "complete", "complete", "amount"),
+        line(finance.fin_recovery_by_zone(pay), "zone", "late", "amount", F.col("zone_key")),
+        line(movements.groupBy("transaction_type").agg(F.countDistinct("payment_key").alias("n"),
+                                                       F.sum("amount_paid").alias("amount")),
+             "moved", "n", "amount", F.col("transaction_type")),
+        line(movements.agg(F.countDistinct("payment_key").alias("n"), F.sum("amount_net").alias("amount")),
+             "moved_net", "n", "amount"),
+    ))
+
+
+def late_parents(spark: SparkSession, folder: str) -> DataFrame:
+    """Actions with and without their receivable after three loads, a third of the
+    receivables with a later load than their actions; and what still waits."""
+    w = _three_stored(spark, folder)
+    waiting = spark.read.parquet(f"{w.path}/waiting_actions")
+    has = F.when(F.col("receivable_fact_key").isNull(), "without").otherwise("with")
+    stored = w.fact_recoveries.groupBy(has.alias("parent")).agg(
+        count_rows().alias("actions"), F.sum("effectiveness").cast("decimal(30,4)").alias("effectiveness"),
+        F.sum("days_since_receivable").alias("days"), F.sum("receivable_fact_key").alias("ids"))
+    return stored.unionByName(waiting.select(
+        F.lit("waiting").alias("parent"), F.lit(None).cast("decimal(30,4)").alias("effectiveness"),
+        F.lit(None).cast("bigint").alias("days"), "receivable_id").groupBy("parent").agg(
+        count_rows().alias("actions"), F.max("effectiveness").alias("effectiveness"),
+        F.max("days").alias("days"), F.sum("receivable_id").alias("ids")))
+
+
+def recoveries_late_and_future(spark: SparkSession, folder: str) -> DataFrame:
+    """What every load read, and the actions that it was the last to read."""
+    path = _three_loads(spark, folder)
+    read = progress.reads(spark, f"{path}/recovery_reads").select(
+        F.col("load_id").alias("batch"), F.date_format("read_from", "yyyy-MM-dd").alias("read_from"),
+        F.date_format("read_until", "yyyy-MM-dd").alias("read_until"))
+    stored = spark.read.parquet(f"{path}/fact_recoveries").groupBy(F.col("etl_batch_id").alias("batch")).agg(
+        count_rows().alias("actions"), F.sum("recovery_id").alias("ids"))
+    return read.join(stored, "batch", "full_outer")
+
+
+def summary_by_deltas(spark: SparkSession, folder: str) -> DataFrame:
+    """The receivables summary that three loads have kept current by differences."""
+    path = _three_loads(spark, folder)
+    return spark.read.parquet(f"{path}/kpi_receivables_summary/load_id=B3")
+
+
+def facts_by_agent_version(spark: SparkSession, folder: str) -> DataFrame:
+    """Recovery actions per agent name that was valid on the action's day, among them
+    names that arrived after a later one."""
+    w = _three_stored(spark, folder)
+    named = ag.version_of_day(w.fact_recoveries.select("agent_key", "agent_id", "action_on", "payment"),
+                              w.dim_agent, "agent_key", "action_on")
+    return named.groupBy(F.substring("agent_name", -1, 1).alias("name"), "version",
+                         (F.col("agent_id") % 3).alias("kind")).agg(
+        count_rows().alias("actions"), F.sum("payment").cast("decimal(30,2)").alias("amount"))
+
+
+def _two_extracts(w: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """The requests of two days without a modification date: some new, gone, changed."""
+    rows = w.requests.drop("modified_at")
+    id_ = F.col("request_id")
+    before = rows.filter(id_ % 11 != 3).withColumns({
+        "status": F.when(id_ % 7 == 2, "EN_COURS_AVANT").otherwise(F.col("status")),
+        "plot_id": F.when(id_ % 17 == 5, None).otherwise(F.col("plot_id"))})
+    return before, rows.filter(id_ % 13 != 5)
+
+
+def extract_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Two full extracts compared; the differences, deletions included, merged into the
+    stored table of the first give that of the second."""
+    before, after = (_stored(df, name) for df, name in zip(
+        _two_extracts(sm.sample_warehouse(spark, folder)), ("before", "after")))
+    changes = _stored(compare.extract_changes(before, after, ["request_id"]), "changes")
+    path = scratch_path(spark, "requests_by_year")
+    by_year = lambda df: df.withColumn("year", F.year("created_at"))
+    by_year(before).write.partitionBy("year").parquet(path)
+    new = by_year(after).join(changes.filter(F.col("change") != compare.DELETED), "request_id", "left_semi")
+    refresh = [c for c in after.columns if c not in ("request_id", "created_at")]
+    upsert.upsert_table(spark, path, _stored(new, "new"), ["request_id"], refresh, [], "year",
+                        deleted=changes.filter(F.col("change") == compare.DELETED))
+    merged = spark.read.schema(by_year(after).schema).parquet(path)
+    left = compare.extract_changes(merged.drop("year"), after, ["request_id"])
+    counted = lambda df, what: df.groupBy(what.alias("change")).agg(
+        count_rows().alias("requests"), F.sum("request_id").alias("ids"))
+    return (counted(changes, F.col("change")).unionByName(counted(merged, F.lit("merged")))
+            .unionByName(left.agg(count_rows().alias("requests")).select(
+                F.lit("left").alias("change"), "requests", F.lit(None).cast("bigint").alias("ids"))))
+
+
 def insert_new_agents(spark: SparkSession, folder: str) -> DataFrame:
     """Active agents loaded first, then everybody: only the unknown are added."""
     cleaned = clean.clean_agents(sm.sample_warehouse(spark, folder).staging.agents)
@@ -301,6 +459,12 @@ QUERIES: dict[str, Query] = {
         lambda t: extract.incremental_recoveries(t.source_recoveries, "2024-01-30")),
     "load_full_refresh": load_full_refresh,
     "collections_two_batches": collections_two_batches,
+    "payments_over_batches": payments_over_batches,
+    "late_parents": late_parents,
+    "recoveries_late_and_future": recoveries_late_and_future,
+    "summary_by_deltas": summary_by_deltas,
+    "facts_by_agent_version": facts_by_agent_version,
+    "extract_changes": extract_changes,
     "upsert_receivable_fact": upsert_receivable_fact,
     "upsert_recovery_fact": upsert_recovery_fact,
     "insert_new_agents": insert_new_agents,

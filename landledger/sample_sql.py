@@ -412,7 +412,11 @@ SQL["collections_two_batches"] = _with(RECEIVABLES, RECOVERIES, AGENTS) + """
 SELECT 'fact_receivables' AS "table", 'B2' AS tag, COUNT(*) AS rows, CAST(SUM(amount_collected) AS DOUBLE) AS amount
 FROM receivables
 UNION ALL SELECT 'fact_recoveries', 'B2', COUNT(*), CAST(SUM(payment) AS DOUBLE) FROM recoveries
-UNION ALL SELECT 'fact_payments', 'B1_COLLECTES', COUNT(*), 0 FROM receivables WHERE receivable_id % 2 = 0
+UNION ALL SELECT 'payment_movements', 'B1_COLLECTES', COUNT(*), 0 FROM receivables
+          WHERE receivable_id % 2 = 0 AND receivable_id % 500 <> 4
+UNION ALL SELECT 'payment_movements', 'B2_COLLECTES', COUNT(*), CAST(SUM(amount_collected) AS DOUBLE) FROM receivables
+          WHERE receivable_id % 2 = 1 OR receivable_id % 500 = 4 OR amount_collected <> 0
+UNION ALL SELECT 'payment_movements', 'B2_RECOUVREMENTS', COUNT(*), CAST(SUM(payment) AS DOUBLE) FROM recoveries
 UNION ALL SELECT 'fact_payments', 'B2_COLLECTES', COUNT(*), CAST(SUM(amount_collected) AS DOUBLE) FROM receivables
 UNION ALL SELECT 'fact_payments', 'B2_RECOUVREMENTS', COUNT(*), CAST(SUM(payment) AS DOUBLE) FROM recoveries
 UNION ALL SELECT 'dim_agent', 'current', COUNT(*), 0 FROM agents
@@ -754,6 +758,67 @@ SELECT d.date, a.agent_name, substr(r.type_key, 5) AS category,
 FROM (SELECT {_LATENESS} FROM fact_receivables) r LEFT JOIN dim_date d ON r.created_date_key = d.date_key
 LEFT JOIN agents a ON r.agent_id = a.agent_id GROUP BY 1, 2, 3, 4"""
 
+# --- several loads --------------------------------------------------------------------------------------
+
+SQL["payments_over_batches"] = _PAY + f"""
+SELECT 'total' AS kpi, CAST(NULL AS VARCHAR) AS label, COUNT(*) AS payments, {_PAID} FROM payments
+WHERE amount_paid > 0
+UNION ALL SELECT 'net', NULL, COUNT(*), CAST(SUM(amount_net) AS DOUBLE) FROM payments WHERE {_SUCCESS}
+UNION ALL SELECT 'monthly', strftime(date_trunc('month', payment_date), '%Y-%m-%d'), COUNT(*), {_PAID} FROM payments
+          WHERE transaction_type = 'COLLECTE' GROUP BY 2
+UNION ALL SELECT 'method', payment_method, COUNT(*), {_PAID} FROM payments GROUP BY 2
+UNION ALL SELECT 'complete', NULL, {_COMPLETE}, {_PAID} FROM payments
+UNION ALL SELECT 'zone', zone_key, {_LATE}, {_PAID} FROM payments WHERE transaction_type = 'RECOUVREMENT' GROUP BY 2
+UNION ALL SELECT 'moved', transaction_type, COUNT(*), {_PAID} FROM payments GROUP BY 2
+UNION ALL SELECT 'moved_net', NULL, COUNT(*), CAST(SUM(amount_net) AS DOUBLE) FROM payments"""
+SQL["late_parents"] = _with(FACT_RECOVERIES) + """
+SELECT CASE WHEN receivable_fact_key IS NULL THEN 'without' ELSE 'with' END AS parent, COUNT(*) AS actions,
+       CAST(SUM(effectiveness) AS DOUBLE) AS effectiveness, CAST(SUM(days_since_receivable) AS BIGINT) AS days,
+       CAST(SUM(receivable_fact_key) AS BIGINT) AS ids FROM fact_recoveries GROUP BY 1
+UNION ALL SELECT 'waiting', COUNT(*), NULL, NULL, CAST(SUM(receivable_id) AS BIGINT) FROM fact_recoveries
+          WHERE receivable_fact_key IS NULL AND receivable_id IS NOT NULL HAVING COUNT(*) > 0"""
+SQL["recoveries_late_and_future"] = """
+SELECT batch, read_from, read_until, actions, ids
+FROM (VALUES ('B1', NULL, '2024-01-10'), ('B2', '2024-01-07', '2024-01-20'), ('B3', '2024-01-17', '2024-01-31'))
+     AS reads(batch, read_from, read_until)
+FULL JOIN (SELECT CASE WHEN event_id % 1000 = 1 OR ts >= TIMESTAMP '2024-01-17' THEN 'B3'
+                       WHEN ts >= TIMESTAMP '2024-01-07' THEN 'B2' ELSE 'B1' END AS batch,
+                  COUNT(*) AS actions, CAST(SUM(event_id) AS BIGINT) AS ids
+           FROM events WHERE ts < TIMESTAMP '2024-01-31' GROUP BY 1) USING (batch)"""
+SQL["summary_by_deltas"] = _with(FACT_RECEIVABLES, SOURCE_AGENTS, DIM_DATE) + f"""
+SELECT d.date, a.nom || ' C' AS agent_name, 'RECOUVREMENT' AS category,
+       CASE r.status_key WHEN 'STAT_RECOUVREE' THEN 'Recouvrée' WHEN 'STAT_NON_RECOUVREE' THEN 'Non recouvrée'
+            WHEN 'STAT_PART_RECOUVREE' THEN 'Partiellement recouvrée' END AS status_label,
+       COUNT(*) AS receivables, CAST(SUM(amount_due) AS DOUBLE) AS amount_due,
+       CAST(SUM(amount_collected) AS DOUBLE) AS amount_collected,
+       CAST(SUM(amount_remaining) AS DOUBLE) AS amount_remaining, {_mean('recovery_rate', 8)} AS avg_recovery_rate,
+       CAST(NULL AS DOUBLE) AS avg_recovery_days,
+       COUNT(*) FILTER (WHERE amount_collected < amount_due AND due_on < DATE '2024-01-31') AS late,
+       COUNT(*) FILTER (WHERE r.status_key = 'STAT_RECOUVREE') AS closed
+FROM fact_receivables r LEFT JOIN dim_date d ON r.created_date_key = d.date_key
+LEFT JOIN source_agents a ON r.agent_id = a.agent_id GROUP BY 1, 2, 3, 4"""
+SQL["facts_by_agent_version"] = _with(RECOVERIES) + """
+SELECT name, version, kind, COUNT(*) AS actions, CAST(SUM(payment) AS DOUBLE) AS amount FROM (
+  SELECT payment, CASE WHEN unnamed THEN NULL WHEN second THEN 'B' ELSE 'A' END AS name,
+         CAST(CASE WHEN unnamed THEN NULL WHEN NOT second THEN 1 WHEN kind = 0 THEN 3 ELSE 2 END AS INTEGER) AS version,
+         kind
+  FROM (SELECT payment, agent_id % 3 AS kind,
+               s_suppkey IS NULL OR action_on < DATE '2024-01-10' AS unnamed,
+               action_on >= CASE WHEN agent_id % 3 = 0 THEN DATE '2024-01-15' ELSE DATE '2024-01-20' END AS second
+        FROM recoveries LEFT JOIN supplier ON agent_id = s_suppkey))
+GROUP BY 1, 2, 3"""
+SQL["extract_changes"] = """
+WITH flags AS (
+  SELECT o_orderkey AS id, o_orderkey % 11 <> 3 AS earlier, o_orderkey % 13 <> 5 AS later,
+         o_orderkey % 7 = 2 OR (o_orderkey % 17 = 5 AND EXISTS (
+             SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)) AS different
+  FROM orders)
+SELECT CASE WHEN NOT earlier THEN 'inserted' WHEN NOT later THEN 'deleted' ELSE 'changed' END AS change,
+       COUNT(*) AS requests, CAST(SUM(id) AS BIGINT) AS ids
+FROM flags WHERE (earlier OR later) AND (NOT earlier OR NOT later OR different) GROUP BY 1
+UNION ALL SELECT 'merged', COUNT(*), CAST(SUM(id) AS BIGINT) FROM flags WHERE later
+UNION ALL SELECT 'left', 0, NULL"""
+
 # --- combined KPIs, quality, monitoring ------------------------------------------------------------------
 
 SQL["dash_status_priority"] = _with(FACT) + f"""

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from landledger import schemas
 from landledger.operators import agents as agent_dim
 from landledger.operators import clean, dimensions, facts, payments
+from landledger.session import exists
 from landledger.sources import seeds
 
 TABLES = (
@@ -137,15 +138,15 @@ class StoredWarehouse:
     """The same tables, read from what the jobs have written.
 
     Request tables are read from ``load_id``, collection tables from
-    ``batch_id`` (the same id unless given); the merged facts and the payments
-    have one current state.  ``as_of`` is the day for which lateness is reported.
+    ``batch_id`` (the same id unless given); the merged facts have one current state
+    and the payments follow from them.  ``as_of`` is the day for which lateness is reported.
     """
 
     _contracts = {"requests": schemas.REQUESTS, "companies": schemas.COMPANIES, "plots": schemas.PLOTS,
-                  "zones": schemas.ZONES, "fact_payments": schemas.PAYMENTS}
+                  "zones": schemas.ZONES}
     _collection = {"dim_agent", "dim_receivable_type", "dim_receivable_status", "dim_payment_mode",
                    "quarantine"}
-    _merged = {"fact_receivables", "fact_recoveries", "fact_payments"}
+    _merged = {"fact_receivables", "fact_recoveries"}
 
     def __init__(self, spark: SparkSession, path: str, load_id: str, batch_id: str | None = None,
                  as_of=None):
@@ -155,6 +156,8 @@ class StoredWarehouse:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
+        if name == "fact_payments":  # one row per receivable and action, as they stand
+            return payments.current_payments(self.fact_receivables, self.fact_recoveries)
         if name == "fact_requests" and self.spark.catalog.tableExists(request_table(self.load_id)):
             return self.spark.table(request_table(self.load_id))
         place = os.path.join(self.path, name)
@@ -164,6 +167,10 @@ class StoredWarehouse:
         reader = self.spark.read
         if name in self._contracts:
             reader = reader.schema(self._contracts[name])
+        elif name in self._merged:  # a fact may have no rows yet; its batches tell the types
+            batch = os.path.join(self.path, f"{name}_batch", f"load_id={self.batch_id}")
+            if exists(self.spark, batch):
+                reader = reader.schema(self.spark.read.parquet(batch).schema)
         return reader.parquet(place)
 
     def __getitem__(self, name: str) -> DataFrame:

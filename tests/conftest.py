@@ -8,7 +8,9 @@ def spark(tmp_path_factory):
     session = get_spark(
         "tests", master="local[4]", shuffle_partitions=4,
         **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
-           "spark.ui.showConsoleProgress": "false", "spark.log.level": "ERROR"})
+           "spark.ui.showConsoleProgress": "false", "spark.log.level": "ERROR",
+           # no call-site bookkeeping for every column expression
+           "spark.python.sql.dataFrameDebugging.enabled": "false"})
     yield session
     session.stop()
 

@@ -1,6 +1,7 @@
 """Upserts, versions, stored loads, jobs and the incremental stream."""
 
 import datetime as dt
+import decimal
 import os
 import re
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from landledger import jobs, schemas
 from landledger.operators import agents as ag
-from landledger.operators import facts
+from landledger.operators import clean, facts
 from landledger.operators import upsert as up
 from landledger.plans import registry
 from landledger.plans import requests as request_kpis
@@ -179,14 +180,16 @@ def test_collection_job_and_stream(spark, tmp_path):
     assert n == 1473 and first["fact_recoveries"].count() == early.count()
     assert first["fact_payments"].count() == n + early.count()
 
-    second = jobs.load_collections(spark, source, path, "B2", "2024-01-31", previous="B1")
+    second = jobs.load_collections(spark, source, path, "B2", "2024-01-31", previous="B1", overlap_days=15)
     assert second["fact_receivables"].count() == n
     assert second["dim_agent"].count() == first["dim_agent"].count()
     assert [r[0] for r in second["fact_receivables"].select("etl_batch_id").distinct().collect()] == ["B2"]
-    tags = {r.etl_batch_id: r["count"] for r in second["fact_payments"].groupBy("etl_batch_id").count().collect()}
     again = second["fact_recoveries"].where("etl_batch_id = 'B2'").count()
-    assert tags == {"B1_COLLECTES": n, "B1_RECOUVREMENTS": early.count(), "B2_COLLECTES": n, "B2_RECOUVREMENTS": again}
     assert 0 < again < early.count()
+    # the same source twice: as many payments as before, and no movement
+    assert second["fact_payments"].count() == n + early.count()
+    tags = {r.etl_batch_id: r["count"] for r in second["payment_movements"].groupBy("etl_batch_id").count().collect()}
+    assert tags == {"B1_COLLECTES": n, "B1_RECOUVREMENTS": early.count()}
 
     requests_source = {"demandes_attribution": t.source_requests, "entreprises": t.source_companies,
                        "lots": t.source_plots, "zones_industrielles": t.source_zones}
@@ -195,7 +198,7 @@ def test_collection_job_and_stream(spark, tmp_path):
     summary = spark.table("mv_kpi_collectes_summary")
     assert summary.agg(F.sum("nombre_collectes")).first()[0] == n
     assert summary.filter("agent_collecteur IS NULL OR date_collecte IS NULL").count() < summary.count()
-    assert spark.table("vw_kpi_dashboard_global").first().total_transactions == 2 * n + early.count() + again
+    assert spark.table("vw_kpi_dashboard_global").first().total_transactions == n + early.count()
     stored_summary = spark.read.parquet(f"{path}/kpi_receivables_summary/load_id=B2")
     assert stored_summary.agg(F.sum("receivables")).first()[0] == n
     assert spark.table("v_kpi_taux_acceptation").first().total_demandes == 1500
@@ -235,7 +238,7 @@ def test_repeated_and_older_batches(spark, tmp_path):
     b1 = source([who("Ann", 1), who("Anna", 2)], [due(1, "0", 1), due(2, "150", 1)], [])
     b2 = source([who("Older", 1)], [due(1, "40", 5), due(2, "50", 5), due(3, "0", 5)], [act(1, 1, 5), act(2, 99, 5)])
     path = str(tmp_path / "wh")
-    first = jobs.load_collections(spark, b1, path, "B1", "2024-01-31")
+    first = jobs.load_collections(spark, b1, path, "B1", "2024-01-31", overlap_days=30)
     assert first["fact_receivables"].count() == 1 and first["fact_recoveries"].count() == 0
     assert first["quarantine"].count() == 1 and first["fact_payments"].count() == 1
     assert [(r.full_name, r.is_current) for r in first["dim_agent"].collect()] == [("Anna", True)]
@@ -245,13 +248,15 @@ def test_repeated_and_older_batches(spark, tmp_path):
     def state(result):
         return (rows(result["fact_receivables"].select("receivable_id", F.col("amount_collected").cast("int"), "etl_batch_id")),
                 rows(result["fact_recoveries"].select("recovery_id", "receivable_fact_key")),
-                rows(result["fact_payments"].groupBy("etl_batch_id").count()))
-    second = jobs.load_collections(spark, b2, path, "B2", "2024-01-31", previous="B1")
+                rows(result["payment_movements"].groupBy("etl_batch_id").count()))
+    second = jobs.load_collections(spark, b2, path, "B2", "2024-01-31", previous="B1", overlap_days=30)
     after = ([(1, 40, "B2"), (2, 50, "B2"), (3, 0, "B2")], [(1, 1), (2, None)],
              [("B1_COLLECTES", 1), ("B2_COLLECTES", 3), ("B2_RECOUVREMENTS", 2)])
     assert sorted(state(second)[1], key=str) == sorted(after[1], key=str)
     assert (state(second)[0], state(second)[2]) == (after[0], after[2])
-    assert [(r.full_name, r.version) for r in second["dim_agent"].collect()] == [("Anna", 1)]
+    # the older row of the second batch is put in before the current version
+    assert [(r.full_name, r.version, r.is_current) for r in second["dim_agent"].orderBy("valid_from").collect()] == [
+        ("Older", 2, False), ("Anna", 1, True)]
     assert second["quarantine"].count() == 0
 
     again = jobs.load_collections(spark, b1, path, "B1", "2024-01-31")
@@ -264,6 +269,235 @@ def test_repeated_and_older_batches(spark, tmp_path):
     assert state(last)[0] == after[0] and last["fact_recoveries"].count() == 2
 
 
+DAY = lambda d: dt.datetime(2024, 1, d)
+
+
+def collection_source(spark, collections=(), actions=(), agents=((1, 1),)):
+    """Receivables (id, due, paid, day modified), actions (id, receivable, paid, day)."""
+    return {
+        "agents_collecteurs": spark.createDataFrame(
+            [(i, f"A{i}", None, None, None, None, None, "ACTIF", None, None, DAY(d)) for i, d in agents], SOURCE_AGENT),
+        "collectes": spark.createDataFrame(
+            [(i, f"C{i}", due, paid, "en_cours", "2023-01-01", "2023-02-01", 1, None, DAY(d))
+             for i, due, paid, d in collections], COLLECTION),
+        "recouvrements": spark.createDataFrame(
+            [(i, of, "relance", d.date(), paid, "virement", 1, "reussi", None, None, d.date(), d)
+             for i, of, paid, d in actions], ACTION)}
+
+
+def test_part_payments_count_once(spark, tmp_path):
+    from landledger.plans import finance
+
+    path = str(tmp_path / "wh")
+    half, full, back = ([(1, "100", paid, day), (2, "70", "0", 1)] for paid, day in
+                        (("50", 1), ("100", 2), ("80", 3)))
+    jobs.load_collections(spark, collection_source(spark, half), path, "B1", "2024-01-10")
+    paid = lambda result: tuple(int(x) for x in finance.fin_total_payments(result["fact_payments"]).first())
+    moved = lambda result: sorted((r.payment_key, r.etl_batch_id, int(r.amount_paid), int(r.amount_billed))
+                                  for r in result["payment_movements"].collect())
+    second = jobs.load_collections(spark, collection_source(spark, full), path, "B2", "2024-01-11", previous="B1")
+    assert paid(second) == (100, 1)
+    start = [("COLLECTE_1", "B1_COLLECTES", 50, 100), ("COLLECTE_2", "B1_COLLECTES", 0, 70)]
+    assert moved(second) == sorted([*start, ("COLLECTE_1", "B2_COLLECTES", 50, 0)])
+    third = jobs.load_collections(spark, collection_source(spark, back), path, "B3", "2024-01-12", previous="B2")
+    assert paid(third) == (80, 1)
+    want = sorted([*start, ("COLLECTE_1", "B2_COLLECTES", 50, 0), ("COLLECTE_1", "B3_COLLECTES", -20, 0)])
+    assert moved(third) == want
+    for name, rows_, previous in (("B1", half, None), ("B2", full, "B1")):
+        again = jobs.load_collections(spark, collection_source(spark, rows_), path, name, "2024-01-12",
+                                      previous=previous)
+        assert paid(again) == (80, 1) and moved(again) == want
+
+
+def test_future_and_late_actions_are_read(spark, tmp_path):
+    path, due = str(tmp_path / "wh"), [(1, "100", "0", 1)]
+    far = dt.datetime(2098, 12, 31)
+
+    def load(name, day, actions, **options):
+        result = jobs.load_collections(spark, collection_source(spark, due, actions), path, name, day,
+                                       previous=None if name == "B1" else "B1", **options)
+        return sorted(r.recovery_id for r in result["fact_recoveries"].collect())
+    assert load("B1", "2024-01-10", [(1, 1, "5", DAY(5)), (2, 1, "5", far)]) == [1, 2]
+    # modified on the seventh, landed after the tenth: an overlap of three days finds it
+    late = [(3, 1, "5", DAY(7)), (4, 1, "5", DAY(12))]
+    assert load("B2", "2024-01-20", late, overlap_days=2) == [1, 2, 4]
+    assert load("B2", "2024-01-20", late, overlap_days=3) == [1, 2, 3, 4]
+    # a day given by hand goes before; a load of an earlier day does not start beyond it
+    assert load("B3", "2024-01-21", [(5, 1, "5", DAY(2))], since="2024-01-02") == [1, 2, 3, 4, 5]
+    assert load("B4", "2024-01-15", [(6, 1, "5", DAY(14)), (7, 1, "5", DAY(13))]) == [1, 2, 3, 4, 5, 6]
+
+
+def test_receivable_after_its_actions(spark, tmp_path):
+    path = str(tmp_path / "wh")
+    actions = [(1, 7, "30", DAY(5)), (2, 8, "30", DAY(5)), (4, 7, "60", dt.datetime(2023, 11, 5))]
+    other = (9, "10", "0", 1)
+    jobs.load_collections(spark, collection_source(spark, [other], actions), path, "B1", "2024-01-10")
+    waiting = lambda: sorted((r.recovery_id, r.receivable_id) for r in spark.read.parquet(f"{path}/waiting_actions").collect())
+    assert waiting() == [(1, 7), (2, 8), (4, 7)]
+    for _ in range(2):  # the second time nothing is left to repair
+        second = jobs.load_collections(spark, collection_source(spark, [(7, "60", "0", 2), other]), path, "B2",
+                                       "2024-01-11", previous="B1")
+        found = {r.recovery_id: (r.receivable_fact_key, r.effectiveness and float(r.effectiveness), r.days_since_receivable)
+                 for r in second["fact_recoveries"].collect()}
+        assert found == {1: (7, 0.5, 369), 2: (None, None, None), 4: (7, 1.0, 308)}
+        assert waiting() == [(2, 8)]
+        status = {r.payment_key: r.payment_status for r in second["fact_payments"].collect()}
+        assert status["RECOUVREMENT_1"] == status["RECOUVREMENT_4"] == "RECOUVRE"
+        assert status["RECOUVREMENT_2"] == "IMPAYE"
+    third = jobs.load_collections(spark, collection_source(spark, [(8, "60", "0", 2)]), path, "B3", "2024-01-12",
+                                  previous="B2")
+    assert third["fact_recoveries"].where("receivable_fact_key IS NULL").isEmpty() and waiting() == []
+
+
+def test_a_load_with_broken_keys_is_refused(spark, tmp_path):
+    from landledger.operators import quality
+
+    path = str(tmp_path / "wh")
+    good = jobs.load_collections(spark, collection_source(spark, [(1, "100", "50", 1)]), path, "B1", "2024-01-10")
+    before = rows(good["fact_receivables"])
+    bad = collection_source(spark, [(1, "100", "90", 2), (None, "5", "0", 2)])
+    with pytest.raises(quality.BrokenLoad, match="receivables.receivable_id: 1"):
+        jobs.load_collections(spark, bad, path, "B2", "2024-01-11", previous="B1")
+    assert rows(spark.read.parquet(f"{path}/fact_receivables").select(*good["fact_receivables"].columns)) == before
+    report = spark.read.parquet(f"{path}/quality/collections_source_keys/load_id=B2").collect()
+    assert {r.table: r.violations for r in report} == {"agents": 0, "receivables": 1, "recoveries": 0}
+    rules = spark.read.parquet(f"{path}/quality/collections_rules/load_id=B1")
+    assert {r.check for r in rules.collect()} == {"unique", "not_null", "range"}
+    assert rules.agg(F.sum("violations")).first()[0] == 0
+
+
+def summary_rows(spark, path, facts_, day):
+    """The kept summary and the one taken from the whole fact."""
+    from landledger.operators import dimensions, summary
+    from landledger.plans import finance
+    from landledger.sources import seeds
+
+    agents = spark.createDataFrame([("k", "x", True)], "durable_key string, full_name string, is_current boolean")
+    days = dimensions.dim_date(dimensions.spine_of(facts_, "created_on"))
+    members = (days, agents, seeds.receivable_types(spark), seeds.receivable_statuses(spark), day)
+    state = spark.read.parquet(f"{path}/receivables_sums/sums")
+    plain = lambda df: sorted([tuple(float(x) if isinstance(x, decimal.Decimal) else x for x in r)
+                               for r in df.collect()], key=repr)
+    return plain(summary.summary(state, *members)), plain(finance.kpi_receivables_summary(facts_, *members))
+
+
+@pytest.mark.parametrize("stop", ["before", "merge", "half", "after"])
+def test_summary_by_differences_survives_a_stop_anywhere(spark, tmp_path, monkeypatch, stop):
+    """A batch is stopped, then repeated: each difference is applied once."""
+    from landledger.operators import summary, upsert
+
+    path = str(tmp_path / "wh")
+    b1 = [(i, "100", str(10 * i), 1) for i in range(1, 9)]
+    b2 = [(i, "100", str(100 if i % 2 else 10 * i), 2) for i in range(1, 7)] + [(20, "7", "0", 2)]
+    jobs.load_collections(spark, collection_source(spark, b1), path, "B1", "2024-01-10")
+
+    class Stopped(Exception):
+        pass
+
+    def stopping(*_, **__):
+        raise Stopped
+    place = {"before": (upsert, "upsert_table"), "merge": (summary, "keep_current"),
+             "half": (summary, "_note"), "after": (jobs, "_record_payments")}[stop]
+    real = getattr(*place)
+    if stop == "half":  # the sums are written, the mark is not
+        monkeypatch.setattr(summary, "_note", lambda s_, p_, name, *a: stopping() if name == "done" else real(
+            s_, p_, name, *a))
+    else:
+        monkeypatch.setattr(*place, stopping)
+    with pytest.raises(Stopped):
+        jobs.load_collections(spark, collection_source(spark, b2), path, "B2", "2024-01-11", previous="B1")
+    monkeypatch.setattr(*place, real)
+    for _ in range(2 if stop == "half" else 1):
+        done = jobs.load_collections(spark, collection_source(spark, b2), path, "B2", "2024-01-11", previous="B1")
+    for day in ("2023-01-15", "2024-01-31"):
+        kept, whole = summary_rows(spark, path, done["fact_receivables"], day)
+        assert kept == whole and sum(r[4] for r in kept) == 9
+
+
+def test_differences_read_only_their_months(spark, tmp_path):
+    from landledger.operators import summary
+
+    path, columns = str(tmp_path / "sums"), None
+    for number, name in enumerate(("L1", "L2")):
+        fact = facts.fact_receivables(clean.clean_receivables(spark.createDataFrame(
+            [(i, "r", "taxe", "100", str(10 * number), "en_cours", f"2023-0{1 + i % 3}-01", "2023-04-01", None, 1, None,
+              None, None, None, None, "2023-05-01 00:00:00") for i in range(9)],
+            "receivable_id long, reference string, receivable_type string, amount_due string, amount_collected string, "
+            "status string, created_on string, due_on string, recovered_on string, agent_id long, company_id long, "
+            "plot_id long, zone_id long, request_id long, notes string, modified_at string")), "B")
+        fact = jobs.with_month(fact, "created_date_key")
+        place = str(tmp_path / name)
+        fact.write.partitionBy(jobs.MONTH).parquet(place)
+        fact = spark.read.schema(fact.schema).parquet(place)
+        touched = fact.filter(F.col(jobs.MONTH) == 202302)
+        if number == 0:
+            summary.note_before(spark, path, name, touched.limit(0), jobs.MONTH)
+            summary.keep_current(spark, path, name, fact, fact, jobs.MONTH)
+            old = touched
+            files = {m: sorted(os.listdir(f"{path}/sums/{jobs.MONTH}={m}")) for m in (202301, 202302, 202303)}
+        else:
+            summary.note_before(spark, path, name, old, jobs.MONTH)
+            state = summary.keep_current(spark, path, name, fact, touched, jobs.MONTH)
+            now = {m: sorted(os.listdir(f"{path}/sums/{jobs.MONTH}={m}")) for m in files}
+            assert now[202302] != files[202302]
+            assert (now[202301], now[202303]) == (files[202301], files[202303])
+            assert {r[0]: int(r[1]) for r in state.groupBy(jobs.MONTH).agg(F.sum("amount_collected")).collect()} == {
+                202301: 0, 202302: 30, 202303: 0}
+
+
+def test_deleted_rows_and_emptied_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(1, 10, "a", 1, 1), (2, 20, "b", 1, 2), (3, 30, "c", 1, 2)], SCHEMA)
+    old.write.partitionBy("part").parquet(path)
+    batch = spark.createDataFrame([(3, 33, "d", 2, 2), (4, 40, "e", 2, 3)], SCHEMA)
+    gone = spark.createDataFrame([(1,), (1,), (3,), (99,)], "id long")
+    up.upsert_table(spark, path, batch, ["id"], ["amount"], ["seen"], "part", deleted=gone)
+    left = spark.read.schema(old.schema).parquet(path)
+    assert sorted((r.id, r.amount) for r in left.collect()) == [(2, 20), (3, 33), (4, 40)]
+    assert sorted(n for n in os.listdir(path) if n.startswith("part=")) == ["part=2", "part=3"]
+    up.upsert_table(spark, path, batch.limit(0), ["id"], ["amount"], ["seen"], "part",
+                    deleted=spark.createDataFrame([(2,), (3,), (4,)], "id long"))
+    assert not [n for n in os.listdir(path) if n.startswith("part=")]
+
+
+def test_extract_comparison(spark):
+    from landledger.operators.compare import extract_changes
+
+    schema = "id long, a string, b string, loaded int"
+    before = spark.createDataFrame([(1, "x", None, 1), (2, "x", "y", 1), (3, None, "x", 1), (4, "r", "r", 1),
+                                    (4, "r", "r", 1), (5, "q", "q", 1), (5, "p", "p", 1), (None, "n", "n", 1)], schema)
+    after = spark.createDataFrame([(1, None, "x", 2), (2, "x", "y", 2), (4, "r", "r", 2), (5, "p", "p", 2),
+                                   (5, "q", "q", 2), (6, "", None, 2), (None, "n", "m", 2)], schema)
+    found = {r.id: r.change for r in extract_changes(before, after, ["id"], ["loaded"]).collect()}
+    assert found == {1: "changed", 3: "deleted", 4: "changed", 6: "inserted"}
+    assert extract_changes(before, before.select("b", "id", "loaded", "a"), ["id"]).count() == 0
+    assert {r.change for r in extract_changes(before.limit(0), after, ["id"]).collect()} == {"inserted"}
+
+
+def test_versions_of_the_day(spark):
+    late = "agent_id long, agent_name string, badge_number string, job_title string, zone_id long, phone string, " \
+           "email string, status string, hired_on date, created_on date, modified_at timestamp_ntz"
+    row = lambda name, d, i=1: (i, name, None, None, None, None, None, "ACTIF", None, None, DAY(d))
+    first = ag.first_versions(spark.createDataFrame([row("A", 1), row("Z", 1, 2)], late), "2024-01-02")
+    newest = ag.scd2_agents(first, spark.createDataFrame([row("C", 20)], late), "2024-01-21")
+    batch = spark.createDataFrame([row("B", 10), row("B", 12), row("A", 1), row("C", 20), row("Early", 1)], late)
+    dimension = ag.with_late_versions(newest, batch)
+    found = [(r.agent_name, r.version, r.valid_from.day, r.valid_to.year, r.is_current)
+             for r in dimension.where("agent_id = 1").orderBy("valid_from").collect()]
+    assert found == [("A", 1, 2, 2024, False), ("B", 3, 10, 2024, False), ("C", 2, 21, 9999, True)]
+    assert rows(ag.with_late_versions(dimension, batch)) == rows(dimension)
+    assert dimension.select("agent_key").distinct().count() == dimension.count()
+    key = first.where("agent_id = 1").first().durable_key
+    days = [(key, dt.date(2024, 1, d)) for d in (1, 2, 9, 10, 20, 21, 31)] + [
+        (key, dt.date(2024, 3, 5)), (key, None), ("none", dt.date(2024, 1, 5)), (None, dt.date(2024, 1, 5))]
+    facts_ = spark.createDataFrame([(n, *d) for n, d in enumerate(days)], "n int, agent_key string, day date")
+    named = ag.version_of_day(facts_, dimension, "agent_key", "day")
+    assert [r.agent_name for r in named.orderBy("n").collect()] == [
+        None, "A", "A", "B", "B", "C", "C", "C", None, None, None]
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_bucketed_fact_needs_no_exchange_for_distinct_requests(spark, tmp_path):
     from landledger.plans import requests
 
