@@ -315,7 +315,17 @@ def _first_rows(batches, *, top):
 
 
 def _best_of_tasks(scored: DataFrame, top: int) -> DataFrame:
-    """Every partition's ``top`` rows of a language, so the last ranking sees few."""
+    """The rows that may be among a language's ``top``, so the last ranking sees few: those
+    of the highest thousandths of the score that hold ``top`` rows together, and of
+    them every partition's first ``top``."""
+    band = F.expr(f"score div {_UNIT // 1000}")
+    bands = scored.groupBy("lang", band.alias("band")).agg(F.count("*").alias("rows"))
+    # at most a thousand and one bands a language
+    above = F.sum("rows").over(W.partitionBy("lang").orderBy(F.desc("band")).rowsBetween(
+        W.unboundedPreceding, -1))
+    lowest = (bands.withColumn("above", F.coalesce(above, F.lit(0))).where(F.col("above") < top)
+              .groupBy("lang").agg(F.min("band").alias("lowest")))
+    scored = scored.join(lowest, "lang").where(band >= F.col("lowest")).select(*scored.columns)
     ordered = scored.sortWithinPartitions("lang", F.desc("score"), F.desc("a"), "phrase")
     return map_rows(ordered, ", ".join(f"{f.name} {f.dataType.simpleString()}"
                                        for f in scored.schema),
@@ -357,7 +367,7 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST,
     around = _subsumption(candidates, longest)
     kept = candidates.join(around, ["lang", "phrase"], "left").where(
         F.col("around").isNull() | (100 * F.col("around") < share * F.col("a"))).drop("around")
-    best = _best_of_tasks(_scored(kept, counts), top)
+    best = _best_of_tasks(scratch.keep(_scored(kept, counts)), top)
     order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
