@@ -6,15 +6,18 @@ contexts a sequence continues.  Every count is a row, spread over the cluster by
 its sequence; contexts, discounts and probabilities are joins and aggregates over
 these rows, for exactly the sequences that occur in the documents.
 
-Documents are read in packs of bounded size.  A pack asks once for each of its
-different sequences, the join answers, and the pack is scored with its own answers;
-so what moves is one row per pack and sequence, and each text once, compressed.
-A pack is named by its content, so both readings agree on it.
-
-A document is kept if its perplexity is at most the cut of its language.  The cut is
-where labelled rows the model has not seen part best: the share of good ones below
-it less the share of bad ones below it is greatest.  A fifth of the trusted documents
-is kept out of the model for that.
+Documents are read in packs of bounded size, once: a pack is written with its
+different sequences.  It asks for each of these, the join answers, and the pack is
+scored with its own answers; so what moves is one row per pack and sequence, and each
+text once, compressed.
+
+A document is kept if its perplexity is at most the threshold of its language, a
+quantile of the trusted documents that the model has not seen (a fifth of all, chosen
+by a hash of the id).  Which quantile the labels say: the one where the share of such
+documents below it less the share of documents labelled bad below it is greatest.  To
+the documents of a language the shares of all languages are added like ``PRIOR`` more
+documents, so a language with few labels leans on all of them and one with many on
+its own, by one rule for every size.
 """
 
 from __future__ import annotations
@@ -26,20 +29,18 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from landledger.llm.common import broadcast_if_small, checkpointed, map_rows, utf8
+from landledger.llm.common import Scratch, broadcast_if_small, checkpointed, map_rows, utf8
 
 ORDER = 4
-#: Share of a language's trusted documents that its threshold keeps, where labels do
-#: not suffice for a cut.
-QUANTILE = 0.995
+#: Documents that the shares of all languages count for in a language's own.
+PRIOR = 20
 #: One trusted document of so many is kept out of the model.
 FOLDS = 5
-#: Least rows of either label for a cut.
-LEAST = 20
-#: Bins of a unit of log-perplexity in which labelled rows are counted.
+#: Bins of a unit of log-perplexity in which documents are counted.
 BINS = 200
 #: Bytes of text in a pack.
 PACK_BYTES = 16 << 20
@@ -103,8 +104,18 @@ def _name(rows) -> int:
     return digest.intdigest() - (1 << 63)
 
 
+def _blob(rows) -> bytes:
+    table = pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(zip(*rows), _PACKED)], schema=_PACKED)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _PACKED) as writer:
+        writer.write_batch(table)
+    return zstandard.compress(sink.getvalue().to_pybytes(), 3)
+
+
 def _asked(batches, order):
-    """One row per pack: its different sequences and how often trusted texts hold them."""
+    """One row per pack: its different sequences, how often trusted texts hold them,
+    and its documents."""
     for rows in _packs(batches):
         found, counts = np.empty(0, np.complex128), np.empty(0, np.int64)
         for i in range(0, len(rows), 256):
@@ -118,7 +129,7 @@ def _asked(batches, order):
             found, place = np.unique(np.concatenate(parts), return_inverse=True)
             counts = np.bincount(place, np.concatenate(weight), len(found)).astype(np.int64)
         yield [[_name(rows)], *([zstandard.compress(x.tobytes(), 1)] for x in (
-            found.real.astype(np.int64), found.imag.astype(np.int64), counts))]
+            found.real.astype(np.int64), found.imag.astype(np.int64), counts)), [_blob(rows)]]
 
 
 def _rows_of(batches):
@@ -130,16 +141,6 @@ def _rows_of(batches):
                 yield [np.full(len(parts[0]), pack), *parts]
 
 
-def _compressed(batches):
-    for rows in _packs(batches):
-        table = pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(zip(*rows), _PACKED)], schema=_PACKED)
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, _PACKED) as writer:
-            writer.write_batch(table)
-        yield [[_name(rows)], [zstandard.compress(sink.getvalue().to_pybytes(), 3)]]
-
-
 def _scored(answers, packs, order):
     """Mean log-probability of the documents of a pack from its answers."""
     grams = _as_sequences(answers["front"], answers["gram"])
@@ -153,8 +154,6 @@ def _scored(answers, packs, order):
             if text:
                 x = sequences(text, order)
                 at = np.minimum(np.searchsorted(grams, x), max(0, len(grams) - 1))
-                if not len(grams) or (grams[at] != x).any():
-                    raise RuntimeError("a pack was read differently the second time")
                 mean, n = float(logs[at].mean()), len(x)
             out.append((doc_id, lang, trusted, quality, n, mean))
     return pd.DataFrame(out, columns=["doc_id", "lang", "trusted", "quality", "n_symbols",
@@ -244,19 +243,16 @@ def probabilities(grams: DataFrame, rows: DataFrame, order: int = ORDER) -> Data
 
 
 def _with_trust(docs: DataFrame, labels: DataFrame, hold_out: bool) -> DataFrame:
-    """doc_id, lang, trusted, quality (the label), text.  Few labels are broadcast; for
-    many the joined rows are written, so that both readings see the same order."""
+    """doc_id, lang, trusted, quality (the label), text.  Few labels are broadcast."""
     marks = labels.where("quality in (0, 1) and doc_id is not null").groupBy(
         F.col("doc_id").alias("of")).agg(F.max("quality").cast("int").alias("quality"))
-    small = broadcast_if_small(marks, 24)
     good = F.coalesce(F.col("quality") == 1, F.lit(False))
-    if hold_out and marks.where("quality = 1").count() >= FOLDS * LEAST:
+    if hold_out:
         good &= F.crc32(F.col("of").cast("string")) % FOLDS != 0
-    joined = docs.select("doc_id", "lang", "text").join(
-        small, F.col("doc_id") == F.col("of"), "left").select(
+    return docs.select("doc_id", "lang", "text").join(
+        broadcast_if_small(marks, 24), F.col("doc_id") == F.col("of"), "left").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
         F.coalesce(good, F.lit(False)).alias("trusted"), "quality", "text")
-    return joined if small is not marks else checkpointed(joined)
 
 
 def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER,
@@ -264,17 +260,20 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER,
     """doc_id, lang, trusted, quality, n_symbols and perplexity of every document.
 
     Trusted are the documents that ``labels`` give quality 1; with ``hold_out`` one
-    of FOLDS of them, chosen by a hash of the id, is not, if there are enough.  A null
-    or empty text has no perplexity.  One row per row of ``docs``, repeated rows included.
+    of FOLDS of them, chosen by a hash of the id, is not.  A null or empty text has no
+    perplexity.  One row per row of ``docs``, repeated rows included.
     """
     rows = _with_trust(docs, labels, hold_out)
-    asked = checkpointed(map_rows(rows, "pack bigint, fronts binary, grams binary, counts binary",
-                                  functools.partial(_asked, order=order)))
+    # documents are read once: what asks and what is scored lie in one table
+    read = Scratch(docs.sparkSession).keep(map_rows(
+        rows, "pack bigint, fronts binary, grams binary, counts binary, blob binary",
+        functools.partial(_asked, order=order)))
+    asked = read.select("pack", "fronts", "grams", "counts")
     each = map_rows(asked, "pack bigint, front bigint, gram bigint, n bigint", _rows_of)
     grams = checkpointed(each.groupBy(*KEY).agg(F.sum("n").alias("n")))
     model = checkpointed(probabilities(grams.select(*KEY), grams, order))
     answers = each.select("pack", *KEY).join(model, KEY)
-    packs = map_rows(rows, "pack bigint, blob binary", _compressed)
+    packs = read.select("pack", "blob")
     scored = answers.groupBy("pack").cogroup(packs.groupBy("pack")).applyInPandas(
         lambda a, p: _scored(a, p, order),
         "doc_id bigint, lang string, trusted boolean, quality int, n_symbols bigint, mean double")
@@ -282,57 +281,61 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER,
                          F.exp(-F.col("mean")).alias("perplexity"))
 
 
-def best_cut(bins, good, bad) -> float | None:
-    """The perplexity that parts counted rows best, halfway to the next counted bin;
-    None with fewer than LEAST rows of either label."""
-    place = np.argsort(bins)
-    bins, good, bad = (np.asarray(x)[place] for x in (bins, good, bad))
-    if good.sum() < LEAST or bad.sum() < LEAST:
-        return None
-    at = int(np.argmax(np.cumsum(good) / good.sum() - np.cumsum(bad) / bad.sum()))
-    above = bins[at + 1] if at + 1 < len(bins) else bins[at] + 1
-    return float(np.exp((bins[at] + 1 + above) / 2 / BINS))
+def _below(column: str, by=()) -> Column:
+    """Rows counted in this bin and those before it."""
+    return F.sum(column).over(W.partitionBy(*(by or [F.lit(0)])).orderBy("bin"))
+
+
+def _whole(column: str, by=()) -> Column:
+    return F.sum(column).over(W.partitionBy(*(by or [F.lit(0)])))
 
 
-def _cuts(scored: DataFrame) -> DataFrame:
-    """of (a language, or null for all) and cut, from the labelled rows the model has
-    not seen.  Rows are counted in bins first, so a language is one small group."""
+def _thresholds(scored: DataFrame) -> tuple[DataFrame, float | None]:
+    """of (a language) and threshold, and the one of all languages (None without a
+    trusted document that the model has not seen).  Rows are counted in bins of
+    log-perplexity first, of which there are few, so no language is a large group."""
     unseen = scored.where("not trusted and quality is not null and perplexity is not null")
-    counted = unseen.groupBy("lang", F.floor(F.log("perplexity") * BINS).alias("bin")).agg(
-        F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad"))
-    counted = counted.select(F.explode(F.array(
-        F.struct(F.lit(True).alias("any"), F.lit(None).cast("string").alias("of")),
-        F.struct(F.lit(False).alias("any"), F.col("lang").alias("of")))).alias("k"),
-        "bin", "good", "bad").where("k.any or k.of is not null")
-
-    def cut(rows):
-        value = best_cut(rows["bin"], rows["good"], rows["bad"])
-        return pd.DataFrame({"of": [rows["of"].iloc[0]], "cut": [value]}).astype(
-            {"cut": "float64"})
-    return counted.select("k.of", "bin", "good", "bad").groupBy("of").applyInPandas(
-        cut, "of string, cut double").where("cut is not null")
-
-
-def classified(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
-               order: int = ORDER) -> DataFrame:
+    counted = checkpointed(unseen.groupBy("lang", F.floor(F.log("perplexity") * BINS).alias("bin")).agg(
+        F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad")))
+    share = lambda c: F.coalesce(_below(c) / F.nullif(_whole(c), F.lit(0)), F.lit(0.0))
+    shares = checkpointed(counted.groupBy("bin").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+                          .select("bin", share("good").alias("all_good"), share("bad").alias("all_bad")))
+    best = shares.where("all_good > 0").orderBy(F.desc(F.col("all_good") - F.col("all_bad")), "bin").first()
+    empty = counted.select(F.col("lang").alias("of"), F.lit(0.0).alias("threshold")).limit(0)
+    if best is None:
+        return empty, None
+    above = shares.where(F.col("bin") > best["bin"]).agg(F.min("bin")).first()[0]
+
+    def edge(low, high):
+        """Halfway from the end of a bin to the next counted one."""
+        return F.exp((low + 1 + F.coalesce(high, low + 1)) / 2 / BINS)
+    overall = shares.sparkSession.range(1).select(edge(
+        F.lit(best["bin"]), F.lit(above).cast("bigint"))).first()[0]
+    # every language is also asked about the bin that is best for all
+    own = counted.where("lang is not null")
+    own = own.unionByName(own.select("lang").distinct().select(
+        "lang", F.lit(best["bin"]).alias("bin"), F.lit(0).cast("bigint").alias("good"),
+        F.lit(0).cast("bigint").alias("bad"))).groupBy("lang", "bin").agg(
+        F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    mixed = lambda c: (_below(c, ["lang"]) + PRIOR * F.col(f"all_{c}")) / (
+        _whole(c, ["lang"]) + PRIOR)
+    judged = own.join(shares, "bin").select("lang", "bin", (mixed("good") - mixed("bad")).alias("gain"),
+                                            F.lead("bin").over(W.partitionBy("lang").orderBy("bin")).alias("next"))
+    chosen = judged.groupBy("lang").agg(F.max(F.struct("gain", -F.col("bin"), "next")).alias("m"))
+    return chosen.select(F.col("lang").alias("of"), edge(-F.col("m.col2"), F.col("m.next")).alias(
+        "threshold")), overall
+
+
+def classified(docs: DataFrame, labels: DataFrame, order: int = ORDER) -> DataFrame:
     """The perplexities with the threshold of the document's language and ``keep``.
 
-    The threshold is the cut of the language's labelled rows.  A language with too few
-    of them gets the ``quantile`` of its good documents; without good documents (or a
-    null language) the cut of all labelled rows, then the quantile of all good
-    documents; without any, everything with a text is kept.  Documents without text
-    are not kept.
+    A language without labelled documents outside the model, and a null language, take
+    the threshold of all languages; if there is no trusted document outside the model
+    at all, everything with a text is kept.  Documents without text are not kept.
     """
     scored = checkpointed(perplexities(docs, labels, order, hold_out=True))
-    cuts = checkpointed(_cuts(scored))
-    good = scored.where("quality = 1 and perplexity is not null")
-    quantile_of = F.percentile_approx("perplexity", quantile, 10_000)
-    overall = cuts.where("of is null").first()
-    overall = overall.cut if overall else good.agg(quantile_of).first()[0]
-    by_lang = checkpointed(good.where("lang is not null").groupBy(F.col("lang").alias("of"))
-                           .agg(quantile_of.alias("loose"))
-                           .join(cuts.where("of is not null"), "of", "full")
-                           .select("of", F.coalesce("cut", "loose").alias("threshold")))
+    by_lang, overall = _thresholds(scored)
+    by_lang = checkpointed(by_lang)
     return scored.join(broadcast_if_small(by_lang, 64), F.col("lang") == F.col("of"), "left").select(
         "doc_id", "lang", "n_symbols", "perplexity",
         F.coalesce("threshold", F.lit(overall).cast("double")).alias("threshold")).withColumn(

@@ -83,14 +83,14 @@ def test_probabilities_of_a_context_sum_to_one(spark):
 
 
 def test_thresholds_and_awkward_rows(spark):
-    good = ["the cat sat on the mat and the dog lay on the rug"] * 6
+    good = ["the cat sat on the mat and the dog lay on the rug"] * 31
     docs = cases.documents(spark, [*good, "%%$$ ##!! QQZZ@@", None, ""]).withColumn(
         "lang", cases_lang())
-    labels = cases.labels(spark, [(i, 1, 0) for i in range(5)] + [(None, 1, 0), (6, 0, 0)])
+    labels = cases.labels(spark, [(i, 1, 0) for i in range(30)] + [(None, 1, 0), (31, 0, 0)])
     rows = {r.doc_id: r for r in quality.classified(docs, labels).collect()}
-    assert all(rows[i].keep for i in range(6)) and not rows[6].keep
-    assert rows[7].perplexity is None and not rows[7].keep and not rows[8].keep
-    assert rows[5].threshold == rows[0].threshold  # an unknown language takes the overall one
+    assert all(rows[i].keep for i in range(31)) and not rows[31].keep
+    assert rows[32].perplexity is None and not rows[32].keep and not rows[33].keep
+    assert rows[30].threshold == rows[0].threshold  # an unknown language takes the overall one
     awkward = quality.classified(cases.awkward(spark), cases.labels(spark))
     assert awkward.count() == 10 and awkward.where("keep").count() == 8
     assert awkward.where("threshold is not null").count() == 0
@@ -99,7 +99,7 @@ def test_thresholds_and_awkward_rows(spark):
 
 def cases_lang():
     from pyspark.sql import functions as F
-    return F.when(F.col("doc_id") == 5, "xx").otherwise("en")
+    return F.when(F.col("doc_id") == 30, "xx").otherwise("en")
 
 
 def test_many_labels_take_the_shuffled_way(spark, monkeypatch):
@@ -125,11 +125,58 @@ def test_the_cut_comes_from_labels_of_unseen_rows(spark):
     assert not any(keep[i] for i in range(190, 241))
 
 
-def test_best_cut():
-    bins, good, bad = [300, 100, 200, 500], [1, 60, 30, 9], [30, 0, 1, 69]
-    cut = quality.best_cut(bins, good, bad)
-    assert 200 < math.log(cut) * quality.BINS < 300
-    assert quality.best_cut(bins, good, [0, 0, 0, quality.LEAST - 1]) is None
+def scored(spark, rows):
+    """Rows of (lang, quality, log of the perplexity), none seen by the model."""
+    return spark.createDataFrame([(i, lang, False, q, 1, math.exp(p)) for i, (lang, q, p) in enumerate(rows)],
+                                 "doc_id long, lang string, trusted boolean, quality int, n_symbols long, "
+                                 "perplexity double").repartition(3)
+
+
+def plain_thresholds(rows):
+    """The definition, bin by bin."""
+    bins = [(lang, q, math.floor(p * quality.BINS)) for lang, q, p in rows]
+    def share(rows_, q, at):
+        mine = [b for _, label, b in rows_ if label == q]
+        return sum(b <= at for b in mine), len(mine)
+    every = sorted({b for *_, b in bins})
+    overall = {at: [(n / of if of else 0.0) for n, of in (share(bins, q, at) for q in (1, 0))] for at in every}
+    best = max((b for b in every if overall[b][0] > 0), key=lambda b: (overall[b][0] - overall[b][1], -b))
+    def edge(at, known):
+        return math.exp((at + 1 + min((b for b in known if b > at), default=at + 1)) / 2 / quality.BINS)
+    out = {None: edge(best, every)}
+    for lang in {lang for lang, *_ in bins if lang is not None}:
+        mine = [r for r in bins if r[0] == lang]
+        known = {b for *_, b in mine} | {best}
+        def gain(at):
+            good, bad = ((n + quality.PRIOR * o) / (of + quality.PRIOR) for (n, of), o in zip(
+                (share(mine, q, at) for q in (1, 0)), overall[at]))
+            return good - bad
+        out[lang] = edge(max(known, key=lambda b: (round(gain(b), 12), -b)), known)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_thresholds_follow_one_rule_at_every_size(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice(["en"] * 6 + ["de", "de", None]), q, rng.gauss(2 if q else 3, 0.4))
+            for q in [1] * 200 + [0] * 40 for _ in range(1)] + [("few", 1, 2.2), ("bad", 0, 3.5)]
+    by_lang, overall = quality._thresholds(scored(spark, rows))
+    want = plain_thresholds(rows)
+    assert overall == pytest.approx(want.pop(None))
+    assert {r.of: r.threshold for r in by_lang.collect()} == pytest.approx(want)
+
+
+def test_no_row_is_dealt_by_language_alone(spark):
+    plan = quality._thresholds(scored(spark, [("en", 1, 2.0), (None, 0, 3.0)]))[0]._jdf.queryExecution().toString()
+    assert "Pandas" not in plan
+
+
+def test_input_that_differs_when_read_again(spark):
+    """The documents are read once, so a sample drawn anew each time does no harm."""
+    from pyspark.sql import functions as F
+    docs = cases.documents(spark, ["abc def"] * 50).where(F.rand() < 0.5)
+    found = quality.perplexities(docs, cases.labels(spark, [(1, 1, 0)])).collect()
+    assert all(r.perplexity > 0 for r in found)
 
 
 class ByCodePoint(Plain):
