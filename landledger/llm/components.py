@@ -8,12 +8,28 @@ from pyspark.sql import functions as F
 from landledger.llm.common import Scratch, checkpointed
 
 
+def _followed(hooks: DataFrame, scratch: Scratch) -> DataFrame:
+    """``hooks`` (root, next) with the end of every chain as next."""
+    while True:
+        further = hooks.select(F.col("root").alias("next"), F.col("next").alias("last"))
+        hooks = scratch.keep(hooks.join(further, "next", "left").select(
+            "root", F.coalesce("last", "next").alias("next"),
+            F.col("last").isNotNull().alias("moved")))
+        moved = not hooks.where("moved").isEmpty()
+        hooks = hooks.drop("moved")
+        if not moved:
+            return hooks
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (columns a, b); root is the
     smallest node that can be reached.
 
-    Labels are hooked to the smallest label next to them and chains of hooks are
-    followed, until no edge joins two labels.  Every round writes its tables to the
+    Labels are hooked to the smallest label next to them, until no edge joins two
+    labels.  A label that hooks points to a smaller one, so hooks are trees; each is
+    followed to its end, every step joining the hooks with themselves and so halving
+    the way, before labels are replaced.  A round leaves of every group of hooked labels
+    one, so rounds and steps both grow with the logarithm of the longest chain.  Every round writes its tables to the
     shared folder, so the joins read plain tables that adaptive execution can split
     where one label is held by very many nodes.  The driver sees one flag per round.
     """
@@ -35,8 +51,6 @@ def components(edges: DataFrame) -> DataFrame:
             labels = checkpointed(labels)
             scratch.close()
             return labels
-        further = hooks.select(F.col("root").alias("next"), F.col("next").alias("last"))
-        hooks = scratch.keep(hooks.join(further, "next", "left").select(
-            "root", F.coalesce("last", "next").alias("next")))
+        hooks = _followed(hooks, scratch)
         labels = scratch.keep(labels.join(hooks, "root", "left").select(
             "node", F.coalesce("next", "root").alias("root")))

@@ -30,8 +30,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landledger.llm.common import (Once, broadcast_if_small, checkpointed, free_name, map_rows,
-                                   utf8, with_result)
+from landledger.llm.common import (Once, Scratch, broadcast_if_small, checkpointed, free_name,
+                                   map_rows, utf8, with_result)
 from landledger.llm.components import components
 
 SHINGLE = 3
@@ -180,9 +180,12 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     smallest doc_id (a null id counts as largest, then the smaller fingerprint).
     Of rows that agree in both, one stays."""
     out = free_name(docs, "f")
-    tagged = with_fingerprint(docs, docs.columns, out, shingle)
-    rows = checkpointed(with_fingerprint(docs, ["doc_id"], "f", shingle)
-                        .groupBy("doc_id", F.col("f.bits").alias("bits"))
+    # written beside the documents: a fingerprint costs far more than reading it again
+    scratch = Scratch(docs.sparkSession)
+    stored = scratch.keep(with_fingerprint(docs, docs.columns, out, shingle), "tagged")
+    # a reading of its own, so that columns of both are told apart
+    tagged = docs.sparkSession.read.schema(stored.schema).parquet(f"{scratch.folder}/tagged")
+    rows = checkpointed(stored.groupBy("doc_id", F.col(f"{out}.bits").alias("bits"))
                         .agg(F.count("*").alias("copies")))
     groups = _groups(rows).select("bits", "root")
     member = checkpointed(rows.join(groups, "bits"))

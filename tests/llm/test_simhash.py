@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from landledger.llm import simhash
@@ -108,3 +109,20 @@ def test_keep_first(spark):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id if r.doc_id is not None else -1 for r in kept.collect()) == [-1, 0, 3, 5, 6]
     assert simhash.keep_first(cases.none(spark)).count() == 0
+
+
+def test_rounds_do_not_grow_with_a_chain(spark, monkeypatch):
+    """A chain of nodes in order: one round of hooks and the steps that halve the way."""
+    from landledger.llm import components as c
+
+    written = []
+    real = c.Scratch.keep
+    monkeypatch.setattr(c.Scratch, "keep", lambda self, df, name="": written.append(1) or real(self, df, name))
+    counts = []
+    for n in (50, 400):
+        written.clear()
+        edges = spark.range(n - 1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+        found = c.components(edges).collect()
+        assert len(found) == n and {r.root for r in found} == {0}
+        counts.append(len(written))
+    assert counts[1] <= counts[0] + 4 <= 20
