@@ -5,15 +5,18 @@ document is normalised the same way and scanned once.  Words are compared, not
 substrings: windows and documents are joined with single blanks and a window is
 looked for with a blank at both ends.
 
-The windows are counted first.  Up to ``BLOCK_BYTES`` of them go to the tasks as
-one automaton; more are split by their hash into blocks that are scanned one
-after the other, each adding to what the earlier ones found, so memory stays
-bounded and nothing is left out.  Documents are never shuffled.
+The windows are written to the shared folder in blocks of up to ``BLOCK_BYTES``, by
+their hash.  One block at a time is read by the driver, broadcast, scanned for, and
+let go, so memory stays bounded however long the benchmark is.  One block is scanned
+for in a single pass that carries the documents along.  Of several, every scan writes
+what it has found, by a digest of the text and only where there is something; the
+findings are put together at the end.  Documents are never shuffled for a scan.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import math
 import re
 
@@ -21,15 +24,21 @@ import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from landledger.llm.common import Once, free_name, map_rows, utf8, with_result
+from landledger.llm.common import (Once, Scratch, free_name, map_rows, slices, utf8,
+                                   with_result)
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
 
-RESULT = ("n_words bigint, n_hit bigint, items array<bigint>, "
-          "ranges array<struct<start: bigint, end: bigint>>, "
-          "spans array<struct<start: bigint, end: bigint>>")
+_RANGES = "array<struct<start: bigint, end: bigint>>"
+
+
+def _result(kind: str) -> str:
+    """The fields of a finding; items have the type of the benchmark's ids."""
+    return f"n_words bigint, n_hit bigint, items array<{kind}>, ranges {_RANGES}, spans {_RANGES}"
+
 
 # A-Z become a-z; digits, a-z and the bytes of non-ASCII characters stay; every
 # other ASCII byte separates words
@@ -71,16 +80,27 @@ def _automaton(rows):
     return found
 
 
-def _blocks(benchmark: DataFrame, size: int, block_bytes: int) -> list[Once]:
-    found = map_rows(
-        benchmark.select(F.col("item_id").cast("bigint"), "text").where("item_id is not null"),
-        "item_id bigint, phrase binary", functools.partial(_item_windows, size=size)).distinct()
-    total = found.agg(F.sum(F.length("phrase") + 16)).first()[0] or 0
-    n = max(1, math.ceil(total / block_bytes))
-    block = F.pmod(F.xxhash64("phrase"), F.lit(n))
-    return [Once(benchmark.sparkSession,
-                 [(r[0], bytes(r[1])) for r in found.where(block == i).toLocalIterator()],
-                 _automaton) for i in range(n)]
+class Windows:
+    """The windows of a benchmark in blocks, written below the shared folder."""
+
+    def __init__(self, benchmark: DataFrame, size: int, block_bytes: int, scratch: Scratch):
+        self.kind = benchmark.schema["item_id"].dataType.simpleString()
+        found = map_rows(
+            benchmark.select("item_id", "text").where("item_id is not null"),
+            f"item_id {self.kind}, phrase binary", functools.partial(_item_windows, size=size))
+        found = scratch.keep(found.distinct(), "all_windows")
+        total = found.agg(F.sum(F.length("phrase") + 16)).first()[0] or 0
+        self.n = max(1, math.ceil(total / block_bytes))
+        self.spark, self.path = benchmark.sparkSession, f"{scratch.folder}/windows"
+        found.withColumn("block", F.pmod(F.xxhash64("phrase"), F.lit(self.n))).write.partitionBy(
+            "block").parquet(self.path)
+        self.schema = T.StructType([*found.schema, T.StructField("block", T.IntegerType())])
+
+    def block(self, number: int) -> Once:
+        """One block, of bounded size, for the tasks."""
+        rows = self.spark.read.schema(self.schema).parquet(self.path).where(
+            F.col("block") == number).select("item_id", "phrase").collect()
+        return Once(self.spark, [(r[0], bytes(r[1])) for r in rows], _automaton)
 
 
 def _occurrences(text, automaton):
@@ -118,22 +138,57 @@ def _characters(text: bytes, ranges):
     return [{"start": length(at[a][0]), "end": length(at[b - 1][1])} for a, b in ranges]
 
 
-def _scan(texts, before=None, *, block):
-    automaton = block.get()
-    earlier = before.to_pylist() if before is not None else None
-    n_words, n_hit, item_lists, range_lists, span_lists = [], [], [], [], []
-    for i, text in enumerate(utf8(texts)):
-        n, ranges, items = _occurrences(text, automaton)
-        if earlier:
-            ranges += [(r["start"], r["end"]) for r in earlier[i]["ranges"]]
-            items.update(earlier[i]["items"])
+def _lists(w_and_found):
+    """Columns of a result from (text, words, ranges, items) per document."""
+    out = [[], [], [], [], []]
+    for text, n, ranges, items in w_and_found:
         ranges = _merged(ranges)
-        n_words.append(n)
-        n_hit.append(sum(b - a for a, b in ranges))
-        item_lists.append(sorted(items))
-        range_lists.append([{"start": a, "end": b} for a, b in ranges])
-        span_lists.append(_characters(text, ranges))
-    return n_words, n_hit, item_lists, range_lists, span_lists
+        for column, value in zip(out, (
+                n, sum(b - a for a, b in ranges), sorted(items),
+                [{"start": a, "end": b} for a, b in ranges], _characters(text, ranges))):
+            column.append(value)
+    return out
+
+
+def _scan(texts, *, block):
+    automaton = block.get()
+    return _lists((t, *_occurrences(t, automaton)) for t in utf8(texts))
+
+
+def _found(batches, *, block):
+    """Ranges and items of the texts in which a block has windows, by their digest."""
+    automaton = block.get()
+    for batch in slices(batches):
+        rows = [(hashlib.sha256(t).digest(), *_occurrences(t, automaton))
+                for t in utf8(batch.column(0)) if t]
+        rows = [r for r in rows if r[2]]
+        yield [[r[0] for r in rows],
+               [[{"start": a, "end": b} for a, b in _merged(r[2])] for r in rows],
+               [sorted(r[3]) for r in rows]]
+
+
+def _together(texts, parts):
+    """The findings of all blocks as one."""
+    return _lists((
+        t, len(words(t)), [(r["start"], r["end"]) for p in ps or [] for r in p["ranges"]],
+        {i for p in ps or [] for i in p["items"]}) for t, ps in zip(utf8(texts), parts.to_pylist()))
+
+
+def _in_blocks(docs: DataFrame, windows: Windows, scratch: Scratch, keep: list[str], out: str):
+    """All blocks, one after the other."""
+    found = []
+    for number in range(windows.n):
+        once = windows.block(number)
+        found.append(scratch.keep(
+            map_rows(docs.select("text"), f"key binary, ranges {_RANGES}, items array<{windows.kind}>",
+                     functools.partial(_found, block=once)).dropDuplicates(["key"])))
+        once.data.destroy()
+    names = [free_name(docs, name) for name in ("key", "parts")]
+    parts = functools.reduce(DataFrame.union, found).groupBy(F.col("key").alias(names[0])).agg(
+        F.collect_list(F.struct("ranges", "items")).alias(names[1]))  # one per block at most
+    keyed = docs.withColumn(names[0], F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    return with_result(keyed.join(parts, names[0], "left"), ["text", names[1]], keep, out,
+                       _result(windows.kind), _together)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None,
@@ -145,22 +200,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
 
     One row per row of ``docs``, repeated rows and ids included.  A null or empty
     text has no words and no hits.  Items without id or words match nothing; an
-    item repeated under one id counts once, equal items under two ids twice.
-    Columns of ``docs`` with any other name are carried along; one called ``out``
-    among ``keep`` is an error.
+    item repeated under one id counts once, equal items under two ids twice.  Ids
+    may be of any type.  Columns of ``docs`` with any other name are carried along; one
+    called ``out`` among ``keep`` is an error.
     """
     keep = docs.columns if keep is None else keep
-    blocks = _blocks(benchmark, window, block_bytes)
-    state, frame = "", docs
-    for i, block in enumerate(blocks):
-        last = i == len(blocks) - 1
-        needs = ["text", state] if state else ["text"]
-        carry = keep if last else list(dict.fromkeys([*keep, "text"]))
-        name = out if last else free_name(docs, f"found_{i % 2}")
-        frame = with_result(frame, needs, carry, name, RESULT,
-                            functools.partial(_scan, block=block))
-        state = name
-    return frame
+    if out.lower() in {c.lower() for c in keep}:
+        raise ValueError(f"{out} is a column already; choose another name for the result")
+    scratch = Scratch(docs.sparkSession)
+    windows = Windows(benchmark, window, block_bytes, scratch)
+    if windows.n > 1:
+        return _in_blocks(docs, windows, scratch, keep, out)
+    return with_result(docs, ["text"], keep, out, _result(windows.kind),
+                       functools.partial(_scan, block=windows.block(0)))
 
 
 def report(found: DataFrame, out: str = "contamination") -> DataFrame:

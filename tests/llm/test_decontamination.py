@@ -1,5 +1,6 @@
 """Benchmark decontamination against its SQL and against plain search."""
 
+import hashlib
 import random
 import re
 
@@ -89,3 +90,30 @@ def test_awkward_rows_and_empty_tables(spark):
     assert d.clean(cases.none(spark), items).count() == 0
     with pytest.raises(ValueError):
         d.contamination(cases.awkward(spark), items)
+
+
+@pytest.mark.parametrize("block_bytes", [d.BLOCK_BYTES, 300])
+def test_item_ids_of_any_type(spark, block_bytes):
+    items = [("b", "alpha beta gamma"), ("a", "Beta gamma"), (None, "alpha"), ("10", "delta")]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    docs = cases.documents(spark, ["x alpha beta gamma delta", "beta", None])
+    found = d.contamination(docs, benchmark, ["doc_id"], block_bytes=block_bytes)
+    assert {r.doc_id: r.contamination["items"] for r in found.collect()} == {0: ["10", "a", "b"], 1: [], 2: []}
+    digests = {r.doc_id: r.items_sha256 for r in d.report(found).collect()}
+    assert digests[0] == hashlib.sha256(b"10,a,b").hexdigest()
+
+
+def test_blocks_leave_the_driver_one_by_one(spark, monkeypatch):
+    """Of many blocks one at a time is held; copies of a text are found once each."""
+    items, texts = corpus(4)
+    live, real = [], d.Windows.block
+
+    def block(self, number):
+        live.append(number)
+        return real(self, number)
+    monkeypatch.setattr(d.Windows, "block", block)
+    found = d.contamination(cases.documents(spark, texts * 3).withColumnRenamed("bits", "key"),
+                            cases.benchmark(spark, enumerate(items)), block_bytes=200, out="found")
+    rows = sorted(found.collect(), key=lambda r: r.doc_id)
+    assert len(live) > 5 and live == sorted(live)
+    assert [(r["found"].n_words, r["found"].n_hit, r["found"]["items"]) for r in rows] == brute(texts, items) * 3
