@@ -15,11 +15,11 @@ from pyspark.sql import types as T
 
 from landledger import jobs, schemas
 from landledger.functions import scalars as s
-from landledger.functions.measures import count_rows
+from landledger.functions.measures import count_rows, percent
 from landledger.operators import agents as ag
 from landledger.operators import (clean, compare, dimensions, facts, payments, progress, quality,
                                   upsert)
-from landledger.plans import analysis, dashboards, finance, monitoring, registry, requests
+from landledger.plans import analysis, dashboards, finance, monitoring, registry, requests, rollups
 from landledger.session import scratch_path
 from landledger.sources import extract
 from landledger.sources import sample as sm
@@ -321,6 +321,76 @@ def extract_changes(spark: SparkSession, folder: str) -> DataFrame:
                 F.lit("left").alias("change"), "requests", F.lit(None).cast("bigint").alias("ids"))))
 
 
+def _activity(w: Warehouse) -> DataFrame:
+    """Requests in the months of their creation and of their last change."""
+    months = F.array(F.trunc("created_at", "month"), F.trunc("modified_at", "month"))
+    return w.requests.select("request_id", "status", F.explode(months).alias("month"))
+
+
+def distinct_by_bitmap(spark: SparkSession, folder: str) -> DataFrame:
+    """Different requests active per month, per year and at all, by status, out of the
+    bitmaps of two loads that share some requests."""
+    activity = _activity(sm.sample_warehouse(spark, folder))
+    id_ = F.col("request_id")
+    loads = (activity.filter(id_ % 3 != 0), activity.filter((id_ % 3 == 0) | (id_ % 5 == 0)))
+    stored = functools.reduce(DataFrame.union, (
+        _stored(rollups.request_bitmaps(load, ["month", "status"]), f"bitmaps_{n}") for n, load in enumerate(loads)))
+
+    def level(name: str, period) -> DataFrame:
+        return rollups.distinct_requests(stored, [period.alias("period"), "status"]).select(
+            F.lit(name).alias("level"), "period", "status", "requests")
+    return (level("month", F.date_format("month", "yyyy-MM")).unionByName(level("year", F.date_format("month", "yyyy")))
+            .unionByName(level("all", F.lit("all"))))
+
+
+def median_by_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """Median processing days per month, per status and at all, out of the counters of
+    two loads; the second corrects a part of the first."""
+    rows = sm.sample_warehouse(spark, folder).requests.select(
+        "request_id", "status", F.trunc("created_at", "month").alias("month"), "processing_days")
+    id_, by = F.col("request_id"), ["month", "status"]
+    wrong = rows.filter(id_ % 4 == 1).withColumn("processing_days", F.col("processing_days") + 10)
+    first = _stored(rollups.day_counters(rows.filter(id_ % 4 > 1).unionByName(wrong), by), "first")
+    taken = rollups.day_counters(wrong, by).withColumn("n", -F.col("n"))
+    second = _stored(rollups.day_counters(rows.filter(id_ % 4 < 2), by).unionByName(taken), "second")
+    counters = first.unionByName(second)
+    none = F.lit(None).cast("string")
+    part = lambda df, month, status: df.select(month.alias("month"), status.alias("status"), "median", "rows")
+    return (part(rollups.medians(counters, ["month"]), F.date_format("month", "yyyy-MM"), none)
+            .unionByName(part(rollups.medians(counters, ["status"]), none, F.col("status")))
+            .unionByName(part(rollups.medians(counters, []), none, none)))
+
+
+def recon_differences(spark: SparkSession, folder: str) -> DataFrame:
+    """Source against warehouse with a changed, a missing and an additional request."""
+    w = sm.sample_warehouse(spark, folder)
+    rows = w.requests.withColumn("month", F.date_format("created_at", "yyyyMM").cast("int"))
+    id_, at = F.col("request_id"), scratch_path(spark, "recon")
+    low, high = rows.agg(F.min(id_), F.max(id_)).first()
+    changed, missing, added = low, (low + high) // 2, high
+    source = rows.filter(id_ != added)
+    warehouse = rows.filter(id_ != missing).withColumn("financing_amount", F.when(
+        id_ == changed, F.col("financing_amount") + 1).otherwise(F.col("financing_amount")).cast(s.MONEY))
+    sides = []
+    for name, df in (("source", source), ("warehouse", warehouse)):
+        df.write.partitionBy("month").parquet(f"{at}/{name}")
+        sides.append(spark.read.schema(df.schema).parquet(f"{at}/{name}"))
+    return compare.recon_differences(*sides, ["request_id"], "month")
+
+
+def alert_episodes(spark: SparkSession, folder: str) -> DataFrame:
+    """Episodes in the monthly history of two rates."""
+    fact = sm.sample_warehouse(spark, folder).fact_requests
+    month = F.trunc("created_at", "month").alias("as_of")
+    rate = lambda part: percent(F.sum(part), count_rows(), 2)
+    wide = fact.groupBy(month).agg(rate("n_accepted").alias("acceptance_rate"), rate("n_priority").alias("priority_rate"))
+    history = wide.unpivot(["as_of"], ["acceptance_rate", "priority_rate"], "kpi", "value")
+    return monitoring.alert_episodes(history, EPISODE_LIMITS)
+
+
+EPISODE_LIMITS = (("acceptance_rate", 36, 33), ("priority_rate", 42, 39))
+
+
 def insert_new_agents(spark: SparkSession, folder: str) -> DataFrame:
     """Active agents loaded first, then everybody: only the unknown are added."""
     cleaned = clean.clean_agents(sm.sample_warehouse(spark, folder).staging.agents)
@@ -465,6 +535,10 @@ QUERIES: dict[str, Query] = {
     "summary_by_deltas": summary_by_deltas,
     "facts_by_agent_version": facts_by_agent_version,
     "extract_changes": extract_changes,
+    "distinct_by_bitmap": distinct_by_bitmap,
+    "median_by_counters": median_by_counters,
+    "recon_differences": recon_differences,
+    "alert_episodes": alert_episodes,
     "upsert_receivable_fact": upsert_receivable_fact,
     "upsert_recovery_fact": upsert_recovery_fact,
     "insert_new_agents": insert_new_agents,

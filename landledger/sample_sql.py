@@ -819,6 +819,44 @@ FROM flags WHERE (earlier OR later) AND (NOT earlier OR NOT later OR different)
 UNION ALL SELECT 'merged', COUNT(*), CAST(SUM(id) AS BIGINT) FROM flags WHERE later
 UNION ALL SELECT 'left', 0, NULL"""
 
+_ACTIVITY = _with(REQUESTS, """
+activity AS (
+  SELECT request_id, status, date_trunc('month', created_at) AS month FROM requests
+  UNION ALL SELECT request_id, status, date_trunc('month', modified_at) FROM requests)""")
+SQL["distinct_by_bitmap"] = _ACTIVITY + """
+SELECT 'month' AS level, strftime(month, '%Y-%m') AS period, status, COUNT(DISTINCT request_id) AS requests
+FROM activity GROUP BY 2, 3
+UNION ALL SELECT 'year', strftime(month, '%Y'), status, COUNT(DISTINCT request_id) FROM activity GROUP BY 2, 3
+UNION ALL SELECT 'all', 'all', status, COUNT(DISTINCT request_id) FROM activity GROUP BY 3"""
+SQL["median_by_counters"] = _with(REQUESTS) + """
+SELECT strftime(created_at, '%Y-%m') AS month, CAST(NULL AS VARCHAR) AS status,
+       CAST(median(processing_days) AS DOUBLE) AS median, COUNT(processing_days) AS rows
+FROM requests WHERE processing_days IS NOT NULL GROUP BY 1
+UNION ALL SELECT NULL, status, CAST(median(processing_days) AS DOUBLE), COUNT(processing_days)
+          FROM requests WHERE processing_days IS NOT NULL GROUP BY 2
+UNION ALL SELECT NULL, NULL, CAST(median(processing_days) AS DOUBLE), COUNT(processing_days) FROM requests"""
+SQL["recon_differences"] = """
+SELECT MIN(o_orderkey) AS request_id, 'changed' AS change FROM orders
+UNION ALL SELECT (MIN(o_orderkey) + MAX(o_orderkey)) // 2, 'deleted' FROM orders
+UNION ALL SELECT MAX(o_orderkey), 'inserted' FROM orders"""
+SQL["alert_episodes"] = _with(FACT) + f"""
+, wide AS (
+  SELECT CAST(date_trunc('month', created_at) AS DATE) AS as_of, {_pct('SUM(n_accepted)', 'COUNT(*)', 2)} AS acceptance,
+         {_pct('SUM(n_priority)', 'COUNT(*)', 2)} AS priority FROM fact GROUP BY 1),
+history AS (
+  SELECT as_of, 'acceptance_rate' AS kpi, acceptance AS value, 36 AS opens, 33 AS closes FROM wide
+  UNION ALL SELECT as_of, 'priority_rate', priority, 42, 39 FROM wide),
+states AS (
+  SELECT *, COALESCE(last_value(CASE WHEN value >= opens THEN 1 WHEN value < closes THEN 0 END IGNORE NULLS)
+                     OVER (PARTITION BY kpi ORDER BY as_of), 0) AS state FROM history),
+spans AS (
+  SELECT *, row_number() OVER (PARTITION BY kpi ORDER BY as_of)
+            - row_number() OVER (PARTITION BY kpi, state ORDER BY as_of) AS span,
+         MAX(as_of) OVER (PARTITION BY kpi) AS latest FROM states)
+SELECT kpi, MIN(as_of) AS first_day, MAX(as_of) AS last_day, COUNT(*) AS days, MAX(value) AS worst,
+       MAX(as_of) = MAX(latest) AS is_open
+FROM spans WHERE state = 1 GROUP BY kpi, span"""
+
 # --- combined KPIs, quality, monitoring ------------------------------------------------------------------
 
 SQL["dash_status_priority"] = _with(FACT) + f"""
