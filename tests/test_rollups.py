@@ -43,7 +43,7 @@ def test_reconciliation_reads_only_differing_months(spark, tmp_path):
     found = compare.recon_differences(*sides, ["id"], "month")
     assert {r.id: r.change for r in found.collect()} == {13: "deleted", 25: "changed", 999: "inserted"}
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert len(re.findall(r"PartitionFilters: \[[^\]]*month#\d+ = 202302", plan)) == 2
+    assert len(set(re.findall(r"PartitionFilters: \[[^\]]*(month#\d+) = 202302", plan))) == 2
     assert compare.recon_differences(sides[0], sides[0], ["id"], "month").count() == 0
     moved = sides[0].withColumn("month", F.expr("IF(id = 5, NULL, month)"))
     assert [(r.id, r.change) for r in compare.recon_differences(sides[0], moved, ["id"], "month").collect()] == [
