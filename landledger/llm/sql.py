@@ -84,13 +84,14 @@ counts AS (
     FROM pieces, (VALUES (1), (2), (3)) AS s(size), unnest(range(1, len(w) - size + 2)) AS r(i)
     GROUP BY ALL HAVING count(*) >= 10),
 split AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts),
-longer AS (
-    SELECT lang, a, array_to_string(w[i:i + 1], ' ') AS phrase
-    FROM split, (VALUES (1), (2)) AS r(i) WHERE size = 3),
+around AS (
+    SELECT lang, phrase, max(a) AS most FROM (
+        SELECT lang, a, array_to_string(w[i:i + 1], ' ') AS phrase
+        FROM split, (VALUES (1), (2)) AS r(i) WHERE size = 3) GROUP BY lang, phrase),
 kept AS (
-    SELECT * FROM split WHERE size > 1 AND NOT EXISTS (
-        SELECT 1 FROM longer WHERE longer.lang = split.lang AND longer.phrase = split.phrase
-            AND 100 * longer.a >= 50 * split.a)),
+    SELECT split.* FROM split LEFT JOIN around
+        ON around.lang = split.lang AND around.phrase = split.phrase
+    WHERE size > 1 AND (most IS NULL OR 100 * most < 50 * a)),
 cuts AS (
     SELECT kept.lang, kept.phrase, a, k, x.f AS l, y.f AS r,
         (1000000::HUGEINT * a * a) // (x.f * y.f) AS score
