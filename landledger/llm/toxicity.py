@@ -8,8 +8,12 @@ phrases left out, and the sum is divided by the logarithm of the length; a
 logistic curve turns it into a score.
 
 The lexicon holds a fixed seed list and the word beginnings that set labelled
-toxic documents apart.  Lexicon and curve are fitted on a bounded, documented
-sample of the labelled rows; every document is then scored whole in one pass.
+toxic documents apart.  An entry is learned if the lower end of the usual interval
+around its log-odds is high enough, and that end is its weight: so a few texts weigh
+less than many, one clean text does not strike out an entry, and no count decides by
+itself.  The curve is fitted on rows that the lexicon was not learned from.  Both use a
+bounded, documented sample of the labelled rows; every document is then scored whole
+in one pass.
 """
 
 from __future__ import annotations
@@ -29,12 +33,14 @@ from landledger.llm.common import Once, free_name, map_rows, utf8, with_result
 
 #: Labelled rows of each class that the model is fitted on, chosen by a hash of their id.
 TRAIN_ROWS = 10_000
-#: Largest number of learned entries.
-ENTRIES = 20_000
+#: One training row in so many is kept for the curve.
+CURVE_FOLDS = 3
 #: Shortest and longest learned beginning of a word, in characters.
 BEGINNING = (4, 8)
-#: Log-odds an entry must have, and those of a seed entry without evidence.
-LEAST_WEIGHT, SEED_WEIGHT = 3.0, 4.0
+#: Least weight of a learned entry, and that of a seed entry without evidence.
+LEAST_WEIGHT, SEED_WEIGHT = 2.5, 4.0
+#: Standard errors between the log-odds of an entry and its weight.
+CAUTION = 1.0
 #: Cut-off of the sum over ln(e + words) above which a text counts as toxic.
 FALLBACK = (-4.0, 4.0)
 
@@ -189,37 +195,38 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def _training(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """text and label of at most ``rows`` labelled documents of each class.  The
-    chosen ids are few by construction, so they are broadcast and no text moves."""
+    """text and label of at most ``rows`` labelled documents of each class, and whether
+    the row is kept for the curve.  The chosen ids are few by construction, so they are broadcast and no text moves."""
     known = (labels.where(~held_out() & F.col("toxic").isin(0, 1))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     order = F.xxhash64(F.col("doc_id"))
     chosen = functools.reduce(DataFrame.union, (
         known.where(F.col("toxic") == label).orderBy(order, "doc_id").limit(rows)
         for label in (0, 1)))
-    chosen = chosen.select(F.col("doc_id").alias("id"), "toxic")
+    chosen = chosen.select(F.col("doc_id").alias("id"), "toxic", (
+        F.pmod(F.xxhash64("doc_id", F.lit("curve")), F.lit(CURVE_FOLDS)) == 0).alias("curve"))
     return (docs.select("doc_id", "text")
-            .join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("text", "toxic"))
+            .join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
+            .select("text", "toxic", "curve"))
 
 
-def _lexicon(training: DataFrame, entries: int) -> dict[str, float]:
-    """Log-odds of the seeds and of learned entries.  A beginning is left out if
-    a shorter one is as telling, so the entries stay few and cover unseen words."""
+def _lexicon(training: DataFrame) -> dict[str, float]:
+    """Weights of the seeds and of learned entries, as many as the evidence in the
+    bounded ``training`` rows carries.  A beginning is left out if a shorter one is as
+    telling, so the entries cover unseen words."""
     sizes = dict(training.groupBy("toxic").count().collect())
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         return {seed + " ": SEED_WEIGHT for seed in SEEDS}
-    counts = map_rows(training, "entry string, toxic bigint, clean bigint", _count_features)
-    weight = (F.log((F.col("toxic") + 0.5) / (n_toxic + 1))
-              - F.log((F.col("clean") + 0.5) / (n_clean + 1)))
+    counts = map_rows(training.select("text", "toxic"),
+                      "entry string, toxic bigint, clean bigint", _count_features)
+    toxic, clean = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    weight = (F.log(toxic / (n_toxic + 1)) - F.log(clean / (n_clean + 1))
+              - CAUTION * F.sqrt(1 / toxic + 1 / clean))
     totals = (counts.groupBy("entry").agg(F.sum("toxic").alias("toxic"),
                                           F.sum("clean").alias("clean"))
-              .withColumn("weight", weight)
-              .where((F.col("toxic") >= max(4, n_toxic // 500))
-                     & (F.col("clean") * 50 <= F.col("toxic"))))
-    found = {r["entry"]: r["weight"] for r in
-             totals.where(F.col("weight") >= LEAST_WEIGHT)
-             .orderBy(F.desc("weight"), "entry").limit(entries).toLocalIterator()}
+              .withColumn("weight", weight).where(F.col("weight") >= LEAST_WEIGHT))
+    found = {r["entry"]: r["weight"] for r in totals.toLocalIterator()}
     kept = {}
     for entry in sorted(found, key=lambda e: (len(e), e)):
         shorter = max((kept[entry[:n]] for n in range(BEGINNING[0], len(entry))
@@ -237,13 +244,11 @@ def _curve(densities: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     if len(set(labels.tolist())) < 2 or not densities.any():
         return FALLBACK
     x = np.column_stack([np.ones(len(densities)), densities])
-    weight = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (labels == 0).sum()))
-    weight *= len(labels)
     beta, ridge = np.zeros(2), np.array([1e-3, 1e-1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        gradient = x.T @ (weight * (labels - p)) - ridge * beta
-        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+        gradient = x.T @ (labels - p) - ridge * beta
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge)
         step = np.linalg.solve(hessian, gradient)
         beta = beta + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
@@ -252,13 +257,14 @@ def _curve(densities: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
-        entries: int = ENTRIES, exceptions: tuple[str, ...] = EXCEPTIONS) -> dict:
+        exceptions: tuple[str, ...] = EXCEPTIONS) -> dict:
     """Lexicon, exception phrases and score curve.  Without labels of both
     classes the seeds and a fixed curve are used."""
     training = _training(docs, labels, rows)
-    model = {"entries": _lexicon(training, entries), "exceptions": exceptions, "curve": FALLBACK}
+    model = {"entries": _lexicon(training.where(~F.col("curve"))), "exceptions": exceptions,
+             "curve": FALLBACK}
     once = Once(docs.sparkSession, model, _automaton)
-    seen = map_rows(training, "density double, toxic bigint",
+    seen = map_rows(training.where("curve").select("text", "toxic"), "density double, toxic bigint",
                     functools.partial(_densities, model=once)).toPandas()
     model["curve"] = _curve(seen["density"].to_numpy(float), seen["toxic"].to_numpy(int))
     return model

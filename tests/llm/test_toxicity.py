@@ -99,3 +99,25 @@ def test_awkward_rows(spark):
     kept = t.clean(docs, cases.labels(spark))
     assert cases.pairs(kept, *docs.columns) == cases.pairs(docs, *docs.columns)
     assert t.clean(cases.none(spark), cases.labels(spark)).count() == 0
+
+
+def test_held_out_accuracy_on_the_sample(spark):
+    """On rows no model has seen: few clean ones are called toxic, most toxic ones are."""
+    folder = SF.replace("0.01", "0.1")
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    rows = t.report(docs, labels).where("held_out").join(labels, "doc_id").where("toxic in (0, 1)").collect()
+    toxic, clean = ([r for r in rows if r.toxic == label] for label in (1, 0))
+    assert len(toxic) > 60 and len(clean) > 500
+    assert sum(r.predicted for r in clean) <= 0.01 * len(clean)
+    assert sum(r.predicted for r in toxic) >= 0.85 * len(toxic)
+
+
+def test_evidence_decides_by_itself(spark):
+    """One clean text does not strike out an entry with many toxic ones; a few toxic texts
+    alone do not make one."""
+    texts = ["zorqa bad word"] * 60 + ["zorqa fine"] + ["rareword here"] * 2 + ["plain text of words"] * 300
+    docs = cases.documents(spark, texts).withColumnRenamed("toxicity", "other")
+    training = docs.selectExpr("text", "cast(doc_id < 60 or doc_id in (61, 62) as int) toxic")
+    found = t._lexicon(training)
+    assert any(e.startswith("zorq") for e in found)
+    assert not any(e.startswith("rare") for e in found)
