@@ -121,19 +121,21 @@ def _american(body: str) -> list[int] | None:
 
 
 def phone(text: str, move) -> str | None:
-    """With a plus sign: the calling code stays and 7 to 12 digits follow, ten after
-    code 1.  Ten digits without one: area and exchange from 200, and the same
-    pseudonym as after code 1."""
-    digits = _digits(text)
+    """With a plus sign or two zeros: the calling code stays and 7 to 12 digits follow,
+    ten after code 1; both spellings get one pseudonym.  Ten digits without one: area and
+    exchange from 200, and the same pseudonym as after code 1."""
+    digits, front = _digits(text), ""
+    if digits.startswith("00"):
+        digits, front = digits[2:], "00"
     code = next((digits[:n] for n in (1, 2) if digits[:n] in _SHORT_CODES), digits[:3])
-    if not text.startswith("+"):
+    if not text.startswith(("+", "00")):
         code = ""
     body = digits[len(code):]
     if code in ("", "1"):
         parts = _american(body) if len(body) == 10 else None
         if parts:
             area, exchange, line = _move(parts, [800, 800, 10_000], move)
-            return _relaid(text, f"{code}{area + 200}{exchange + 200}{line:04d}")
+            return _relaid(text, f"{front}{code}{area + 200}{exchange + 200}{line:04d}")
         if not code or len(body) != 10:
             return None
     if not 7 <= len(body) <= 12:
@@ -141,7 +143,15 @@ def phone(text: str, move) -> str | None:
     moved = body
     while moved is body or (code == "1" and _american(moved)):  # within those of code 1
         moved = str(move(int(moved), 10 ** len(body))).zfill(len(body))
-    return _relaid(text, code + moved)
+    return _relaid(text, front + code + moved)
+
+
+def national(text: str, move) -> str | None:
+    """A number as it is written inside France, Germany or Spain: the first two digits
+    (trunk zero and area, or kind of line) stay, the others move."""
+    digits = _digits(text)
+    body = digits[2:]
+    return _relaid(text, digits[:2] + str(move(int(body), 10 ** len(body))).zfill(len(body)))
 
 
 def address(text: str, move) -> str | None:
@@ -165,18 +175,28 @@ def social(text: str, move) -> str | None:
     return f"{a + 1 + (a >= 665):03d}-{g + 1:02d}-{s + 1:04d}"
 
 
+# Countries that issue international account numbers.
+_ACCOUNT_COUNTRIES = frozenset("""
+    AD AE AL AT AZ BA BE BG BH BR BY CH CR CY CZ DE DK DO EE EG ES FI FO FR GB GE GI GL GR GT HR HU
+    IE IL IQ IS IT JO KW KZ LB LC LI LT LU LV LY MC MD ME MK MR MT MU NL NO PK PL PS PT QA RO RS SA
+    SC SE SI SK SM ST SV TL TN TR UA VA VG XK
+""".split())
+
+
 def account(text: str, move) -> str | None:
-    """An international account number with valid check digits; the country stays."""
-    plain = text.replace(" ", "")
+    """An international account number with valid check digits, in groups or not, in any
+    case; the country, the case of every letter and the separators stay."""
+    plain = text.replace(" ", "").replace("-", "").upper()
     number = lambda s: int("".join(str(int(c, 36)) for c in s))
-    if not 15 <= len(plain) <= 34 or number(plain[4:] + plain[:4]) % 97 != 1:
+    if (not 15 <= len(plain) <= 34 or plain[:2] not in _ACCOUNT_COUNTRIES
+            or number(plain[4:] + plain[:4]) % 97 != 1):
         return None
     radices = [10 if c.isdigit() else 26 for c in plain[4:]]
     old = [int(c) if c.isdigit() else ord(c) - 65 for c in plain[4:]]
     body = "".join(str(d) if r == 10 else chr(65 + d)
                    for d, r in zip(_move(old, radices, move), radices))
     new = iter(f"{plain[:2]}{98 - number(body + plain[:2] + '00') % 97:02d}{body}")
-    return "".join(c if c == " " else next(new) for c in text)
+    return "".join(c if c in " -" else next(new).lower() if c.islower() else next(new) for c in text)
 
 
 _FIRST, _LAST = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
@@ -185,8 +205,8 @@ _FIRST, _LAST = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal
 def date(text: str, move) -> str | None:
     """A day of 1900-2099 as year-month-day, or with the year last: day first, unless
     only month first is a date.  Days and months below ten stay below ten, so that a day
-    written without zeros keeps its length and its pseudonym.  (The pseudonym of a month-first date may read as a
-    day-first one, so undoing is not certain for these.)"""
+    written without zeros keeps its length and its pseudonym.  (The pseudonym of a
+    month-first date may read as a day-first one, so undoing is not certain for these.)"""
     mark = next(c for c in text if not c.isdigit())
     parts = text.split(mark)
     for order in ("ymd",) if len(parts[0]) == 4 else ("dmy", "mdy"):
@@ -206,10 +226,12 @@ def date(text: str, move) -> str | None:
 
 
 def email(text: str, move) -> str | None:
-    """Letters and digits of the local part move, letters to letters and digits to
-    digits; case, separators and domain stay."""
+    """Letters a-z and digits of the local part move, letters to letters and digits to
+    digits; case, other letters, separators and domain stay."""
     local, domain = text.rsplit("@", 1)
-    at = [i for i, c in enumerate(local) if c.isalnum()]
+    at = [i for i, c in enumerate(local) if c.isascii() and c.isalnum()]
+    if not at:
+        return None
     radices = [10 if local[i].isdigit() else 26 for i in at]
     old = [int(local[i]) if local[i].isdigit() else ord(local[i].lower()) - 97 for i in at]
     new = list(local)
@@ -221,18 +243,21 @@ def email(text: str, move) -> str | None:
 
 #: Kinds in the order in which a place is tried: name, form, value.
 KINDS = (
-    ("email", r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
-     email),
-    ("account", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
-                r"(?![A-Za-z0-9])", account),
+    ("email", r"(?<![\w.+%-])\w[\w.%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", email),
+    ("account", r"(?<![A-Za-z0-9])[A-Za-z]{2}\d{2}(?:[ -]?[A-Za-z0-9]{4}){2,7}"
+                r"(?:[ -]?[A-Za-z0-9]{1,3})?(?![A-Za-z0-9])", account),
     ("address", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", address),
     ("date", r"(?<![\d./-])(?:\d{4}(?P<a>[-/.])\d\d?(?P=a)\d\d?|\d\d?(?P<b>[-/.])\d\d?(?P=b)\d{4})"
              r"(?![-/]?\d)", date),
     ("social", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", social),
     ("phone", r"(?<![\w+])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d-])|"
-              r"(?<![\w+])\+\d(?:\)?[ .-]?\(?\d){7,14}(?!\d)",
+              r"(?<![\w+])(?:\+|(?<!\d[ .-])00[ .-]?(?=[1-9]))\d(?:\)?[ .-]?\(?\d){7,14}(?!\d)",
      phone),
-    ("card", r"(?<![\w-])\d(?:[ -]?\d){12,18}(?!\w)", card),
+    ("card", r"(?<![\w.-])\d(?:[ .-]?\d){12,18}(?!\w)", card),
+    # five pairs; area and subscriber; three threes or three and three pairs
+    ("national", r"(?<![\w.+-])(?<!\d[ .-])(?:0[1-9](?P<c>[ .-])\d\d(?:(?P=c)\d\d){3}|0[2-9]\d{1,3}[ /-]\d{5,8}|"
+                 r"[6-9]\d\d(?P<d>[ .-])(?:\d{3}(?P=d)\d{3}|\d\d(?P=d)\d\d(?P=d)\d\d))"
+                 r"(?![ .-]?\d)(?!\w)", national),
 )
 
 

@@ -111,3 +111,33 @@ def test_a_date_without_zeros_keeps_its_pseudonym():
     assert short != GIVE.replace("3/7/1985")[0]
     old = ["+33 6 12 34 56 78", "+33 6 12 34 56 79"]
     assert len({GIVE.replace(t)[0] for t in old}) == 2
+
+
+@pytest.mark.parametrize("text,kind", [
+    ("06 12 34 56 78", "national"), ("06.12.34.56.78", "national"), ("030 1234567", "national"),
+    ("612 345 678", "national"), ("912 34 56 78", "national"), ("0033 6 12 34 56 78", "phone"),
+    ("00 33 6 12 34 56 78", "phone"), ("BE68-5390-0754-7034", "account"), ("be68 5390 0754 7034", "account"),
+    ("be68539007547034", "account"), ("4111.1111.1111.1111", "card"), ("müller.hans@web.de", "email"),
+    ("a" * 70 + "@web.de", "email")])
+@pytest.mark.parametrize("around", ["{}", "call {} now", "({}),", "x: {}."])
+def test_more_spellings(text, kind, around):
+    whole = around.format(text)
+    new, spans = p.Pseudonyms(KEY).replace(whole)
+    assert [(whole[a:b], k) for a, b, k in spans] == [(text, kind)]
+    assert len(new) == len(whole) and new != whole
+    assert [c.isdigit() for c in new] == [c.isdigit() for c in whole]
+    assert [c.islower() for c in new] == [c.islower() for c in whole]
+    assert p.Pseudonyms(KEY, undo=True).replace(new)[0] == whole
+
+
+def test_spellings_of_one_value_stay_linked():
+    made = lambda x: "".join(c for c in p.Pseudonyms(KEY).replace(x)[0] if c.isalnum()).upper()
+    assert made("be68 5390 0754 7034") == made("BE68-5390-0754-7034") == made("BE68539007547034")
+    assert made("+33 6 12 34 56 78") == made("0033612345678")[2:]
+    assert made("4111.1111.1111.1111") == made("4111 1111 1111 1111")
+
+
+@pytest.mark.parametrize("text", [
+    "in 2024 12 34 56", "1.5.2 and 0.12", "00 11", "ab12 word word word more", "0800", "12 345 678", "page 06 12"])
+def test_other_numbers_stay(text):
+    assert p.Pseudonyms(KEY).replace(text) == (text, [])
