@@ -4,7 +4,10 @@ A byte goes if a string of ``THRESHOLD`` bytes covering it also starts earlier.
 takes the place of prefix doubling: no ranks are made from pairs of earlier ranks, as
 ranking every position moves hundreds of times the text (README).  Neighbouring starts
 are ranked together instead, by the hash of what all their strings have in common.
-Equality is by hashes of 128 bits in all, not compared byte by byte.
+Equality is by hashes, not compared byte by byte: of two equal strings the anchors agree
+in 64 bits and the rest in another 64, in the last round the whole string in 128.  A
+collision would need equal anchors first, so only strings that share 40 bytes can be
+mistaken for each other.
 
 * Every string of THRESHOLD bytes holds THRESHOLD - FIRST + 1 strings of FIRST
   bytes; the one with the smallest hash (the leftmost of equals) is its anchor.

@@ -1,6 +1,7 @@
 """Nearest neighbours: exact scores and order, recall, awkward rows."""
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -84,3 +85,22 @@ def test_awkward_rows(spark):
     assert found == {0: [(1, 3, 3.0), (2, 1, 1.0), (3, 2, 1.0)]}
     assert neighbours.nearest(rows.where("false")).count() == 0
     assert neighbours.nearest(table(spark, [[1, 2]])).count() == 0
+
+
+def test_recall_on_the_sample_table(spark):
+    """Against exact search over the whole table, with fewer parts searched than there are."""
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001").replace("0.001", "0.1")
+    table = spark.read.parquet(f"{folder}/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in neighbours.usable(table).withColumnRenamed(
+        "vector", "embedding").collect()]
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    found = {}
+    for r in neighbours.nearest(table).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = total = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        score = x @ x[q]
+        score[ids == ids[q]] = -np.inf
+        true = set(ids[np.lexsort((ids, -score))[:20]].tolist())
+        hits, total = hits + len(true & found.get(ids[q].item(), set())), total + len(true)
+    assert hits >= 0.9 * total
