@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from landledger import jobs
 from landledger.operators import clean, facts
+from landledger.operators import parents as parents_of
 from landledger.operators.upsert import RECOVERY_REFRESH, full_refresh, read_load, upsert_table
 from landledger.sources import extract
 
@@ -41,6 +42,9 @@ def apply_landed_recoveries(spark: SparkSession, landing: str, schema: T.StructT
         full_refresh(rows, staged, str(batch_number))
         rows = read_load(session, staged, str(batch_number), rows.schema)
         upsert_table(session, fact_path, rows, ["recovery_id"], RECOVERY_REFRESH, ["modified_at"], jobs.MONTH)
+        # the next collection load that brings their receivable repairs these
+        parents_of.drain(session, os.path.join(os.path.dirname(fact_path), "waiting_actions"),
+                         parents_of.waiting_actions(rows, jobs.MONTH), None, jobs.MONTH)
 
     return (
         spark.readStream.schema(schema).parquet(landing)

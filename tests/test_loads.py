@@ -212,6 +212,8 @@ def test_collection_job_and_stream(spark, tmp_path):
         query.awaitTermination(120)
         fact = spark.read.parquet(f"{path}/fact_recoveries")
         assert fact.count() == 1000 and fact.select("recovery_id").distinct().count() == 1000
+        waiting = spark.read.parquet(f"{path}/waiting_actions").select("recovery_id")
+        assert rows(waiting) == rows(fact.where("receivable_fact_key IS NULL").select("recovery_id"))
 
 
 COLLECTION = ("id long, reference string, montant_a_recouvrer string, montant_recouvre string, statut string, "
