@@ -1,5 +1,7 @@
 """What the physical plans must and must not contain."""
 
+import re
+
 import pytest
 
 from landledger.sample_queries import QUERIES
@@ -34,8 +36,13 @@ def test_only_the_kpi_pair_report_pairs_rows(plans):
 
 def test_unpartitioned_windows_only_over_label_groups(plans):
     windows = {n for n, text in plans.items() if "Window [" in text}
-    assert windows == {"kpi_by_status", "kpi_by_zone_type", "kpi_priority_split", "an_by_status", "an_by_type",
-                       "dash_status_priority"}
+    labels = {"kpi_by_status", "kpi_by_zone_type", "kpi_priority_split", "an_by_status", "an_by_type",
+              "dash_status_priority"}
+    # per KPI over its stored days, and over the different day counts
+    assert windows == labels | {"alert_episodes", "median_by_counters"}
+    alone = {n for n in windows for line in re.findall(r"Window \[.*", plans[n])
+             if not re.search(r"\], \[", line) or "windowspecdefinition(specified" in line}
+    assert alone <= labels | {"median_by_counters"}  # of all: one row per different day count
 
 
 def test_line_items_are_not_read_without_need(plans):
