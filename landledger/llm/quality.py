@@ -6,10 +6,12 @@ contexts a sequence continues.  Every count is a row, spread over the cluster by
 its sequence; contexts, discounts and probabilities are joins and aggregates over
 these rows, for exactly the sequences that occur in the documents.
 
-Documents are read in packs of bounded size, once: a pack is written with its
-different sequences.  It asks for each of these, the join answers, and the pack is
-scored with its own answers; so what moves is one row per pack and sequence, and each
-text once, compressed.
+Documents are read in packs of bounded size.  A pack asks once for each of its
+different sequences, the join answers, and the pack is scored with its own answers;
+so what moves is one row per pack and sequence, and each text once, compressed.
+A pack is named by its content, and documents are read a second time to be scored.  An
+input that may come in another order or with other rows then (one that was shuffled,
+sampled or computed by a function) is written first.
 
 A document is kept if its perplexity is at most the threshold of its language, a
 quantile of the trusted documents that the model has not seen (a fifth of all, chosen
@@ -23,6 +25,7 @@ its own, by one rule for every size.
 from __future__ import annotations
 
 import functools
+import re
 
 import numpy as np
 import pandas as pd
@@ -33,7 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from landledger.llm.common import Scratch, broadcast_if_small, checkpointed, map_rows, utf8
+from landledger.llm.common import (Scratch, broadcast_if_small, checkpointed, map_rows, release,
+                                   utf8)
 
 ORDER = 4
 #: Documents that the shares of all languages count for in a language's own.
@@ -104,18 +108,8 @@ def _name(rows) -> int:
     return digest.intdigest() - (1 << 63)
 
 
-def _blob(rows) -> bytes:
-    table = pa.RecordBatch.from_arrays(
-        [pa.array(c, f.type) for c, f in zip(zip(*rows), _PACKED)], schema=_PACKED)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, _PACKED) as writer:
-        writer.write_batch(table)
-    return zstandard.compress(sink.getvalue().to_pybytes(), 3)
-
-
 def _asked(batches, order):
-    """One row per pack: its different sequences, how often trusted texts hold them,
-    and its documents."""
+    """One row per pack: its different sequences and how often trusted texts hold them."""
     for rows in _packs(batches):
         found, counts = np.empty(0, np.complex128), np.empty(0, np.int64)
         for i in range(0, len(rows), 256):
@@ -129,7 +123,7 @@ def _asked(batches, order):
             found, place = np.unique(np.concatenate(parts), return_inverse=True)
             counts = np.bincount(place, np.concatenate(weight), len(found)).astype(np.int64)
         yield [[_name(rows)], *([zstandard.compress(x.tobytes(), 1)] for x in (
-            found.real.astype(np.int64), found.imag.astype(np.int64), counts)), [_blob(rows)]]
+            found.real.astype(np.int64), found.imag.astype(np.int64), counts))]
 
 
 def _rows_of(batches):
@@ -141,6 +135,16 @@ def _rows_of(batches):
                 yield [np.full(len(parts[0]), pack), *parts]
 
 
+def _compressed(batches):
+    for rows in _packs(batches):
+        table = pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(zip(*rows), _PACKED)], schema=_PACKED)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, _PACKED) as writer:
+            writer.write_batch(table)
+        yield [[_name(rows)], [zstandard.compress(sink.getvalue().to_pybytes(), 3)]]
+
+
 def _scored(answers, packs, order):
     """Mean log-probability of the documents of a pack from its answers."""
     grams = _as_sequences(answers["front"], answers["gram"])
@@ -154,6 +158,8 @@ def _scored(answers, packs, order):
             if text:
                 x = sequences(text, order)
                 at = np.minimum(np.searchsorted(grams, x), max(0, len(grams) - 1))
+                if not len(grams) or (grams[at] != x).any():
+                    raise RuntimeError("a pack was read differently the second time")
                 mean, n = float(logs[at].mean()), len(x)
             out.append((doc_id, lang, trusted, quality, n, mean))
     return pd.DataFrame(out, columns=["doc_id", "lang", "trusted", "quality", "n_symbols",
@@ -242,17 +248,29 @@ def probabilities(grams: DataFrame, rows: DataFrame, order: int = ORDER) -> Data
     return known.select(*KEY, F.log("p").alias("log"))
 
 
+def reads_alike(df: DataFrame) -> bool:
+    """Whether every reading of ``df`` gives the same rows in the same order: plain scans,
+    filters, projections and joins with broadcast sides do."""
+    execution = df._jdf.queryExecution()
+    moving = re.search(r"(?<!Broadcast)Exchange|Sample|Limit|Python|Arrow|Pandas|MapElements|MapPartitions",
+                       execution.executedPlan().toString())
+    return moving is None and execution.analyzed().deterministic()
+
+
 def _with_trust(docs: DataFrame, labels: DataFrame, hold_out: bool) -> DataFrame:
-    """doc_id, lang, trusted, quality (the label), text.  Few labels are broadcast."""
+    """doc_id, lang, trusted, quality (the label), text, in rows that every reading gives
+    alike.  Few labels are broadcast and move no document."""
     marks = labels.where("quality in (0, 1) and doc_id is not null").groupBy(
         F.col("doc_id").alias("of")).agg(F.max("quality").cast("int").alias("quality"))
     good = F.coalesce(F.col("quality") == 1, F.lit(False))
     if hold_out:
         good &= F.crc32(F.col("of").cast("string")) % FOLDS != 0
-    return docs.select("doc_id", "lang", "text").join(
-        broadcast_if_small(marks, 24), F.col("doc_id") == F.col("of"), "left").select(
+    small = broadcast_if_small(marks, 24)
+    rows = docs.select("doc_id", "lang", "text").join(
+        small, F.col("doc_id") == F.col("of"), "left").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
         F.coalesce(good, F.lit(False)).alias("trusted"), "quality", "text")
+    return rows if small is not marks and reads_alike(docs) else Scratch(docs.sparkSession).keep(rows)
 
 
 def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER,
@@ -264,16 +282,16 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER,
     perplexity.  One row per row of ``docs``, repeated rows included.
     """
     rows = _with_trust(docs, labels, hold_out)
-    # documents are read once: what asks and what is scored lie in one table
-    read = Scratch(docs.sparkSession).keep(map_rows(
-        rows, "pack bigint, fronts binary, grams binary, counts binary, blob binary",
-        functools.partial(_asked, order=order)))
-    asked = read.select("pack", "fronts", "grams", "counts")
+    asked = checkpointed(map_rows(rows, "pack bigint, fronts binary, grams binary, counts binary",
+                                  functools.partial(_asked, order=order)))
     each = map_rows(asked, "pack bigint, front bigint, gram bigint, n bigint", _rows_of)
     grams = checkpointed(each.groupBy(*KEY).agg(F.sum("n").alias("n")))
     model = checkpointed(probabilities(grams.select(*KEY), grams, order))
+    # counts and contexts have served: their tables and shuffle files can go
+    del grams
+    release(docs.sparkSession)
     answers = each.select("pack", *KEY).join(model, KEY)
-    packs = read.select("pack", "blob")
+    packs = map_rows(rows, "pack bigint, blob binary", _compressed)
     scored = answers.groupBy("pack").cogroup(packs.groupBy("pack")).applyInPandas(
         lambda a, p: _scored(a, p, order),
         "doc_id bigint, lang string, trusted boolean, quality int, n_symbols bigint, mean double")

@@ -172,11 +172,16 @@ def test_no_row_is_dealt_by_language_alone(spark):
 
 
 def test_input_that_differs_when_read_again(spark):
-    """The documents are read once, so a sample drawn anew each time does no harm."""
+    """What may differ when read again is written first, what does not is not."""
     from pyspark.sql import functions as F
-    docs = cases.documents(spark, ["abc def"] * 50).where(F.rand() < 0.5)
-    found = quality.perplexities(docs, cases.labels(spark, [(1, 1, 0)])).collect()
-    assert all(r.perplexity > 0 for r in found)
+    plain = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert quality.reads_alike(plain.where("length(text) > 3").select("doc_id", "text"))
+    texts = [f"abc {i} def" for i in range(50)]
+    for docs in (cases.documents(spark, texts).where(F.rand() < 0.5), cases.documents(spark, texts).repartition(5),
+                 cases.documents(spark, texts).sample(0.5), plain.limit(20)):
+        assert not quality.reads_alike(docs)
+        found = quality.perplexities(docs, cases.labels(spark, [(1, 1, 0)])).collect()
+        assert all(r.perplexity > 0 for r in found)
 
 
 class ByCodePoint(Plain):
