@@ -321,6 +321,25 @@ def extract_changes(spark: SparkSession, folder: str) -> DataFrame:
                 F.lit("left").alias("change"), "requests", F.lit(None).cast("bigint").alias("ids"))))
 
 
+def published_views(spark: SparkSession, folder: str) -> DataFrame:
+    """Two published views asked by name in SQL, the answer kept as a table and read
+    back from it."""
+    registry.register_views(sm.sample_warehouse(spark, folder))
+    answer = spark.sql("""
+        SELECT 'statut' AS vue, statut AS libelle, nombre_demandes FROM v_kpi_demandes_par_statut
+        UNION ALL SELECT 'type', type_zone, nombre_demandes FROM v_kpi_demandes_par_type""")
+    path = scratch_path(spark, "published")
+    upsert.full_refresh(answer, path, sm.BATCH)
+    return upsert.read_load(spark, path, sm.BATCH, answer.schema)
+
+
+def date_keys_with_default(spark: SparkSession, folder: str) -> DataFrame:
+    """Receivables per recovery date key, with the default key where none was recovered."""
+    key = s.date_key_or(F.col("recovered_on"))
+    return sm.sample_warehouse(spark, folder).fact_receivables.groupBy(key.alias("date_key")).agg(
+        count_rows().alias("receivables"))
+
+
 def _activity(w: Warehouse) -> DataFrame:
     """Requests in the months of their creation and of their last change."""
     months = F.array(F.trunc("created_at", "month"), F.trunc("modified_at", "month"))
@@ -535,6 +554,8 @@ QUERIES: dict[str, Query] = {
     "summary_by_deltas": summary_by_deltas,
     "facts_by_agent_version": facts_by_agent_version,
     "extract_changes": extract_changes,
+    "published_views": published_views,
+    "date_keys_with_default": date_keys_with_default,
     "distinct_by_bitmap": distinct_by_bitmap,
     "median_by_counters": median_by_counters,
     "recon_differences": recon_differences,

@@ -819,6 +819,11 @@ FROM flags WHERE (earlier OR later) AND (NOT earlier OR NOT later OR different)
 UNION ALL SELECT 'merged', COUNT(*), CAST(SUM(id) AS BIGINT) FROM flags WHERE later
 UNION ALL SELECT 'left', 0, NULL"""
 
+SQL["published_views"] = _with(FACT) + f"""
+SELECT 'statut' AS vue, status AS libelle, requests AS nombre_demandes FROM ({_BY_STATUS})
+UNION ALL SELECT 'type', zone_type, requests FROM ({_BY_TYPE})"""
+SQL["date_keys_with_default"] = _with(FACT_RECEIVABLES) + """
+SELECT COALESCE(recovered_date_key, 20240101) AS date_key, COUNT(*) AS receivables FROM fact_receivables GROUP BY 1"""
 _ACTIVITY = _with(REQUESTS, """
 activity AS (
   SELECT request_id, status, date_trunc('month', created_at) AS month FROM requests
