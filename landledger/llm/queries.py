@@ -52,9 +52,9 @@ def op9_secret_scans(spark, sf_dir):
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents"), keep=["doc_id"]))
 
 
-def op10_sentencepiece(spark, sf_dir):
+def op10_sentencepiece(spark, sf_dir, pieces=PIECES):
     return sentencepieces.report(table(spark, sf_dir, "documents"),
-                                 sentencepieces.read_model(PIECES))
+                                 sentencepieces.read_model(pieces))
 
 
 def op11_lexical_search(spark, sf_dir):
