@@ -17,8 +17,8 @@ from landledger import jobs, schemas
 from landledger.functions import scalars as s
 from landledger.functions.measures import count_rows, percent
 from landledger.operators import agents as ag
-from landledger.operators import (clean, compare, dimensions, facts, payments, progress, quality,
-                                  upsert)
+from landledger.operators import (clean, compare, dimensions, facts, parents, payments, progress,
+                                  quality, upsert)
 from landledger.plans import analysis, dashboards, finance, monitoring, registry, requests, rollups
 from landledger.session import scratch_path
 from landledger.sources import extract
@@ -249,7 +249,7 @@ def late_parents(spark: SparkSession, folder: str) -> DataFrame:
     """Actions with and without their receivable after three loads, a third of the
     receivables with a later load than their actions; and what still waits."""
     w = _three_stored(spark, folder)
-    waiting = spark.read.parquet(f"{w.path}/waiting_actions")
+    waiting = spark.read.schema(parents.WAITING).parquet(f"{w.path}/waiting_actions")
     has = F.when(F.col("receivable_fact_key").isNull(), "without").otherwise("with")
     stored = w.fact_recoveries.groupBy(has.alias("parent")).agg(
         count_rows().alias("actions"), F.sum("effectiveness").cast("decimal(30,4)").alias("effectiveness"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from landledger import jobs, schemas
 from landledger.operators import agents as ag
-from landledger.operators import clean, facts
+from landledger.operators import clean, facts, parents
 from landledger.operators import upsert as up
 from landledger.plans import registry
 from landledger.plans import requests as request_kpis
@@ -334,7 +334,8 @@ def test_receivable_after_its_actions(spark, tmp_path):
     actions = [(1, 7, "30", DAY(5)), (2, 8, "30", DAY(5)), (4, 7, "60", dt.datetime(2023, 11, 5))]
     other = (9, "10", "0", 1)
     jobs.load_collections(spark, collection_source(spark, [other], actions), path, "B1", "2024-01-10")
-    waiting = lambda: sorted((r.recovery_id, r.receivable_id) for r in spark.read.parquet(f"{path}/waiting_actions").collect())
+    waiting = lambda: sorted((r.recovery_id, r.receivable_id) for r in spark.read.schema(parents.WAITING).parquet(
+        f"{path}/waiting_actions").collect())
     assert waiting() == [(1, 7), (2, 8), (4, 7)]
     for _ in range(2):  # the second time nothing is left to repair
         second = jobs.load_collections(spark, collection_source(spark, [(7, "60", "0", 2), other]), path, "B2",
