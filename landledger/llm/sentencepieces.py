@@ -270,7 +270,10 @@ def decode(rows: DataFrame, model: dict, ids: str, keep: list[str] | None = None
 
 
 def report(docs: DataFrame, model: dict) -> DataFrame:
-    """Ids of every document and whether decoding gives its text back."""
+    """doc_id, n_tokens, ids and round_trip (whether decoding gives the text back), one row
+    per row of ``docs``, repeated rows and ids included.  A null or empty text has no ids
+    and comes back as the empty text; an empty table gives an empty result.  Other columns
+    have no influence."""
     spark = docs.sparkSession
     return with_result(
         docs, ["text"], ["doc_id"], "tokens", "ids array<int>, n bigint, same boolean",

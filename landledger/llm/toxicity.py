@@ -288,6 +288,10 @@ def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score and predicted, one row per row of ``docs``, repeated rows
+    and ids included.  A null or empty text has the score of a text without matches; a null
+    id counts as held out.  Without labels of both classes the seeds and a fixed curve
+    score; empty tables give an empty result."""
     return scored(docs, fit(docs, labels), ["doc_id"]).select(
         "doc_id", held_out().alias("held_out"), F.col("toxicity.score").alias("score"),
         (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"))
