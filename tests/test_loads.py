@@ -538,3 +538,26 @@ def test_shared_folder_comes_from_the_session(spark):
     for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
         with pytest.raises(ValueError):
             shared_dir(unset(master))
+
+
+def test_partitions_are_written_by_one_task_each(spark, tmp_path):
+    """The files of a written table do not multiply by tasks and partitions."""
+    path = str(tmp_path / "t")
+    files = lambda: sum(f.endswith(".parquet") for _, _, found in os.walk(path) for f in found)
+    numbers = lambda amount: spark.range(0, 2400, 1, 8).select(
+        "id", F.lit(amount).cast("long").alias("amount"), F.lit("a").alias("first"), F.lit(1).alias("seen"),
+        (F.col("id") % 12).cast("int").alias("part"))
+    for amount in (1, 2):
+        up.upsert_table(spark, path, numbers(amount), ["id"], ["amount"], ["seen"], "part")
+        assert files() == 12
+        assert spark.read.parquet(path).agg(F.count("*"), F.sum("amount")).first() == (2400, 2400 * amount)
+
+
+def test_job_reads_its_receivables_from_the_source_once(spark, tmp_path):
+    path = str(tmp_path / "wh")
+    source = collection_source(spark, [(1, "100", "50", 1), (1, "100", "60", 2), (2, "-5", "0", 1)])
+    loaded = jobs.load_collections(spark, source, path, "B1", "2024-01-10")
+    # as delivered, before any row is cleaned away; the rest of the job reads this
+    kept = spark.read.parquet(f"{path}/receivables_extract/load_id=B1")
+    assert sorted((r.receivable_id, r.amount_collected) for r in kept.collect()) == [(1, "50"), (1, "60"), (2, "0")]
+    assert [(r.receivable_id, float(r.amount_collected)) for r in loaded["fact_receivables"].collect()] == [(1, 60.0)]
