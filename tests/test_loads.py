@@ -561,3 +561,26 @@ def test_job_reads_its_receivables_from_the_source_once(spark, tmp_path):
     kept = spark.read.parquet(f"{path}/receivables_extract/load_id=B1")
     assert sorted((r.receivable_id, r.amount_collected) for r in kept.collect()) == [(1, "50"), (1, "60"), (2, "0")]
     assert [(r.receivable_id, float(r.amount_collected)) for r in loaded["fact_receivables"].collect()] == [(1, 60.0)]
+
+
+def test_differences_are_added_up_in_one_pass(spark):
+    from landledger.operators import summary
+
+    schema = ("created_month int, created_date_key int, agent_key string, type_key string, status_key string,"
+              " due_on date, recovered_on date, amount_due decimal(15,2), amount_collected decimal(15,2),"
+              " amount_remaining decimal(15,2), recovery_rate decimal(5,4), recovery_days int")
+    day, late = dt.date(2024, 1, 5), dt.date(2024, 1, 9)
+
+    def row(due, paid, rate, days=None, recovered=None):
+        number = lambda x: None if x is None else decimal.Decimal(x)
+        left = None if due is None or paid is None else number(due) - number(paid)
+        return (202401, 20240101, "a", "t", None, day, recovered, number(due), number(paid), left, number(rate), days)
+    same, before, after = row("10", "1", "0.1"), row("8", "2", "0.25"), row("8", "8", "1", 3, late)
+    frame = lambda *found: spark.createDataFrame(list(found), schema)
+    found = summary.differences(frame(same, before), frame(same, after, row(None, "4", None)), "created_month")
+    assert sorted([tuple(None if x is None else float(x) for x in r) for r in found.select(
+        F.col("open_due_on").isNull().cast("int"), *summary.SUMS).collect()]) == [
+        # of the open ones one is gone and one without an amount due has come; one is settled late
+        (0, 0, -8, 2, -6, -0.25, -1, 0, 0, 0), (1, 1, 8, 8, 0, 1, 1, 3, 1, 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
