@@ -584,3 +584,25 @@ def test_differences_are_added_up_in_one_pass(spark):
         (0, 0, -8, 2, -6, -0.25, -1, 0, 0, 0), (1, 1, 8, 8, 0, 1, 1, 3, 1, 1)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_large_tables_are_rewritten_in_portions(spark, tmp_path, monkeypatch):
+    """One partition with much of the table, keys stored under another partition than
+    the batch names, new and deleted ones."""
+    path, written, real = str(tmp_path / "t"), [], up.by_partition
+    number = lambda value, kind: F.lit(value).cast(kind)
+    home = F.when(F.col("id") < 40, 0).otherwise(F.col("id") % 4 + 1).cast("int")
+    old = spark.range(60).select("id", number(1, "long").alias("amount"), F.lit("a").alias("first"),
+                                 number(1, "int").alias("seen"), home.alias("part"))
+    batch = spark.range(30, 70).select("id", number(2, "long").alias("amount"), F.lit("b").alias("first"),
+                                       number(2, "int").alias("seen"), (F.col("id") % 5).cast("int").alias("part"))
+    old.write.partitionBy("part").parquet(path)
+    monkeypatch.setattr(up, "PORTION_ROWS", 10, raising=False)
+    monkeypatch.setattr(up, "by_partition", lambda df, *p: written.append(df.count()) or real(df, *p))
+    up.upsert_table(spark, path, batch, ["id"], ["amount", "seen"], ["seen"], "part",
+                    deleted=spark.range(0, 35, 5))
+    left = spark.read.schema(old.schema).parquet(path)
+    assert rows(left.select("id", "amount", "first", "part")) == [
+        (i, 2 if i >= 30 else 1, "a" if i < 60 else "b", i % 5 if i >= 60 else 0 if i < 40 else i % 4 + 1)
+        for i in range(70) if i >= 30 or i % 5]
+    assert sum(written) == 64 and max(written) < 20 and "_staged" not in os.listdir(path)
