@@ -606,3 +606,31 @@ def test_large_tables_are_rewritten_in_portions(spark, tmp_path, monkeypatch):
         (i, 2 if i >= 30 else 1, "a" if i < 60 else "b", i % 5 if i >= 60 else 0 if i < 40 else i % 4 + 1)
         for i in range(70) if i >= 30 or i % 5]
     assert sum(written) == 64 and max(written) < 20 and "_staged" not in os.listdir(path)
+
+
+def test_a_load_frees_what_only_it_reads(spark, tmp_path, monkeypatch):
+    path, key = str(tmp_path / "wh"), "spark.sql.parquet.compression.codec"
+    monkeypatch.setattr(up, "PORTION_ROWS", 2, raising=False)
+    month = F.concat(F.lit("2023-0"), (F.col("id") % 3 + 1).cast("string"), F.lit("-01"))
+    before = spark.conf.get(key)
+    for name, paid, previous in (("B1", 5, None), ("B2", 10, "B1")):
+        source = collection_source(spark, [(i, "100", str(paid * i), paid) for i in range(1, 9)],
+                                   [(i, i + 4, "5", DAY(9)) for i in range(1, 9)])
+        loaded = jobs.load_collections(spark, source | {"collectes": source["collectes"].withColumn(
+            "date_debut", month)}, path, name, "2024-01-10", previous=previous)
+    assert spark.conf.get(key) == before
+    found = [os.path.relpath(os.path.join(d, f), path) for d, _, names in os.walk(path) for f in names
+             if f.endswith(".parquet")]
+    working = ("receivables_sums/before", "receivables_sums/differences", "movements_batch", "repaired_batch", "held_")
+    assert not [f for f in found if f.startswith(working)]
+    assert {f.split("/")[1] for f in found if f.split("/")[0] in ("receivables_extract", "receivables", "recoveries")
+            } == {"load_id=B2"}
+    assert all(f.endswith(".zstd.parquet") for f in found)
+    # what stays is whole
+    assert spark.read.parquet(f"{path}/fact_receivables_batch/load_id=B2").count() == 0
+    assert rows(loaded["fact_receivables"].selectExpr("receivable_id", "int(amount_collected)")) == [
+        (i, 10 * i) for i in range(1, 9)]
+    kept, whole = summary_rows(spark, path, loaded["fact_receivables"], "2024-01-10")
+    assert kept == whole and len(spark.read.parquet(f"{path}/kpi_receivables_summary/load_id=B2").collect()) == len(kept)
+    total = lambda df: df.agg(F.sum("amount_paid"), F.sum("amount_net"), F.countDistinct("payment_key")).first()
+    assert total(loaded["payment_movements"]) == total(loaded["fact_payments"])
